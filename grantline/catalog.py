@@ -27,7 +27,7 @@ from grantline.plans.governance import Governance, governance_export, public_pri
 from grantline.plans.locations import LocationPlan, location_document, plan_locations
 from grantline.plans.privileges import acl_document
 from grantline.plans.volumes import volume_document
-from grantline.sinks.shared import shared_folder
+from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import row_counts, save_table
 from grantline.sinks.text import write_document
 from grantline.sources.principals import all_principals, read_principals
@@ -192,13 +192,17 @@ def dropped_resources(fx: Fixtures) -> DataFrame:
 
 
 # --- access --------------------------------------------------------------------------------------
-def _governance(fx: Fixtures) -> Governance:
-    return governance_export(fx.principals(), fx.policy_exports())
+def _governance(fx: Fixtures, staged: bool = False) -> Governance:
+    return governance_export(fx.principals(), fx.policy_exports(), staged=staged)
+
+
+def _saved(fx: Fixtures) -> Governance:
+    return _governance(fx, staged=True)
 
 
 def _patterns(fx: Fixtures) -> DataFrame:
     governance = _governance(fx)
-    return access.governance_patterns(governance.access, governance.role_paths)
+    return access.governance_patterns(governance.access, governance.path_lists)
 
 
 def _plan(fx: Fixtures, governance: Governance, **options) -> LocationPlan:
@@ -242,7 +246,7 @@ def bucket_regex(fx: Fixtures) -> DataFrame:
 
 
 def _access(fx: Fixtures, anchored: bool) -> DataFrame:
-    governance = _governance(fx)
+    governance = _saved(fx)
     plan = _plan(fx, governance, anchored=anchored)
     return access.location_access(governance.access, plan.role_locations).select(
         "principal_type", "principal_id", "principal_display_name", "ext_loc_name", "url"
@@ -260,7 +264,7 @@ def location_access_anchored(fx: Fixtures) -> DataFrame:
 
 
 def _uncovered(fx: Fixtures) -> DataFrame:
-    patterns = _patterns(fx)
+    patterns = stage(_patterns(fx))
     return access.uncovered_patterns(patterns, access.pattern_locations(patterns, fx.locations()))
 
 
@@ -276,27 +280,27 @@ def new_location_proposals(fx: Fixtures) -> DataFrame:
 
 @_query
 def all_locations(fx: Fixtures) -> DataFrame:
-    return _plan_with_new(fx, _governance(fx)).locations
+    return _plan_with_new(fx, _saved(fx)).locations
 
 
 def _grants(fx: Fixtures) -> DataFrame:
-    governance = _governance(fx)
+    governance = _saved(fx)
     return access.location_grants(governance.access, _plan_with_new(fx, governance).role_locations)
 
 
 @_query
 def location_grants(fx: Fixtures) -> DataFrame:
-    return _grants(fx)
+    return _grants(fx).select("principal_display_name", "grantee", "ext_loc_name", "created")
 
 
 @_query
 def hcl_location_resources(fx: Fixtures) -> DataFrame:
-    return documents.location_resources(_plan_with_new(fx, _governance(fx)).role_locations)
+    return documents.location_resources(_plan_with_new(fx, _saved(fx)).role_locations)
 
 
 @_query
 def hcl_location_datasources(fx: Fixtures) -> DataFrame:
-    return documents.location_data_sources(_plan_with_new(fx, _governance(fx)).role_locations)
+    return documents.location_data_sources(_plan_with_new(fx, _saved(fx)).role_locations)
 
 
 @_query
@@ -307,7 +311,7 @@ def hcl_location_grants(fx: Fixtures) -> DataFrame:
 @_query
 def hcl_location_document(fx: Fixtures) -> DataFrame:
     return location_document(
-        _governance(fx), fx.locations(), fx.buckets(), create_new=True, credential_name=CREDENTIAL
+        _saved(fx), fx.locations(), fx.buckets(), create_new=True, credential_name=CREDENTIAL
     )
 
 

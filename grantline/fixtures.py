@@ -1,18 +1,47 @@
 """Input relations derived from the test tables.
 
 The test tables are a star schema; every relation here is computed from them by Spark and grows
-with them.  Flat relations come first, then the raw nested forms in which exports are landed.
+with them.  Principals, policies, libraries and the allowlist come in the raw nested forms in which
+exports are landed.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.plans.governance import PolicyExports
-from grantline.schemas import MEMBER, PRINCIPAL
+from grantline.schemas import PRINCIPAL
 from grantline.sources import libraries as library_source, policies, principals, storage
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string",
+    "supplier": "s_suppkey bigint, s_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_returnflag string"
+    ),
+}
 
-def _no_text() -> Column:
-    return F.lit(None).cast("string")
+BUCKET = "concat(lower(p_type), '-', lower(replace(p_brand, '#', '-')))"
+ARTIFACT = "replace(p_name, ' ', '-')"
+JAR = f"concat('s3://libs/', {ARTIFACT}, '.jar')"
+MAVEN = f"concat('org.', lower(p_type), ':', {ARTIFACT}, ':1.', p_size)"
+
+
+def _slots(number: str) -> str:
+    """0 .. number-1, nothing for 0."""
+    return f"filter(sequence(0, greatest(cast({number} AS int) - 1, 0)), n -> n < {number})"
+
+
+def _member(value: str) -> str:
+    """A reference cell of an identity record."""
+    empty = "cast(null AS string)"
+    return (
+        f"named_struct('$ref', {empty}, 'value', {value}, 'display', {empty},"
+        f" 'primary', {empty}, 'type', {empty})"
+    )
 
 
 class Fixtures:
@@ -21,16 +50,9 @@ class Fixtures:
         self.sf_dir = sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     # --- principals ------------------------------------------------------------------------------
-    @staticmethod
-    def _slots(number: Column) -> Column:
-        """0 .. number-1, an empty array for 0."""
-        return F.when(number > 0, F.sequence(F.lit(0), number.cast("int") - 1)).otherwise(
-            F.array().cast("array<int>")
-        )
-
     def principal_records(self, kind: str) -> DataFrame:
         """Identity records of one kind; every 499th is repeated, as overlapping pages do."""
         table, key, name = {
@@ -38,37 +60,23 @@ class Fixtures:
             "SERVICE_PRINCIPAL": ("supplier", "s_suppkey", "s_name"),
             "GROUP": ("nation", "n_nationkey", "n_name"),
         }[kind]
-        k = F.col(key).cast("bigint")
-        key_text = F.col(key).cast("string")
-
-        def member(value: Column) -> Column:
-            values = {"value": value}
-            return F.struct(*[values.get(f.name, _no_text()).alias(f.name) for f in MEMBER])
-
-        def profile(slot: Column) -> Column:
-            number = ((k * 7 + slot * 13) % 25).cast("string")
-            return F.concat(F.lit("arn:aws:iam::123456789012:instance-profile/ip-"), number)
-
-        email = F.concat(F.lit("u"), key_text, F.lit("@example.com"))
-        has_email = (k % 10 != 0) if kind == "USER" else F.lit(False)
-        emails = F.when(has_email, F.array(member(email))).otherwise(
-            F.array().cast(T.ArrayType(MEMBER))
-        )
-        roles = F.when(
-            k % 4 > 0, F.transform(self._slots(k % 4), lambda slot: member(profile(slot)))
+        has_email = f"{key} % 10 <> 0" if kind == "USER" else "false"
+        email = _member(f"concat('u', {key}, '@example.com')")
+        arn = (
+            "concat('arn:aws:iam::123456789012:instance-profile/ip-',"
+            f" (cast({key} AS bigint) * 7 + n * 13) % 25)"
         )
-        application = F.concat(F.lit("app-"), key_text) if kind == "SERVICE_PRINCIPAL" else _no_text()
-        rows = self.table(table).select(
-            F.col(name).alias("displayName"),
-            emails.alias("emails"),
-            key_text.alias("id"),
-            roles.alias("roles"),
-            application.alias("applicationId"),
-            F.when(k % 499 == 0, 2).otherwise(1).alias("copies"),
+        application = f"concat('app-', {key})" if kind == "SERVICE_PRINCIPAL" else "cast(null AS string)"
+        records = self.table(table).selectExpr(
+            f"{name} AS displayName",
+            f"filter(array({email}), e -> {has_email}) AS emails",
+            f"cast({key} AS string) AS id",
+            f"if({key} % 4 > 0, transform({_slots(f'{key} % 4')}, n -> {_member(arn)}), null) AS roles",
+            f"{application} AS applicationId",
+            f"if({key} % 499 = 0, 2, 1) AS copies",
         )
-        # In a step of its own: next to a generator, struct fields of a lambda lose their names.
-        copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-        return copies.drop("copies", "copy").to(PRINCIPAL)
+        repeated = records.withColumn("copy", F.expr("explode(sequence(1, copies))"))
+        return repeated.drop("copies", "copy").to(PRINCIPAL)
 
     def principals(self) -> DataFrame:
         """Records of all kinds, tagged."""
@@ -79,41 +87,33 @@ class Fixtures:
 
     # --- profiles, roles, policies ---------------------------------------------------------------
     def profile_documents(self) -> DataFrame:
-        key = F.col("n_nationkey").cast("string")
-        role = F.struct(F.concat(F.lit("role-"), key).alias("RoleName"))
-        document = F.struct(F.struct(F.array(role).alias("Roles")).alias("InstanceProfile"))
-        return self.table("nation").select(
-            F.concat(F.lit("ip-"), key).alias("profile_name"), F.to_json(document).alias("document")
+        role = "named_struct('RoleName', concat('role-', n_nationkey))"
+        profile = f"named_struct('InstanceProfile', named_struct('Roles', array({role})))"
+        return self.table("nation").selectExpr(
+            "concat('ip-', n_nationkey) AS profile_name", f"to_json({profile}) AS document"
         )
 
     def profile_roles(self) -> DataFrame:
         return policies.profile_roles(self.profile_documents())
 
-    @staticmethod
-    def _bucket() -> Column:
-        brand = F.lower(F.replace(F.col("p_brand"), F.lit("#"), F.lit("-")))
-        return F.concat(F.lower("p_type"), F.lit("-"), brand)
-
     def policy_resources(self) -> DataFrame:
         """Flat form: role_name, policy_arn, ord, effect, resource."""
-        key, size = F.col("p_partkey"), F.col("p_size") % 5
-        storage_arn = F.lit("arn:aws:s3:::")
-        resource = (
-            F.when(size == 0, F.concat(storage_arn, self._bucket()))
-            .when(size == 1, F.concat(storage_arn, self._bucket(), F.lit("/*")))
-            .when(size == 2, F.concat(storage_arn, F.lower("p_type"), F.lit("-*/*")))
-            .when(size == 3, F.concat(storage_arn, self._bucket(), F.lit("/prefix/*")))
-            .otherwise(F.concat(F.lit("arn:aws:sqs:us-east-1:1:"), self._bucket()))
-        )
+        resource = f"""
+            CASE p_size % 5
+              WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
+              WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
+              WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), '-*/*')
+              WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
+              ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END"""
         return (
             self.table("part")
-            .filter((key % 25 < 20) | (key < 100))
-            .select(
-                F.concat(F.lit("role-"), (key % 25).cast("string")).alias("role_name"),
-                F.concat(F.lit("pol-"), (key % 50).cast("string")).alias("policy_arn"),
-                key.alias("ord"),
-                F.when(key % 11 == 0, "Deny").otherwise("Allow").alias("effect"),
-                resource.alias("resource"),
+            .filter("p_partkey % 25 < 20 OR p_partkey < 100")
+            .selectExpr(
+                "concat('role-', p_partkey % 25) AS role_name",
+                "concat('pol-', p_partkey % 50) AS policy_arn",
+                "p_partkey AS ord",
+                "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
+                f"{resource} AS resource",
             )
         )
 
@@ -123,58 +123,41 @@ class Fixtures:
         A single statement is written as one object, several as a list; resources of even number
         are written as a text, others as a list of one.
         """
-        resource = F.to_json(F.array("resource"))
-        text = F.substring(resource, F.lit(2), F.length(resource) - 2)
-        statement = F.concat(
-            F.lit('{"Sid":"s'),
-            F.col("ord").cast("string"),
-            F.lit('","Effect":"'),
-            F.col("effect"),
-            F.lit('","Resource":'),
-            F.when(F.col("ord") % 2 == 0, text).otherwise(resource),
-            F.lit("}"),
-        )
         # Consecutive numbers of one policy are 50 apart, so 2000 numbers hold at most 40 of them.
-        volume = F.floor(F.col("ord") / 2000).cast("string")
-        entries = F.array_join(F.transform(F.col("entries"), lambda e: e["statement"]), ",")
-        body = F.when(F.size("entries") == 1, entries).otherwise(
-            F.concat(F.lit("["), entries, F.lit("]"))
+        statements = self.policy_resources().selectExpr(
+            "role_name",
+            "concat(policy_arn, '/', ord div 2000) AS policy_arn",
+            """struct(ord, concat('{"Sid":"s', ord, '","Effect":"', effect, '","Resource":',
+               if(ord % 2 = 0, concat('"', resource, '"'), to_json(array(resource))), '}') AS text) AS entry""",
         )
-        return (
-            self.policy_resources()
-            .groupBy("role_name", F.concat_ws("/", "policy_arn", volume).alias("policy_arn"))
-            .agg(F.sort_array(F.collect_list(F.struct("ord", statement.alias("statement")))).alias("entries"))
-            .select(
-                "role_name",
-                "policy_arn",
-                F.concat(F.lit('{"Version":"2012-10-17","Statement":'), body, F.lit("}")).alias("document"),
-            )
+        listed = statements.groupBy("role_name", "policy_arn").agg(
+            F.sort_array(F.collect_list("entry")).alias("entries")
+        )
+        return listed.selectExpr(
+            "role_name",
+            "policy_arn",
+            """concat('{"Version":"2012-10-17","Statement":',
+               if(size(entries) = 1, entries[0].text, concat('[', array_join(entries.text, ','), ']')),
+               '}') AS document""",
         )
 
     def _broken_documents(self) -> DataFrame:
         """Every 1000th part gives a policy whose document is cut off."""
-        key = F.col("p_partkey")
-        return self.table("part").filter(key % 1000 == 0).select(
-            F.concat(F.lit("role-"), (key % 25).cast("string")).alias("role_name"),
-            F.concat(F.lit("broken-"), key.cast("string")).alias("policy_arn"),
-            F.lit('{"Version":"2012-10-17","Statement":[').alias("document"),
+        return self.table("part").filter("p_partkey % 1000 = 0").selectExpr(
+            "concat('role-', p_partkey % 25) AS role_name",
+            "concat('broken-', p_partkey) AS policy_arn",
+            """'{"Version":"2012-10-17","Statement":[' AS document""",
         )
 
     def policy_exports(self) -> PolicyExports:
         documents = self._policy_documents().unionByName(self._broken_documents())
-        versions = documents.select(
-            "policy_arn",
-            F.explode(
-                F.array(
-                    F.struct(F.lit("v1").alias("version_id"), F.lit("{}").alias("document")),
-                    F.struct(F.lit("v2").alias("version_id"), F.col("document").alias("document")),
-                )
-            ).alias("version"),
-        ).select("policy_arn", "version.version_id", "version.document")
+        versions = documents.selectExpr(
+            "policy_arn", "stack(2, 'v1', '{}', 'v2', document) AS (version_id, document)"
+        )
         return PolicyExports(
             profile_roles=self.profile_roles(),
             attached=documents.select("role_name", "policy_arn"),
-            policies=documents.select("policy_arn", F.lit("v2").alias("default_version_id")),
+            policies=documents.selectExpr("policy_arn", "'v2' AS default_version_id"),
             versions=versions,
         )
 
@@ -182,126 +165,81 @@ class Fixtures:
     def _bucket_keys(self) -> DataFrame:
         return (
             self.table("part")
-            .groupBy(self._bucket().alias("bucket_name"))
+            .groupBy(F.expr(BUCKET).alias("bucket_name"))
             .agg(F.min("p_partkey").alias("k"))
         )
 
     def buckets(self) -> DataFrame:
-        return storage.buckets(self.table("part").select(self._bucket().alias("bucket_name")))
+        return storage.buckets(self.table("part").selectExpr(f"{BUCKET} AS bucket_name"))
 
     def location_inventory(self) -> DataFrame:
-        k = F.col("k")
-        tail = F.when(k % 3 == 0, "").when(k % 3 == 1, "/").otherwise("/data/")
-        return self._bucket_keys().filter(k % 2 == 0).select(
-            F.concat(F.lit("Loc "), "bucket_name").alias("name"),
-            F.concat(F.lit("cred_"), (k % 3).cast("string")).alias("credential_name"),
-            F.lit("").alias("credential_id"),
-            F.concat(F.lit("s3://"), "bucket_name", tail).alias("url"),
+        tail = "CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN '/' ELSE '/data/' END"
+        return self._bucket_keys().filter("k % 2 = 0").selectExpr(
+            "concat('Loc ', bucket_name) AS name",
+            "concat('cred_', k % 3) AS credential_name",
+            "'' AS credential_id",
+            f"concat('s3://', bucket_name, {tail}) AS url",
         )
 
     def locations(self) -> DataFrame:
         return storage.external_locations(self.location_inventory())
 
     def folders(self) -> DataFrame:
-        slots = self._bucket_keys().select(
-            "bucket_name", "k", F.explode(self._slots(F.col("k") % 4)).alias("r_regionkey")
+        slots = self._bucket_keys().selectExpr(
+            "bucket_name", "k", f"explode({_slots('k % 4')}) AS r_regionkey"
         )
-        name = F.concat(
-            F.lower("r_name"), F.lit(".v"), (F.col("k") % 4).cast("string"), F.lit("/")
+        return slots.join(self.table("region"), "r_regionkey").selectExpr(
+            "bucket_name", "concat(lower(r_name), '.v', k % 4, '/') AS folder"
         )
-        return slots.join(self.table("region"), "r_regionkey").select("bucket_name", name.alias("folder"))
 
     def bucket_map(self) -> DataFrame:
-        k = F.col("k")
-        return self._bucket_keys().filter(k % 4 == 0).select(
-            F.concat(F.lit("s3://"), "bucket_name").alias("s3_bucket_url"),
-            F.concat(F.lit("catalog"), (k % 3).cast("string")).alias("catalog_name"),
-            F.concat(F.lit("schema"), (k % 5).cast("string")).alias("schema_name"),
+        return self._bucket_keys().filter("k % 4 = 0").selectExpr(
+            "concat('s3://', bucket_name) AS s3_bucket_url",
+            "concat('catalog', k % 3) AS catalog_name",
+            "concat('schema', k % 5) AS schema_name",
         )
 
     def object_keys(self) -> DataFrame:
         """Object inventory: orders spread over the first hundred buckets by name."""
         first = self.buckets().orderBy("bucket_name").limit(100)
-        names = first.agg(F.sort_array(F.collect_list("bucket_name")).alias("names"))
-        numbered = names.select(F.posexplode("names").alias("rn", "bucket_name"))
-        key = F.col("o_orderkey")
-        number = key.cast("string")
-        path = F.when(key % 13 == 0, F.concat(F.lit("file-"), number)).otherwise(
-            F.concat(
-                F.lit("f."),
-                (key % 6).cast("string"),
-                F.lit("/y="),
-                (key % 4).cast("string"),
-                F.lit("/part-"),
-                number,
-            )
+        numbered = first.agg(F.sort_array(F.collect_list("bucket_name")).alias("names")).selectExpr(
+            "posexplode(names) AS (rn, bucket_name)"
         )
-        return (
-            self.table("orders")
-            .select((F.col("o_custkey") % 100).cast("int").alias("rn"), path.alias("object_key"))
-            .join(numbered, "rn")
-            .select("bucket_name", "object_key")
+        path = (
+            "concat('f.', o_orderkey % 6, '/y=', o_orderkey % 4, '/part-', o_orderkey)"
         )
+        objects = self.table("orders").selectExpr(
+            "cast(o_custkey % 100 AS int) AS rn",
+            f"if(o_orderkey % 13 = 0, concat('file-', o_orderkey), {path}) AS object_key",
+        )
+        return objects.join(numbered, "rn").select("bucket_name", "object_key")
 
     # --- legacy grants ---------------------------------------------------------------------------
     def grants(self) -> DataFrame:
-        line, order = F.col("l_linenumber"), F.col("l_orderkey")
-        actions = [
-            "ALL PRIVILEGES",
-            "READ_METADATA",
-            "USAGE",
-            "select",
-            "SELECT",
-            "CREATE",
-            "MODIFY",
-            "CREATE_NAMED_FUNCTION",
-            "OWN",
-        ]
-        number = F.col("l_quantity").cast("int") % len(actions)
-        action = F.get(F.array(*map(F.lit, actions)), number)
-        return self.table("lineitem").select(
-            F.when(order % 97 != 0, F.concat(F.lit("u"), F.col("l_suppkey").cast("string"))).alias("principal"),
-            action.alias("action_type"),
-            F.when(line != 7, F.concat(F.lit("cat_"), F.lower("l_returnflag"))).alias("catalog"),
-            F.when(~line.isin(1, 7), F.concat(F.lit("db_"), (order % 5).cast("string"))).alias("database"),
-            F.when(
-                line.isin(3, 4, 5), F.concat(F.lit("t_"), (F.col("l_partkey") % 40).cast("string"))
-            ).alias("table"),
-            F.when(line == 6, F.concat(F.lit("v_"), (F.col("l_partkey") % 10).cast("string"))).alias("view"),
+        actions = (
+            "'ALL PRIVILEGES', 'READ_METADATA', 'USAGE', 'select', 'SELECT', 'CREATE', 'MODIFY',"
+            " 'CREATE_NAMED_FUNCTION', 'OWN'"
         )
-
-    # --- libraries -------------------------------------------------------------------------------
-    @staticmethod
-    def _artifact_name() -> Column:
-        return F.replace(F.col("p_name"), F.lit(" "), F.lit("-"))
-
-    def _maven(self) -> Column:
-        return F.concat(
-            F.lit("org."),
-            F.lower("p_type"),
-            F.lit(":"),
-            self._artifact_name(),
-            F.lit(":1."),
-            F.col("p_size").cast("string"),
+        return self.table("lineitem").selectExpr(
+            "if(l_orderkey % 97 = 0, null, concat('u', l_suppkey)) AS principal",
+            f"array({actions})[cast(l_quantity AS int) % 9] AS action_type",
+            "if(l_linenumber = 7, null, concat('cat_', lower(l_returnflag))) AS catalog",
+            "if(l_linenumber IN (1, 7), null, concat('db_', l_orderkey % 5)) AS database",
+            "if(l_linenumber IN (3, 4, 5), concat('t_', l_partkey % 40), null) AS table",
+            "if(l_linenumber = 6, concat('v_', l_partkey % 10), null) AS view",
         )
 
+    # --- libraries -------------------------------------------------------------------------------
     def _clusters(self, kind: int) -> DataFrame:
         """Clusters of one kind, a library each."""
-        size = F.col("p_size")
-
-        def jar(folder: str) -> Column:
-            return F.concat(F.lit(folder), self._artifact_name(), F.lit(".jar"))
-
-        jars = (
-            F.when(size % 4 == 0, jar("s3://libs/"))
-            .when(size % 4 == 1, jar("/Volumes/main/libs/"))
-            .when(size % 4 == 2, jar("dbfs:/libs/"))
-        )
-        has_maven = (size % 4 == 3) | (size % 8 == 0)
-        maven = F.when(has_maven, F.struct(self._maven().alias("coordinates")))
-        library = F.struct(jars.alias("jar"), maven.alias("maven"))
-        return self.table("part").filter(F.col("p_partkey") % 2 == kind).select(
-            F.col("p_partkey").cast("string").alias("cluster_id"), F.array(library).alias("libraries")
+        jar = f"""
+            CASE p_size % 4 WHEN 0 THEN {JAR}
+              WHEN 1 THEN concat('/Volumes/main/libs/', {ARTIFACT}, '.jar')
+              WHEN 2 THEN concat('dbfs:/libs/', {ARTIFACT}, '.jar') END"""
+        maven = f"if(p_size % 4 = 3 OR p_size % 8 = 0, named_struct('coordinates', {MAVEN}), null)"
+        return self.table("part").filter(f"p_partkey % 2 = {kind}").selectExpr(
+            "cast(p_partkey AS string) AS cluster_id",
+            f"array(named_struct('jar', {jar}, 'maven', {maven})) AS libraries",
         )
 
     def libraries(self) -> DataFrame:
@@ -309,22 +247,22 @@ class Fixtures:
 
     def allowlist_documents(self) -> DataFrame:
         """Snapshot pages of the current allowlist, at most 100 entries each."""
-        size, key = F.col("p_size"), F.col("p_partkey")
-        is_jar = size % 4 == 0
-        jar = F.concat(F.lit("s3://libs/"), self._artifact_name(), F.lit(".jar"))
-        entry = F.struct("artifact", F.lit("PREFIX_MATCH").alias("match_type"))
-        return (
+        entries = (
             self.table("part")
-            .filter((key % 7 == 0) & (size % 4).isin(0, 3))
-            .groupBy(
-                F.when(is_jar, "jar").otherwise("maven").alias("artifact_type"),
-                F.when(is_jar, jar).otherwise(self._maven()).alias("artifact"),
+            .filter("p_partkey % 7 = 0 AND p_size % 4 IN (0, 3)")
+            .selectExpr(
+                "if(p_size % 4 = 0, 'jar', 'maven') AS artifact_type",
+                f"if(p_size % 4 = 0, {JAR}, {MAVEN}) AS artifact",
+                "p_partkey",
             )
-            .agg(F.min(key).alias("first_key"))
-            .groupBy("artifact_type", F.floor(F.col("first_key") / 700).alias("page"))
-            .agg(F.collect_list(entry).alias("artifact_matchers"))
-            .select("artifact_type", F.to_json(F.struct("artifact_matchers")).alias("document"))
+            .groupBy("artifact_type", "artifact")
+            .agg(F.min("p_partkey").alias("first_key"))
+        )
+        entry = F.expr("struct(artifact, 'PREFIX_MATCH' AS match_type)")
+        pages = entries.groupBy("artifact_type", F.expr("first_key div 700").alias("page")).agg(
+            F.collect_list(entry).alias("artifact_matchers")
         )
+        return pages.selectExpr("artifact_type", "to_json(struct(artifact_matchers)) AS document")
 
     def allowlist(self) -> DataFrame:
         return library_source.current_allowlist(self.allowlist_documents())

@@ -21,6 +21,15 @@ def object_name(catalog: Column, database: Column, table: Column, view: Column)
     return F.concat_ws(".", catalog, database, F.coalesce(table, view))
 
 
+def _lookup(entries: dict[str, int], key: Column, default: int) -> Column:
+    """A number by name.  The map is a constant, so the generated code stays small."""
+    number = F.lit(default).cast("bigint")
+    if not entries:
+        return number
+    pairs = [c for name, bits in entries.items() for c in (F.lit(name), F.lit(bits).cast("bigint"))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), number)
+
+
 class PrivilegeSet:
     """Sets of new privileges held as bit masks.
 
@@ -49,30 +58,23 @@ class PrivilegeSet:
     def of_action(self, action: Column) -> list[Column]:
         """Masks of a legacy privilege; an unmapped one has the empty set."""
 
-        def bits(word: int) -> Column:
-            empty = F.lit(0).cast("bigint")
-            return reduce(
-                lambda other, entry: F.when(
-                    F.upper(action) == entry[0], F.lit(self._mask(entry[1], word)).cast("bigint")
-                ).otherwise(other),
-                self.mapping.items(),
-                empty,
-            )
-
-        return [bits(n).alias(c) for n, c in enumerate(self.columns)]
+        return [
+            _lookup(
+                {old: self._mask(new, n) for old, new in self.mapping.items()}, F.upper(action), 0
+            ).alias(c)
+            for n, c in enumerate(self.columns)
+        ]
 
     def allowed_on(self, kind: Column) -> list[Column]:
         """Masks without the privileges that the object type does not know."""
 
         def kept(word: int) -> Column:
             everything = self._mask(self._names, word)
-            return reduce(
-                lambda other, entry: F.when(
-                    kind == entry[0], F.lit(everything & ~self._mask(entry[1], word)).cast("bigint")
-                ).otherwise(other),
-                self.not_allowed.items(),
-                F.lit(everything).cast("bigint"),
-            )
+            rest = {
+                name: everything & ~self._mask(removed, word)
+                for name, removed in self.not_allowed.items()
+            }
+            return _lookup(rest, kind, everything)
 
         return [F.col(c).bitwiseAND(kept(n)).alias(c) for n, c in enumerate(self.columns)]
 
@@ -82,12 +84,20 @@ class PrivilegeSet:
     def not_empty(self) -> Column:
         return reduce(lambda a, b: a | b, [F.col(c) != 0 for c in self.columns])
 
-    def names(self) -> Column:
-        """The set as an array of names, in descending order."""
+    def _members(self) -> list[Column]:
+        """Each privilege's name where the set has it, else NULL; in descending order."""
 
         def member(position: int, name: str) -> Column:
             bit = F.lit(1 << (position % self.BITS)).cast("bigint")
             return F.when(F.col(self.columns[position // self.BITS]).bitwiseAND(bit) != 0, name)
 
-        members = [member(n, name) for n, name in enumerate(self._names)]
+        return [member(n, name) for n, name in enumerate(self._names)]
+
+    def names(self) -> Column:
+        """The set as an array of names."""
+        members = self._members()
         return F.array_compact(F.array(*members)) if members else F.array().cast("array<string>")
+
+    def quoted(self) -> Column:
+        """The set as ``["A","B"]``."""
+        return F.concat(F.lit('["'), F.concat_ws('","', *self._members()), F.lit('"]'))

@@ -20,11 +20,6 @@ def escape(value: Column) -> Column:
     return value
 
 
-def quoted_list(values: Column) -> Column:
-    """``["A","B"]`` for an array of strings."""
-    return F.concat(F.lit('["'), F.array_join(F.transform(values, escape), '","'), F.lit('"]'))
-
-
 def render(template: str, **values: Column) -> Column:
     """Fill the ``{name}`` slots of a format text with columns."""
     pieces = []

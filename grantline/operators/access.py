@@ -1,10 +1,12 @@
 """Who reaches which storage location."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from grantline.fixed import URL_SCHEME
 from grantline.functions.paths import bucket_name, is_searchable, profile_name
+from grantline.functions.text import escape, label
 from grantline.operators.matching import match_names, match_urls
+from grantline.operators.policies import distinct_paths
 from grantline.operators.principals import grantee
 
 PRINCIPAL = [
@@ -36,10 +38,13 @@ def _holders(governance: DataFrame) -> DataFrame:
     )
 
 
-def governance_patterns(governance: DataFrame, role_paths: DataFrame) -> DataFrame:
-    """Paths of the roles that some named principal holds."""
+def governance_patterns(governance: DataFrame, path_lists: DataFrame) -> DataFrame:
+    """Distinct paths of the roles that some named principal holds.
+
+    The governance relation names only roles with enough paths.
+    """
     held = _holders(governance).select("role_name").distinct()
-    return role_paths.join(held, "role_name")
+    return distinct_paths(path_lists.join(held, "role_name"))
 
 
 def pattern_locations(patterns: DataFrame, locations: DataFrame, anchored: bool = False) -> DataFrame:
@@ -104,9 +109,16 @@ def role_locations(patterns: DataFrame, matches: DataFrame) -> DataFrame:
     )
 
 
-def reach(governance: DataFrame, role_locations: DataFrame, keys: list) -> DataFrame:
+def reach(
+    governance: DataFrame,
+    role_locations: DataFrame,
+    keys: list[str | Column],
+    holder_columns: dict[str, Column] | None = None,
+) -> DataFrame:
     """Distinct locations per holder, where ``keys`` say who a holder is.
 
+    ``holder_columns`` are added per holder, before the holders meet their locations.
+
     Locations depend on the set of roles only, and few different sets exist.  So the locations of
     each distinct role set are made unique once, and the holders are joined to their set: the
     large result (holders x locations) is neither shuffled nor compared for duplicates.  A
@@ -116,6 +128,7 @@ def reach(governance: DataFrame, role_locations: DataFrame, keys: list) -> DataF
         _holders(governance)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("role_name")).alias("role_set"))
+        .withColumns(holder_columns or {})
     )
     by_set = (
         holders.select("role_set")
@@ -134,9 +147,18 @@ def location_access(governance: DataFrame, role_locations: DataFrame) -> DataFra
 
 
 def location_grants(governance: DataFrame, role_locations: DataFrame) -> DataFrame:
-    """Locations to grant to each grantee; principals that share name and grantee are one."""
+    """Locations to grant to each grantee; principals that share name and grantee are one.
+
+    Labels and quoted texts are made here, once per holder and once per role's location, and not
+    for each pair of them.
+    """
+    locations = role_locations.select("role_name", "ext_loc_name", "created").distinct()
     return reach(
         governance,
-        role_locations.select("role_name", "ext_loc_name", "created").distinct(),
+        locations.withColumn("ext_loc_label", label(F.col("ext_loc_name"))),
         ["principal_display_name", grantee().alias("grantee")],
+        {
+            "principal_label": label(F.col("principal_display_name")),
+            "grantee_text": escape(F.col("grantee")),
+        },
     )

@@ -9,7 +9,7 @@ thus many small rows and never one large one.
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantline import fixed
-from grantline.functions.text import escape, label, quoted_list, render
+from grantline.functions.text import escape, label, render
 
 HEADER_SECTION = 0
 
@@ -78,14 +78,13 @@ def location_data_sources(locations: DataFrame, section: int = 2) -> DataFrame:
 def location_grant_blocks(grants: DataFrame, section: int = 3) -> DataFrame:
     """One grant block per grantee and location; ``grants`` has no duplicates."""
     rows = _complete(grants, "principal_display_name", "grantee", "ext_loc_name")
-    grantee_label = label(F.col("principal_display_name"))
-    location_label = label(F.col("ext_loc_name"))
+    grantee_label, location_label = F.col("principal_label"), F.col("ext_loc_label")
     output = render(
         fixed.LOCATION_GRANT,
         principal_label=grantee_label,
         label=location_label,
         reference=F.when(F.col("created"), "data.").otherwise(""),
-        principal=escape(F.col("grantee")),
+        principal=F.col("grantee_text"),
     )
     block = F.concat_ws("\n", "principal_display_name", "grantee", "ext_loc_name")
     return _piece(rows, section, F.concat_ws("_", grantee_label, location_label), block, output)
@@ -131,7 +130,7 @@ def object_grant_blocks(grants: DataFrame, first_section: int = 1) -> DataFrame:
     grant = render(
         fixed.OBJECT_GRANT,
         principal=escape(F.col("principal")),
-        privileges=quoted_list(F.col("privileges")),
+        privileges=F.col("privilege_list"),
     )
     edges = objects.withColumn(
         "edge",

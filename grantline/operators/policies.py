@@ -54,21 +54,21 @@ def role_path_counts(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE)
     return counts.filter(F.col("n_paths") >= min_paths)
 
 
-def role_paths(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE) -> DataFrame:
-    """Distinct paths of the roles with enough of them.
-
-    Stored once per role.  Copying the path arrays onto each principal of the role would multiply
-    them by the number of principals.
-    """
-    kept = role_path_counts(path_lists, min_paths).select("role_name")
+def distinct_paths(path_lists: DataFrame) -> DataFrame:
+    """One row per role and path."""
     return (
         path_lists.select("role_name", F.explode("s3_paths").alias("s3_path"))
         .distinct()
-        .join(kept, "role_name")
         .withColumn("s3_path_regex", path_pattern(F.col("s3_path")))
     )
 
 
+def role_paths(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE) -> DataFrame:
+    """Distinct paths of the roles with enough of them."""
+    kept = role_path_counts(path_lists, min_paths).select("role_name")
+    return distinct_paths(path_lists.join(kept, "role_name"))
+
+
 def dropped_resources(
     attached: DataFrame, statements: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE
 ) -> DataFrame:

@@ -30,6 +30,7 @@ def principal_object_privileges(
 ) -> DataFrame:
     """One row per principal and object: distinct new and legacy privileges.
 
+    ``privileges`` is an array, ``privilege_list`` the same as ``["A","B"]``.
     Grants without a principal cannot be given to anybody and are left out (the audit counts them).
     """
     privileges = privileges or PrivilegeSet()
@@ -41,14 +42,20 @@ def principal_object_privileges(
             *privileges.union(),
             F.sort_array(F.collect_set("action_type")).alias("legacy_privileges"),
         )
-        .select(*GROUP, privileges.names().alias("privileges"), "legacy_privileges")
+        .select(
+            *GROUP,
+            privileges.names().alias("privileges"),
+            privileges.quoted().alias("privilege_list"),
+            "legacy_privileges",
+            privileges.not_empty().alias("has_privileges"),
+        )
     )
 
 
 def grantable(grants: DataFrame, privileges: PrivilegeSet | None = None) -> DataFrame:
     """Principal-object rows that lead to a grant: known object type, at least one privilege."""
     return principal_object_privileges(grants, privileges).filter(
-        (F.col("object_type") != "UNKNOWN") & (F.size("privileges") > 0)
+        (F.col("object_type") != "UNKNOWN") & F.col("has_privileges")
     )
 
 

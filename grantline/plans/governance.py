@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from grantline.fixed import MIN_PATHS_PER_ROLE
 from grantline.operators import access, policies as policy, principals as principal
+from grantline.sinks.shared import stage
 from grantline.sources.policies import default_documents, parse_documents
 
 
@@ -32,10 +33,14 @@ class PolicyExports:
 
 @dataclass(frozen=True)
 class Governance:
-    """``access``: principal x profile x role; ``role_paths``: role x path."""
+    """``access``: principal x profile x role; ``path_lists``: path lists per role and policy.
+
+    The lists stand once per role.  On the rows of the principals they would be repeated for each
+    principal of the role.
+    """
 
     access: DataFrame
-    role_paths: DataFrame
+    path_lists: DataFrame
 
 
 def public_principals(
@@ -56,11 +61,11 @@ def governance_export(
     name_filter: str = "",
     role_filter=None,
     min_paths: int = MIN_PATHS_PER_ROLE,
+    staged: bool = False,
 ) -> Governance:
+    """``staged``: the access relation, which later steps read repeatedly, is written once now."""
     profiles = principal.principal_profiles(public_principals(records, principal_type, name_filter))
     lists = exports.path_lists(role_filter)
     counts = policy.role_path_counts(lists, min_paths)
-    return Governance(
-        access.governance(profiles, exports.profile_roles, counts),
-        policy.role_paths(lists, min_paths),
-    )
+    rows = access.governance(profiles, exports.profile_roles, counts)
+    return Governance(stage(rows) if staged else rows, lists)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from grantline.operators import access, documents
 from grantline.plans.governance import Governance
+from grantline.sinks.shared import stage
 
 
 @dataclass(frozen=True)
@@ -22,14 +23,19 @@ def plan_locations(
     credential_name: str | None = None,
     anchored: bool = False,
 ) -> LocationPlan:
-    """Registered (and, if asked for, proposed) locations and the roles that reach them."""
-    patterns = access.governance_patterns(governance.access, governance.role_paths)
+    """Registered (and, if asked for, proposed) locations and the roles that reach them.
+
+    Held paths, matches and proposals are each read by several later steps and small next to the
+    governance relation, so they are computed once and staged.
+    """
+    patterns = stage(access.governance_patterns(governance.access, governance.path_lists))
     matches = access.pattern_locations(patterns, locations, anchored)
     if create_new:
         if buckets is None or not credential_name:
             raise ValueError("new locations need the bucket inventory and a credential name")
+        matches = stage(matches)
         uncovered = access.uncovered_patterns(patterns, matches)
-        proposals = access.proposed_locations(uncovered, buckets, credential_name)
+        proposals = stage(access.proposed_locations(uncovered, buckets, credential_name))
         new = access.new_locations(proposals)
         locations = locations.select(*access.LOCATION).unionByName(new)
         # The path behind a proposal covers it even where its expression is not found in the URL.
@@ -47,11 +53,12 @@ def location_document(
     anchored: bool = False,
 ) -> DataFrame:
     plan = plan_locations(governance, locations, buckets, create_new, credential_name, anchored)
-    grants = access.location_grants(governance.access, plan.role_locations)
+    role_locations = stage(plan.role_locations)  # read by every section
+    grants = access.location_grants(governance.access, role_locations)
     sections = [
-        documents.location_data_sources(plan.role_locations),
+        documents.location_data_sources(role_locations),
         documents.location_grant_blocks(grants),
     ]
     if create_new:
-        sections.insert(0, documents.location_resources(plan.role_locations))
+        sections.insert(0, documents.location_resources(role_locations))
     return documents.assemble(*sections)
