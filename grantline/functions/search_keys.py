@@ -26,13 +26,15 @@ def _cut_to_gram(run: Column) -> Column:
 
 
 def _key_of_runs(runs: Column) -> Column:
+    """The longest key that the runs offer; the prefix where lengths are equal."""
     first = F.get(runs, F.lit(0))
     inner = F.slice(runs, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
     longest = F.array_max(F.transform(inner, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))
+    gram = F.coalesce(_cut_to_gram(longest["run"]), F.lit(""))
     return F.when(
-        F.length(first) >= F.coalesce(longest["n"], F.lit(0)),
+        F.length(first) >= F.length(gram),
         F.concat(F.lit("^"), F.left(first, F.lit(PREFIX_LENGTH))),
-    ).otherwise(F.concat(F.lit("~"), _cut_to_gram(longest["run"])))
+    ).otherwise(F.concat(F.lit("~"), gram))
 
 
 def key_of_path(path: Column) -> Column:

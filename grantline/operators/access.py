@@ -44,7 +44,7 @@ def governance_patterns(governance: DataFrame, path_lists: DataFrame) -> DataFra
     The governance relation names only roles with enough paths.
     """
     held = _holders(governance).select("role_name").distinct()
-    return distinct_paths(path_lists.join(held, "role_name"))
+    return distinct_paths(path_lists).join(held, "role_name")
 
 
 def pattern_locations(patterns: DataFrame, locations: DataFrame, anchored: bool = False) -> DataFrame:
@@ -72,7 +72,7 @@ def uncovered_patterns(patterns: DataFrame, matches: DataFrame) -> DataFrame:
         patterns.select("s3_path", "s3_path_regex")
         .distinct()
         .filter(is_searchable(F.col("s3_path")))
-        .join(matches, "s3_path", "left_anti")
+        .join(matches.select("s3_path").distinct(), "s3_path", "left_anti")
     )
 
 

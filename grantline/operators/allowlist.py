@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from grantline.fixed import ALLOWLIST_MATCH_TYPE, JAR_LOCATIONS, LIBRARY_TYPES
 
+EVERY_TYPE = "jar/maven"
+
 
 def classify_libraries(libraries: DataFrame) -> DataFrame:
     """Distinct artifacts: a jar if there is one, else maven coordinates; others are dropped."""
@@ -49,10 +51,12 @@ def allowlist_payload(desired: DataFrame) -> DataFrame:
     entry has no comma.  The document is never held in one row.
     """
     entry = F.struct("artifact", "match_type")
-    entries = desired.select("artifact_type", entry.alias("entry")).distinct()
+    known = F.col("artifact_type").isin(LIBRARY_TYPES[EVERY_TYPE])
+    entries = desired.filter(known).select("artifact_type", entry.alias("entry")).distinct()
     firsts = entries.groupBy("artifact_type").agg(F.min("entry").alias("first"))
     separator = F.when(F.col("entry") == F.col("first"), "").otherwise(",")
-    body = entries.join(firsts, "artifact_type").select(
+    # One row per known type, so never more than two: the entries need not be moved for them.
+    body = entries.join(F.broadcast(firsts), "artifact_type").select(
         "artifact_type",
         F.lit(1).alias("part"),
         F.col("entry.artifact").alias("item"),

@@ -99,7 +99,8 @@ def volume_blocks(volumes: DataFrame, section: int = 1) -> DataFrame:
         "schema_name",
         "s3_bucket_url",
     ]
-    rows = _complete(volumes, *needed).select(*needed).distinct()
+    # Spread over all columns first: the rows of one bucket may share a partition after its joins.
+    rows = _complete(volumes, *needed).select(*needed).repartition(*needed).distinct()
     output = render(
         fixed.VOLUME_RESOURCE,
         label=F.col("ext_loc_label"),

@@ -55,7 +55,11 @@ def role_path_counts(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE)
 
 
 def distinct_paths(path_lists: DataFrame) -> DataFrame:
-    """One row per role and path."""
+    """One row per role and path.
+
+    Made distinct before any join on the role: behind one, all paths of a role would already sit in
+    one partition and be compared there.
+    """
     return (
         path_lists.select("role_name", F.explode("s3_paths").alias("s3_path"))
         .distinct()
@@ -66,7 +70,7 @@ def distinct_paths(path_lists: DataFrame) -> DataFrame:
 def role_paths(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE) -> DataFrame:
     """Distinct paths of the roles with enough of them."""
     kept = role_path_counts(path_lists, min_paths).select("role_name")
-    return distinct_paths(path_lists.join(kept, "role_name"))
+    return distinct_paths(path_lists).join(kept, "role_name")
 
 
 def dropped_resources(

@@ -66,7 +66,7 @@ def object_grants(
 
     An object may have any number of principals, so its lists are split by a hash of the principal
     into ``n_lists`` parts of about ``list_size`` entries.  No entry is lost, and no row or task
-    ever has to hold all principals of one object.
+    ever has to hold all principals of one object: the parts are spread before they are collected.
     """
     rows = grantable(grants, privileges)
     key = ["object_type", "object_name"]
@@ -76,6 +76,7 @@ def object_grants(
     return (
         rows.join(sizes, key)
         .withColumn("list_no", F.pmod(digest, F.col("n_lists")))
+        .repartition(*key, "list_no")
         .groupBy(*key, "n_lists", "list_no")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .select(
