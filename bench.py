@@ -30,6 +30,8 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
+        # Python call sites are not needed here and cost time for each column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )

@@ -374,7 +374,7 @@ def privilege_map(fx: Fixtures) -> DataFrame:
         fx.grants()
         .groupBy("action_type")
         .agg(F.count("*").alias("n_rows"))
-        .select("*", *privileges_of.of_action(F.col("action_type")))
+        .select("*", *privileges_of.of_action("action_type"))
         .select("action_type", _joined(privileges_of.names(), "privileges"), "n_rows")
     )
 

@@ -21,13 +21,17 @@ def object_name(catalog: Column, database: Column, table: Column, view: Column)
     return F.concat_ws(".", catalog, database, F.coalesce(table, view))
 
 
-def _lookup(entries: dict[str, int], key: Column, default: int) -> Column:
+def _text(value: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _lookup(entries: dict[str, int], key: str, default: int) -> str:
     """A number by name.  The map is a constant, so the generated code stays small."""
-    number = F.lit(default).cast("bigint")
     if not entries:
-        return number
-    pairs = [c for name, bits in entries.items() for c in (F.lit(name), F.lit(bits).cast("bigint"))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), number)
+        return f"{default}L"
+    pairs = ", ".join(f"{_text(name)}, {number}L" for name, number in entries.items())
+    return f"coalesce(try_element_at(map({pairs}), {key}), {default}L)"
 
 
 class PrivilegeSet:
@@ -52,31 +56,30 @@ class PrivilegeSet:
         chosen = self._names[word * self.BITS : (word + 1) * self.BITS]
         return sum(1 << bit for bit, name in enumerate(chosen) if name in names)
 
-    def is_mapped(self, action: Column) -> Column:
+    def is_mapped(self, action: str) -> Column:
         return F.coalesce(F.upper(action).isin(list(self.mapping)), F.lit(False))
 
-    def of_action(self, action: Column) -> list[Column]:
-        """Masks of a legacy privilege; an unmapped one has the empty set."""
+    def of_action(self, action: str) -> list[Column]:
+        """Masks of the legacy privilege in a column; an unmapped one has the empty set."""
+
+        def bits(word: int) -> str:
+            entries = {old: self._mask(new, word) for old, new in self.mapping.items()}
+            return _lookup(entries, f"upper({action})", 0)
 
-        return [
-            _lookup(
-                {old: self._mask(new, n) for old, new in self.mapping.items()}, F.upper(action), 0
-            ).alias(c)
-            for n, c in enumerate(self.columns)
-        ]
+        return [F.expr(bits(n)).alias(c) for n, c in enumerate(self.columns)]
 
-    def allowed_on(self, kind: Column) -> list[Column]:
-        """Masks without the privileges that the object type does not know."""
+    def allowed_on(self, kind: str) -> list[Column]:
+        """Masks without the privileges that the object type in a column does not know."""
 
-        def kept(word: int) -> Column:
+        def kept(word: int) -> str:
             everything = self._mask(self._names, word)
-            rest = {
+            entries = {
                 name: everything & ~self._mask(removed, word)
                 for name, removed in self.not_allowed.items()
             }
-            return _lookup(rest, kind, everything)
+            return _lookup(entries, kind, everything)
 
-        return [F.col(c).bitwiseAND(kept(n)).alias(c) for n, c in enumerate(self.columns)]
+        return [F.expr(f"{c} & {kept(n)}").alias(c) for n, c in enumerate(self.columns)]
 
     def union(self) -> list[Column]:
         return [F.bit_or(c).alias(c) for c in self.columns]
@@ -84,20 +87,19 @@ class PrivilegeSet:
     def not_empty(self) -> Column:
         return reduce(lambda a, b: a | b, [F.col(c) != 0 for c in self.columns])
 
-    def _members(self) -> list[Column]:
+    def _members(self) -> str:
         """Each privilege's name where the set has it, else NULL; in descending order."""
 
-        def member(position: int, name: str) -> Column:
-            bit = F.lit(1 << (position % self.BITS)).cast("bigint")
-            return F.when(F.col(self.columns[position // self.BITS]).bitwiseAND(bit) != 0, name)
+        def member(position: int, name: str) -> str:
+            word, bit = divmod(position, self.BITS)
+            return f"if({self.columns[word]} & {1 << bit}L <> 0, {_text(name)}, null)"
 
-        return [member(n, name) for n, name in enumerate(self._names)]
+        return ", ".join(member(n, name) for n, name in enumerate(self._names)) or "null"
 
     def names(self) -> Column:
         """The set as an array of names."""
-        members = self._members()
-        return F.array_compact(F.array(*members)) if members else F.array().cast("array<string>")
+        return F.expr(f"array_compact(array({self._members()}))").cast("array<string>")
 
     def quoted(self) -> Column:
         """The set as ``["A","B"]``."""
-        return F.concat(F.lit('["'), F.concat_ws('","', *self._members()), F.lit('"]'))
+        return F.expr(f"""concat('["', concat_ws('","', {self._members()}), '"]')""")

@@ -8,6 +8,8 @@ no nested loop.  Three sorts of key exist:
 ``=name``   the pattern has no wildcard: the text itself
 ``^run``    the run the pattern starts with: a prefix of the text
 ``~run``    an inner run, cut to 1, 2, 4 or 8 characters: any substring of the text
+
+The functions take the name of a column.
 """
 
 from pyspark.sql import Column, functions as F
@@ -18,78 +20,62 @@ PREFIX_LENGTH = 64
 GRAM_LENGTHS = [8, 4, 2, 1]
 
 
-def _cut_to_gram(run: Column) -> Column:
-    cut = F.left(run, F.lit(GRAM_LENGTHS[-1]))
-    for size in reversed(GRAM_LENGTHS[:-1]):
-        cut = F.when(F.length(run) >= size, F.left(run, F.lit(size))).otherwise(cut)
-    return cut
-
-
-def _key_of_runs(runs: Column) -> Column:
+def _key_of_runs(runs: str) -> str:
     """The longest key that the runs offer; the prefix where lengths are equal."""
-    first = F.get(runs, F.lit(0))
-    inner = F.slice(runs, F.lit(2), F.greatest(F.size(runs) - 1, F.lit(0)))
-    longest = F.array_max(F.transform(inner, lambda r: F.struct(F.length(r).alias("n"), r.alias("run"))))
-    gram = F.coalesce(_cut_to_gram(longest["run"]), F.lit(""))
-    return F.when(
-        F.length(first) >= F.length(gram),
-        F.concat(F.lit("^"), F.left(first, F.lit(PREFIX_LENGTH))),
-    ).otherwise(F.concat(F.lit("~"), gram))
+    sizes = " ".join(f"WHEN length(k.inner) >= {n} THEN left(k.inner, {n})" for n in GRAM_LENGTHS)
+    gram = f"CASE {sizes} ELSE '' END"
+    longest = (
+        f"array_max(transform(slice({runs}, 2, size({runs})), r -> struct(length(r) AS n, r AS run))).run"
+    )
+    return f"""
+        transform(
+          array(named_struct('first', {runs}[0], 'inner', coalesce({longest}, ''))),
+          k -> if(length(k.first) >= length({gram}),
+                  concat('^', left(k.first, {PREFIX_LENGTH})),
+                  concat('~', {gram})))[0]"""
 
 
-def key_of_path(path: Column) -> Column:
+def key_of_path(path: str) -> Column:
     """Key of a path searched for anywhere in a URL, its dots read as "any character"."""
-    body = F.substr(path, F.lit(len(URL_SCHEME) + 1))
+    body = f"substring({path}, {len(URL_SCHEME) + 1})"
     # A question mark makes the character before it optional, so that one is no literal either.
-    return _key_of_runs(F.split(body, r".?\?|[.*]"))
+    return F.expr(_key_of_runs(f"split({body}, '.?[?]|[.*]')"))
 
 
-def key_of_glob(glob: Column) -> Column:
+def key_of_glob(glob: str) -> Column:
     """Key of a wildcard name that has to match a whole text."""
-    return F.when(glob.rlike("[*?]"), _key_of_runs(F.split(glob, "[*?]"))).otherwise(
-        F.concat(F.lit("="), glob)
-    )
+    runs = f"split({glob}, '[*?]')"
+    return F.expr(f"if({glob} RLIKE '[*?]', {_key_of_runs(runs)}, concat('=', {glob}))")
 
 
-def _positions(text: Column, size: int) -> Column:
-    last = F.length(text) - size + 1
-    return F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+def _prefix_keys(rest: str) -> str:
+    return f"transform(sequence(0, length({rest})), n -> concat('^', left({rest}, n)))"
 
 
-def _prefix_keys(rest: Column) -> Column:
-    return F.transform(
-        F.sequence(F.lit(0), F.length(rest)), lambda n: F.concat(F.lit("^"), F.left(rest, n))
-    )
-
-
-def _gram_keys(text: Column) -> list[Column]:
-    def grams(size: int) -> Column:
-        return F.transform(
-            _positions(text, size),
-            lambda at: F.concat(F.lit("~"), F.substring(text, at, F.lit(size))),
+def _gram_keys(text: str) -> str:
+    def grams(size: int) -> str:
+        positions = f"sequence(1, greatest(length({text}) - {size - 1}, 1))"
+        return (
+            f"transform(filter({positions}, i -> length({text}) >= {size}),"
+            f" i -> concat('~', substring({text}, i, {size})))"
         )
 
-    return [grams(size) for size in GRAM_LENGTHS]
+    return ", ".join(grams(size) for size in GRAM_LENGTHS)
 
 
-def keys_of_url(url: Column) -> Column:
+def keys_of_url(url: str) -> Column:
     """All keys a URL can be found under by :func:`key_of_path`."""
     scheme = len(URL_SCHEME)
-    starts = F.filter(
-        _positions(url, scheme),
-        lambda at: F.substring(url, at, F.lit(scheme)) == F.lit(URL_SCHEME),
-    )
-    rests = F.transform(starts, lambda at: F.substring(url, at + scheme, F.lit(PREFIX_LENGTH)))
-    prefixes = F.flatten(F.transform(rests, _prefix_keys))
-    return F.array_distinct(F.concat(F.array(F.lit("^")), prefixes, *_gram_keys(url)))
+    starts = f"""
+        filter(sequence(1, greatest(length({url}) - {scheme - 1}, 1)),
+               at -> substring({url}, at, {scheme}) = '{URL_SCHEME}')"""
+    prefixes = _prefix_keys(f"substring({url}, at + {scheme}, {PREFIX_LENGTH})")
+    return F.expr(f"""
+        array_distinct(concat(
+          array('^'), flatten(transform({starts}, at -> {prefixes})), {_gram_keys(url)}))""")
 
 
-def keys_of_name(name: Column) -> Column:
+def keys_of_name(name: str) -> Column:
     """All keys a name can be found under by :func:`key_of_glob`."""
-    return F.array_distinct(
-        F.concat(
-            F.array(F.concat(F.lit("="), name)),
-            _prefix_keys(F.left(name, F.lit(PREFIX_LENGTH))),
-            *_gram_keys(name),
-        )
-    )
+    prefixes = _prefix_keys(f"left({name}, {PREFIX_LENGTH})")
+    return F.expr(f"array_distinct(concat(array(concat('=', {name})), {prefixes}, {_gram_keys(name)}))")

@@ -17,9 +17,9 @@ def match_urls(paths: DataFrame, texts: DataFrame, url: str) -> DataFrame:
 
     ``paths`` has ``s3_path`` and ``s3_path_regex``, one row each.
     """
-    keyed = paths.withColumn("search_key", key_of_path(F.col("s3_path")))
+    keyed = paths.withColumn("search_key", key_of_path("s3_path"))
     found_under = texts.filter(F.col(url).isNotNull()).withColumn(
-        "search_key", F.explode(keys_of_url(F.col(url)))
+        "search_key", F.explode(keys_of_url(url))
     )
     return (
         keyed.join(found_under, "search_key")
@@ -31,10 +31,10 @@ def match_urls(paths: DataFrame, texts: DataFrame, url: str) -> DataFrame:
 def match_names(globs: DataFrame, names: DataFrame, glob: str, name: str) -> DataFrame:
     """Wildcard names that match the whole of a name."""
     keyed = globs.withColumns(
-        {"search_key": key_of_glob(F.col(glob)), "search_regex": glob_expression(F.col(glob))}
+        {"search_key": key_of_glob(glob), "search_regex": glob_expression(F.col(glob))}
     )
     found_under = names.filter(F.col(name).isNotNull()).withColumn(
-        "search_key", F.explode(keys_of_name(F.col(name)))
+        "search_key", F.explode(keys_of_name(name))
     )
     return (
         keyed.join(found_under, "search_key")

@@ -20,9 +20,9 @@ def translate_grants(grants: DataFrame, privileges: PrivilegeSet | None = None)
     """Legacy grants with their object and the (masked) new privileges of the single row."""
     privileges = privileges or PrivilegeSet()
     described = describe_objects(grants)
-    mapped = described.select("*", *privileges.of_action(F.col("action_type")))
+    mapped = described.select("*", *privileges.of_action("action_type"))
     others = [c for c in mapped.columns if c not in privileges.columns]
-    return mapped.select(*others, *privileges.allowed_on(F.col("object_type")))
+    return mapped.select(*others, *privileges.allowed_on("object_type"))
 
 
 def principal_object_privileges(
@@ -107,7 +107,7 @@ def unmapped_privileges(grants: DataFrame, privileges: PrivilegeSet | None = Non
     reason = (
         F.when(F.col("principal").isNull(), "no_principal")
         .when(F.col("object_type") == "UNKNOWN", "unknown_object")
-        .when(~privileges.is_mapped(F.col("action_type")), "unmapped")
+        .when(~privileges.is_mapped("action_type"), "unmapped")
         .when(~privileges.not_empty(), "not_allowed_on_type")
     )
     return (

@@ -1,6 +1,6 @@
 """Instance profiles, roles and policy documents."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from grantline.schemas import INSTANCE_PROFILE
 
@@ -25,35 +25,30 @@ def default_documents(policies: DataFrame, versions: DataFrame) -> DataFrame:
     return default.join(versions, ["policy_arn", "version_id"])
 
 
-def _statements(document: Column) -> Column:
-    """Statements of a policy document as an array of structs.
-
-    ``Statement`` may be one object or a list, ``Resource`` one text or a list; both come out as
-    lists.  A document that is no JSON has no statements (the audit reports it).
-    """
-    parsed = F.try_parse_json(document)
-    single = F.array_compact(F.array(F.try_variant_get(parsed, "$.Statement", "variant")))
-    listed = F.coalesce(F.try_variant_get(parsed, "$.Statement", "array<variant>"), single)
-
-    def read(statement: Column) -> Column:
-        text = F.try_variant_get(statement, "$.Resource", "string")
-        return F.struct(
-            F.try_variant_get(statement, "$.Sid", "string").alias("sid"),
-            F.try_variant_get(statement, "$.Effect", "string").alias("effect"),
-            F.coalesce(
-                F.try_variant_get(statement, "$.Resource", "array<string>"),
-                F.array_compact(F.array(text)),
-            ).alias("resources"),
-        )
-
-    return F.transform(F.array_compact(listed), read)
+# Statements of a parsed document as an array of structs.  ``Statement`` may be one object or a list,
+# ``Resource`` one text or a list; both come out as lists.
+_STATEMENTS = """
+    transform(
+      array_compact(coalesce(
+        try_variant_get(parsed, '$.Statement', 'array<variant>'),
+        array(try_variant_get(parsed, '$.Statement', 'variant')))),
+      s -> named_struct(
+        'sid', try_variant_get(s, '$.Sid', 'string'),
+        'effect', try_variant_get(s, '$.Effect', 'string'),
+        'resources', coalesce(
+          try_variant_get(s, '$.Resource', 'array<string>'),
+          array_compact(array(try_variant_get(s, '$.Resource', 'string'))))))"""
 
 
 def parse_documents(documents: DataFrame) -> DataFrame:
-    """Replace the JSON text of policy documents by ``readable`` and ``statements``."""
-    document = F.col("document")
-    return documents.select(
-        *[c for c in documents.columns if c != "document"],
-        F.try_parse_json(document).isNotNull().alias("readable"),
-        _statements(document).alias("statements"),
+    """Replace the JSON text of policy documents by ``readable`` and ``statements``.
+
+    A text that is no JSON has no statements; the audit reports it.
+    """
+    others = [c for c in documents.columns if c != "document"]
+    parsed = documents.select(*others, F.try_parse_json("document").alias("parsed"))
+    return parsed.select(
+        *others,
+        F.col("parsed").isNotNull().alias("readable"),
+        F.expr(_STATEMENTS).alias("statements"),
     )
