@@ -52,6 +52,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -64,6 +65,7 @@ def main() -> int:
             difference = f"{type(error).__name__}: {str(error)[:600]}"
         failed += bool(difference)
         print(f"{'FAIL' if difference else 'ok':4} {name} {time.perf_counter() - start:.2f}s {difference}")
+    print(f"{len(names) - failed} of {len(names)} queries agree")
     return failed
 
 

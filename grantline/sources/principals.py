@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.fixed import PRINCIPAL_TYPES
 from grantline.schemas import PRINCIPAL
+from grantline.sources.tables import read_landed
 
 
 def tag_principals(records: DataFrame, principal_type: str) -> DataFrame:
@@ -17,7 +18,7 @@ def tag_principals(records: DataFrame, principal_type: str) -> DataFrame:
 
 def read_principals(spark: SparkSession, path: str, principal_type: str) -> DataFrame:
     """Landed page exports of one kind, read with the fixed schema."""
-    return tag_principals(spark.read.schema(PRINCIPAL).json(path), principal_type)
+    return tag_principals(read_landed(spark, path, PRINCIPAL), principal_type)
 
 
 def parse_principals(lines: DataFrame, column: str, principal_type: str) -> DataFrame:

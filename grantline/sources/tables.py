@@ -3,6 +3,7 @@
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _PART = r"(?:[A-Za-z0-9_-]+|`[A-Za-z0-9_-]+`)"
 _TABLE = re.compile(rf"{_PART}(?:\.{_PART}){{2}}")
@@ -20,6 +21,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(table_name(name))
 
 
+def read_landed(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Landed JSON records, read with a fixed schema (see ``grantline.schemas``)."""
+    return spark.read.schema(schema).json(path)
+
+
 def query_table(spark: SparkSession, name: str) -> DataFrame:
     """Read a saved table back through SQL."""
     return spark.sql("SELECT * FROM IDENTIFIER(:name)", args={"name": table_name(name)})

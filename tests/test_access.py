@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from grantline import fixed
 from grantline.functions.paths import bucket_pattern, path_pattern
 from grantline.operators import access, documents
 from grantline.plans.governance import Governance
@@ -135,7 +136,7 @@ def test_new_locations_need_buckets_and_credential(spark):
         plan_locations(g, locations(spark, "s3://a"), buckets(spark, "a"), create_new=True)
 
 
-def test_document_has_its_sections_in_order_and_escapes_names(spark):
+def test_document_has_its_sections_in_order(spark):
     g = governance(
         spark,
         [("USER", 'An "n"', "a@x", None, "r")],
@@ -146,18 +147,24 @@ def test_document_has_its_sections_in_order_and_escapes_names(spark):
     )
     text = [row.output for row in document.orderBy("section", "label").collect()]
     assert text[0].startswith("terraform {\n")
-    assert text[1] == (
-        'resource "databricks_external_location" "ext_loc_new" {\n\tname = "new"\n\turl = "s3://new"\n'
-        '\tcredential_name = "c"\n\tcomment = "External location created by terraform"\n}\n'
-    )
-    assert text[2] == 'data "databricks_external_location" "ext_loc_loc_old" {\n\tname = "Loc old"\n}\n'
-    assert text[3] == (
-        'resource "databricks_grant" "principal_an__n__loc_old" {\n'
-        "\texternal_location = data.databricks_external_location.ext_loc_loc_old.id\n\n"
-        '\tprincipal = "a@x"\n\tprivileges = ["ALL_PRIVILEGES"]\n}\n'
-    )
-    assert "\texternal_location = databricks_external_location.ext_loc_new.id\n" in text[4]
-    assert len(text) == 5
+    assert text[1] == fixed.LOCATION_RESOURCE.format(label="new", name="new", url="s3://new", credential="c")
+    assert text[2] == fixed.LOCATION_DATA_SOURCE.format(label="loc_old", name="Loc old")
+    grant = {"principal_label": "an__n_", "principal": "a@x"}
+    assert text[3:] == [
+        fixed.LOCATION_GRANT.format(label="loc_old", reference="data.", **grant),
+        fixed.LOCATION_GRANT.format(label="new", reference="", **grant),
+    ]
+    assert '\tprivileges = ["ALL_PRIVILEGES"]\n}\n' in text[3]
+
+
+def test_names_are_escaped_in_blocks(spark):
+    g = governance(spark, [("GROUP", 'a"${b}', None, None, "r")], [("r", ["s3://a"])])
+    document = location_document(g, locations(spark, "s3://a"))
+    assert [row.output for row in document.filter("section = 3").collect()] == [
+        fixed.LOCATION_GRANT.format(
+            principal_label="a___b_", label="loc_a", reference="data.", principal='a\\"$${b}'
+        )
+    ]
 
 
 def test_document_without_new_locations_has_no_resources(spark):

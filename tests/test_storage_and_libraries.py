@@ -3,12 +3,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from grantline import fixed
 from grantline.functions.text import escape, label
 from grantline.operators import allowlist, audit, volumes
 from grantline.plans.allowlist import allowlist_update
 from grantline.plans.volumes import volume_document
 from grantline.schemas import CLUSTER_LIBRARIES, EXTERNAL_LOCATION
 from grantline.sources import libraries, storage
+from grantline.sources.tables import read_landed
 
 
 def locations(spark, *urls):
@@ -64,11 +66,17 @@ def test_volume_block(spark):
         "main",
         "landing",
     )
-    assert [row.output for row in document.filter("section = 1").collect()] == [
-        'resource "databricks_volume" "volume_l_0_f_1" {\n\tname = "f_1"\n\tcatalog_name = "main"\n'
-        '\tschema_name = "landing"\n\tvolume_type = "EXTERNAL"\n\tstorage_location = "s3://a/f.1/"\n'
-        '\tcomment = "Volume created by terraform"\n}\n'
-    ]
+    (output,) = [row.output for row in document.filter("section = 1").collect()]
+    assert output == fixed.VOLUME_RESOURCE.format(
+        label="l_0",
+        volume_label="f_1",
+        catalog="main",
+        schema="landing",
+        bucket_url="s3://a",
+        folder="f.1/",
+    )
+    assert '" "volume_l_0_f_1" {\n\tname = "f_1"\n\tcatalog_name = "main"\n' in output
+    assert '\tstorage_location = "s3://a/f.1/"\n' in output
 
 
 def test_duplicate_map_keys_multiply_and_are_reported(spark, rows):
@@ -78,6 +86,21 @@ def test_duplicate_map_keys_multiply_and_are_reported(spark, rows):
     assert rows(volumes.bucket_map_duplicates(mapped)) == [("s3://a", 2)]
 
 
+def test_landed_inventories_are_read_with_their_schemas(spark, rows, tmp_path):
+    clusters = tmp_path / "clusters.json"
+    clusters.write_text(
+        '{"cluster_id":"1","libraries":[{"jar":"a.jar"},{"maven":{"coordinates":"g:a:1"}},{"pypi":{}}]}\n'
+        '{"cluster_id":"2"}\n'
+    )
+    landed = read_landed(spark, str(clusters), CLUSTER_LIBRARIES)
+    inventory = libraries.library_inventory(landed, landed.limit(0))
+    assert rows(inventory, "jar", "maven_coordinates") == [("a.jar", None), (None, "g:a:1"), (None, None)]
+    places = tmp_path / "locations.json"
+    places.write_text('{"name":"L","credential_name":"c","credential_id":"i","url":"s3://b","owner":"o"}\n')
+    found = storage.external_locations(read_landed(spark, str(places), EXTERNAL_LOCATION))
+    assert rows(found) == [("L", "c", "i", "s3://b", True)]
+
+
 def test_libraries_of_both_kinds_of_cluster(spark, rows):
     interactive = spark.createDataFrame(
         [("1", [("a.jar", None), (None, ("g:a:1",))]), ("2", []), ("3", None)], CLUSTER_LIBRARIES
