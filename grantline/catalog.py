@@ -31,6 +31,7 @@ from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import row_counts, save_table
 from grantline.sinks.text import write_document
 from grantline.sources.principals import all_principals, read_principals
+from grantline.sources.storage import first_level_folders
 from grantline.sources.tables import query_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +45,9 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(build: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
-    _QUERIES[build.__name__] = lambda spark, sf_dir: build(Fixtures(spark, sf_dir))
+    """Register a query under the function's name; a trailing ``_`` avoids a clash with a module."""
+    name = build.__name__.rstrip("_")
+    _QUERIES[name] = lambda spark, sf_dir: build(Fixtures(spark, sf_dir))
     return build
 
 
@@ -197,6 +200,7 @@ def _governance(fx: Fixtures, staged: bool = False) -> Governance:
 
 
 def _saved(fx: Fixtures) -> Governance:
+    """For queries that read the access relation more than once."""
     return _governance(fx, staged=True)
 
 
@@ -214,13 +218,10 @@ def _plan_with_new(fx: Fixtures, governance: Governance) -> LocationPlan:
 
 
 @_query
-def governance_export_access(fx: Fixtures) -> DataFrame:
+def governance_export_(fx: Fixtures) -> DataFrame:
     return _governance(fx).access
 
 
-_QUERIES["governance_export"] = _QUERIES.pop("governance_export_access")
-
-
 @_query
 def governance_roundtrip(fx: Fixtures) -> DataFrame:
     folder = shared_folder(fx.spark)
@@ -280,7 +281,7 @@ def new_location_proposals(fx: Fixtures) -> DataFrame:
 
 @_query
 def all_locations(fx: Fixtures) -> DataFrame:
-    return _plan_with_new(fx, _saved(fx)).locations
+    return _plan_with_new(fx, _governance(fx)).locations
 
 
 def _grants(fx: Fixtures) -> DataFrame:
@@ -295,12 +296,12 @@ def location_grants(fx: Fixtures) -> DataFrame:
 
 @_query
 def hcl_location_resources(fx: Fixtures) -> DataFrame:
-    return documents.location_resources(_plan_with_new(fx, _saved(fx)).role_locations)
+    return documents.location_resources(_plan_with_new(fx, _governance(fx)).role_locations)
 
 
 @_query
 def hcl_location_datasources(fx: Fixtures) -> DataFrame:
-    return documents.location_data_sources(_plan_with_new(fx, _saved(fx)).role_locations)
+    return documents.location_data_sources(_plan_with_new(fx, _governance(fx)).role_locations)
 
 
 @_query
@@ -323,8 +324,6 @@ def bucket_inventory(fx: Fixtures) -> DataFrame:
 
 @_query
 def bucket_folders(fx: Fixtures) -> DataFrame:
-    from grantline.sources.storage import first_level_folders
-
     return first_level_folders(fx.object_keys())
 
 
@@ -346,7 +345,9 @@ def _volumes(fx: Fixtures) -> DataFrame:
     )
 
 
-_QUERIES["volumes"] = lambda spark, sf_dir: _volumes(Fixtures(spark, sf_dir))
+@_query
+def volumes_(fx: Fixtures) -> DataFrame:
+    return _volumes(fx)
 
 
 @_query
