@@ -51,6 +51,7 @@ def main() -> int:
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.driver.memory", "8g")  # whole results are collected for the comparison
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
