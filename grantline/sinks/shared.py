@@ -1,5 +1,6 @@
 """The shared folder for intermediate and landed output."""
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -15,15 +16,21 @@ def _folder_of_this_machine() -> str:
 def shared_folder(spark: SparkSession) -> str:
     """A new path below the folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Where it is not set (tests on one machine) a temporary folder takes its place.  A cluster has
-    to set it: a folder of one machine would be lost with it.
+    Only a session whose executor threads live in the driver's own process (master ``local`` or
+    ``local[n]``, as in tests) may leave it unset; it then gets a temporary folder.  Everything else
+    has to set it: a folder of one machine would be lost with it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir has to name a shared folder")
         root = _folder_of_this_machine()
-    return f"{root.rstrip('/')}/grantline-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{run_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def run_folder(spark: SparkSession) -> str:
+    """The sub-folder of the shared folder with all that this application writes; delete it afterwards."""
+    return f"grantline-{spark.sparkContext.applicationId}"
 
 
 def stage(rows: DataFrame) -> DataFrame:
