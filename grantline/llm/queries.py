@@ -2,16 +2,26 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.llm.chat import conversation_digests, prefix_examples
+from grantline.llm.pieces import decode, encode, load_vocabulary
+from grantline.llm.sharding import kd_shards
 from grantline.llm.vectors import near_duplicate_vectors
 
 
+#: A public vocabulary with byte pieces; its scores are ranks.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards(_table(spark, sf_dir, "documents"), n_shards=8)
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "<|im_end|><|im_start|>assistant ok"
     own = spark.createDataFrame(
@@ -21,12 +31,27 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(prefix_examples(turns.unionByName(own)))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives its text again."""
+    vocabulary = load_vocabulary(model, ranks=True)
+    documents = _table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")
+    )
+    decoded = decode(encode(documents, vocabulary), vocabulary)
+    return decoded.select(
+        "doc_id", F.size("token_ids").alias("n_tokens"), "token_ids",
+        (F.xxhash64("text") == F.col("text_hash")).alias("round_trip"),
+    )
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_sharding": op2_sharding,
     "op4_chat_formatting": op4_chat_formatting,
+    "op7_sentencepiece": op7_sentencepiece,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
