@@ -228,14 +228,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
     column is replaced.  Words that repeat within a few megabytes of text are segmented once.
     """
     kept = [c for c in documents.columns if c not in (text_column, out)]
-    shared = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
         for batch in batches:
             texts = batch.column(text_column).to_pylist()
             for start, end in _batches(texts):
-                ids, counts = words.encode(texts[start:end])
+                ids, counts = vocabulary.encode(texts[start:end])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
                 column = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
                 rows = batch.slice(start, end - start)
@@ -248,17 +246,15 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids_column: str = "token_ids", out: str = "text") -> DataFrame:
     """The rows with the text of their piece ids as a further column; null ids give an empty text."""
     kept = [c for c in rows.columns if c != out]
-    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
         for batch in batches:
             # A batch's texts are made some at a time, as they are larger than the ids' bytes suggest.
             for start in range(0, len(batch), 1000):
                 part = batch.slice(start, 1000)
                 lists = part.column(ids_column)
                 values, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-                texts = [words.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
+                texts = [vocabulary.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in kept), pa.array(texts, pa.string())], [*kept, out]
                 )
