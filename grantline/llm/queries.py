@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.llm.chat import conversation_digests, prefix_examples
+from grantline.llm.importance import classifier
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.sharding import kd_shards
 from grantline.llm.vectors import near_duplicate_vectors
@@ -18,6 +19,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sampled documents with their scores."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = classifier(documents, _table(spark, sf_dir, "labels"))
+    return model.sampled(documents).drop("text")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"), n_shards=8)
 
@@ -49,6 +57,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_importance_resampling": op1_importance_resampling,
     "op2_sharding": op2_sharding,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_sentencepiece": op7_sentencepiece,

@@ -14,6 +14,10 @@ BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: 0: white space, 1: letters, digits, underscores and all beyond ASCII, 2: punctuation.
+_KIND = np.full(256, 2, dtype=np.uint8)
+_KIND[[95, *range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+_KIND[_SPACE] = 0
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BYTES = np.random.default_rng(20240917).integers(0, 2**64, 256, dtype=np.uint64)
 _FACTOR = np.uint64(0x9E3779B97F4A7C13)
@@ -58,13 +62,19 @@ def _pieces(texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         yield place, text[at:] if at else text
 
 
-def _hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _hashed(pieces: list[bytes], marks: bool) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and how many each piece has."""
     joined = np.frombuffer(b" ".join(pieces).translate(_LOWER) + b" ", dtype=np.uint8)
     lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) + 1
-    inner = ~_SPACE[joined]
-    edges = np.flatnonzero(np.diff(inner, prepend=False))
-    starts, ends = edges[0::2], edges[1::2]
+    if marks:
+        kind = _KIND[joined]
+        edges = np.flatnonzero(np.diff(kind, prepend=np.uint8(0)))
+        starts, ends = edges[:-1], edges[1:]
+        inner = kind[starts] > 0
+        starts, ends = starts[inner], ends[inner]
+    else:
+        edges = np.flatnonzero(np.diff(~_SPACE[joined], prepend=False))
+        starts, ends = edges[0::2], edges[1::2]
     power, inverse = _powers(max(BLOCK, len(joined)) + 1)
     sums = np.zeros(len(joined) + 1, dtype=np.uint64)
     np.cumsum(_BYTES[joined] * power[: len(joined)], out=sums[1:])
@@ -72,15 +82,18 @@ def _hashed(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.searchsorted(starts, np.cumsum(lengths)), prepend=0)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of all texts, one text after the other, and the number of words of each text."""
+def word_hashes(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, one text after the other, and the number of words of each text.
+
+    With ``marks``, runs of punctuation are words of their own.
+    """
     found, counts = [], np.zeros(len(texts), dtype=np.int64)
     places: list[int] = []
     block: list[bytes] = []
     held = 0
 
     def flush() -> None:
-        hashes, per_piece = _hashed(block)
+        hashes, per_piece = _hashed(block, marks)
         found.append(hashes)
         np.add.at(counts, places, per_piece)
 
