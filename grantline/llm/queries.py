@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from grantline.llm.chat import conversation_digests, prefix_examples
 from grantline.llm.importance import classifier
 from grantline.llm.pieces import decode, encode, load_vocabulary
+from grantline.llm.secrets import digest, scan
 from grantline.llm.sharding import kd_shards
 from grantline.llm.vectors import near_duplicate_vectors
 
@@ -52,6 +53,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL
     )
 
 
+def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_sentencepiece": op7_sentencepiece,
+    "op9_secret_scans": op9_secret_scans,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
