@@ -4,7 +4,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from grantline.llm import oracles
 from grantline.llm.chat import conversation_digests, prefix_examples
+from grantline.llm.decontaminate import contained_items
 from grantline.llm.importance import classifier
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.secrets import digest, scan
@@ -53,6 +55,10 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL
     )
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), containment=0.8)
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(scan(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -66,8 +72,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_decontamination": op8_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_chat_formatting": oracles.CHAT,
+    "op8_decontamination": oracles.DECONTAMINATION,
+    "op10_embedding_near_dedup": oracles.NEAR_VECTORS,
+}
