@@ -8,6 +8,7 @@ from grantline.llm import oracles
 from grantline.llm.chat import conversation_digests, prefix_examples
 from grantline.llm.decontaminate import contained_items
 from grantline.llm.importance import classifier
+from grantline.llm.neardup import near_duplicates
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.secrets import digest, scan
 from grantline.llm.sharding import kd_shards
@@ -33,6 +34,10 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards(_table(spark, sf_dir, "documents"), n_shards=8)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     says = "<|im_end|><|im_start|>assistant ok"
     own = spark.createDataFrame(
@@ -70,6 +75,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_sharding": op2_sharding,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_minhash_near_dedup": oracles.NEAR_DUPLICATES,
     "op4_chat_formatting": oracles.CHAT,
     "op8_decontamination": oracles.DECONTAMINATION,
     "op10_embedding_near_dedup": oracles.NEAR_VECTORS,
