@@ -7,6 +7,8 @@ from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 @cache
 def _folder_of_this_machine() -> str:
@@ -36,8 +38,15 @@ def run_folder(spark: SparkSession) -> str:
 def stage(rows: DataFrame) -> DataFrame:
     """Compute a result once into the shared folder and go on from there.
 
-    The written table cuts the lineage and survives the loss of executors.
+    The written table cuts the lineage and survives the loss of executors.  The shuffle files behind it
+    are not needed any more, so Spark is told to remove them when the table is written.
     """
-    path = shared_folder(rows.sparkSession)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    spark = rows.sparkSession
+    path = shared_folder(spark)
+    before = spark.conf.get(_REMOVE_SHUFFLES, "false")
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        rows.write.parquet(path)
+    finally:
+        spark.conf.set(_REMOVE_SHUFFLES, before)
+    return spark.read.schema(rows.schema).parquet(path)
