@@ -96,13 +96,13 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
                     pairs += [(ids[row], ids[h]) for h in at[linked] if ids[h] != ids[row]]
                 out += [(0, x, root, 0, 0) for x, root in spanning(pairs).items() if x != root]
             if not rows["done"].iloc[0]:
-                depth, node = int(rows["depth"].iloc[0]), np.uint64(rows["node"].iloc[0] & 0xFFFFFFFFFFFFFFFF)
+                depth, node = int(rows["depth"].iloc[0]), rows["node"].to_numpy()[:1].view(np.uint64)
                 rest = np.flatnonzero(~hub & np.array([len(s) > 0 for s in sets]))
                 if len(rest) and depth < max_depth:
                     values = np.concatenate([sets[r] for r in rest])
                     sizes = np.array([len(sets[r]) for r in rest])
                     for child in range(2):
-                        seed = mixed(np.array([node * _CHILD[child] + _CHILD[2]]))[0]
+                        seed = mixed(node * _CHILD[child] + _CHILD[2])[0]
                         nodes = _least(values, np.cumsum(sizes) - sizes, seed).view(np.int64)
                         out += [(1, ids[r], n, s, depth + 1) for r, n, s in zip(rest, nodes, sizes)]
                 else:
