@@ -8,6 +8,7 @@ from grantline.llm import oracles
 from grantline.llm.chat import conversation_digests, prefix_examples
 from grantline.llm.decontaminate import contained_items
 from grantline.llm.importance import classifier
+from grantline.llm.katz import katz_scores
 from grantline.llm.neardup import near_duplicates
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.secrets import digest, scan
@@ -47,6 +48,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(prefix_examples(turns.unionByName(own)))
 
 
+def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz_scores(_table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECE_MODEL) -> DataFrame:
     """Piece ids of every document, and whether decoding them gives its text again."""
     vocabulary = load_vocabulary(model, ranks=True)
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
+    "op6_katz_backoff": op6_katz_backoff,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_secret_scans": op9_secret_scans,
