@@ -13,6 +13,7 @@ from grantline.llm.neardup import near_duplicates
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.secrets import digest, scan
 from grantline.llm.sharding import kd_shards
+from grantline.llm.substrings import without_repeats
 from grantline.llm.vectors import near_duplicate_vectors
 
 
@@ -48,6 +49,10 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(prefix_examples(turns.unionByName(own)))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(_table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
 def op6_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(_table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_katz_backoff": op6_katz_backoff,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
