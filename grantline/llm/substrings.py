@@ -21,12 +21,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from grantline.llm.groups import runs
 from grantline.llm.words import mixed
 from grantline.sinks.shared import stage
 
@@ -265,8 +264,9 @@ def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
 
 
 def _repeats(length: int):
-    def cell(rows: pd.DataFrame) -> pd.DataFrame:
-        strings, docs, starts = rows["bytes"].tolist(), rows["doc"].to_numpy(), rows["start"].to_numpy()
+    def cell(rows: pa.Table) -> pa.RecordBatch:
+        strings = rows.column("bytes").to_pylist()
+        docs, starts = rows.column("doc").to_numpy(), rows.column("start").to_numpy()
         shards: list[list[bytes]] = [[]]
         held = 0
         for string in strings:
@@ -294,48 +294,59 @@ def _repeats(length: int):
         run[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
         at = np.flatnonzero(run)
         last = np.append(at[1:], len(doc)) - 1
-        return pd.DataFrame({"doc": doc[at], "start": start[at], "n": start[last] - start[at] + 1})
-
-    def repeats(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        size = 0
-        for rows in runs(frames, "cell"):
-            held.append(rows)
-            size += int(rows["bytes"].str.len().sum())
-            if size >= CELL:
-                yield cell(pd.concat(held))
-                held, size = [], 0
-        if held:
-            yield cell(pd.concat(held))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(doc[at]), pa.array(start[at]), pa.array(start[last] - start[at] + 1)], ["doc", "start", "n"]
+        )
+
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Cells are taken together until they fill ``CELL``; none is divided."""
+        held: pa.Table | None = None
+        for batch in batches:
+            known = pa.compute.is_null(batch.column("bytes"))
+            done = batch.filter(known)
+            if len(done):
+                yield pa.RecordBatch.from_arrays(
+                    [done.column("doc"), done.column("start"), pa.array(np.ones(len(done), np.int64))], ["doc", "start", "n"]
+                )
+            rows = pa.Table.from_batches([batch.filter(pa.compute.invert(known))])
+            held = rows if held is None else pa.concat_tables([held, rows])
+            if held.nbytes >= CELL:
+                cells = held.column("cell").to_numpy()
+                cut = int(np.searchsorted(cells, cells[-1], side="left"))
+                if cut:
+                    yield cell(held.slice(0, cut))
+                    held = held.slice(cut).combine_chunks()
+        if held is not None and len(held):
+            yield cell(held)
 
     return repeats
 
 
 def _cut(length: int):
-    """The bytes of the segments of each document; those of crowded grams string by string."""
+    """The bytes of the segments of each document; those of crowded grams string by string, and with null
+    bytes where the batch has the string earlier."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[str, list] = {"cell": [], "doc": [], "start": [], "bytes": []}
-            for row in batch.to_pylist():
-                for s in row["wanted"]:
+            first: dict[bytes, tuple[int, int]] = {}
+
+            def put(cell, doc, start, string) -> None:
+                for column, value in zip(out.values(), (cell, doc, start, string)):
+                    column.append(value)
+
+            for row in sorted(batch.to_pylist(), key=lambda r: r["doc"]):
+                text, doc = row["bytes"], row["doc"]
+                for s in sorted(row["wanted"], key=lambda s: s["start"]):
                     if s["n_segments"] <= HOT:
-                        pieces = [(s["gram"], s["start"], s["n"])]
-                    else:
-                        pieces = []
-                        for i in range(s["start"], s["start"] + s["n"]):
-                            own = xxhash.xxh3_64_intdigest(row["bytes"][i : i + length], s["gram"] & _LAST)
-                            pieces.append((own - (1 << 63), i, 1))
-                    for key, start, n in pieces:
-                        out["cell"].append(key)
-                        out["doc"].append(row["doc"])
-                        out["start"].append(start)
-                        out["bytes"].append(row["bytes"][start : start + n + length - 1])
-                if len(out["cell"]) > 20_000:
-                    yield pa.RecordBatch.from_arrays(
-                        [*(pa.array(out[c], pa.int64()) for c in ("cell", "doc", "start")), pa.array(out["bytes"], pa.binary())], list(out)
-                    )
-                    out = {c: [] for c in out}
+                        put(s["gram"], doc, s["start"], text[s["start"] : s["start"] + s["n"] + length - 1])
+                        continue
+                    for i in range(s["start"], s["start"] + s["n"]):
+                        string = text[i : i + length]
+                        if first.setdefault(string, (doc, i)) < (doc, i):
+                            put(i, doc, i, None)
+            for string, (doc, i) in first.items():
+                put(xxhash.xxh3_64_intdigest(string) - (1 << 63), doc, i, string)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(out[c], pa.int64()) for c in ("cell", "doc", "start")), pa.array(out["bytes"], pa.binary())], list(out)
             )
@@ -356,7 +367,7 @@ def repeated_starts(documents: DataFrame, length: int = 100) -> DataFrame:
     wanted = met.where("kind = 0").groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "n", "n_segments")).alias("wanted"))
     pieces = documents.select("doc", "bytes").join(wanted, "doc").mapInArrow(_cut(length), "cell long, doc long, start long, bytes binary")
     compared = stage(
-        pieces.repartition("cell").sortWithinPartitions("cell").mapInPandas(_repeats(length), "doc long, start long, n long")
+        pieces.repartition("cell").sortWithinPartitions("cell").mapInArrow(_repeats(length), "doc long, start long, n long")
     )
     copies = found.where("gram IS NULL").select("doc", "start", "n")
     return copies.unionByName(met.where("kind = 1").select("doc", "start", "n")).unionByName(compared)
