@@ -140,7 +140,7 @@ def _word_table(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _bigrams(words: Words, n_buckets: int):
     wide = np.uint64(words.numbers + 1)
-    hot_tokens = max(1, words.tokens // (8 * n_buckets))
+    hot_tokens = max(1, words.tokens // (2 * n_buckets))
 
     def sent(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         block = int(rows["block"].iloc[0])
@@ -204,7 +204,7 @@ def _weights(history_count, seen_word_mass, by_count, discount) -> np.ndarray:
 
 def _evaluated(words: Words, n_buckets: int):
     wide = np.uint64(words.numbers + 1)
-    hot_tokens = max(1, words.tokens // (8 * n_buckets))
+    hot_tokens = max(1, words.tokens // (2 * n_buckets))
 
     def evaluated(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = int(rows["bucket"].iloc[0])
@@ -253,7 +253,8 @@ def _evaluated(words: Words, n_buckets: int):
                 own=own.astype(np.uint32), sums=sums, by_level=by_level, texts=n, owner=owner[cold].astype(np.uint32),
                 slot=slot.astype(np.uint32), hc=history_count[used], mass=mass[used], by_count=by_count[used],
             )))
-            warm = hot[at] & (unseen | (level == 0))
+            # Where this partition has a discounted bigram of the history, it is not crowded.
+            warm = hot[at] & (unseen | (by_count[at, -1] >= by_count[at].sum(axis=1)))
             if warm.any():
                 # Per history and document: unseen tokens, and seen ones that a crowded history rescales.
                 pairs, where = np.unique(np.stack([history[at[warm]], owner[warm]]), axis=1, return_inverse=True)
@@ -300,7 +301,7 @@ def _final(discount: np.ndarray, words: Words):
     return finished
 
 
-def katz_scores(documents: DataFrame, train: Column | None = None, block_bytes: int = 8 << 20, blocks_per_bucket: int = 2) -> DataFrame:
+def katz_scores(documents: DataFrame, train: Column | None = None, block_bytes: int = 5 << 20, blocks_per_bucket: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Tokens are words and one end per text.  ``train`` says which rows the model learns from (default: the
