@@ -35,6 +35,7 @@ def _in(names) -> str:
     return "(" + ", ".join(map(_quote, names)) + ")"
 
 
+_ROLE = "(CASE WHEN p_partkey % 25 < 20 OR p_partkey < 100 THEN p_partkey % 25 ELSE p_partkey % 20 END)"
 _ACTION_ROWS = ", ".join(
     f"({_quote(old)}, {_quote(new)})" for old, news in fixed.PRIVILEGE_MAP.items() for new in news
 )
@@ -46,7 +47,9 @@ _REMOVED_ROWS = ", ".join(
 
 RELATIONS = {
     "principals": """
-        SELECT 'USER' AS principal_type, c_name AS display_name, CAST(c_custkey AS VARCHAR) AS principal_id,
+        SELECT 'USER' AS principal_type,
+               CASE WHEN c_custkey % 400 = 399 THEN concat('Twin ', CAST(c_custkey // 800 AS VARCHAR)) ELSE c_name END
+                 AS display_name, CAST(c_custkey AS VARCHAR) AS principal_id,
                CAST(NULL AS VARCHAR) AS application_id,
                CASE WHEN c_custkey % 10 <> 0 THEN concat('u', CAST(c_custkey AS VARCHAR), '@example.com') END AS email,
                CAST(c_custkey AS BIGINT) AS k
@@ -59,7 +62,7 @@ RELATIONS = {
         SELECT 'GROUP', n_name, CAST(n_nationkey AS VARCHAR), NULL, NULL, CAST(n_nationkey AS BIGINT) FROM nation""",
     "principal_roles": """
         SELECT p.*, j.n,
-               concat('arn:aws:iam::123456789012:instance-profile/ip-', CAST((p.k * 7 + j.n * 13) % 25 AS VARCHAR))
+               concat('arn:aws:iam::123456789012:instance-profile/ip-', CAST((p.k * 7 + j.n * (13 + p.k // 25)) % 25 AS VARCHAR))
                  AS instance_profile_arn
         FROM principals p CROSS JOIN (SELECT n_nationkey AS n FROM nation WHERE n_nationkey < 3) j
         WHERE j.n < p.k % 4""",
@@ -74,21 +77,31 @@ RELATIONS = {
                concat('role-', CAST(n_nationkey AS VARCHAR)) AS role_name
         FROM nation""",
     "policy_resources": f"""
-        SELECT concat('role-', CAST(p_partkey % 25 AS VARCHAR)) AS role_name,
-               concat('pol-', CAST(p_partkey % 50 AS VARCHAR), '/', CAST(p_partkey // 2000 AS VARCHAR)) AS policy_arn,
+        SELECT concat('role-', CAST({_ROLE} AS VARCHAR)) AS role_name,
+               concat('pol-', CAST(p_partkey % 50 AS VARCHAR), '-', CAST({_ROLE} AS VARCHAR), '/',
+                      CAST(p_partkey // 2000 AS VARCHAR)) AS policy_arn,
                p_partkey AS ord,
                CASE WHEN p_partkey % 11 = 0 THEN 'Deny' ELSE 'Allow' END AS effect,
                CASE p_size % 5
                  WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
                  WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
-                 WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), '-*/*')
+                 WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type),
+                                    CASE WHEN p_partkey % 3 = 0 THEN '-brand-???' ELSE '-*/*' END)
                  WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
                  ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END AS resource
-        FROM part WHERE p_partkey % 25 < 20 OR p_partkey < 100""",
+        FROM part""",
     "broken_policies": """
         SELECT concat('role-', CAST(p_partkey % 25 AS VARCHAR)) AS role_name,
                concat('broken-', CAST(p_partkey AS VARCHAR)) AS policy_arn
-        FROM part WHERE p_partkey % 1000 = 0""",
+        FROM part WHERE p_partkey % 100 = 0""",
+    "missing_policies": """
+        SELECT concat('role-', CAST(p_partkey % 25 AS VARCHAR)) AS role_name,
+               concat('missing-', CAST(p_partkey AS VARCHAR)) AS policy_arn
+        FROM part WHERE p_partkey % 100 = 1""",
+    "except_policies": """
+        SELECT concat('lone-', CAST(p_partkey AS VARCHAR)) AS role_name,
+               concat('except-', CAST(p_partkey AS VARCHAR)) AS policy_arn, concat('e', CAST(p_partkey AS VARCHAR)) AS sid
+        FROM part WHERE p_partkey % 100 = 2""",
     "paths": """
         SELECT role_name, policy_arn, ord, replace(resource, 'arn:aws:s3:::', 's3://') AS s3_path,
                replace(replace(resource, 'arn:aws:s3:::', 's3://'), '*', '.*') AS s3_path_regex
@@ -119,13 +132,13 @@ RELATIONS = {
         FROM bucket_keys WHERE k % 2 = 0""",
     "matches": """
         SELECT p.s3_path, l.*
-        FROM (SELECT DISTINCT s3_path, s3_path_regex FROM held_paths) p, ext_locations l
+        FROM (SELECT DISTINCT s3_path, s3_path_regex FROM held_paths WHERE NOT contains(s3_path, '???')) p, ext_locations l
         WHERE regexp_matches(l.url, p.s3_path_regex)""",
     "anchored_matches": """
         SELECT p.s3_path, l.*
         FROM (SELECT DISTINCT s3_path FROM held_paths) p, ext_locations l
         WHERE regexp_matches(regexp_extract(l.url, '^s3a?://([^/]+)', 1),
-          concat('^', replace(regexp_extract(p.s3_path, '^s3://([^/]+)', 1), '*', '.*'), '$'))""",
+          concat('^', replace(replace(regexp_extract(p.s3_path, '^s3://([^/]+)', 1), '*', '.*'), '?', '.'), '$'))""",
     "uncovered": """
         SELECT DISTINCT s3_path, s3_path_regex FROM held_paths
         WHERE s3_path NOT IN (SELECT s3_path FROM matches)""",
@@ -134,7 +147,7 @@ RELATIONS = {
                concat('s3://', b.bucket_name) AS url, false AS created
         FROM uncovered u, bucket_keys b
         WHERE regexp_matches(b.bucket_name,
-          concat('^', replace(regexp_extract(u.s3_path, '^s3://([^/]+)', 1), '*', '.*'), '$'))""",
+          concat('^', replace(replace(regexp_extract(u.s3_path, '^s3://([^/]+)', 1), '*', '.*'), '?', '.'), '$'))""",
     "new_locations": """
         SELECT DISTINCT ext_loc_name, credential_name, credential_id, url, created FROM proposals""",
     "all_locations": "SELECT * FROM ext_locations UNION ALL SELECT * FROM new_locations",
@@ -146,7 +159,7 @@ RELATIONS = {
         UNION
         SELECT h.role_name, l.ext_loc_name, l.credential_name, l.credential_id, l.url, l.created
         FROM held_paths h, new_locations l
-        WHERE regexp_matches(concat(l.url, '/'), h.s3_path_regex)
+        WHERE CASE WHEN contains(h.s3_path, '???') THEN false ELSE regexp_matches(concat(l.url, '/'), h.s3_path_regex) END
            OR EXISTS (SELECT 1 FROM proposals p WHERE p.s3_path = h.s3_path AND p.ext_loc_name = l.ext_loc_name)""",
     "grantees": """
         SELECT DISTINCT principal_display_name,
@@ -169,12 +182,18 @@ RELATIONS = {
                {_fill(fixed.LOCATION_DATA_SOURCE, label=_label('ext_loc_name'), name='ext_loc_name')} AS output
         FROM (SELECT DISTINCT ext_loc_name FROM all_role_locations WHERE created)""",
     "location_grant_blocks": f"""
-        SELECT 3 AS section, {_label('principal_display_name')} || '_' || {_label('ext_loc_name')} AS label,
+        SELECT 3 AS section, principal_label || '_' || {_label('ext_loc_name')} AS label,
                concat(principal_display_name, chr(10), grantee, chr(10), ext_loc_name) AS block, 0 AS part, '' AS item,
-               {_fill(fixed.LOCATION_GRANT, principal_label=_label('principal_display_name'),
+               {_fill(fixed.LOCATION_GRANT, principal_label='principal_label',
                       label=_label('ext_loc_name'), reference="CASE WHEN created THEN 'data.' ELSE '' END",
                       principal='grantee')} AS output
-        FROM location_grants""",
+        FROM (SELECT l.*, {_label('l.principal_display_name')}
+                     || CASE WHEN c.n > 1 THEN '_' || substr(md5(concat(l.principal_display_name, chr(10), l.grantee)), 1, 8)
+                             ELSE '' END AS principal_label
+              FROM location_grants l
+              JOIN (SELECT {_label('principal_display_name')} AS plain, count(*) AS n
+                    FROM (SELECT DISTINCT principal_display_name, grantee FROM grantees) GROUP BY 1) c
+                ON c.plain = {_label('l.principal_display_name')})""",
     "header": f"""
         SELECT 0 AS section, '' AS label, '' AS block, 0 AS part, '' AS item,
                {_quote(fixed.DOCUMENT_HEADER)} AS output""",
@@ -182,9 +201,9 @@ RELATIONS = {
         SELECT b.bucket_name, concat(lower(r.r_name), '.v', CAST(b.k % 4 AS VARCHAR), '/') AS folder
         FROM bucket_keys b CROSS JOIN region r WHERE r.r_regionkey < b.k % 4""",
     "bucket_map": """
-        SELECT concat('s3://', bucket_name) AS s3_bucket_url, concat('catalog', CAST(k % 3 AS VARCHAR)) AS catalog_name,
+        SELECT concat('s3://', bucket_name) AS s3_bucket_url, concat('catalog', CAST((k + copy) % 3 AS VARCHAR)) AS catalog_name,
                concat('schema', CAST(k % 5 AS VARCHAR)) AS schema_name
-        FROM bucket_keys WHERE k % 4 = 0""",
+        FROM bucket_keys CROSS JOIN (VALUES (0), (1)) AS c(copy) WHERE k % 4 = 0 AND (copy = 0 OR k % 8 = 0)""",
     "volumes": f"""
         SELECT DISTINCT l.ext_loc_name, {_label('l.ext_loc_name')} AS ext_loc_label, f.folder AS volume,
                left({_label('f.folder')}, length(f.folder) - 1) AS volume_label,
@@ -202,14 +221,13 @@ RELATIONS = {
                  AS output
         FROM (SELECT DISTINCT ext_loc_label, volume_label, volume, catalog_name, schema_name, s3_bucket_url
               FROM volumes)""",
-    "object_keys": """
+    "object_keys": f"""
         SELECT b.bucket_name,
                CASE WHEN o.o_orderkey % 13 = 0 THEN concat('file-', CAST(o.o_orderkey AS VARCHAR))
                     ELSE concat('f.', CAST(o.o_orderkey % 6 AS VARCHAR), '/y=', CAST(o.o_orderkey % 4 AS VARCHAR),
                                 '/part-', CAST(o.o_orderkey AS VARCHAR)) END AS object_key
-        FROM orders o
-        JOIN (SELECT bucket_name, row_number() OVER (ORDER BY bucket_name) - 1 AS rn FROM bucket_keys) b
-          ON b.rn = o.o_custkey % 100""",
+        FROM orders o JOIN lineitem i ON i.l_orderkey = o.o_orderkey
+        JOIN (SELECT p_partkey, {BUCKET} AS bucket_name FROM part) b ON b.p_partkey = i.l_partkey""",
     "grants": """
         SELECT principal, action_type, cat, db, tab, vw,
                CASE WHEN tab IS NOT NULL OR vw IS NOT NULL THEN 'TABLE' WHEN db IS NOT NULL THEN 'SCHEMA'
@@ -276,7 +294,7 @@ RELATIONS = {
                CASE WHEN p_size % 4 = 0 THEN concat('s3://libs/', replace(p_name, ' ', '-'), '.jar')
                     ELSE concat('org.', lower(p_type), ':', replace(p_name, ' ', '-'), ':1.', CAST(p_size AS VARCHAR))
                     END AS artifact,
-               'PREFIX_MATCH' AS match_type
+               CASE WHEN p_partkey % 3 = 0 THEN 'EXACT_MATCH' ELSE 'PREFIX_MATCH' END AS match_type
         FROM part WHERE p_partkey % 7 = 0 AND p_size % 4 IN (0, 3)""",
     "artifacts": """
         SELECT DISTINCT CASE WHEN jar IS NOT NULL THEN 'jar' ELSE 'maven' END AS artifact_type,
@@ -285,7 +303,8 @@ RELATIONS = {
     "delta": """
         SELECT artifact_type, artifact, 'PREFIX_MATCH' AS match_type FROM artifacts a
         WHERE (artifact_type = 'maven' OR artifact LIKE 's3://%' OR artifact LIKE '/Volumes/%')
-          AND NOT EXISTS (SELECT 1 FROM allowlist w WHERE w.artifact_type = a.artifact_type AND w.artifact = a.artifact)""",
+          AND NOT EXISTS (SELECT 1 FROM allowlist w WHERE w.artifact_type = a.artifact_type AND w.artifact = a.artifact
+                          AND w.match_type = 'PREFIX_MATCH')""",
     "desired": "SELECT * FROM allowlist UNION ALL SELECT * FROM delta",
 }
 
@@ -324,6 +343,7 @@ QUERIES = {
     "policy_default_version": """
         SELECT role_name, policy_arn, true AS readable, count(*) AS n_statements
         FROM policy_resources GROUP BY role_name, policy_arn
+        UNION ALL SELECT role_name, policy_arn, true, 1 FROM except_policies
         UNION ALL SELECT role_name, policy_arn, false, 0 FROM broken_policies""",
     "policy_resources": """
         SELECT role_name, policy_arn, concat('s', CAST(ord AS VARCHAR)) AS sid, effect, resource
@@ -361,6 +381,14 @@ QUERIES = {
     "hcl_location_resources": f"SELECT {_DOCUMENT} FROM location_resources",
     "hcl_location_datasources": f"SELECT {_DOCUMENT} FROM location_data_sources",
     "hcl_location_grants": f"SELECT {_DOCUMENT} FROM location_grant_blocks",
+    "governance_lists_roundtrip": """
+        SELECT role_name, policy_arn, string_agg(s3_path, '|' ORDER BY ord) AS s3_paths,
+               string_agg(s3_path_regex, '|' ORDER BY ord) AS s3_paths_regex
+        FROM paths GROUP BY role_name, policy_arn""",
+    "saved_location_document": f"""
+        SELECT {_DOCUMENT} FROM header UNION ALL SELECT {_DOCUMENT} FROM location_resources
+        UNION ALL SELECT {_DOCUMENT} FROM location_data_sources
+        UNION ALL SELECT {_DOCUMENT} FROM location_grant_blocks""",
     "hcl_location_document": f"""
         SELECT {_DOCUMENT} FROM header UNION ALL SELECT {_DOCUMENT} FROM location_resources
         UNION ALL SELECT {_DOCUMENT} FROM location_data_sources
@@ -403,15 +431,12 @@ QUERIES = {
         GROUP BY g.object_type, g.action_type, t.privileges""",
     "principal_object_privileges": "SELECT * FROM entries",
     "object_grants": """
-        SELECT e.object_type, e.object_name, s.n_lists,
-               CAST('0x' || substr(md5(e.principal), 1, 8) AS BIGINT) % s.n_lists AS list_no,
+        SELECT e.object_type, e.object_name,
+               CAST('0x' || substr(md5(e.principal), 1, 8) AS BIGINT) % 16 AS list_no,
                string_agg(e.principal, ';' ORDER BY e.principal) AS principals,
                string_agg(e.privileges, ';' ORDER BY e.principal) AS privileges,
                string_agg(e.legacy_privileges, ';' ORDER BY e.principal) AS legacy_privileges
         FROM grantable e
-        JOIN (SELECT object_type, object_name, CAST(ceil(count(*) / 50.0) AS BIGINT) AS n_lists
-              FROM grantable GROUP BY object_type, object_name) s
-          ON s.object_type = e.object_type AND s.object_name = e.object_name
         GROUP BY ALL""",
     "dominant_object_type": """
         SELECT object_name, object_type
@@ -426,13 +451,17 @@ QUERIES = {
     "library_classify": "SELECT artifact_type, artifact FROM artifacts",
     "allowlist_current": "SELECT artifact_type, artifact, match_type FROM allowlist",
     "allowlist_delta": "SELECT artifact_type, artifact, match_type FROM delta",
+    "allowlist_delta_jar": "SELECT artifact_type, artifact, match_type FROM delta WHERE artifact_type = 'jar'",
+    "allowlist_delta_maven": "SELECT artifact_type, artifact, match_type FROM delta WHERE artifact_type = 'maven'",
     "allowlist_desired": "SELECT artifact_type, artifact, match_type FROM desired",
     "allowlist_payload": """
         SELECT artifact_type, 0 AS part, '' AS item, '{"artifact_matchers":[' AS output FROM desired GROUP BY artifact_type
         UNION ALL SELECT artifact_type, 2, '', ']}' FROM desired GROUP BY artifact_type
         UNION ALL
-        SELECT artifact_type, 1, artifact,
-               concat(CASE WHEN artifact = min(artifact) OVER (PARTITION BY artifact_type) THEN '' ELSE ',' END,
+        SELECT artifact_type, 1, concat(artifact, chr(10), match_type),
+               concat(CASE WHEN concat(artifact, chr(10), match_type)
+                                = min(concat(artifact, chr(10), match_type)) OVER (PARTITION BY artifact_type)
+                           THEN '' ELSE ',' END,
                       '{"artifact":"', artifact, '","match_type":"', match_type, '"}')
         FROM desired""",
     # counts and audits
@@ -467,14 +496,32 @@ QUERIES = {
         FROM policy_resources
         WHERE effect <> 'Allow' OR NOT regexp_matches(resource, '^arn:aws:s3:::([^/]+)(/[*])?$')
         UNION ALL SELECT role_name, policy_arn, '', 'unreadable_document' FROM broken_policies
-        UNION ALL SELECT role_name, '', CAST(count(*) AS VARCHAR), 'too_few_paths' FROM paths
-        GROUP BY role_name HAVING count(*) <= 5""",
+        UNION ALL SELECT role_name, policy_arn, '', 'no_document' FROM missing_policies
+        UNION ALL SELECT role_name, policy_arn, sid, 'no_resource' FROM except_policies
+        UNION ALL SELECT a.role_name, '', CAST(count(p.s3_path) AS VARCHAR), 'too_few_paths'
+        FROM (SELECT role_name FROM policy_resources UNION SELECT role_name FROM broken_policies
+              UNION SELECT role_name FROM missing_policies UNION SELECT role_name FROM except_policies) a
+        LEFT JOIN paths p ON p.role_name = a.role_name
+        GROUP BY a.role_name HAVING count(p.s3_path) <= 5""",
+    "incomplete_blocks": """
+        SELECT 'location' AS kind, ext_loc_name AS subject, missing
+        FROM (SELECT concat('New ', bucket_name) AS ext_loc_name,
+                     concat_ws(',', CASE WHEN k % 11 = 0 THEN 'url' END, CASE WHEN k % 7 = 0 THEN 'credential_name' END) AS missing
+              FROM bucket_keys)
+        WHERE missing <> ''""",
     "label_collisions": f"""
         SELECT kind, {_label('name')} AS label, count(*) AS n_names, min(name) AS first_name, max(name) AS last_name
-        FROM (SELECT DISTINCT 'principal' AS kind, principal_display_name AS name FROM public_principals
-              UNION ALL SELECT 'location', ext_loc_name FROM ext_locations
-              UNION ALL SELECT DISTINCT 'object', object_name FROM entries
-              UNION ALL SELECT DISTINCT 'artifact', artifact FROM artifacts)
+        FROM (SELECT DISTINCT 'principal' AS kind, principal_display_name AS name, grantee AS owner
+              FROM (SELECT principal_display_name,
+                           CASE WHEN principal_type = 'USER' AND email_value IS NOT NULL THEN email_value
+                                WHEN principal_type = 'SERVICE_PRINCIPAL' AND application_id IS NOT NULL THEN application_id
+                                ELSE principal_display_name END AS grantee
+                    FROM public_principals)
+              UNION SELECT 'location', ext_loc_name, '' FROM ext_locations
+              UNION SELECT DISTINCT 'object', object_name, '' FROM entries
+              UNION SELECT DISTINCT 'volume', concat(ext_loc_label, '_', volume_label), concat(s3_bucket_url, chr(10), volume, chr(10), catalog_name, chr(10), schema_name)
+                    FROM volumes
+              UNION SELECT DISTINCT 'artifact', artifact, '' FROM artifacts)
         GROUP BY 1, 2 HAVING count(*) > 1""",
     "bucket_map_duplicates": """
         SELECT s3_bucket_url, count(*) AS n_rows FROM bucket_map GROUP BY s3_bucket_url HAVING count(*) > 1""",

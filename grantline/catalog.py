@@ -23,12 +23,18 @@ from grantline.operators import (
     volumes,
 )
 from grantline.plans.allowlist import allowlist_update
-from grantline.plans.governance import Governance, governance_export, public_principals
+from grantline.plans.governance import (
+    Governance,
+    governance_export,
+    load_governance,
+    public_principals,
+    save_governance,
+)
 from grantline.plans.locations import LocationPlan, location_document, plan_locations
 from grantline.plans.privileges import acl_document
 from grantline.plans.volumes import volume_document
-from grantline.sinks.shared import shared_folder, stage
-from grantline.sinks.tables import row_counts, save_table
+from grantline.sinks.shared import shared_folder
+from grantline.sinks.tables import row_counts
 from grantline.sinks.text import write_document
 from grantline.sources.principals import all_principals, read_principals
 from grantline.sources.storage import first_level_folders
@@ -39,7 +45,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 CREDENTIAL = "new_credential"
 DEFAULT_CATALOG, DEFAULT_SCHEMA = "main", "landing"
 ANY_LIBRARY = "jar/maven"
-LIST_SIZE = 50
 
 _QUERIES: dict[str, Query] = {}
 
@@ -170,7 +175,11 @@ def role_filter(fx: Fixtures) -> DataFrame:
 
 @_query
 def role_path_lists(fx: Fixtures) -> DataFrame:
-    return fx.policy_exports().path_lists().select(
+    return _lists(fx.policy_exports().path_lists())
+
+
+def _lists(path_lists: DataFrame) -> DataFrame:
+    return path_lists.select(
         "role_name",
         "policy_arn",
         _joined("s3_paths", "s3_paths", "|"),
@@ -224,10 +233,28 @@ def governance_export_(fx: Fixtures) -> DataFrame:
 
 @_query
 def governance_roundtrip(fx: Fixtures) -> DataFrame:
+    return query_table(fx.spark, _saved_tables(fx)[0])
+
+
+def _saved_tables(fx: Fixtures) -> tuple[str, str]:
     folder = shared_folder(fx.spark)
-    name = f"spark_catalog.default.governance_{folder.rsplit('-', 1)[-1]}"
-    save_table(_governance(fx).access, name, folder)
-    return query_table(fx.spark, name)
+    run = folder.rsplit("/", 1)[-1]
+    names = f"spark_catalog.default.access_{run}", f"spark_catalog.default.path_lists_{run}"
+    save_governance(_governance(fx), *names, folder)
+    return names
+
+
+@_query
+def governance_lists_roundtrip(fx: Fixtures) -> DataFrame:
+    return _lists(load_governance(fx.spark, *_saved_tables(fx)).path_lists)
+
+
+@_query
+def saved_location_document(fx: Fixtures) -> DataFrame:
+    return location_document(
+        load_governance(fx.spark, *_saved_tables(fx)), fx.locations(), fx.buckets(), create_new=True,
+        credential_name=CREDENTIAL,
+    )
 
 
 @_query
@@ -265,8 +292,7 @@ def location_access_anchored(fx: Fixtures) -> DataFrame:
 
 
 def _uncovered(fx: Fixtures) -> DataFrame:
-    patterns = stage(_patterns(fx))
-    return access.uncovered_patterns(patterns, access.pattern_locations(patterns, fx.locations()))
+    return access.unregistered_patterns(_patterns(fx), fx.locations())
 
 
 @_query
@@ -426,10 +452,9 @@ def object_grants(fx: Fixtures) -> DataFrame:
     def lists(name: str) -> Column:
         return _joined(F.transform(name, lambda v: F.array_join(v, ",")), name, ";")
 
-    return privileges.object_grants(fx.grants(), list_size=LIST_SIZE).select(
+    return privileges.object_grants(fx.grants()).select(
         "object_type",
         "object_name",
-        "n_lists",
         "list_no",
         _joined("principals", "principals", ";"),
         lists("privileges"),
@@ -455,7 +480,7 @@ def hcl_acl_document(fx: Fixtures) -> DataFrame:
 @_query
 def hcl_text_roundtrip(fx: Fixtures) -> DataFrame:
     path = shared_folder(fx.spark)
-    write_document(acl_document(fx.grants()), path)
+    write_document(acl_document(fx.grants()), path, n_files=4)
     lines = fx.spark.read.text(path)
     return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n_lines"))
 
@@ -491,6 +516,16 @@ def allowlist_delta(fx: Fixtures) -> DataFrame:
     return _delta(fx)
 
 
+@_query
+def allowlist_delta_jar(fx: Fixtures) -> DataFrame:
+    return allowlist.allowlist_delta(allowlist.classify_libraries(fx.libraries()), fx.allowlist(), "jar")
+
+
+@_query
+def allowlist_delta_maven(fx: Fixtures) -> DataFrame:
+    return allowlist.allowlist_delta(allowlist.classify_libraries(fx.libraries()), fx.allowlist(), "maven")
+
+
 @_query
 def allowlist_desired(fx: Fixtures) -> DataFrame:
     artifacts = allowlist.classify_libraries(fx.libraries())
@@ -538,4 +573,20 @@ def sanitize_labels(fx: Fixtures) -> DataFrame:
 @_query
 def label_collisions(fx: Fixtures) -> DataFrame:
     artifacts = _names(allowlist.classify_libraries(fx.libraries()), "artifact", "artifact")
-    return audit.label_collisions(_labelled(fx).unionByName(artifacts))
+    others = _labelled(fx).filter("kind <> 'principal'").unionByName(artifacts).withColumn("owner", F.lit(""))
+    holders = public_principals(fx.principals()).select(
+        F.lit("principal").alias("kind"), F.col("principal_display_name").alias("name"),
+        principals.grantee().alias("owner"),
+    )
+    named = _volumes(fx).select(
+        F.lit("volume").alias("kind"), F.concat_ws("_", "ext_loc_label", "volume_label").alias("name"),
+        F.concat_ws("\n", "s3_bucket_url", "volume", "catalog_name", "schema_name").alias("owner"),
+    )
+    return audit.label_collisions(others.unionByName(holders).unionByName(named))
+
+
+@_query
+def incomplete_blocks(fx: Fixtures) -> DataFrame:
+    return audit.incomplete_blocks(
+        fx.unfinished_locations(), "location", "ext_loc_name", ["url", "credential_name"]
+    )

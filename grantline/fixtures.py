@@ -64,8 +64,11 @@ class Fixtures:
         email = _member(f"concat('u', {key}, '@example.com')")
         arn = (
             "concat('arn:aws:iam::123456789012:instance-profile/ip-',"
-            f" (cast({key} AS bigint) * 7 + n * 13) % 25)"
+            f" (cast({key} AS bigint) * 7 + n * (13 + cast({key} AS bigint) div 25)) % 25)"
         )
+        # Some users share their name with another one.
+        if kind == "USER":
+            name = "if(c_custkey % 400 = 399, concat('Twin ', c_custkey div 800), c_name)"
         application = f"concat('app-', {key})" if kind == "SERVICE_PRINCIPAL" else "cast(null AS string)"
         records = self.table(table).selectExpr(
             f"{name} AS displayName",
@@ -102,19 +105,17 @@ class Fixtures:
             CASE p_size % 5
               WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
               WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
-              WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), '-*/*')
+              WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), if(p_partkey % 3 = 0, '-brand-???', '-*/*'))
               WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
               ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END"""
-        return (
-            self.table("part")
-            .filter("p_partkey % 25 < 20 OR p_partkey < 100")
-            .selectExpr(
-                "concat('role-', p_partkey % 25) AS role_name",
-                "concat('pol-', p_partkey % 50) AS policy_arn",
-                "p_partkey AS ord",
-                "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
-                f"{resource} AS resource",
-            )
+        # Roles 20 to 24 have a few parts only; the others share theirs.
+        role = "if(p_partkey % 25 < 20 OR p_partkey < 100, p_partkey % 25, p_partkey % 20)"
+        return self.table("part").selectExpr(
+            f"concat('role-', {role}) AS role_name",
+            f"concat('pol-', p_partkey % 50, '-', {role}) AS policy_arn",
+            "p_partkey AS ord",
+            "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
+            f"{resource} AS resource",
         )
 
     def _policy_documents(self) -> DataFrame:
@@ -141,17 +142,20 @@ class Fixtures:
                '}') AS document""",
         )
 
-    def _broken_documents(self) -> DataFrame:
-        """Every 1000th part gives a policy whose document is cut off."""
-        return self.table("part").filter("p_partkey % 1000 = 0").selectExpr(
-            "concat('role-', p_partkey % 25) AS role_name",
-            "concat('broken-', p_partkey) AS policy_arn",
-            """'{"Version":"2012-10-17","Statement":[' AS document""",
+    def _odd_documents(self) -> DataFrame:
+        """Of every 100 parts, one gives a policy whose document is cut off, one a policy without a
+        document, and one a policy that names what it leaves out, held by a role that has no other."""
+        return self.table("part").filter("p_partkey % 100 < 3").selectExpr(
+            "if(p_partkey % 100 = 2, concat('lone-', p_partkey), concat('role-', p_partkey % 25)) AS role_name",
+            "concat(array('broken-', 'missing-', 'except-')[p_partkey % 100], p_partkey) AS policy_arn",
+            """CASE p_partkey % 100 WHEN 0 THEN '{"Version":"2012-10-17","Statement":['
+                 WHEN 2 THEN concat('{"Version":"2012-10-17","Statement":{"Sid":"e', p_partkey,
+                                    '","Effect":"Allow","NotResource":"arn:aws:s3:::x"}}') END AS document""",
         )
 
     def policy_exports(self) -> PolicyExports:
-        documents = self._policy_documents().unionByName(self._broken_documents())
-        versions = documents.selectExpr(
+        documents = self._policy_documents().unionByName(self._odd_documents())
+        versions = documents.filter("document IS NOT NULL").selectExpr(
             "policy_arn", "stack(2, 'v1', '{}', 'v2', document) AS (version_id, document)"
         )
         return PolicyExports(
@@ -193,26 +197,32 @@ class Fixtures:
         )
 
     def bucket_map(self) -> DataFrame:
-        return self._bucket_keys().filter("k % 4 = 0").selectExpr(
+        """One bucket in four is mapped, some of them twice."""
+        mapped = self._bucket_keys().filter("k % 4 = 0")
+        return mapped.withColumn("copy", F.expr("explode(sequence(0, if(k % 8 = 0, 1, 0)))")).selectExpr(
             "concat('s3://', bucket_name) AS s3_bucket_url",
-            "concat('catalog', k % 3) AS catalog_name",
+            "concat('catalog', (k + copy) % 3) AS catalog_name",
             "concat('schema', k % 5) AS schema_name",
         )
 
     def object_keys(self) -> DataFrame:
-        """Object inventory: orders spread over the first hundred buckets by name."""
-        first = self.buckets().orderBy("bucket_name").limit(100)
-        numbered = first.agg(F.sort_array(F.collect_list("bucket_name")).alias("names")).selectExpr(
-            "posexplode(names) AS (rn, bucket_name)"
-        )
-        path = (
-            "concat('f.', o_orderkey % 6, '/y=', o_orderkey % 4, '/part-', o_orderkey)"
-        )
+        """Object inventory: an order is an object in the bucket of each of its parts."""
+        path = "concat('f.', o_orderkey % 6, '/y=', o_orderkey % 4, '/part-', o_orderkey)"
         objects = self.table("orders").selectExpr(
-            "cast(o_custkey % 100 AS int) AS rn",
-            f"if(o_orderkey % 13 = 0, concat('file-', o_orderkey), {path}) AS object_key",
+            "o_orderkey", f"if(o_orderkey % 13 = 0, concat('file-', o_orderkey), {path}) AS object_key"
+        )
+        places = self.table("lineitem").selectExpr("l_orderkey AS o_orderkey", "l_partkey AS p_partkey")
+        parts = self.table("part").selectExpr("p_partkey", f"{BUCKET} AS bucket_name")
+        return objects.join(places, "o_orderkey").join(parts, "p_partkey").select("bucket_name", "object_key")
+
+    def unfinished_locations(self) -> DataFrame:
+        """Locations to be created, some of which lack a credential or a URL."""
+        return self._bucket_keys().selectExpr(
+            "concat('New ', bucket_name) AS ext_loc_name",
+            "if(k % 7 = 0, null, concat('cred_', k % 3)) AS credential_name",
+            "if(k % 11 = 0, null, concat('s3://', bucket_name)) AS url",
+            "false AS created",
         )
-        return objects.join(numbered, "rn").select("bucket_name", "object_key")
 
     # --- legacy grants ---------------------------------------------------------------------------
     def grants(self) -> DataFrame:
@@ -253,12 +263,13 @@ class Fixtures:
             .selectExpr(
                 "if(p_size % 4 = 0, 'jar', 'maven') AS artifact_type",
                 f"if(p_size % 4 = 0, {JAR}, {MAVEN}) AS artifact",
+                "if(p_partkey % 3 = 0, 'EXACT_MATCH', 'PREFIX_MATCH') AS match_type",
                 "p_partkey",
             )
-            .groupBy("artifact_type", "artifact")
+            .groupBy("artifact_type", "artifact", "match_type")
             .agg(F.min("p_partkey").alias("first_key"))
         )
-        entry = F.expr("struct(artifact, 'PREFIX_MATCH' AS match_type)")
+        entry = F.expr("struct(artifact, match_type)")
         pages = entries.groupBy("artifact_type", F.expr("first_key div 700").alias("page")).agg(
             F.collect_list(entry).alias("artifact_matchers")
         )

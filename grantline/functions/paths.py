@@ -59,6 +59,11 @@ def is_searchable(path: Column) -> Column:
     return ~path.rlike(r"[\\^$|(){}\[\]+]|\?\?\?|\*\?\?")
 
 
+def is_glob(path: Column) -> Column:
+    """Letters, digits and signs of bucket names, and the wildcards ``*`` and ``?`` in any number."""
+    return ~path.rlike(r"[\\^$|(){}\[\]+]")
+
+
 def glob_expression(glob: Column) -> Column:
     """Whole-text regular expression of a wildcard name; everything but ``*`` and ``?`` is literal."""
     literal = F.regexp_replace(glob, r"([^A-Za-z0-9*?])", r"\\$1")

@@ -14,7 +14,7 @@ def label(name: Column) -> Column:
 
 def escape(value: Column) -> Column:
     """Escape a value for a double-quoted string of the document language."""
-    replacements = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("${", "$${"), ("%{", "%%{")]
+    replacements = [("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("${", "$${"), ("%{", "%%{")]
     for plain, escaped in replacements:
         value = F.replace(value, F.lit(plain), F.lit(escaped))
     return value

@@ -3,9 +3,9 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantline.fixed import URL_SCHEME
-from grantline.functions.paths import bucket_name, is_searchable, profile_name
+from grantline.functions.paths import bucket_name, is_glob, is_searchable, profile_name
 from grantline.functions.text import escape, label
-from grantline.operators.matching import match_names, match_urls
+from grantline.operators.matching import match_names, match_urls, unmatched_urls
 from grantline.operators.policies import distinct_paths
 from grantline.operators.principals import grantee
 
@@ -16,6 +16,7 @@ PRINCIPAL = [
     "email_value",
     "application_id",
 ]
+HOLDERS_PER_PART = 20_000
 LOCATION = ["ext_loc_name", "credential_name", "credential_id", "url", "created"]
 
 
@@ -53,31 +54,46 @@ def pattern_locations(patterns: DataFrame, locations: DataFrame, anchored: bool
     By default the path's pattern may match anywhere in the location's URL, so ``s3://a`` also
     matches ``s3://ab``.  ``anchored`` compares whole bucket names.
     """
-    paths = (
-        patterns.select("s3_path", "s3_path_regex").distinct().filter(is_searchable(F.col("s3_path")))
-    )
+    paths = patterns.select("s3_path", "s3_path_regex").distinct()
     if anchored:
-        globs = paths.select("s3_path", bucket_name(F.col("s3_path")).alias("glob"))
+        globs = paths.filter(is_glob(F.col("s3_path"))).select(
+            "s3_path", bucket_name(F.col("s3_path")).alias("glob")
+        )
         buckets = locations.withColumn("bucket_name", bucket_name(F.col("url")))
         return match_names(globs, buckets, "glob", "bucket_name").select("s3_path", *LOCATION)
+    searchable = paths.filter(is_searchable(F.col("s3_path")))
+    return match_urls(searchable, _searched(locations), "searched_url").select("s3_path", *LOCATION)
+
+
+def _searched(locations: DataFrame) -> DataFrame:
     # A proposed location is a whole bucket, which a path with and one without ``/*`` both cover.
     url = F.when(F.col("created"), F.col("url")).otherwise(F.concat("url", F.lit("/")))
-    texts = locations.withColumn("searched_url", url)
-    return match_urls(paths, texts, "searched_url").select("s3_path", *LOCATION)
+    return locations.withColumn("searched_url", url)
 
 
 def uncovered_patterns(patterns: DataFrame, matches: DataFrame) -> DataFrame:
-    """Paths that no registered location matches."""
+    """Paths without a match, where the matches are at hand."""
     return (
         patterns.select("s3_path", "s3_path_regex")
         .distinct()
-        .filter(is_searchable(F.col("s3_path")))
+        .filter(is_glob(F.col("s3_path")))
         .join(matches.select("s3_path").distinct(), "s3_path", "left_anti")
     )
 
 
+def unregistered_patterns(patterns: DataFrame, locations: DataFrame) -> DataFrame:
+    """Paths that no registered location matches, found without forming the matches.
+
+    A path that cannot be searched for as an expression has none.
+    """
+    paths = patterns.select("s3_path", "s3_path_regex").distinct().filter(is_glob(F.col("s3_path")))
+    searchable = is_searchable(F.col("s3_path"))
+    unmatched = unmatched_urls(paths.filter(searchable), _searched(locations), "searched_url")
+    return unmatched.unionByName(paths.filter(~searchable))
+
+
 def unsearchable_paths(patterns: DataFrame) -> DataFrame:
-    """Audit: paths that no bucket can have and no expression can search."""
+    """Audit: paths that cannot be searched for as an expression; only whole names are compared."""
     return patterns.select("s3_path").distinct().filter(~is_searchable(F.col("s3_path")))
 
 
@@ -119,10 +135,11 @@ def reach(
 
     ``holder_columns`` are added per holder, before the holders meet their locations.
 
-    Locations depend on the set of roles only, and few different sets exist.  So the locations of
-    each distinct role set are made unique once, and the holders are joined to their set: the
-    large result (holders x locations) is neither shuffled nor compared for duplicates.  A
-    holder's set has at most as many entries as there are roles.
+    Locations depend on the set of roles only.  So the locations of each distinct role set are made
+    unique once, and the holders are joined to their set: the large result (holders x locations) is
+    neither shuffled nor compared for duplicates.  A holder's set has at most as many entries as there
+    are roles.  A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its
+    locations are repeated for each, so one set is not one join key.
     """
     holders = (
         _holders(governance)
@@ -130,15 +147,25 @@ def reach(
         .agg(F.sort_array(F.collect_set("role_name")).alias("role_set"))
         .withColumns(holder_columns or {})
     )
+    holders = holders.withColumn("set_key", F.xxhash64("role_set"))
+    sets = holders.groupBy("set_key", "role_set").agg(
+        F.ceil(F.count("*") / F.lit(HOLDERS_PER_PART)).cast("int").alias("n_parts")
+    )
     by_set = (
-        holders.select("role_set")
-        .distinct()
-        .withColumn("role_name", F.explode("role_set"))
+        sets.withColumn("role_name", F.explode("role_set"))
         .join(role_locations, "role_name")
         .drop("role_name")
         .distinct()
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
+        .drop("n_parts")
     )
-    return holders.join(by_set, "role_set").drop("role_set")
+    # Only the few large sets have parts; most holders are part 0 without meeting them.
+    large = sets.filter("n_parts > 1").select("set_key", "role_set", "n_parts")
+    spread = F.pmod(F.xxhash64(*[c for c in holders.columns if c not in ("set_key", "role_set")]), F.col("n_parts"))
+    dealt = holders.join(large, ["set_key", "role_set"], "left").withColumn(
+        "part", F.coalesce(spread, F.lit(0)).cast("int")
+    )
+    return dealt.drop("n_parts").join(by_set, ["set_key", "role_set", "part"]).drop("set_key", "role_set", "part")
 
 
 def location_access(governance: DataFrame, role_locations: DataFrame) -> DataFrame:
@@ -150,15 +177,25 @@ def location_grants(governance: DataFrame, role_locations: DataFrame) -> DataFra
     """Locations to grant to each grantee; principals that share name and grantee are one.
 
     Labels and quoted texts are made here, once per holder and once per role's location, and not
-    for each pair of them.
+    for each pair of them.  Holders whose names get the same label are told apart by the first eight
+    hexadecimal digits of the MD5 of name, line feed and grantee.
     """
+    name_label = label(F.col("principal_display_name"))
+    clashing = (
+        _holders(governance)
+        .select("principal_display_name", grantee().alias("grantee")).distinct()
+        .groupBy(name_label.alias("clash")).agg(F.count("*").alias("n")).filter("n > 1").select("clash")
+    )
+    mark = F.substring(F.md5(F.concat_ws("\n", "principal_display_name", "grantee")), 1, 8)
     locations = role_locations.select("role_name", "ext_loc_name", "created").distinct()
-    return reach(
+    reached = reach(
         governance,
         locations.withColumn("ext_loc_label", label(F.col("ext_loc_name"))),
         ["principal_display_name", grantee().alias("grantee")],
-        {
-            "principal_label": label(F.col("principal_display_name")),
-            "grantee_text": escape(F.col("grantee")),
-        },
+        {"name_label": name_label, "grantee_text": escape(F.col("grantee"))},
+    )
+    marked = F.when(F.col("clash").isNull(), F.col("name_label")).otherwise(F.concat_ws("_", "name_label", mark))
+    return (
+        reached.join(clashing, F.col("name_label") == F.col("clash"), "left")
+        .withColumn("principal_label", marked).drop("name_label", "clash")
     )

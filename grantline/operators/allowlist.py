@@ -47,19 +47,21 @@ def allowlist_desired(
 def allowlist_payload(desired: DataFrame) -> DataFrame:
     """The whole list of each type as the text pieces of one JSON document.
 
-    Piece 0 opens the document, piece 2 closes it, the entries stand in between; only the first
-    entry has no comma.  The document is never held in one row.
+    Piece 0 opens the document, piece 2 closes it, the entries stand in between by artifact and match
+    type; only the first entry has no comma.  The document is never held in one row.
     """
     entry = F.struct("artifact", "match_type")
     known = F.col("artifact_type").isin(LIBRARY_TYPES[EVERY_TYPE])
-    entries = desired.filter(known).select("artifact_type", entry.alias("entry")).distinct()
-    firsts = entries.groupBy("artifact_type").agg(F.min("entry").alias("first"))
-    separator = F.when(F.col("entry") == F.col("first"), "").otherwise(",")
+    # The text that orders the entries also says which one is the first.
+    item = F.concat_ws("\n", "artifact", "match_type")
+    entries = desired.filter(known).select("artifact_type", entry.alias("entry"), item.alias("item")).distinct()
+    firsts = entries.groupBy("artifact_type").agg(F.min("item").alias("first"))
+    separator = F.when(F.col("item") == F.col("first"), "").otherwise(",")
     # One row per known type, so never more than two: the entries need not be moved for them.
     body = entries.join(F.broadcast(firsts), "artifact_type").select(
         "artifact_type",
         F.lit(1).alias("part"),
-        F.col("entry.artifact").alias("item"),
+        "item",
         F.concat(separator, F.to_json("entry")).alias("output"),
     )
     edges = firsts.select("artifact_type").withColumn(

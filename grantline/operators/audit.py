@@ -7,9 +7,13 @@ from grantline.functions.text import label
 
 
 def label_collisions(names: DataFrame) -> DataFrame:
-    """Different names (``kind``, ``name``) that get the same label, hence the same block address."""
+    """Names that get the same label, hence the same block address.
+
+    Different names of one ``kind`` count, and so do equal ones of different ``owner``s, such as the
+    principals behind one display name.
+    """
     return (
-        names.select("kind", "name")
+        names.select("kind", "name", "owner")
         .distinct()
         .withColumn("label", label(F.col("name")))
         .groupBy("kind", "label")
@@ -22,6 +26,14 @@ def label_collisions(names: DataFrame) -> DataFrame:
     )
 
 
+def incomplete_blocks(rows: DataFrame, kind: str, subject: str, needed: list[str]) -> DataFrame:
+    """Rows that get no block as a field it needs is missing: ``kind``, ``subject`` and ``missing``."""
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in needed])
+    return rows.select(F.lit(kind).alias("kind"), F.col(subject).alias("subject"), missing.alias("missing")).filter(
+        F.col("missing") != ""
+    )
+
+
 def profile_arns(profiles: DataFrame) -> DataFrame:
     """Profile ARNs in use with the name read from them; NULL where the ARN is not valid."""
     return (

@@ -18,14 +18,24 @@ def match_urls(paths: DataFrame, texts: DataFrame, url: str) -> DataFrame:
     ``paths`` has ``s3_path`` and ``s3_path_regex``, one row each.
     """
     keyed = paths.withColumn("search_key", key_of_path("s3_path"))
-    found_under = texts.filter(F.col(url).isNotNull()).withColumn(
-        "search_key", F.explode(keys_of_url(url))
-    )
-    return (
-        keyed.join(found_under, "search_key")
-        .filter(F.regexp_like(F.col(url), F.col("s3_path_regex")))
-        .drop("search_key")
+    pairs = keyed.join(_found_under(texts, url, keys_of_url), "search_key").filter(
+        F.regexp_like(F.col(url), F.col("s3_path_regex"))
     )
+    return pairs.drop("search_key").join(texts, url)
+
+
+def unmatched_urls(paths: DataFrame, texts: DataFrame, url: str) -> DataFrame:
+    """Paths whose pattern is found in no URL; the search for a path ends with the first hit."""
+    keyed = paths.withColumn("search_key", key_of_path("s3_path"))
+    found_under = _found_under(texts, url, keys_of_url).withColumnRenamed("search_key", "key")
+    hit = (F.col("search_key") == F.col("key")) & F.regexp_like(F.col(url), F.col("s3_path_regex"))
+    return keyed.join(found_under, hit, "left_anti").drop("search_key")
+
+
+def _found_under(texts: DataFrame, name: str, keys) -> DataFrame:
+    """The distinct texts under each of their keys; other columns are joined back to the matches."""
+    wanted = texts.select(name).filter(F.col(name).isNotNull()).distinct()
+    return wanted.withColumn("search_key", F.explode(keys(name)))
 
 
 def match_names(globs: DataFrame, names: DataFrame, glob: str, name: str) -> DataFrame:
@@ -33,11 +43,7 @@ def match_names(globs: DataFrame, names: DataFrame, glob: str, name: str) -> Dat
     keyed = globs.withColumns(
         {"search_key": key_of_glob(glob), "search_regex": glob_expression(F.col(glob))}
     )
-    found_under = names.filter(F.col(name).isNotNull()).withColumn(
-        "search_key", F.explode(keys_of_name(name))
-    )
-    return (
-        keyed.join(found_under, "search_key")
-        .filter(F.regexp_like(F.col(name), F.col("search_regex")))
-        .drop("search_key", "search_regex")
+    pairs = keyed.join(_found_under(names, name, keys_of_name), "search_key").filter(
+        F.regexp_like(F.col(name), F.col("search_regex"))
     )
+    return pairs.drop("search_key", "search_regex").join(names, name)

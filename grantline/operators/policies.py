@@ -6,15 +6,23 @@ from grantline.fixed import BUCKET_ARN_PREFIX, MIN_PATHS_PER_ROLE
 from grantline.functions.paths import names_bucket, path_of_resource, path_pattern
 
 
-def policy_resources(statements: DataFrame) -> DataFrame:
-    """One row per resource of each statement of parsed documents."""
+def statement_resources(statements: DataFrame) -> DataFrame:
+    """One row per resource of each statement of parsed documents; a NULL for a statement without."""
     others = [c for c in statements.columns if c not in ("readable", "statements")]
     return (
         statements.select(*others, F.explode("statements").alias("statement"))
-        .select(*others, "statement.sid", "statement.effect", F.explode("statement.resources").alias("resource"))
+        .select(
+            *others, "statement.sid", "statement.effect",
+            F.explode_outer("statement.resources").alias("resource"),
+        )
     )
 
 
+def policy_resources(statements: DataFrame) -> DataFrame:
+    """One row per resource of each statement of parsed documents."""
+    return statement_resources(statements).filter(F.col("resource").isNotNull())
+
+
 def allowed(resources: DataFrame) -> DataFrame:
     return resources.filter(F.col("effect") == "Allow")
 
@@ -76,27 +84,41 @@ def role_paths(path_lists: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE) -> Da
 def dropped_resources(
     attached: DataFrame, statements: DataFrame, min_paths: int = MIN_PATHS_PER_ROLE
 ) -> DataFrame:
-    """Audit: resources, documents and roles that lead to no path, and why."""
+    """Audit: resources, documents and roles that lead to no path, and why.
+
+    ``no_document``: an attached policy without a default version's document; ``no_resource``: a
+    statement that names no resource, for instance by ``NotResource``; its subject is the statement.
+    """
     resource = F.col("resource")
     reason = (
         F.when(F.coalesce(F.col("effect") != "Allow", F.lit(True)), "not_allowed")
+        .when(resource.isNull(), "no_resource")
         .when(~resource.startswith(BUCKET_ARN_PREFIX), "not_storage")
         .when(~names_bucket(resource), "inside_bucket")
     )
-    resources = attached.join(policy_resources(statements), "policy_arn").select(
-        "role_name", "policy_arn", resource.alias("subject"), reason.alias("reason")
+    subject = F.coalesce(resource, "sid", F.lit(""))
+    resources = attached.join(statement_resources(statements), "policy_arn").select(
+        "role_name", "policy_arn", subject.alias("subject"), reason.alias("reason")
+    )
+    without = attached.join(statements, "policy_arn", "left_anti").select(
+        "role_name", "policy_arn", F.lit("").alias("subject"), F.lit("no_document").alias("reason")
     )
     unreadable = attached.join(statements.filter(~F.col("readable")), "policy_arn").select(
         "role_name", "policy_arn", F.lit("").alias("subject"), F.lit("unreadable_document").alias("reason")
     )
+    counted = role_path_counts(role_path_lists(attached, statements), 1)
+    n_paths = F.coalesce("n_paths", F.lit(0))
     few = (
-        role_path_counts(role_path_lists(attached, statements), 1)
-        .filter(F.col("n_paths") < min_paths)
+        attached.select("role_name").distinct().join(counted, "role_name", "left")
+        .filter(n_paths < min_paths)
         .select(
             "role_name",
             F.lit("").alias("policy_arn"),
-            F.col("n_paths").cast("string").alias("subject"),
+            n_paths.cast("string").alias("subject"),
             F.lit("too_few_paths").alias("reason"),
         )
     )
-    return resources.filter(F.col("reason").isNotNull()).unionByName(unreadable).unionByName(few)
+    return (
+        resources.filter(F.col("reason").isNotNull())
+        .unionByName(without).unionByName(unreadable).unionByName(few)
+    )

@@ -12,14 +12,15 @@ def with_roles(records: DataFrame) -> DataFrame:
 def dedupe_principals(records: DataFrame) -> DataFrame:
     """One record per kind, name and id.
 
-    Overlapping pages repeat whole records.  Should two records of one principal differ, the
-    smallest is taken, so that reruns agree.
+    Overlapping pages repeat whole records.  Should two records of one principal differ, the one with
+    the smallest hash is taken, so that reruns agree.
     """
     key = ["principal_type", "displayName", "id"]
     rest = [c for c in records.columns if c not in key]
-    return (
-        records.groupBy(*key).agg(F.min(F.struct(*rest)).alias("record")).select(*key, "record.*")
-    )
+    hashed = records.distinct().withColumn("record", F.xxhash64(*rest))
+    chosen = hashed.groupBy(*key).agg(F.min("record").alias("chosen"))
+    same = [hashed[c].eqNullSafe(chosen[c]) for c in key] + [hashed["record"] == chosen["chosen"]]
+    return hashed.join(chosen, same, "left_semi").drop("record").select(*key, *rest)
 
 
 def project_principals(records: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from grantline.functions.privileges import PrivilegeSet, object_name, object_type
 
 SUBJECT = ["catalog", "database", "table", "view"]
+LISTS_PER_OBJECT = 16
 GROUP = ["principal", "object_type", "object_name"]
 
 
@@ -60,28 +61,26 @@ def grantable(grants: DataFrame, privileges: PrivilegeSet | None = None) -> Data
 
 
 def object_grants(
-    grants: DataFrame, privileges: PrivilegeSet | None = None, list_size: int = 1000
+    grants: DataFrame, privileges: PrivilegeSet | None = None, n_lists: int = LISTS_PER_OBJECT
 ) -> DataFrame:
     """Parallel lists of principals, privileges and legacy privileges per object.
 
-    An object may have any number of principals, so its lists are split by a hash of the principal
-    into ``n_lists`` parts of about ``list_size`` entries.  No entry is lost, and no row or task
-    ever has to hold all principals of one object: the parts are spread before they are collected.
+    An object may have any number of principals, so its lists are always split by a hash of the
+    principal into ``n_lists`` parts: give as many as keep a part of the largest object small.  Parts
+    without an entry have no row.  No row or task holds all principals of one object: the parts are
+    spread before they are collected.
     """
-    rows = grantable(grants, privileges)
     key = ["object_type", "object_name"]
-    sizes = rows.groupBy(*key).agg(F.ceil(F.count("*") / F.lit(list_size)).alias("n_lists"))
     digest = F.conv(F.substring(F.md5(F.col("principal")), 1, 8), 16, 10).cast("bigint")
     entry = F.struct("principal", "privileges", "legacy_privileges")
     return (
-        rows.join(sizes, key)
-        .withColumn("list_no", F.pmod(digest, F.col("n_lists")))
+        grantable(grants, privileges)
+        .withColumn("list_no", F.pmod(digest, F.lit(n_lists)))
         .repartition(*key, "list_no")
-        .groupBy(*key, "n_lists", "list_no")
+        .groupBy(*key, "list_no")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .select(
             *key,
-            "n_lists",
             "list_no",
             F.col("entries.principal").alias("principals"),
             F.col("entries.privileges").alias("privileges"),

@@ -2,12 +2,14 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from grantline.fixed import MIN_PATHS_PER_ROLE
 from grantline.operators import access, policies as policy, principals as principal
 from grantline.sinks.shared import stage
+from grantline.sinks.tables import save_table
 from grantline.sources.policies import default_documents, parse_documents
+from grantline.sources.tables import read_table
 
 
 @dataclass(frozen=True)
@@ -54,6 +56,16 @@ def public_principals(
     return principal.filter_by_name(public, name_filter)
 
 
+def save_governance(governance: Governance, access_table: str, lists_table: str, folder: str | None = None) -> None:
+    """Save both relations as tables, in ``folder`` if one is given."""
+    save_table(governance.access, access_table, f"{folder}/access" if folder else None)
+    save_table(governance.path_lists, lists_table, f"{folder}/path_lists" if folder else None)
+
+
+def load_governance(spark: SparkSession, access_table: str, lists_table: str) -> Governance:
+    return Governance(read_table(spark, access_table), read_table(spark, lists_table))
+
+
 def governance_export(
     records: DataFrame,
     exports: PolicyExports,
@@ -63,9 +75,11 @@ def governance_export(
     min_paths: int = MIN_PATHS_PER_ROLE,
     staged: bool = False,
 ) -> Governance:
-    """``staged``: the access relation, which later steps read repeatedly, is written once now."""
+    """``staged``: both relations, which later steps read repeatedly, are written once now."""
     profiles = principal.principal_profiles(public_principals(records, principal_type, name_filter))
     lists = exports.path_lists(role_filter)
+    if staged:
+        lists = stage(lists)
     counts = policy.role_path_counts(lists, min_paths)
     rows = access.governance(profiles, exports.profile_roles, counts)
     return Governance(stage(rows) if staged else rows, lists)

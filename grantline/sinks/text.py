@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 
 from grantline.fixed import DOCUMENT_PREFIXES
 from grantline.schemas import DOCUMENT_ORDER
-from grantline.sinks.shared import stage
-
-ROWS_PER_FILE = 1_000_000
-
 
 def document_path(folder: str, kind: str, at: datetime.datetime | None = None) -> str:
     at = at or datetime.datetime.now()
@@ -17,20 +13,20 @@ def document_path(folder: str, kind: str, at: datetime.datetime | None = None) -
 
 
 def write_document(
-    document: DataFrame,
-    path: str,
-    order: list[str] = DOCUMENT_ORDER,
-    rows_per_file: int = ROWS_PER_FILE,
+    document: DataFrame, path: str, order: list[str] = DOCUMENT_ORDER, n_files: int = 1
 ) -> None:
-    """Write the pieces of a document in order.
+    """Write the pieces of a document in order, in ``n_files`` parts whatever its size.
 
-    Up to ``rows_per_file`` pieces make a single file.  A larger document is range-partitioned, so
-    each task writes one part and the parts in name order are the document.
+    The parts in name order are the document.  All pieces of a block are in one part, so each part is
+    made of whole blocks.  A part is sorted by one task, which may spill.
     """
-    pieces = stage(document.select(*order, "output"))
-    n_files = -(-pieces.count() // rows_per_file)
-    if n_files > 1:
-        placed = pieces.repartitionByRange(n_files, *order)
-    else:
-        placed = pieces.repartition(1)
+    keys = order[: order.index("part")]
+    pieces = document.select(*order, "output")
+    placed = pieces.repartitionByRange(n_files, *keys) if n_files > 1 else pieces.repartition(1)
     placed.sortWithinPartitions(*order).select("output").write.mode("overwrite").text(path)
+
+
+def write_allowlist(payload: DataFrame, path: str) -> None:
+    """Write one valid JSON document per artifact type, below ``path/artifact_type=...``."""
+    placed = payload.repartition("artifact_type").sortWithinPartitions("artifact_type", "part", "item")
+    placed.select("artifact_type", "output").write.mode("overwrite").partitionBy("artifact_type").text(path)

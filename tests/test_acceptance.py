@@ -16,11 +16,11 @@ def run(spark, name):
     "name, count",
     [
         ("governance_export", 272),
-        ("location_access", 927),
-        ("uncovered_patterns", 13),
-        ("new_location_proposals", 13),
+        ("location_access", 992),
+        ("uncovered_patterns", 26),
+        ("new_location_proposals", 21),
         ("volumes", 54),
-        ("allowlist_delta", 110),
+        ("allowlist_delta", 115),
     ],
 )
 def test_row_counts(spark, name, count):
@@ -47,6 +47,20 @@ def test_document_blocks_fit_together(spark):
     document.unpersist()
 
 
+@pytest.mark.parametrize(
+    "name", ["bucket_map_duplicates", "unsearchable_paths", "incomplete_blocks", "allowlist_delta_jar", "allowlist_delta_maven"]
+)
+def test_checks_are_not_empty(spark, name):
+    assert run(spark, name).count() > 0
+
+
+def test_every_reason_of_a_dropped_resource_occurs(spark):
+    reasons = {r.reason for r in run(spark, "dropped_resources").select("reason").distinct().collect()}
+    assert reasons == {
+        "not_allowed", "not_storage", "inside_bucket", "unreadable_document", "no_document", "no_resource", "too_few_paths",
+    }
+
+
 def test_no_grant_without_privileges(spark):
     grants = run(spark, "hcl_object_grants").filter("part = 1")
     assert grants.count() > 0

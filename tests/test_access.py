@@ -98,6 +98,7 @@ def test_uncovered_and_covered_patterns_make_up_all_patterns(spark, rows):
     patterns = access.governance_patterns(g.access, g.path_lists)
     matches = access.pattern_locations(patterns, locations(spark, "s3://a/x"))
     uncovered = access.uncovered_patterns(patterns, matches)
+    assert rows(access.unregistered_patterns(patterns, locations(spark, "s3://a/x"))) == rows(uncovered)
     assert rows(matches, "s3_path") == [("s3://a",)]
     assert rows(uncovered, "s3_path") == [("s3://b",), ("s3://c*",)]
     assert rows(access.unsearchable_paths(patterns)) == [("s3://${x}",)]
@@ -230,3 +231,37 @@ def test_hot_role_set_is_split_between_tasks(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_question_marks_match_whole_names_and_are_proposed(spark, rows):
+    g = governance(spark, [("USER", "ann", None, None, "r")], [("r", ["s3://logs-???", "s3://log-?"])])
+    patterns = access.governance_patterns(g.access, g.path_lists)
+    found = access.pattern_locations(patterns, locations(spark, "s3://logs-abc", "s3://log-a"), anchored=True)
+    assert rows(found, "s3_path", "url") == [("s3://log-?", "s3://log-a"), ("s3://logs-???", "s3://logs-abc")]
+    uncovered = access.unregistered_patterns(patterns, locations(spark, "s3://log-a"))
+    assert ("s3://logs-???",) in rows(uncovered, "s3_path")
+    proposed = access.proposed_locations(uncovered, buckets(spark, "logs-xyz", "logs-long"), "c")
+    assert rows(proposed.filter("s3_path = 's3://logs-???'"), "url") == [("s3://logs-xyz",)]
+
+
+def test_namesakes_have_addresses_of_their_own(spark):
+    g = governance(
+        spark,
+        [("USER", "Ann Lee", "a@x", None, "r"), ("USER", "Ann Lee", "b@x", None, "r"), ("USER", "bob", "c@x", None, "r")],
+        [("r", ["s3://a"])],
+    )
+    plan = plan_locations(g, locations(spark, "s3://a"))
+    labels = [r.principal_label for r in access.location_grants(g.access, plan.role_locations).collect()]
+    assert len(set(labels)) == 3 and "bob" in labels
+    assert all(label == "bob" or label.startswith("ann_lee_") for label in labels)
+
+
+def test_a_role_set_of_many_holders_is_divided_with_default_limits(spark, monkeypatch):
+    monkeypatch.setattr(access, "HOLDERS_PER_PART", 100)
+    holders = spark.range(1000).selectExpr(
+        "'USER' AS principal_type", "cast(id AS string) AS principal_id", "concat('u', id) AS principal_display_name",
+        "cast(null AS string) AS email_value", "cast(null AS string) AS application_id", "'r' AS role_name",
+    )
+    reached = access.reach(holders, spark.createDataFrame([("r", "loc")], "role_name string, ext_loc_name string"), ["principal_id"])
+    assert reached.count() == 1000 and reached.distinct().count() == 1000
+    assert "part" in reached._jdf.queryExecution().analyzed().toString()

@@ -62,6 +62,7 @@ def test_only_allowed_whole_buckets_count(spark, rows):
     assert rows(e.path_lists(), "s3_paths") == [(["s3://x", "s3://y/*", "s3://v*/*"],)]
     dropped = policies.dropped_resources(e.attached, e.statements(), min_paths=1)
     assert rows(dropped, "subject", "reason") == [
+        ("", "no_resource"),
         ("*", "not_storage"),
         (S3 + "m", "not_allowed"),
         (S3 + "no", "not_allowed"),

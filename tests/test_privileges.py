@@ -104,9 +104,9 @@ def test_rows_without_principal_or_privilege_give_no_grant_but_are_reported(spar
 def test_lists_of_an_object_are_parallel_bounded_and_whole(spark):
     data = [on_table(f"u{n}", ["SELECT", "MODIFY"][n % 2]) for n in range(500)]
     data += [on_table("solo", "SELECT", "other")]
-    lists = privileges.object_grants(grants(spark, *data), list_size=50).collect()
+    lists = privileges.object_grants(grants(spark, *data), n_lists=10).collect()
     hot = [row for row in lists if row.object_name == "c.d.t"]
-    assert {row.n_lists for row in hot} == {10} and len(hot) == 10
+    assert {row.list_no for row in hot} == set(range(10)) and len(hot) == 10
     assert max(len(row.principals) for row in hot) < 100
     pairs = {}
     for row in hot:

@@ -1,4 +1,6 @@
 import datetime
+import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,10 @@ from grantline.plans.arguments import volume_path
 from grantline.schemas import DOCUMENT_ORDER
 from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import row_counts, save_table, with_row_count
-from grantline.sinks.text import document_path, write_document
+from grantline.operators.allowlist import allowlist_payload
+from grantline.plans import files
+from grantline.plans.privileges import acl_document
+from grantline.sinks.text import document_path, write_allowlist, write_document
 from grantline.sources.tables import query_table, read_table, table_name
 
 
@@ -42,12 +47,52 @@ def test_small_document_is_one_ordered_file(spark, tmp_path):
 
 
 def test_large_document_is_several_files_in_order(spark, tmp_path):
-    write_document(document(spark, 300), str(tmp_path / "a.tf"), rows_per_file=80)
+    write_document(document(spark, 300), str(tmp_path / "a.tf"), n_files=4)
     parts, text = written(tmp_path / "a.tf")
     assert 2 <= len(parts) <= 4
     assert text == expected(300)
 
 
+def test_parts_hold_whole_blocks(spark, tmp_path):
+    data = spark.range(4000).selectExpr(
+        "concat('u', id) AS principal", "'SELECT' AS action_type", "concat('c', id % 7) AS catalog",
+        "cast(null AS string) AS database", "cast(null AS string) AS table", "cast(null AS string) AS view",
+    )
+    write_document(acl_document(data), str(tmp_path / "acl.tf"), n_files=3)
+    parts, text = written(tmp_path / "acl.tf")
+    assert len(parts) > 1 and text.count("principal") >= 4000
+    for part in parts:
+        content = part.read_text()
+        assert content.count("{") == content.count("}")
+
+
+def test_allowlist_documents_are_valid_json(spark, tmp_path):
+    desired = spark.createDataFrame(
+        [("jar", "s3://a", "EXACT_MATCH"), ("jar", "s3://a", "PREFIX_MATCH"), ("jar", "s3://a b", "PREFIX_MATCH"), ("maven", "g:a:1", "PREFIX_MATCH")],
+        "artifact_type string, artifact string, match_type string",
+    )
+    write_allowlist(allowlist_payload(desired.repartition(4)), str(tmp_path / "allow"))
+    found = {}
+    for folder in (tmp_path / "allow").glob("artifact_type=*"):
+        entries = json.loads(written(folder)[1])["artifact_matchers"]
+        found[folder.name.split("=")[1]] = [(e["artifact"], e["match_type"]) for e in entries]
+    assert sorted(found["jar"]) == [("s3://a", "EXACT_MATCH"), ("s3://a", "PREFIX_MATCH"), ("s3://a b", "PREFIX_MATCH")]
+    assert found["maven"] == [("g:a:1", "PREFIX_MATCH")]
+
+
+def test_a_document_from_table_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "volume_path", lambda path: path)
+    name = f"spark_catalog.default.grants_{tmp_path.name.replace('-', '_')}"
+    grants = spark.createDataFrame(
+        [("u", "SELECT", "c", None, None, None)],
+        "principal string, action_type string, catalog string, database string, table string, view string",
+    )
+    save_table(grants, name, str(tmp_path / "table"))
+    path, n_pieces = files.write_grants(spark, name, str(tmp_path / "out"))
+    assert n_pieces == 4
+    assert '"u"' in "".join(p.read_text() for p in Path(path).glob("part-*"))
+
+
 def test_rerun_writes_the_same_bytes(spark, tmp_path):
     for name in ("a", "b"):
         write_document(document(spark, 100), str(tmp_path / name))

@@ -173,10 +173,13 @@ def test_payload_pieces_form_one_json_document_per_type(spark):
 
 
 def test_labels_and_their_collisions(spark, rows):
-    names = [("location", "A b"), ("location", "a-b"), ("location", "a-b"), ("location", "c"), ("volume", "a b")]
-    frame = spark.createDataFrame(names, "kind string, name string")
-    assert rows(frame.select(label(F.col("name"))).distinct()) == [("a_b",), ("c",)]
-    assert rows(audit.label_collisions(frame)) == [("location", "a_b", 2, "A b", "a-b")]
+    names = [("location", "A b", ""), ("location", "a-b", ""), ("location", "a-b", ""), ("location", "c", ""), ("volume", "a b", ""),
+             ("principal", "ann", "a@x"), ("principal", "ann", "b@x")]
+    frame = spark.createDataFrame(names, "kind string, name string, owner string")
+    assert rows(frame.select(label(F.col("name"))).distinct()) == [("a_b",), ("ann",), ("c",)]
+    assert rows(audit.label_collisions(frame)) == [
+        ("location", "a_b", 2, "A b", "a-b"), ("principal", "ann", 2, "ann", "ann"),
+    ]
 
 
 def test_escaping(spark):
