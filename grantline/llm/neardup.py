@@ -9,10 +9,11 @@ p = 1 - (1 - s p)**2 times s, and independent trees are added until the chance o
 ``miss``.
 
 A group of many similar texts stays together at every level, so a large node is also compared with some
-of its texts, the hubs: every slice of the node meets all hubs.  What they link is joined before the next
-level, nodes whose texts are all in one component are dropped, and in the others only texts outside the
-node's largest component become hubs.  A hub has met all texts of its node and leaves it, so nodes shrink
-even where nothing else divides them, and every pair that meets in a node is compared or already joined.
+of its texts, the hubs: blocks of hubs meet each other and all other blocks of the node, a cell each.
+What they link is joined before the next level, nodes whose texts are all in one component are dropped,
+and in the others only texts outside the node's largest component become hubs: all of them up to
+``hubs``, then a share.  A hub has met all texts of its node and leaves it, so nodes shrink even where
+nothing else divides them, and every pair that meets in a node is compared or already joined.
 """
 
 import math
@@ -78,16 +79,19 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
         out: list[tuple] = []
         for rows in runs(frames, "cell"):
             ids, labels, hub = rows["id"].to_numpy(), rows["label"].to_numpy(), rows["is_hub"].to_numpy()
+            side, two, goes_on = rows["side"].to_numpy(), rows["two"].to_numpy()[0], rows["goes_on"].to_numpy()
             sets = shingle_sets(encoded(rows["text"]), shingle_size)
-            at = np.flatnonzero(hub)
-            if len(at):
+            at = np.flatnonzero(hub & (side == 0))
+            others = np.flatnonzero(side == 1) if two else np.arange(len(rows))
+            if len(at) and len(others):
                 known = np.unique(np.concatenate([sets[h] for h in at]))
                 holds = np.zeros((len(known), len(at)), bool)
                 for column, h in enumerate(at):
                     holds[np.searchsorted(known, sets[h]), column] = True
                 size = np.array([len(sets[h]) for h in at])
                 pairs = []
-                for row, own in enumerate(sets):
+                for row in others:
+                    own = sets[row]
                     place = np.minimum(np.searchsorted(known, own), len(known) - 1)
                     place = place[known[place] == own]
                     common = holds[place].sum(axis=0)
@@ -95,18 +99,17 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
                     linked &= labels[at] != labels[row]
                     pairs += [(ids[row], ids[h]) for h in at[linked] if ids[h] != ids[row]]
                 out += [(0, x, root, 0, 0) for x, root in spanning(pairs).items() if x != root]
-            if not rows["done"].iloc[0]:
+            rest = np.flatnonzero(goes_on & np.array([len(s) > 0 for s in sets]))
+            if len(rest):
                 depth, node = int(rows["depth"].iloc[0]), rows["node"].to_numpy()[:1].view(np.uint64)
-                rest = np.flatnonzero(~hub & np.array([len(s) > 0 for s in sets]))
-                if len(rest) and depth < max_depth:
-                    values = np.concatenate([sets[r] for r in rest])
-                    sizes = np.array([len(sets[r]) for r in rest])
-                    for child in range(2):
-                        seed = mixed(node * _CHILD[child] + _CHILD[2])[0]
-                        nodes = _least(values, np.cumsum(sizes) - sizes, seed).view(np.int64)
-                        out += [(1, ids[r], n, s, depth + 1) for r, n, s in zip(rest, nodes, sizes)]
-                else:
-                    out += [(1, ids[r], int(rows["node"].iloc[0]), len(sets[r]), depth) for r in rest]
+                values = np.concatenate([sets[r] for r in rest])
+                sizes = np.array([len(sets[r]) for r in rest])
+                for child in range(2 if depth < max_depth else 0):
+                    seed = mixed(node * _CHILD[child] + _CHILD[2])[0]
+                    nodes = _least(values, np.cumsum(sizes) - sizes, seed).view(np.int64)
+                    out += [(1, ids[r], n, s, depth + 1) for r, n, s in zip(rest, nodes, sizes)]
+                if depth >= max_depth:
+                    out += [(1, ids[r], node.view(np.int64)[0], s, depth) for r, s in zip(rest, sizes)]
             if len(out) > 50_000:
                 yield pd.DataFrame(out, columns=["kind", "a", "b", "n", "depth"])
                 out = []
@@ -117,30 +120,53 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
 
 
 def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs: int) -> DataFrame:
-    """The rows of nodes that still hold several components, dealt to cells."""
+    """The rows of nodes that still hold several components, dealt to cells.
+
+    A small node is one cell.  In others, hubs and the remaining texts are dealt to blocks, and a cell is
+    a block of hubs with itself, with another block of hubs (side 1), or with a block of the others.
+    """
     rows = frontier.withColumn("weight", 1 + F.col("n") / 1024)
     if joined is None:
         rows = rows.withColumn("label", F.col("id"))
     else:
         rows = rows.join(joined, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
     by_label = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("w"))
+    outside = F.col("w_all") - F.col("w_major")
     nodes = (
         by_label.groupBy("node")
         .agg(F.sum("c").alias("n_all"), F.sum("w").alias("w_all"), F.max_by("label", "c").alias("major"),
              F.max("c").alias("c_major"), F.max_by("w", "c").alias("w_major"))
         .where("n_all > c_major")
         .withColumn("small", (F.col("w_all") <= cell_rows) | (F.col("n_all") <= 2))
-        .withColumn("rate", F.when(F.col("small") | (F.col("w_all") - F.col("w_major") <= hubs), 2.0).otherwise(
-            F.greatest(hubs / (F.col("w_all") - F.col("w_major")), 2 / (F.col("n_all") - F.col("c_major")))))
-        .withColumn("n_slices", F.when(F.col("small"), 1).otherwise(F.ceil(F.col("w_all") / cell_rows)).cast("int"))
+        .withColumn("rate", F.when(F.col("small") | (outside <= hubs), 2.0).otherwise(
+            F.greatest(hubs / outside, 2 / (F.col("n_all") - F.col("c_major")))))
+        .withColumn("w_hubs", F.least(F.lit(1.0), F.col("rate")) * outside)
+        .withColumn("n_hub_blocks", F.greatest(F.lit(1), F.ceil(F.col("w_hubs") / cell_rows)).cast("int"))
+        .withColumn("n_blocks", (F.col("n_hub_blocks") + F.ceil((F.col("w_all") - F.col("w_hubs")) / cell_rows)).cast("int"))
+        .drop("c_major", "w_all", "w_major", "w_hubs")
     )
     chance = F.pmod(F.xxhash64("id", "node", "n_all"), F.lit(1 << 30)) / float(1 << 30)
-    own = F.pmod(F.xxhash64("id", F.lit(7)), F.col("n_slices")).cast("int")
+    spread = F.xxhash64("id", F.lit(7))
+    blocks = F.col("n_blocks") - F.col("n_hub_blocks")
+    own = F.when(F.col("is_hub"), F.pmod(spread, F.col("n_hub_blocks"))).otherwise(
+        F.col("n_hub_blocks") + F.pmod(spread, F.greatest(F.lit(1), blocks))
+    )
+    # A hub meets all blocks, any other text the blocks of hubs.
+    met = F.sequence(F.lit(0), F.when(F.col("is_hub"), F.greatest(F.col("n_blocks"), F.col("n_hub_blocks") + 1)).otherwise(F.col("n_hub_blocks")) - 1)
+    pairs = F.transform(met, lambda k: F.struct(F.least(k, "block").alias("first"), F.greatest(k, "block").alias("second")))
+    alone = F.array(F.struct(F.lit(0).alias("first"), F.lit(0).alias("second")))
     return (
         rows.join(nodes, "node")
         .withColumn("is_hub", (F.col("label") != F.col("major")) & (chance < F.col("rate")))
-        .withColumn("slice", F.explode(F.when(F.col("is_hub"), F.sequence(F.lit(0), F.col("n_slices") - 1)).otherwise(F.array(own))))
-        .select(F.xxhash64("node", "slice").alias("cell"), "node", "id", "label", "is_hub", (F.col("rate") >= 1).alias("done"), "depth")
+        .withColumn("block", F.when(F.col("small"), 0).otherwise(own).cast("int"))
+        .withColumn("pair", F.explode(F.when(F.col("small"), alone).otherwise(pairs)))
+        .select(
+            F.xxhash64("node", "pair.first", "pair.second").alias("cell"), "node", "id", "label", "is_hub", "depth",
+            (F.col("pair.first") != F.col("pair.second")).alias("two"),
+            (F.col("block") != F.col("pair.first")).cast("int").alias("side"),
+            # The children of a text come from one of its cells.
+            ((F.col("rate") < 1) & ~F.col("is_hub") & (F.col("pair.first") == 0)).alias("goes_on"),
+        )
     )
 
 
@@ -150,7 +176,7 @@ def near_duplicates(
     shingle_size: int = 5,
     miss: float = 1e-6,
     cell_rows: int = 128,
-    hubs: int = 64,
+    hubs: int = 4096,
     max_depth: int = 8,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
@@ -173,7 +199,8 @@ def near_duplicates(
     rooted = stage(classes.select("id", "n", *keys[:2], F.posexplode("paths").alias("tree", "node")))
     sizes = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     roots = stage(rooted.select("id", "n", "tree", "node").join(sizes.select("node"), "node"))
-    near = stage(texts.join(roots.select("id").distinct(), "id"))
+    # The same join at every size: a broadcast of these ids would grow with the corpus.
+    near = stage(texts.join(roots.select("id").distinct().hint("merge"), "id"))
     frontier = roots.where("tree = 0").select("node", "id", "n", F.lit(0).alias("depth"))
     later = roots.where("tree > 0").select("node", "id", "n", F.lit(0).alias("depth"))
     joined, links = None, None
