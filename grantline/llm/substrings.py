@@ -293,7 +293,7 @@ def _repeats(length: int):
         run = np.ones(len(doc), bool)
         run[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
         at = np.flatnonzero(run)
-        last = np.append(at[1:], len(doc)) - 1
+        last = np.append(at[1:], len(doc))[: len(at)] - 1
         return pa.RecordBatch.from_arrays(
             [pa.array(doc[at]), pa.array(start[at]), pa.array(start[last] - start[at] + 1)], ["doc", "start", "n"]
         )
