@@ -4,7 +4,7 @@ Three patterns give the base spans.  The method adds runs of identifier characte
 random strings explains better than a model of ordinary identifiers.  Both are first-order Markov
 models over character classes (each letter of either case, digit and sign is a class), trained on
 samples that the base patterns label: random strings are the values that the patterns found, ordinary
-identifiers the words of sampled documents outside them.  A run is added if its log-likelihood ratio
+identifiers the words of sampled documents, but for those with a part as long as the runs that are scored.  A run is added if its log-likelihood ratio
 per transition is above a threshold and it meets no base span.
 
 All of it is DataFrame expressions.  Spans are found by splitting a text at its matches: the lengths of
@@ -75,8 +75,8 @@ def _transitions(strings: DataFrame) -> DataFrame:
 def markov_ratios(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     """(pair, ratio): the log of how much likelier a transition is in random strings.
 
-    Random strings have no preferred transitions, so their model starts from a tenth of a count for
-    every pair of signs, as does that of identifiers.
+    Random strings have no preferred transitions, so their model starts from two counts for every pair
+    of signs; that of identifiers starts from a tenth of a count.
     """
     spark = random.sparkSession
     signs = spark.createDataFrame([(c,) for c in ALPHABET], "sign string")
@@ -87,7 +87,7 @@ def markov_ratios(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     counts = every
     for name, strings in (("random", random), ("ordinary", ordinary)):
         counts = counts.join(_transitions(strings).withColumnRenamed("n", name), ["first", "second"], "left")
-    counts = counts.select("first", "second", *[(F.coalesce(c, F.lit(0)) + 0.1).alias(c) for c in ("random", "ordinary")])
+    counts = counts.select("first", "second", *[(F.coalesce(c, F.lit(0)) + start).alias(c) for c, start in (("random", 2.0), ("ordinary", 0.1))])
     totals = counts.groupBy("first").agg(F.sum("random").alias("all_random"), F.sum("ordinary").alias("all_ordinary"))
     ratio = F.log(F.col("random") / F.col("all_random")) - F.log(F.col("ordinary") / F.col("all_ordinary"))
     return counts.join(totals, "first").select(F.concat("first", "second").alias("pair"), ratio.alias("ratio"))
@@ -153,10 +153,10 @@ def _fitted(documents: DataFrame, least_run: int, sample_documents: int, sample_
         .select(F.explode(values).alias("string")).where(F.char_length("string") >= 16)
     )
     random = found.orderBy(F.xxhash64("string"), "string").limit(sample_secrets)
-    # Words of documents without such values, as identifiers.
+    # Words, as identifiers; one with a part that could itself be an unlabelled secret is left out.
     sampled = texts.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_documents)
     words = sampled.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("string"))
-    ordinary = words.where(~F.col("string").rlike(f"{ACCESS}|{HEX}"))
+    ordinary = words.where(~F.col("string").rlike(f"[A-Za-z0-9]{{{least_run},}}"))
     return markov_ratios(random, ordinary)
 
 

@@ -1,0 +1,438 @@
+"""Each operator against a brute-force version or an exact round trip, and its edge cases."""
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from grantline.llm import substrings
+from grantline.llm.chat import conversation_digests, prefix_examples, rendered
+from grantline.llm.decontaminate import contained_items, extra_bits, without_items
+from grantline.llm.importance import classifier
+from grantline.llm.katz import discounts, katz_scores
+from grantline.llm.pieces import Vocabulary, decode, encode
+from grantline.llm.secrets import KINDS, digest, redacted, scan
+from grantline.llm.sharding import kd_shards
+from grantline.llm.substrings import merged_blocks, without_repeats
+from grantline.llm.vectors import near_duplicate_vectors
+from grantline.llm.words import encoded, shingle_sets, word_hashes
+
+# Extra columns with names that the operators use themselves.
+DOCUMENT = "doc_id long, text string, id long, cell string, n long, label int"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(d, t, 1, "x", 2, 3) for d, t in rows], DOCUMENT)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+ODD = [(1, None), (2, ""), (3, " \n\t"), (4, "x"), (5, "é😀 ▁ ÿ z"), (6, "same text here"), (6, "same text here"), (None, "no id"), (7, "y" * 5000)]
+
+
+# --- words ---------------------------------------------------------------------------------------
+def test_word_hashes_follow_words():
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abAB \t\n\x0b\x0cé1") for _ in range(rng.randrange(200))) for _ in range(200)]
+    hashes, counts = word_hashes(encoded(texts))
+    flat = [w for t in texts for w in words(t)]
+    assert counts.tolist() == [len(words(t)) for t in texts]
+    assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
+
+
+def test_long_texts_are_cut_between_words():
+    text = "word " * 500_000
+    _, counts = word_hashes(encoded([text, "a b"]))
+    assert counts.tolist() == [500_000, 2]
+    assert [len(s) for s in shingle_sets(encoded([text, "", "a b"]), 5)] == [1, 0, 1]
+
+
+# --- 1: importance resampling ----------------------------------------------------------------------
+def labelled_corpus(spark, n=600):
+    rng = random.Random(8)
+    common = [f"word{k}" for k in range(60)]
+    rows, labels = [], []
+    for d in range(n):
+        text = rng.choices(common, k=rng.randint(40, 120))
+        kind = d % 10
+        if kind == 0:
+            text = [w + "!!" for w in text]
+        elif kind == 1:
+            text[rng.randrange(len(text))] = text[0] = "awful"
+        rows.append((d, " ".join(text)))
+        if d % 3:
+            labels.append((d, int(kind != 0), int(kind == 1)))
+    return documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), rows
+
+
+def test_sample_keeps_clean_and_drops_bad_documents(spark):
+    frame, labels, rows = labelled_corpus(spark)
+    kept = {r.doc_id for r in classifier(frame, labels).sampled(frame).select("doc_id").collect()}
+    clean = {d for d, _ in rows if d % 10 > 1}
+    assert len(kept & clean) >= 0.99 * len(clean)
+    assert len(kept - clean) <= 0.05 * len(rows) / 5
+
+
+def test_sample_of_odd_and_empty_tables(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    frame = documents(spark, ODD)
+    sampled = classifier(frame, labels).sampled(frame)
+    assert sampled.count() == len(ODD) and set(frame.columns) <= set(sampled.columns)
+    empty = documents(spark, [])
+    assert classifier(empty, labels).sampled(empty).count() == 0
+
+
+# --- 2: sharding -----------------------------------------------------------------------------------
+def test_shards_are_even_and_keep_equal_texts_together(spark):
+    rng = random.Random(2)
+    rows = [(d, "t" * rng.randint(0, 400) + str(rng.randrange(300))) for d in range(100, 2100)] + [(d, "copy") for d in range(3000, 3400)]
+    found = kd_shards(documents(spark, rows + ODD), n_shards=8).toPandas()
+    sizes = found.groupby("shard")["size"].sum()
+    assert len(found) == len(rows) + len(ODD) and list(sizes.index) == list(range(8))
+    assert sizes.max() - sizes.min() <= 2 * 5001
+    assert found.groupby(["size", "text_crc32"])["shard"].nunique().max() == 1
+    for _, part in found.groupby("shard"):
+        assert sorted(part["slot"]) == list(range(len(part)))
+    crc = {d: zlib.crc32((t or "").encode()) for d, t in rows}
+    assert all(crc[d] == c for d, c in zip(found["doc_id"], found["text_crc32"]) if d in crc)
+
+
+def test_shards_of_nothing_and_of_one_text(spark):
+    assert kd_shards(documents(spark, []), n_shards=4).count() == 0
+    found = kd_shards(documents(spark, [(d, "a") for d in range(50)]), n_shards=4).toPandas()
+    assert found["shard"].nunique() == 1 and sorted(found["slot"]) == list(range(50))
+    assert kd_shards(documents(spark, [(d, f"{d:04d}") for d in range(64)]), target_bytes=40).select("shard").distinct().count() >= 7
+
+
+# --- 4: chat formatting ----------------------------------------------------------------------------
+TURN = "conv_id long, turn long, role string, text string, position long"
+
+
+def test_examples_read_back(spark):
+    tricky = ["<|im_end|>", "<\\|im_start|>", "a\\b\n<|", "<\\\\|x|>", "", None, "plain"]
+    rows = [(1, n, "assistant" if n % 2 else "user", t, 9) for n, t in enumerate(tricky)]
+    rows += [(2, 0, "user", "only a question", 9), (3, None, None, "x", 9), (None, 1, "assistant", "y", 9), (4, 0, "sys\nrole\\n", "z", 9)]
+    frame = spark.createDataFrame(rows, TURN)
+    found = {r.conv_id: r for r in conversation_digests(prefix_examples(frame)).collect()}
+    for conv in (1, 2, 3, None, 4):
+        turns = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1] or 0))
+        text = "".join(f"{r[2] or ''}\n{r[3] or ''}\n" for r in turns)
+        loss = "".join(r[3] or "" for r in turns if r[2] == "assistant")
+        assert found[conv].n_turns == len(turns)
+        assert found[conv].turns_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert (found[conv].loss_chars, found[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_every_reply_is_an_example_with_all_turns_before_it(spark):
+    rows = [(1, n, ["user", "assistant"][n % 2], f"t{n}", 0) for n in range(6)]
+    frame = spark.createDataFrame(rows, TURN)
+    examples = sorted(rendered(prefix_examples(frame)).collect(), key=lambda r: r.position)
+    assert [e.text[e.loss_start : e.loss_end] for e in examples] == ["t1", "t3", "t5"]
+    assert examples[1].text.startswith(examples[0].text) and examples[2].text.count("<|im_start|>") == 6
+    assert sum(len(e.text) for e in examples) == conversation_digests(prefix_examples(frame)).first().formatted_chars
+    assert prefix_examples(spark.createDataFrame([], TURN)).count() == 0
+
+
+# --- 5: repeated substrings --------------------------------------------------------------------------
+def brute_repeats(rows, length):
+    seen, out = {}, {}
+    for doc, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            key = data[i : i + length]
+            if seen.setdefault(key, (doc, i)) != (doc, i):
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        spans = sum(g and (i == 0 or not gone[i - 1]) for i, g in enumerate(gone))
+        out[doc] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def repeating_corpus(seed, n):
+    rng = random.Random(seed)
+    pool = ["".join(rng.choice("ab cdé") for _ in range(rng.randint(60, 300))) for _ in range(12)]
+    rows = []
+    for d in range(n):
+        parts = [rng.choice(pool)[rng.randint(0, 30) :] if rng.random() < 0.6 else "".join(rng.choice("xyz \n") for _ in range(80)) for _ in range(4)]
+        rows.append((d, "".join(parts)))
+    return rows + [(n, "a" * 700), (n + 1, "ab" * 300), (n + 2, rows[0][1]), (n + 3, None), (n + 4, ""), (n + 5, "short"), (None, rows[1][1])]
+
+
+@pytest.mark.parametrize("crowded, shard", [(512, 1 << 18), (3, 900)])
+def test_removed_bytes_equal_brute_force(spark, monkeypatch, crowded, shard):
+    monkeypatch.setattr(substrings, "HOT", crowded)
+    monkeypatch.setattr(substrings, "SHARD", shard)
+    monkeypatch.setattr(substrings, "CELL", 6 * shard)
+    rows = repeating_corpus(5, 60)
+    found = without_repeats(documents(spark, rows).repartition(5), 100).collect()
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
+    assert got == brute_repeats(rows, 100)
+
+
+def test_blocks_are_the_classes_of_equal_prefixes():
+    rng = random.Random(1)
+    for _ in range(20):
+        base = bytes(rng.choice(b"ab") for _ in range(160))
+        strings = list({base[a : a + rng.randint(50, 90)] for a in rng.choices(range(70), k=9)} | {b"a" * 60, b"ab" * 40})
+        shards = [strings[:3], strings[3:4], strings[4:]]
+        blocks, of = {}, {}
+        for shard, numbers in zip(shards, merged_blocks(shards, 48)):
+            at = 0
+            for string in shard:
+                for i in range(len(string) - 47):
+                    assert blocks.setdefault(string[i : i + 48], numbers[at + i]) == numbers[at + i]
+                    assert of.setdefault(numbers[at + i], string[i : i + 48]) == string[i : i + 48]
+                at += len(string)
+
+
+def test_repeated_ids_and_empty_tables(spark):
+    text = "".join(chr(97 + (n * n) % 23) for n in range(300))
+    rows = [(1, text), (1, text), (2, text)]
+    removed = sorted((r.doc_id, r.n_removed) for r in without_repeats(documents(spark, rows)).collect())
+    assert removed == [(1, removed[0][1]), (1, removed[0][1]), (2, 300)]
+    assert without_repeats(documents(spark, [])).count() == 0
+
+
+# --- 6: Katz backoff ---------------------------------------------------------------------------------
+def brute_katz(rows, learn):
+    texts = [words(t) + ["</s>"] for _, t in rows]
+    uni, bi, history = collections.Counter(), collections.Counter(), collections.Counter()
+    for (doc, _), tokens in zip(rows, texts):
+        if learn(doc):
+            uni.update(tokens)
+            for pair in zip(["<s>"] + tokens, tokens):
+                bi[pair] += 1
+                history[pair[0]] += 1
+    total, distinct = sum(uni.values()), len(uni)
+
+    def of(counter):
+        return discounts(np.array([sum(v == r for v in counter.values()) for r in range(1, 7)]))
+
+    d1, d2 = of(uni), of(bi)
+    p1 = {w: (d1[c] if c <= 5 else 1.0) * c / total for w, c in uni.items()}
+    left = 1 - sum(p1.values())
+    after = collections.defaultdict(dict)
+    for (a, b), c in bi.items():
+        after[a][b] = c
+
+    def weights(h):
+        kept = sum((d2[c] if c <= 5 else 1.0) * c for c in after[h].values())
+        n = history[h] + (history[h] - kept < 1e-9)
+        back = (1 - kept / n) / (1 - sum(p1[w] for w in after[h]))
+        mass = kept / n + back * (left + sum(p for w, p in p1.items() if w not in after[h]))
+        assert abs(mass - 1) < 1e-9
+        return n, back
+
+    out = []
+    for tokens in texts:
+        score = 0.0
+        for h, w in zip(["<s>"] + tokens, tokens):
+            if not history[h]:
+                score += np.log10(p1.get(w, left))
+                continue
+            n, back = weights(h)
+            c = after[h].get(w, 0)
+            score += np.log10((d2[c] if c <= 5 else 1.0) * c / n if c else back * p1.get(w, left))
+        base = sum(np.log10((uni[w] + 1) / (total + 1) / (distinct + 1)) for w in tokens)
+        out.append((len(tokens), sum(w in uni for w in tokens), total, base, score))
+    return out
+
+
+@pytest.mark.parametrize("settings", [{}, {"block_bytes": 2000, "blocks_per_bucket": 1}])
+def test_scores_equal_brute_force(spark, settings):
+    rng = random.Random(9)
+    vocabulary = [f"v{n}" for n in range(80)]
+    rows = [(d, " ".join(rng.choices(vocabulary, [1 / (k + 1) for k in range(80)], k=rng.randint(0, 60)))) for d in range(160)]
+    rows += [(900, None), (901, "never seen words"), (902, "c c c c c c c c c c")]
+    found = {r.doc_id: r for r in katz_scores(documents(spark, rows), **settings).collect()}
+    learn = lambda doc: zlib.crc32(str(doc).encode()) % 7 != 2
+    for (doc, _), expected in zip(rows, brute_katz(rows, learn)):
+        row = found[doc]
+        assert row.held_out == (not learn(doc))
+        assert (row.n_tokens, row.n_known, row.train_tokens) == expected[:3]
+        assert row.base_score == pytest.approx(expected[3], abs=1e-7) and row.score == pytest.approx(expected[4], abs=1e-7)
+
+
+def test_scores_of_odd_tables(spark):
+    assert katz_scores(documents(spark, ODD)).count() == len(ODD)
+    assert katz_scores(documents(spark, [])).count() == 0
+    untrained = katz_scores(documents(spark, [(1, "a b")]), train=F.lit(False)).first()
+    assert (untrained.train_tokens, untrained.n_known, untrained.score) == (0, 0, 0.0)
+
+
+# --- 7: pieces ---------------------------------------------------------------------------------------
+def vocabulary():
+    rng = random.Random(6)
+    pieces = [("<unk>", 0.0, "other")] + [(f"<0x{b:02X}>", 0.0, "byte") for b in range(256)]
+    names = {"▁", "▁▁", "a", "b", "c", "ab", "abc", "▁a", "▁ab", "é", "bca"} | {"".join(rng.choices("abc", k=rng.randint(2, 6))) for _ in range(60)}
+    return Vocabulary(pieces + [(n, -rng.random() * 9, "piece") for n in sorted(names)], ranks=False)
+
+
+def brute_pieces(words_, segment):
+    known = {w: n for n, w in enumerate(words_.spelled) if w and n > 256}
+    best, back = {0: 0.0}, {}
+    for i in range(len(segment)):
+        if i not in best:
+            continue
+        length = int(words_.char_length[segment[i]])
+        options = [(j, [known[segment[i:j]]], words_.scores[known[segment[i:j]]]) for j in range(i + 1, len(segment) + 1) if segment[i:j] in known]
+        if not any(j == i + length for j, *_ in options):
+            options.append((i + length, [int(words_.byte_ids[b]) for b in segment[i : i + length]], words_.unknown))
+        for j, ids, score in options:
+            if best[i] + score > best.get(j, -1e300):
+                best[j], back[j] = best[i] + score, (i, ids)
+    out, at = [], len(segment)
+    while at:
+        at, ids = back[at]
+        out = ids + out
+    return out
+
+
+def test_segmentation_equals_brute_force(spark):
+    rng = random.Random(3)
+    model = vocabulary()
+    texts = ["".join(rng.choice("abc  éx😀\n▁") for _ in range(rng.randrange(60))) for _ in range(150)]
+    ids, counts = model.encode(texts)
+    for text, part in zip(texts, np.split(ids, np.cumsum(counts)[:-1])):
+        marked = (" " + text).encode().replace(b" ", b"\xff") if text else b""
+        assert part.tolist() == [n for s in re.findall(rb"\xff+[^\xff]*|[^\xff]+", marked) for n in brute_pieces(model, s)]
+        assert model.decode(part) == text
+
+
+def test_round_trip_of_odd_texts(spark):
+    model = vocabulary()
+    rows = ODD + [(8, "ab " * 300_000), (9, "x" * 3000)]
+    frame = documents(spark, rows)
+    back = decode(encode(frame, model), model)
+    assert sorted((r.doc_id or -1, r.text) for r in back.collect()) == sorted((d or -1, t or "") for d, t in rows)
+    assert set(frame.columns) <= set(back.columns)
+    assert encode(documents(spark, []), model).count() == 0
+
+
+# --- 8: decontamination ------------------------------------------------------------------------------
+def brute_contained(rows, items, share):
+    def sets(text):
+        w = [x for x in re.split(r"[\x20\x09-\x0D]+", (text or "").lower()) if x]
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+    out = set()
+    for d, t in rows:
+        own = sets(t)
+        for i, x in items:
+            item = sets(x)
+            if d is not None and item and len(own & item) >= share * len(item) - 1e-9:
+                out.add((d, i, len(item), len(own & item)))
+    return out
+
+
+def test_contained_items_equal_brute_force(spark):
+    rng = random.Random(12)
+    pool = [f"w{n}" for n in range(300)]
+    items = [(i, " ".join(rng.choices(pool, k=rng.choice([1, 3, 5, 6, 9, 30])))) for i in range(25)] + [(90, None), (91, ""), (92, "twin item text of six words"), (93, "Twin  item text of six words")]
+    rows = []
+    for d in range(120):
+        text = rng.choices(pool, k=rng.choice([2, 50, 3000]))
+        if d % 3 == 0:
+            at = rng.randrange(len(text))
+            planted = (rng.choice(items)[1] or "").split()
+            if d % 2:
+                planted[len(planted) // 2 :] = planted[len(planted) // 2 + 1 :]
+            text[at:at] = planted
+        rows.append((d, " ".join(text)))
+    rows += [(500, "twin item text of six words"), *ODD]
+    frame = documents(spark, rows)
+    benchmark = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
+    pairs = contained_items(frame, benchmark, 0.8)
+    assert {tuple(r)[:4] for r in pairs.collect()} == brute_contained(rows, items, 0.8)
+    left = {r.doc_id for r in without_items(frame, pairs).collect()}
+    assert left == {d for d, _ in rows} - {r.doc_id for r in pairs.collect()}
+    assert contained_items(documents(spark, []), benchmark).count() == 0
+    assert contained_items(frame, benchmark.limit(0)).count() == 0
+
+
+def test_short_items_need_finer_sketches():
+    assert extra_bits(1, 0.8, 1e-7) > extra_bits(8, 0.8, 1e-7) > extra_bits(40, 0.8, 1e-7)
+
+
+# --- 9: secrets --------------------------------------------------------------------------------------
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute_secrets(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def test_base_spans_equal_the_patterns(spark):
+    rng = random.Random(7)
+    bits = ["password", "PassWD", "secret", "api_key", "apikey", "token", ": ", "=", " = ", '"', "'", "abc123", "ABCDEFGH", "AKIA", "0123456789abcdef" * 2, "deadbeef", " ", "\n", "é😀", "word "]
+    rows = [(d, "".join(rng.choices(bits, k=rng.randint(1, 25)))) for d in range(300)] + ODD
+    found = digest(scan(documents(spark, rows))).collect()
+    expected = collections.Counter()
+    for d, t in rows:
+        spans = brute_secrets(t)
+        text = ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
+        expected[(d, *(sum(k == kind for _, k, _ in spans) for kind in range(3)), hashlib.sha256(text.encode()).hexdigest())] += 1
+    assert collections.Counter((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in found) == expected
+    assert digest(scan(documents(spark, []))).count() == 0
+
+
+def test_markov_models_tell_random_strings_from_identifiers(spark):
+    rng = random.Random(11)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    syllables = ["con", "ter", "ing", "the", "ment", "pre", "al", "or", "ver", "un", "est", "ati", "on"]
+    draw = lambda: "".join(rng.choices(signs, k=32))
+    name = lambda: "_".join("".join(rng.choices(syllables, k=3)) for _ in range(3))
+    rows = [(d, f"{name()} uses token={draw()} in {name()} and " + " ".join(name() for _ in range(8))) for d in range(150)]
+    secrets = {d: draw() for d in range(1000, 1100)}
+    rows += [(d, f"found {s} beside {name()}") for d, s in secrets.items()]
+    scanned = scan(documents(spark, rows))
+    hits = {r.doc_id: r.spans for r in digest(scanned).where("n_markov > 0").collect()}
+    assert len(hits.keys() & secrets.keys()) >= 97 and not hits.keys() - secrets.keys()
+    clean = redacted(scanned.where("doc_id >= 1000")).collect()
+    assert sum("found <secret> beside" in r.text for r in clean) >= 97
+
+
+# --- 10: vectors -------------------------------------------------------------------------------------
+VECTOR = "vec_id long, embedding array<float>, label int, id string, home int"
+
+
+@pytest.mark.parametrize("settings", [{}, {"cell_rows": 20, "block_rows": 16}])
+def test_vector_links_equal_brute_force(spark, settings):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in range(240):
+        base = rng.normal(size=8) if n % 3 == 0 else base + rng.normal(size=8) * 0.08
+        rows.append((n, [float(np.float32(x)) for x in base], int(n % 4 == 0), "x", 1))
+    rows += [(n, rows[0][1], rows[0][2], "x", 1) for n in range(300, 330)]
+    odd = [(400, None, 1), (401, [], 1), (402, [0.0] * 8, 1), (403, [float("nan")] + [1.0] * 7, 1), (404, [None] + [1.0] * 7, 1),
+           (405, [float("inf")] * 8, 1), (406, rows[0][1], None), (407, rows[0][1][:4], rows[0][2]), (None, rows[0][1], rows[0][2])]
+    rows += [(*r, "x", 1) for r in odd]
+    found = near_duplicate_vectors(spark.createDataFrame(rows, VECTOR), 0.98, **settings).collect()
+    usable = [r for r in rows if r[0] is not None and r[0] < 400 or r[0] == 407]
+    links = {r[0]: set() for r in usable}
+    for a in usable:
+        for b in usable:
+            if a[0] < b[0] and a[2] == b[2] and len(a[1]) == len(b[1]):
+                x, y = np.array(a[1]), np.array(b[1])
+                if x @ y / np.sqrt(x @ x) / np.sqrt(y @ y) >= 0.98:
+                    links[a[0]].add(b[0])
+                    links[b[0]].add(a[0])
+    component = {v: v for v in links}
+    for _ in links:
+        component = {v: min([component[v], *(component[w] for w in links[v])]) for v in links}
+    expected = {v: (len(links[v]), component[v]) for v in links} | {r[0]: (0, r[0]) for r in odd[:7]}
+    assert {r.vec_id: (r.n_links, r.component_id) for r in found if r.vec_id is not None} == expected
+    assert len(found) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in found if r.vec_id is not None)
+    assert near_duplicate_vectors(spark.createDataFrame([], VECTOR)).count() == 0
