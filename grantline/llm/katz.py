@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantline.llm.words import encoded, mixed, word_hashes
@@ -46,6 +47,32 @@ def _unpack(data: bytes) -> dict:
     return pickle.loads(zlib.decompress(data))
 
 
+def _small(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in the narrowest type."""
+    most = int(values.max(initial=0))
+    return values.astype(next(kind for kind in (np.uint8, np.uint16, np.uint32, np.uint64) if most <= np.iinfo(kind).max))
+
+
+def _dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch that go to one block, packed: texts are the largest part of what is shuffled."""
+    for batch in batches:
+        block = batch.column("block").to_numpy(zero_copy_only=False)
+        order = np.argsort(block, kind="stable")
+        ids, train = batch.column("doc_id").to_pylist(), batch.column("train").to_numpy(zero_copy_only=False).astype(bool)
+        texts = encoded(batch.column("text").to_pylist())
+        cuts = np.flatnonzero(np.diff(block[order], prepend=-1)).tolist()
+        rows = [order[x:y] for x, y in zip(cuts, [*cuts[1:], len(order)])]
+        packed = [_pack(doc_id=[ids[i] for i in r], train=train[r], texts=[texts[i] for i in r]) for r in rows]
+        yield pa.RecordBatch.from_arrays([pa.array([int(block[r[0]]) for r in rows], pa.int64()), pa.array(packed, pa.binary())], ["block", "data"])
+
+
+def _texts(rows: pd.DataFrame) -> tuple[list, np.ndarray, list[bytes]]:
+    parts = [_unpack(data) for data in rows["data"]]
+    return (
+        [i for p in parts for i in p["doc_id"]], np.concatenate([p["train"] for p in parts]), [x for p in parts for x in p["texts"]]
+    )
+
+
 def _bucket(hashes: np.ndarray, n: int) -> np.ndarray:
     """Partition of the word table: equal ranges of hashes, in order."""
     return (((hashes >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
@@ -93,9 +120,9 @@ class Words:
             self.scale = (1 - self.left) / max(seen, 1e-300)
 
 
-def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all tokens, each text's closed by the end, how many each has, and where each ends."""
-    hashes, counts = word_hashes(encoded(texts))
+    hashes, counts = word_hashes(texts)
     ends = np.cumsum(counts + 1) - 1
     tokens = np.full(len(hashes) + len(counts), _END, np.uint64)
     inside = np.ones(len(tokens), bool)
@@ -106,14 +133,15 @@ def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _requests(n_buckets: int):
     def requested(rows: pd.DataFrame) -> pd.DataFrame:
-        tokens, counts, _ = _tokens(rows["text"])
+        _, learn, texts = _texts(rows)
+        tokens, counts, _ = _tokens(texts)
         words, place = np.unique(tokens, return_inverse=True)
-        train = np.repeat(rows["train"].to_numpy(bool), counts)
+        train = np.repeat(learn, counts)
         n = np.bincount(place[train], minlength=len(words))
         bucket = _bucket(words, n_buckets)
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         block = int(rows["block"].iloc[0])
-        out = [(b, block, _pack(words=words[x:y], n=n[x:y].astype(np.uint32)))
+        out = [(b, block, _pack(words=words[x:y], n=_small(n[x:y])))
                for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if y > x]
         return pd.DataFrame(out, columns=["bucket", "block", "data"])
 
@@ -131,7 +159,7 @@ def _word_table(rows: pd.DataFrame) -> pd.DataFrame:
     total = np.bincount(place, weights=np.concatenate([a["n"] for a in asked]), minlength=len(words)).astype(np.int64)
     bucket = int(rows["bucket"].iloc[0])
     cuts = np.cumsum([0] + [len(a["words"]) for a in asked])
-    out = [(bucket, int(block), _pack(place=place[x:y].astype(np.uint32), n=total[place[x:y]]))
+    out = [(bucket, int(block), _pack(place=_small(place[x:y]), n=_small(total[place[x:y]])))
            for block, x, y in zip(rows["block"], cuts, cuts[1:])]
     by_count = np.bincount(np.minimum(total, LARGEST + 1), weights=total, minlength=LARGEST + 2)
     out.append((bucket, -1, _pack(numbers=len(words), distinct=int((total > 0).sum()), hist=_hist(total), mass=by_count)))
@@ -144,13 +172,14 @@ def _bigrams(words: Words, n_buckets: int):
 
     def sent(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         block = int(rows["block"].iloc[0])
-        tokens, lengths, ends = _tokens(rows["text"])
+        ids, train, texts = _texts(rows)
+        tokens, lengths, ends = _tokens(texts)
         _, place = np.unique(tokens, return_inverse=True)
         answers = [(int(b), _unpack(d)) for b, d in sorted(zip(replies["bucket"], replies["data"]))]
         number = np.concatenate([words.first[b] + a["place"].astype(np.int64) for b, a in answers])[place]
-        count = np.concatenate([a["n"] for _, a in answers])[place]
-        owner = np.repeat(np.arange(len(rows)), lengths)
-        train = rows["train"].to_numpy(bool)
+        count = np.concatenate([a["n"].astype(np.int64) for _, a in answers])[place]
+        n_texts = len(texts)
+        owner = np.repeat(np.arange(n_texts), lengths)
         base = np.log10((count + 1) / ((words.tokens + 1) * (words.distinct + 1)))
         known = count > 0
         # The history of a text's first token is its begin, which has a number of its own.
@@ -161,9 +190,9 @@ def _bigrams(words: Words, n_buckets: int):
         plain = history_count == 0
         alone = np.where(plain, np.log10(words.probability(count)), 0.0)
         out = [(-1 - block, block, _pack(
-            kind="texts", n_tokens=lengths, n_known=np.bincount(owner, weights=known, minlength=len(rows)).astype(np.int64),
-            base=np.bincount(owner, weights=base, minlength=len(rows)), alone=np.bincount(owner, weights=alone, minlength=len(rows)),
-            doc_id=rows["doc_id"].tolist(), held_out=(~train),
+            kind="texts", n_tokens=lengths, n_known=np.bincount(owner, weights=known, minlength=n_texts).astype(np.int64),
+            base=np.bincount(owner, weights=base, minlength=n_texts), alone=np.bincount(owner, weights=alone, minlength=n_texts),
+            doc_id=ids, held_out=~train,
         ))]
         use = ~plain
         h, w, hc, wc, d = history[use], number[use], history_count[use], count[use], owner[use]
@@ -184,8 +213,8 @@ def _bigrams(words: Words, n_buckets: int):
             pair = np.repeat(np.arange(len(first)), per_pair)
             n_train = np.bincount(pair, weights=train[d[x:y]], minlength=len(first)).astype(np.uint32)
             out.append((b, block, _pack(
-                kind="pairs", h=h[first].astype(small), w=w[first].astype(small), hc=hc[first], wc=wc[first],
-                n=n_train, per_pair=per_pair.astype(np.uint32), owner=d[x:y].astype(np.uint32), texts=len(rows),
+                step=_small(np.diff(h[first], prepend=0)), w=w[first].astype(small), hc=_small(hc[first]),
+                wc=_small(wc[first]), n=_small(n_train), per_pair=_small(per_pair), owner=_small(d[x:y]),
             )))
         return pd.DataFrame(out, columns=["bucket", "block", "data"])
 
@@ -211,8 +240,9 @@ def _evaluated(words: Words, n_buckets: int):
         if bucket < 0:
             return pd.DataFrame([("texts", int(rows["block"].iloc[0]), rows["data"].iloc[0])], columns=["kind", "block", "data"])
         parts = [_unpack(data) for data in rows["data"]]
-        join = lambda name: np.concatenate([p[name] for p in parts])
-        h, w = join("h").astype(np.uint64), join("w").astype(np.uint64)
+        join = lambda name: np.concatenate([p[name].astype(np.int64) for p in parts])
+        h = np.concatenate([np.cumsum(p["step"], dtype=np.uint64) for p in parts])
+        w = join("w").astype(np.uint64)
         keys, first, place = np.unique(h * wide + w, return_index=True, return_inverse=True)
         c = np.bincount(place, weights=join("n"), minlength=len(keys)).astype(np.int64)
         h, hc, p = h[first].astype(np.int64), join("hc")[first], words.probability(join("wc")[first])
@@ -227,10 +257,10 @@ def _evaluated(words: Words, n_buckets: int):
         out = [("hist", -1, _pack(hist=_hist(c)))]
         if hot.any():
             out.append(("hot", -1, _pack(h=history[hot], hc=history_count[hot], mass=mass[hot], by_count=by_count[hot])))
-        cuts = np.cumsum([0] + [len(part["h"]) for part in parts])
+        cuts = np.cumsum([0] + [len(part["w"]) for part in parts])
         for block, part, x, y in zip(rows["block"], parts, cuts, cuts[1:]):
             pair = np.repeat(place[x:y], part["per_pair"])
-            owner, n = part["owner"].astype(np.int64), part["texts"]
+            owner = part["owner"].astype(np.int64)
             seen = c[pair] > 0
             level = np.where(c[pair] <= LARGEST, c[pair], 0)
             own, local = np.unique(owner, return_inverse=True)
@@ -250,8 +280,7 @@ def _evaluated(words: Words, n_buckets: int):
             cold = unseen & ~hot[at]
             used, slot = np.unique(at[cold], return_inverse=True)
             out.append(("sums", int(block), _pack(
-                own=own.astype(np.uint32), sums=sums, by_level=by_level, texts=n, owner=owner[cold].astype(np.uint32),
-                slot=slot.astype(np.uint32), hc=history_count[used], mass=mass[used], by_count=by_count[used],
+                own=_small(own), sums=sums, by_level=_small(by_level), owner=_small(owner[cold]), slot=_small(slot), hc=history_count[used], mass=mass[used], by_count=by_count[used],
             )))
             # Where this partition has a discounted bigram of the history, it is not crowded.
             warm = hot[at] & (unseen | (by_count[at, -1] >= by_count[at].sum(axis=1)))
@@ -316,7 +345,8 @@ def katz_scores(documents: DataFrame, train: Column | None = None, block_bytes:
     size = rows.agg(F.sum(F.octet_length("text") + 16).alias("b"), F.sum(F.col("train").cast("long")).alias("t")).first()
     n_blocks = max(1, -(-(size.b or 0) // block_bytes))
     n_buckets = max(1, n_blocks // blocks_per_bucket)
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(n_blocks)))
+    block = F.pmod(F.xxhash64("doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(n_blocks))
+    dealt = rows.withColumn("block", block).mapInArrow(_dealt, "block long, data binary")
     asked = dealt.groupBy("block").applyInPandas(_requests(n_blocks), _PACKED)
     table = stage(asked.groupBy("bucket").applyInPandas(_word_table, _PACKED))
     sums = {row.bucket: _unpack(bytes(row.data)) for row in table.where("block = -1").collect()}
