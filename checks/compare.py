@@ -4,6 +4,7 @@ python -m checks.compare [sf_dir] [query ...]
 """
 
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -52,6 +53,7 @@ def main() -> int:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")  # whole results are collected for the comparison
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="grantline-compare-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
