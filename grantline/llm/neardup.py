@@ -17,6 +17,7 @@ nothing else divides them, and every pair that meets in a node is compared or al
 """
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -80,7 +81,7 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
         for rows in runs(frames, "cell"):
             ids, labels, hub = rows["id"].to_numpy(), rows["label"].to_numpy(), rows["is_hub"].to_numpy()
             side, two, goes_on = rows["side"].to_numpy(), rows["two"].to_numpy()[0], rows["goes_on"].to_numpy()
-            sets = shingle_sets(encoded(rows["text"]), shingle_size)
+            sets = shingle_sets([zlib.decompress(text) for text in rows["text"]], shingle_size)
             at = np.flatnonzero(hub & (side == 0))
             others = np.flatnonzero(side == 1) if two else np.arange(len(rows))
             if len(at) and len(others):
@@ -119,6 +120,12 @@ def _compare(shingle_size: int, percent: int, max_depth: int):
     return compared
 
 
+def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts as compressed bytes: each goes to several cells."""
+    for frame in frames:
+        yield pd.DataFrame({"id": frame["id"], "text": [zlib.compress(text, 1) for text in encoded(frame["text"])]})
+
+
 def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs: int) -> DataFrame:
     """The rows of nodes that still hold several components, dealt to cells.
 
@@ -176,7 +183,7 @@ def near_duplicates(
     shingle_size: int = 5,
     miss: float = 1e-6,
     cell_rows: int = 128,
-    hubs: int = 4096,
+    hubs: int = 512,
     max_depth: int = 8,
 ) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
@@ -200,7 +207,7 @@ def near_duplicates(
     sizes = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     roots = stage(rooted.select("id", "n", "tree", "node").join(sizes.select("node"), "node"))
     # The same join at every size: a broadcast of these ids would grow with the corpus.
-    near = stage(texts.join(roots.select("id").distinct().hint("merge"), "id"))
+    near = stage(texts.join(roots.select("id").distinct().hint("merge"), "id").mapInPandas(_packed, "id long, text binary"))
     frontier = roots.where("tree = 0").select("node", "id", "n", F.lit(0).alias("depth"))
     later = roots.where("tree > 0").select("node", "id", "n", F.lit(0).alias("depth"))
     joined, links = None, None
