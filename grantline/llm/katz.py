@@ -167,7 +167,6 @@ def _word_table(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _bigrams(words: Words, n_buckets: int):
-    wide = np.uint64(words.numbers + 1)
     hot_tokens = max(1, words.tokens // (2 * n_buckets))
 
     def sent(rows: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
@@ -198,11 +197,10 @@ def _bigrams(words: Words, n_buckets: int):
         h, w, hc, wc, d = history[use], number[use], history_count[use], count[use], owner[use]
         hot = hc > hot_tokens
         bucket = np.where(hot, mixed(w.astype(np.uint64)) % np.uint64(n_buckets), (mixed(h.astype(np.uint64)) >> np.uint64(40)) % np.uint64(n_buckets)).astype(np.int64)
-        key = h.astype(np.uint64) * wide + w.astype(np.uint64)
-        order = np.lexsort((key, bucket))
-        h, w, hc, wc, d, bucket, key = (x[order] for x in (h, w, hc, wc, d, bucket, key))
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (bucket[1:] != bucket[:-1])
+        order = np.lexsort((w, h, bucket))
+        h, w, hc, wc, d, bucket = (x[order] for x in (h, w, hc, wc, d, bucket))
+        new = np.ones(len(h), bool)
+        new[1:] = (w[1:] != w[:-1]) | (h[1:] != h[:-1]) | (bucket[1:] != bucket[:-1])
         cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
         small = np.uint32 if words.numbers < 2**32 - 2 else np.uint64
         for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
@@ -221,6 +219,19 @@ def _bigrams(words: Words, n_buckets: int):
     return sent
 
 
+def _groups(h: np.ndarray, w: np.ndarray, numbers: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first place of each pair in the order of h and w, and the group of every row."""
+    if numbers < 2**32 - 1:
+        _, first, place = np.unique(h * np.uint64(numbers + 1) + w, return_index=True, return_inverse=True)
+        return first, place
+    order = np.lexsort((w, h))  # the product would not fit into 64 bits
+    new = np.ones(len(h), bool)
+    new[1:] = (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])
+    place = np.empty(len(h), np.int64)
+    place[order] = np.cumsum(new) - 1
+    return order[new], place
+
+
 def _weights(history_count, seen_word_mass, by_count, discount) -> np.ndarray:
     """log10 a(h), from the count of the history, the sum of P(w) over the words seen after it, and the
     sums of c(h, w) over them by c(h, w) (last: above five).  A history whose bigrams are all above five
@@ -232,7 +243,6 @@ def _weights(history_count, seen_word_mass, by_count, discount) -> np.ndarray:
 
 
 def _evaluated(words: Words, n_buckets: int):
-    wide = np.uint64(words.numbers + 1)
     hot_tokens = max(1, words.tokens // (2 * n_buckets))
 
     def evaluated(rows: pd.DataFrame) -> pd.DataFrame:
@@ -243,8 +253,8 @@ def _evaluated(words: Words, n_buckets: int):
         join = lambda name: np.concatenate([p[name].astype(np.int64) for p in parts])
         h = np.concatenate([np.cumsum(p["step"], dtype=np.uint64) for p in parts])
         w = join("w").astype(np.uint64)
-        keys, first, place = np.unique(h * wide + w, return_index=True, return_inverse=True)
-        c = np.bincount(place, weights=join("n"), minlength=len(keys)).astype(np.int64)
+        first, place = _groups(h, w, words.numbers)
+        c = np.bincount(place, weights=join("n"), minlength=len(first)).astype(np.int64)
         h, hc, p = h[first].astype(np.int64), join("hc")[first], words.probability(join("wc")[first])
         # Sums over the bigrams of each history.
         starts = np.flatnonzero(np.diff(h, prepend=-1))

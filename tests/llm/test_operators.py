@@ -436,3 +436,12 @@ def test_vector_links_equal_brute_force(spark, settings):
     assert {r.vec_id: (r.n_links, r.component_id) for r in found if r.vec_id is not None} == expected
     assert len(found) == len(rows) and all(r.kept == (r.vec_id == r.component_id) for r in found if r.vec_id is not None)
     assert near_duplicate_vectors(spark.createDataFrame([], VECTOR)).count() == 0
+
+
+def test_pairs_are_grouped_alike_beyond_32_bits():
+    from grantline.llm.katz import _groups
+
+    rng = np.random.default_rng(3)
+    h, w = (rng.integers(0, 30, 500).astype(np.uint64) for _ in range(2))
+    small, large = _groups(h, w, 30), _groups(h, w, 2**40)
+    assert (small[1] == large[1]).all() and (h[small[0]] == h[large[0]]).all() and (w[small[0]] == w[large[0]]).all()
