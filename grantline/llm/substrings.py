@@ -3,10 +3,10 @@
 A byte is removed if a string of ``length`` bytes that covers it also starts earlier in the table.
 
 Strings first meet those that they could be equal to.  Every string of ``length`` bytes has a least
-24-byte gram in a hashed order; runs of starts with the same least gram make one segment of text, and
+gram of ``GRAM`` bytes in a hashed order; runs of starts with the same least gram make one segment of text, and
 strings that are equal have the same gram at the same offset, so no segment holds a string twice.  Equal segments are collapsed to their first place, each
 later place being a repeat as a whole, and segments whose gram is in no other segment hold no repeat
-and are left out.  What stays is dealt to cells by gram.
+and are left out.  What stays is dealt to cells by gram, where the same is done once more with another order of the grams.
 
 In a cell, shards of segments get a Burrows-Wheeler transform each, over the rotations of each segment.
 The transforms are merged by refining their interleave: if it is right for the first h symbols, reading
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from grantline.llm.words import mixed
 from grantline.sinks.shared import stage
 
-GRAM = 24
+GRAM = 40
 #: Bytes of text that are divided into segments at once, of one shard and of one cell.
 CHUNK, SHARD, CELL = 1 << 21, 1 << 18, 1 << 21
 #: A gram with more segments is divided by the strings themselves.
@@ -40,15 +40,14 @@ _PLACE = np.random.default_rng(79).integers(0, 2**63, 64, dtype=np.uint64) * np.
 _LAST = (1 << 63) - 1
 
 
-def _grams(text: np.ndarray) -> np.ndarray:
-    """A hash of the 24 bytes from each place on."""
-    h = _BYTES[text]
-    for step, reach in enumerate((1, 2, 4, 8)):
-        h = h[:-reach] * _STEP[step] + h[reach:]
-        if reach == 4:
-            eight = h
+def _grams(text: np.ndarray, order: int) -> np.ndarray:
+    """A hash of the ``GRAM`` bytes from each place on: of two overlapping runs of a power of two."""
+    h, reach = _BYTES[text], 1
+    while 2 * reach <= GRAM:
+        h = h[:-reach] * _STEP[reach.bit_length()] + h[reach:]
+        reach *= 2
     n = len(text) - GRAM + 1
-    return mixed(h[:n] * _STEP[5] + eight[16 : 16 + n])
+    return mixed((h[:n] * _STEP[0] + h[GRAM - reach : GRAM - reach + n]) ^ _PLACE[-1 - order])
 
 
 def _window_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -63,8 +62,8 @@ def _window_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
-    """(text, start, starts, gram, hash) of the segments of each text."""
+def segments(texts: list[bytes], length: int, order: int = 0) -> tuple[np.ndarray, ...]:
+    """(text, start, starts, gram, hash) of the segments of each text, by the grams' order of that number."""
     width = length - GRAM + 1
     out: list[tuple] = []
     block: list[int] = []
@@ -76,7 +75,7 @@ def segments(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
             return
         sizes = np.array([len(texts[i]) for i in block])
         first = np.cumsum(sizes) - sizes
-        grams = _grams(data)
+        grams = _grams(data, order)
         least = _window_least(grams, width)
         valid = np.zeros(len(least) + 1, bool)
         for f, s in zip(first, sizes):
@@ -148,6 +147,20 @@ def _found(length: int):
     return found
 
 
+def _met(gram: np.ndarray, own: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of segments in the order of gram, hash, doc and start: which are at a later place than an equal one,
+    which are first and not the only ones of their gram, and how many different ones the gram has."""
+    new_gram = np.ones(len(gram), bool)
+    new_gram[1:] = gram[1:] != gram[:-1]
+    new = new_gram.copy()
+    new[1:] |= own[1:] != own[:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
+    later = ~new & ((doc != doc[head]) | (start != start[head]))
+    group = np.cumsum(new_gram) - 1
+    count = np.bincount(group, weights=new)[group].astype(np.int64) if len(group) else group
+    return later, new & (count > 1), count
+
+
 def _meetings():
     """Of rows sorted by gram, hash, doc and start: later places (kind 1), and first places of segments that
     have to be compared (kind 0), with the number of segments of their gram."""
@@ -158,15 +171,7 @@ def _meetings():
 
         def settle(rows: list[np.ndarray]) -> pa.RecordBatch:
             gram, own, doc, start, n = rows
-            new_gram = np.ones(len(gram), bool)
-            new_gram[1:] = gram[1:] != gram[:-1]
-            new = new_gram.copy()
-            new[1:] |= own[1:] != own[:-1]
-            head = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
-            later = ~new & ((doc != doc[head]) | (start != start[head]))
-            group = np.cumsum(new_gram) - 1
-            count = np.bincount(group, weights=new, minlength=group[-1] + 1 if len(group) else 0)[group] if len(group) else new
-            compared = new & (count > 1)
+            later, compared, count = _met(gram, own, doc, start)
             use = later | compared
             return pa.RecordBatch.from_arrays(
                 [pa.array(later[use].astype(np.int32)), *(pa.array(x[use]) for x in (gram, doc, start, n)),
@@ -190,9 +195,9 @@ def _meetings():
     return met
 
 
-def transform(shard: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The order of all rotations of the shard's strings (by string in ties that never end), the strings' bytes, and each
-    byte's place in its string and the string's length."""
+def transform(shard: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order of all rotations of the shard's strings by their first ``length`` bytes, the strings'
+    bytes, and for each byte the first place of its string and the string's length."""
     sizes = np.array([len(s) for s in shard])
     data = np.frombuffer(b"".join(shard), np.uint8)
     first = np.repeat(np.cumsum(sizes) - sizes, sizes)
@@ -202,10 +207,11 @@ def transform(shard: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     for k in range(8):
         key = (key << np.uint64(8)) | data[first + (inner + k) % size]
     depth, ranks = 8, _dense(key)
-    while depth < 2 * int(sizes.max()) and ranks.max() < len(data) - 1:
-        ahead = ranks[first + (inner + depth) % size]
+    while depth < length and ranks.max() < len(data) - 1:
+        step = min(depth, length - depth)
+        ahead = ranks[first + (inner + step) % size]
         ranks = _dense(ranks.astype(np.uint64) * np.uint64(len(data)) + ahead.astype(np.uint64))
-        depth *= 2
+        depth += step
     return np.argsort(ranks, kind="stable"), data, first, size
 
 
@@ -221,7 +227,7 @@ def _dense(key: np.ndarray) -> np.ndarray:
 def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
     """For every byte of every shard, the number of the block of suffixes (rotations) that share its first
     ``length`` bytes."""
-    parts = [transform(shard) for shard in shards]
+    parts = [transform(shard, length) for shard in shards]
     orders = [order for order, *_ in parts]
 
     def before(width: int) -> np.ndarray:
@@ -263,40 +269,53 @@ def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
     return out
 
 
+def _merged_repeats(strings: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Runs (doc, start, n) of the strings' starts whose block has an earlier one."""
+    shards: list[list[bytes]] = [[]]
+    held = 0
+    for string in strings:
+        if held >= SHARD:
+            shards.append([])
+            held = 0
+        shards[-1].append(string)
+        held += len(string)
+    block = np.concatenate(merged_blocks(shards, length))
+    sizes = np.array([len(s) for s in strings])
+    string = np.repeat(np.arange(len(strings)), sizes)
+    inner = np.arange(len(string)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    whole = inner <= sizes[string] - length
+    block, doc, start = block[whole], docs[string[whole]], starts[string[whole]] + inner[whole]
+    order = np.lexsort((start, doc, block))
+    block, doc, start = block[order], doc[order], start[order]
+    new = np.ones(len(block), bool)
+    new[1:] = block[1:] != block[:-1]
+    head = np.maximum.accumulate(np.where(new, np.arange(len(block)), 0))
+    later = ~new & ((doc != doc[head]) | (start != start[head]))
+    doc, start = doc[later], start[later]
+    order = np.lexsort((start, doc))
+    doc, start = doc[order], start[order]
+    run = np.ones(len(doc), bool)
+    run[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    at = np.flatnonzero(run)
+    last = np.append(at[1:], len(doc))[: len(at)] - 1
+    return doc[at], start[at], start[last] - start[at] + 1
+
+
 def _repeats(length: int):
     def cell(rows: pa.Table) -> pa.RecordBatch:
-        strings = rows.column("bytes").to_pylist()
-        docs, starts = rows.column("doc").to_numpy(), rows.column("start").to_numpy()
-        shards: list[list[bytes]] = [[]]
-        held = 0
-        for string in strings:
-            if held >= SHARD:
-                shards.append([])
-                held = 0
-            shards[-1].append(string)
-            held += len(string)
-        block = np.concatenate(merged_blocks(shards, length))
-        sizes = np.array([len(s) for s in strings])
-        string = np.repeat(np.arange(len(strings)), sizes)
-        inner = np.arange(len(string)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        whole = inner <= sizes[string] - length
-        block, doc, start = block[whole], docs[string[whole]], starts[string[whole]] + inner[whole]
-        order = np.lexsort((start, doc, block))
-        block, doc, start = block[order], doc[order], start[order]
-        new = np.ones(len(block), bool)
-        new[1:] = block[1:] != block[:-1]
-        head = np.maximum.accumulate(np.where(new, np.arange(len(block)), 0))
-        later = ~new & ((doc != doc[head]) | (start != start[head]))
-        doc, start = doc[later], start[later]
-        order = np.lexsort((start, doc))
-        doc, start = doc[order], start[order]
-        run = np.ones(len(doc), bool)
-        run[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
-        at = np.flatnonzero(run)
-        last = np.append(at[1:], len(doc))[: len(at)] - 1
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc[at]), pa.array(start[at]), pa.array(start[last] - start[at] + 1)], ["doc", "start", "n"]
-        )
+        whole_strings = rows.column("bytes").to_pylist()
+        # Once more by the least grams in another order: what is equal is collapsed, what is alone left out.
+        place, inner, n, gram, own = segments(whole_strings, length, order=1)
+        key = mixed(rows.column("cell").to_numpy().view(np.uint64)[place] ^ gram)
+        doc, start = rows.column("doc").to_numpy()[place], rows.column("start").to_numpy()[place] + inner
+        order = np.lexsort((start, doc, own, key))
+        place, inner, n, key, own, doc, start = (x[order] for x in (place, inner, n, key, own, doc, start))
+        later, compared, _ = _met(key, own, doc, start)
+        repeats = [(doc[later], start[later], n[later])]
+        strings = [whole_strings[p][i : i + k + length - 1] for p, i, k in zip(place[compared], inner[compared], n[compared])]
+        if strings:
+            repeats.append(_merged_repeats(strings, doc[compared], start[compared], length))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*repeats)], ["doc", "start", "n"])
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cells are taken together until they fill ``CELL``; none is divided."""
