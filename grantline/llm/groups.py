@@ -26,6 +26,16 @@ def runs(frames: Iterator[pd.DataFrame], key: str) -> Iterator[pd.DataFrame]:
         yield pd.concat(held) if len(held) > 1 else held[0]
 
 
+def hashed_sample(rows: DataFrame, keys: list[str], limit: int) -> DataFrame:
+    """About ``limit`` rows, or all if there are fewer: those whose keys hash below a share of the range.
+
+    No task has to order or hold more than its share of the sample.  Rows with equal keys go together.
+    """
+    n, slots = rows.count(), 1 << 40
+    share = min(1.0, limit / n) if n else 1.0
+    return rows.where(F.pmod(F.xxhash64(*keys, F.lit(41)), F.lit(slots)) < int(slots * share))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component): for each id that occurs in the links (a, b), the smallest id it is joined to.
 

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from grantline.llm.groups import hashed_sample
 from grantline.llm.words import encoded, mixed, word_hashes
 from grantline.sinks.shared import stage
 
@@ -32,7 +33,7 @@ _COUNTS = ["raw", "good", "clean", "toxic"]
 
 @dataclass
 class Settings:
-    """``labelled_rows``: at most so many labelled documents are used, those first in a hashed order."""
+    """``labelled_rows``: about so many labelled documents are used at most, a hashed sample."""
 
     buckets: int = 1 << 18
     labelled_rows: int = 50_000
@@ -76,13 +77,13 @@ def _log_ratio(target: np.ndarray, raw: np.ndarray, prior: float, least: float =
 
 
 def labelled(labels: DataFrame, limit: int) -> DataFrame:
-    """doc_id, quality, toxic and fold of at most ``limit`` labelled documents; of repeated labels the
+    """doc_id, quality, toxic and fold of about ``limit`` labelled documents at most; of repeated labels the
     worse ones hold, rows without doc_id or a label are left out."""
     one = (
         labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     )
-    chosen = one.orderBy(F.xxhash64("doc_id", F.lit(17)), "doc_id").limit(limit)
+    chosen = hashed_sample(stage(one), ["doc_id"], limit)
     return stage(chosen.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(19)), F.lit(2)).cast("int")))
 
 

@@ -15,6 +15,7 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from grantline.llm.groups import hashed_sample
 from grantline.sinks.shared import stage
 
 # The base patterns, in the order in which kinds are listed.
@@ -104,8 +105,8 @@ def scan(
 
     ``kind`` is the place in ``KINDS``; a span is in code points, its end exclusive.  Null texts count as
     empty and have no spans; null doc_ids are scanned like others; repeated rows are scanned each.
-    The models are fitted on the documents and on the pattern matches that come first in a hashed
-    order, ``sample_documents`` and ``sample_secrets`` at most.  Other columns are kept; one named
+    The models are fitted on hashed samples of about ``sample_documents`` documents and
+    ``sample_secrets`` pattern matches at most.  Other columns are kept; one named
     ``spans`` is replaced.
     """
     kept = [c for c in documents.columns if c not in ("spans", "text")]
@@ -152,9 +153,9 @@ def _fitted(documents: DataFrame, least_run: int, sample_documents: int, sample_
         texts.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}"))
         .select(F.explode(values).alias("string")).where(F.char_length("string") >= 16)
     )
-    random = found.orderBy(F.xxhash64("string"), "string").limit(sample_secrets)
+    random = hashed_sample(stage(found), ["string"], sample_secrets)
     # Words, as identifiers; one with a part that could itself be an unlabelled secret is left out.
-    sampled = texts.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(sample_documents)
+    sampled = hashed_sample(texts, ["doc_id", "text"], sample_documents)
     words = sampled.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("string"))
     ordinary = words.where(~F.col("string").rlike(f"[A-Za-z0-9]{{{least_run},}}"))
     return markov_ratios(random, ordinary)
