@@ -182,7 +182,7 @@ def near_duplicates(
     percent: int = 80,
     shingle_size: int = 5,
     miss: float = 1e-6,
-    cell_rows: int = 256,
+    cell_rows: int = 384,
     hubs: int = 512,
     max_depth: int = 8,
 ) -> DataFrame:
