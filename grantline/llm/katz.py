@@ -179,7 +179,8 @@ def _bigrams(words: Words, n_buckets: int):
         count = np.concatenate([a["n"].astype(np.int64) for _, a in answers])[place]
         n_texts = len(texts)
         owner = np.repeat(np.arange(n_texts), lengths)
-        base = np.log10((count + 1) / ((words.tokens + 1) * (words.distinct + 1)))
+        # Add-one smoothing over the known words and the unknown one.
+        base = np.log10((count + 1) / (words.tokens + words.distinct + 1))
         known = count > 0
         # The history of a text's first token is its begin, which has a number of its own.
         history, history_count = np.empty_like(number), np.empty_like(count)
@@ -344,7 +345,7 @@ def katz_scores(documents: DataFrame, train: Column | None = None, block_bytes:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     Tokens are words and one end per text.  ``train`` says which rows the model learns from (default: the
-    checksum of doc_id modulo 7 is not 2).  ``base_score`` is the add-one unigram score, ``score`` the
+    checksum of doc_id modulo 7 is not 2).  ``base_score`` is the add-one unigram score, log10((c + 1) / (N + V + 1)), ``score`` the
     model's log10 probability of the text; both go over n_tokens tokens.  Null and empty texts are one
     end.  A null doc_id counts as an empty text for the default rule.  Repeated rows are counted and scored
     each.  Without training rows every token is unknown and has a probability of one.  An empty table

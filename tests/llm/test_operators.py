@@ -261,6 +261,28 @@ def test_scores_equal_brute_force(spark, settings):
         assert row.base_score == pytest.approx(expected[3], abs=1e-7) and row.score == pytest.approx(expected[4], abs=1e-7)
 
 
+def test_base_scores_are_a_distribution(spark):
+    # N = 7 tokens (a three times, b, c, two ends) of V = 4 kinds; one place more is the unknown word's.
+    rows = [(1, "a a a b"), (2, "c"), (10, "a"), (11, "b"), (12, "c"), (13, ""), (14, "unknown")]
+    found = {r.doc_id: r for r in katz_scores(documents(spark, rows), train=F.col("doc_id") < 10).collect()}
+    end = 3 / 12
+    one = {d: 10 ** found[d].base_score / end for d in (10, 11, 12, 14)}
+    assert one == pytest.approx({10: 4 / 12, 11: 2 / 12, 12: 2 / 12, 14: 1 / 12})
+    assert 10 ** found[13].base_score == pytest.approx(end) and sum(one.values()) + end == pytest.approx(1)
+
+
+def test_base_and_model_scores_of_a_corpus(spark):
+    rng = random.Random(19)
+    rows = [(d, " ".join(rng.choices([f"v{n}" for n in range(40)], k=rng.randint(0, 40)))) for d in range(80)] + [(901, "never seen")]
+    learn = lambda doc: zlib.crc32(str(doc).encode()) % 7 != 2
+    seen = [w for d, t in rows if learn(d) for w in words(t) + ["</s>"]]
+    found = {r.doc_id: r for r in katz_scores(documents(spark, rows), block_bytes=2000, blocks_per_bucket=1).collect()}
+    for (doc, text), expected in zip(rows, brute_katz(rows, learn)):
+        base = sum(np.log10((seen.count(w) + 1) / (len(seen) + len(set(seen)) + 1)) for w in words(text) + ["</s>"])
+        assert found[doc].base_score == pytest.approx(base, abs=1e-7)
+        assert found[doc].score == pytest.approx(expected[4], abs=1e-7)
+
+
 def test_scores_of_odd_tables(spark):
     assert katz_scores(documents(spark, ODD)).count() == len(ODD)
     assert katz_scores(documents(spark, [])).count() == 0
