@@ -116,7 +116,7 @@ def segments(texts: list[bytes], length: int, order: int = 0) -> tuple[np.ndarra
     return tuple(np.concatenate(part) for part in zip(*out))
 
 
-_SEGMENT = "gram long, hash long, doc long, start long, n long"
+_SEGMENT = "gram long, hash long, doc long, nth long, start long, n long"
 
 
 def _found(length: int):
@@ -124,59 +124,64 @@ def _found(length: int):
         """Segments of a batch that are first in it, and, with a null gram, the places of the others."""
         for batch in batches:
             texts = [t or b"" for t in batch.column("bytes").to_pylist()]
-            docs = batch.column("doc").to_numpy(zero_copy_only=False)
+            docs, nths = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "nth"))
             place, start, n, gram, own = segments(texts, length)
-            doc = docs[place] if len(place) else place
-            order = np.lexsort((start, doc, own, gram))
-            place, start, n, gram, own, doc = (x[order] for x in (place, start, n, gram, own, doc))
+            doc, nth = (docs[place], nths[place]) if len(place) else (place, place)
+            order = np.lexsort((start, nth, doc, own, gram))
+            place, start, n, gram, own, doc, nth = (x[order] for x in (place, start, n, gram, own, doc, nth))
             again = np.zeros(len(own), bool)
             again[1:] = (own[1:] == own[:-1]) & (gram[1:] == gram[:-1])
-            # The same place of rows that repeat a doc_id is not earlier than itself.
-            head = np.maximum.accumulate(np.where(again, 0, np.arange(len(own))))
-            later = again & ((doc != doc[head]) | (start != start[head]))
+            later = _later(~again, doc, nth, start)
             keep = ~again | later
-            back = np.flatnonzero(keep)[np.lexsort((start[keep], doc[keep]))]
+            back = np.flatnonzero(keep)[np.lexsort((start[keep], nth[keep], doc[keep]))]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(gram[back].view(np.int64), mask=later[back]), pa.array(own[back].view(np.int64)),
-                    pa.array(doc[back]), pa.array(start[back].astype(np.int64)), pa.array(n[back].astype(np.int64)),
+                    pa.array(doc[back]), pa.array(nth[back]), pa.array(start[back].astype(np.int64)), pa.array(n[back].astype(np.int64)),
                 ],
-                ["gram", "hash", "doc", "start", "n"],
+                ["gram", "hash", "doc", "nth", "start", "n"],
             )
 
     return found
 
 
-def _met(gram: np.ndarray, own: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Of segments in the order of gram, hash, doc and start: which are at a later place than an equal one,
+def _later(new: np.ndarray, doc: np.ndarray, nth: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Of equal things in the order of doc, nth and start, the first being ``new``: which are the first of a
+    later place.  The same place of rows that repeat doc_id and text is not earlier than itself."""
+    before = np.ones(len(new), bool)
+    before[1:] = (doc[1:] != doc[:-1]) | (nth[1:] != nth[:-1]) | (start[1:] != start[:-1])
+    return ~new & before
+
+
+def _met(gram: np.ndarray, own: np.ndarray, doc: np.ndarray, nth: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of segments in the order of gram, hash, doc, nth and start: which are at a later place than an equal one,
     which are first and not the only ones of their gram, and how many different ones the gram has."""
     new_gram = np.ones(len(gram), bool)
     new_gram[1:] = gram[1:] != gram[:-1]
     new = new_gram.copy()
     new[1:] |= own[1:] != own[:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(gram)), 0))
-    later = ~new & ((doc != doc[head]) | (start != start[head]))
+    later = _later(new, doc, nth, start)
     group = np.cumsum(new_gram) - 1
     count = np.bincount(group, weights=new)[group].astype(np.int64) if len(group) else group
     return later, new & (count > 1), count
 
 
 def _meetings():
-    """Of rows sorted by gram, hash, doc and start: later places (kind 1), and first places of segments that
+    """Of rows sorted by gram, hash, doc, nth and start: later places (kind 1), and first places of segments that
     have to be compared (kind 0), with the number of segments of their gram."""
 
     def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["gram", "hash", "doc", "start", "n"]
+        names = ["gram", "hash", "doc", "nth", "start", "n"]
         held: list[np.ndarray] | None = None
 
         def settle(rows: list[np.ndarray]) -> pa.RecordBatch:
-            gram, own, doc, start, n = rows
-            later, compared, count = _met(gram, own, doc, start)
+            gram, own, doc, nth, start, n = rows
+            later, compared, count = _met(gram, own, doc, nth, start)
             use = later | compared
             return pa.RecordBatch.from_arrays(
-                [pa.array(later[use].astype(np.int32)), *(pa.array(x[use]) for x in (gram, doc, start, n)),
+                [pa.array(later[use].astype(np.int32)), *(pa.array(x[use]) for x in (gram, doc, nth, start, n)),
                  pa.array(count[use].astype(np.int64))],
-                ["kind", "gram", "doc", "start", "n", "n_segments"],
+                ["kind", "gram", "doc", "nth", "start", "n", "n_segments"],
             )
 
         for batch in batches:
@@ -269,8 +274,10 @@ def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
     return out
 
 
-def _merged_repeats(strings: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Runs (doc, start, n) of the strings' starts whose block has an earlier one."""
+def _merged_repeats(
+    strings: list[bytes], docs: np.ndarray, nths: np.ndarray, starts: np.ndarray, length: int
+) -> tuple[np.ndarray, ...]:
+    """Runs (doc, nth, start, n) of the strings' starts whose block has an earlier one."""
     shards: list[list[bytes]] = [[]]
     held = 0
     for string in strings:
@@ -284,21 +291,21 @@ def _merged_repeats(strings: list[bytes], docs: np.ndarray, starts: np.ndarray,
     string = np.repeat(np.arange(len(strings)), sizes)
     inner = np.arange(len(string)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     whole = inner <= sizes[string] - length
-    block, doc, start = block[whole], docs[string[whole]], starts[string[whole]] + inner[whole]
-    order = np.lexsort((start, doc, block))
-    block, doc, start = block[order], doc[order], start[order]
+    block, string, start = block[whole], string[whole], starts[string[whole]] + inner[whole]
+    doc, nth = docs[string], nths[string]
+    order = np.lexsort((start, nth, doc, block))
+    block, doc, nth, start = block[order], doc[order], nth[order], start[order]
     new = np.ones(len(block), bool)
     new[1:] = block[1:] != block[:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(block)), 0))
-    later = ~new & ((doc != doc[head]) | (start != start[head]))
-    doc, start = doc[later], start[later]
-    order = np.lexsort((start, doc))
-    doc, start = doc[order], start[order]
+    later = _later(new, doc, nth, start)
+    doc, nth, start = doc[later], nth[later], start[later]
+    order = np.lexsort((start, nth, doc))
+    doc, nth, start = doc[order], nth[order], start[order]
     run = np.ones(len(doc), bool)
-    run[1:] = (doc[1:] != doc[:-1]) | (start[1:] > start[:-1] + 1)
+    run[1:] = (doc[1:] != doc[:-1]) | (nth[1:] != nth[:-1]) | (start[1:] > start[:-1] + 1)
     at = np.flatnonzero(run)
     last = np.append(at[1:], len(doc))[: len(at)] - 1
-    return doc[at], start[at], start[last] - start[at] + 1
+    return doc[at], nth[at], start[at], start[last] - start[at] + 1
 
 
 def _repeats(length: int):
@@ -307,15 +314,16 @@ def _repeats(length: int):
         # Once more by the least grams in another order: what is equal is collapsed, what is alone left out.
         place, inner, n, gram, own = segments(whole_strings, length, order=1)
         key = mixed(rows.column("cell").to_numpy().view(np.uint64)[place] ^ gram)
-        doc, start = rows.column("doc").to_numpy()[place], rows.column("start").to_numpy()[place] + inner
-        order = np.lexsort((start, doc, own, key))
-        place, inner, n, key, own, doc, start = (x[order] for x in (place, inner, n, key, own, doc, start))
-        later, compared, _ = _met(key, own, doc, start)
-        repeats = [(doc[later], start[later], n[later])]
+        doc, nth = (rows.column(c).to_numpy()[place] for c in ("doc", "nth"))
+        start = rows.column("start").to_numpy()[place] + inner
+        order = np.lexsort((start, nth, doc, own, key))
+        place, inner, n, key, own, doc, nth, start = (x[order] for x in (place, inner, n, key, own, doc, nth, start))
+        later, compared, _ = _met(key, own, doc, nth, start)
+        repeats = [(doc[later], nth[later], start[later], n[later])]
         strings = [whole_strings[p][i : i + k + length - 1] for p, i, k in zip(place[compared], inner[compared], n[compared])]
         if strings:
-            repeats.append(_merged_repeats(strings, doc[compared], start[compared], length))
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*repeats)], ["doc", "start", "n"])
+            repeats.append(_merged_repeats(strings, doc[compared], nth[compared], start[compared], length))
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(part)) for part in zip(*repeats)], ["doc", "nth", "start", "n"])
 
     def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cells are taken together until they fill ``CELL``; none is divided."""
@@ -325,7 +333,8 @@ def _repeats(length: int):
             done = batch.filter(known)
             if len(done):
                 yield pa.RecordBatch.from_arrays(
-                    [done.column("doc"), done.column("start"), pa.array(np.ones(len(done), np.int64))], ["doc", "start", "n"]
+                    [*(done.column(c) for c in ("doc", "nth", "start")), pa.array(np.ones(len(done), np.int64))],
+                    ["doc", "nth", "start", "n"],
                 )
             rows = pa.Table.from_batches([batch.filter(pa.compute.invert(known))])
             held = rows if held is None else pa.concat_tables([held, rows])
@@ -347,49 +356,52 @@ def _cut(length: int):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: dict[str, list] = {"cell": [], "doc": [], "start": [], "bytes": []}
-            first: dict[bytes, tuple[int, int]] = {}
+            out: dict[str, list] = {"cell": [], "doc": [], "nth": [], "start": [], "bytes": []}
+            first: dict[bytes, tuple[int, int, int]] = {}
 
-            def put(cell, doc, start, string) -> None:
-                for column, value in zip(out.values(), (cell, doc, start, string)):
+            def put(cell, doc, nth, start, string) -> None:
+                for column, value in zip(out.values(), (cell, doc, nth, start, string)):
                     column.append(value)
 
-            for row in sorted(batch.to_pylist(), key=lambda r: r["doc"]):
-                text, doc = row["bytes"], row["doc"]
+            for row in sorted(batch.to_pylist(), key=lambda r: (r["doc"], r["nth"])):
+                text, doc, nth = row["bytes"], row["doc"], row["nth"]
                 for s in sorted(row["wanted"], key=lambda s: s["start"]):
                     if s["n_segments"] <= HOT:
-                        put(s["gram"], doc, s["start"], text[s["start"] : s["start"] + s["n"] + length - 1])
+                        put(s["gram"], doc, nth, s["start"], text[s["start"] : s["start"] + s["n"] + length - 1])
                         continue
                     for i in range(s["start"], s["start"] + s["n"]):
                         string = text[i : i + length]
-                        if first.setdefault(string, (doc, i)) < (doc, i):
-                            put(i, doc, i, None)
-            for string, (doc, i) in first.items():
-                put(xxhash.xxh3_64_intdigest(string) - (1 << 63), doc, i, string)
+                        if first.setdefault(string, (doc, nth, i)) < (doc, nth, i):
+                            put(i, doc, nth, i, None)
+            for string, (doc, nth, i) in first.items():
+                put(xxhash.xxh3_64_intdigest(string) - (1 << 63), doc, nth, i, string)
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array(out[c], pa.int64()) for c in ("cell", "doc", "start")), pa.array(out["bytes"], pa.binary())], list(out)
+                [*(pa.array(out[c], pa.int64()) for c in ("cell", "doc", "nth", "start")), pa.array(out["bytes"], pa.binary())], list(out)
             )
 
     return cut
 
 
 def repeated_starts(documents: DataFrame, length: int = 100) -> DataFrame:
-    """(doc, start, n): runs of byte offsets at which a string of ``length`` bytes starts that also starts
-    earlier: in a smaller doc, or earlier in the same.  ``documents`` has doc and bytes."""
+    """(doc, nth, start, n): runs of byte offsets at which a string of ``length`` bytes starts that also starts
+    earlier: in a smaller doc, in a smaller nth of the same, or earlier in the same text.  ``documents`` has
+    doc, nth and bytes; rows of the same doc and nth have the same bytes."""
     if length < 2 * GRAM:
         raise ValueError(f"strings of at least {2 * GRAM} bytes are compared")
-    found = stage(documents.select("doc", "bytes").mapInArrow(_found(length), _SEGMENT))
+    found = stage(documents.select("doc", "nth", "bytes").mapInArrow(_found(length), _SEGMENT))
     met = stage(
-        found.where("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram", "hash", "doc", "start")
-        .mapInArrow(_meetings(), "kind int, gram long, doc long, start long, n long, n_segments long")
+        found.where("gram IS NOT NULL").repartition("gram").sortWithinPartitions("gram", "hash", "doc", "nth", "start")
+        .mapInArrow(_meetings(), "kind int, gram long, doc long, nth long, start long, n long, n_segments long")
+    )
+    wanted = met.where("kind = 0").groupBy("doc", "nth").agg(F.collect_list(F.struct("gram", "start", "n", "n_segments")).alias("wanted"))
+    pieces = documents.select("doc", "nth", "bytes").join(wanted, ["doc", "nth"]).mapInArrow(
+        _cut(length), "cell long, doc long, nth long, start long, bytes binary"
     )
-    wanted = met.where("kind = 0").groupBy("doc").agg(F.collect_list(F.struct("gram", "start", "n", "n_segments")).alias("wanted"))
-    pieces = documents.select("doc", "bytes").join(wanted, "doc").mapInArrow(_cut(length), "cell long, doc long, start long, bytes binary")
     compared = stage(
-        pieces.repartition("cell").sortWithinPartitions("cell").mapInArrow(_repeats(length), "doc long, start long, n long")
+        pieces.repartition("cell").sortWithinPartitions("cell").mapInArrow(_repeats(length), "doc long, nth long, start long, n long")
     )
-    copies = found.where("gram IS NULL").select("doc", "start", "n")
-    return copies.unionByName(met.where("kind = 1").select("doc", "start", "n")).unionByName(compared)
+    copies = found.where("gram IS NULL").select("doc", "nth", "start", "n")
+    return copies.unionByName(met.where("kind = 1").select("doc", "nth", "start", "n")).unionByName(compared)
 
 
 def _covered(length: int):
@@ -420,19 +432,40 @@ def _covered(length: int):
     return covered
 
 
+def _keyed(documents: DataFrame) -> DataFrame:
+    """doc, nth and bytes of every row: doc is for the order, doc and nth name a text.
+
+    nth is 0 but for ids that have different texts, where it is the text's hash, and for null ids, where the
+    rows are numbered in the order of their hashes.  Only those numbers could change between runs, and
+    they are written.
+    """
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("bytes"))
+    named = rows.where("doc IS NOT NULL").withColumn("hash", F.xxhash64("bytes"))
+    several = stage(
+        named.groupBy("doc").agg(F.min("hash").alias("low"), F.max("hash").alias("high")).where("low <> high")
+        .select("doc", F.lit(True).alias("several"))
+    )
+    named = named.join(several, "doc", "left").select("doc", F.when(F.col("several"), F.col("hash")).otherwise(F.lit(0)).alias("nth"), "bytes")
+    # Rows of one text are told apart by their place, so they need not be sorted by one task.
+    unnamed = (
+        rows.where("doc IS NULL").withColumn("hash", F.xxhash64("bytes")).withColumn("place", F.monotonically_increasing_id())
+        .orderBy("hash", "place").select(F.lit(_LAST).alias("doc"), F.monotonically_increasing_id().alias("nth"), "bytes")
+    )
+    return named.unionByName(stage(unnamed))
+
+
 def without_repeats(documents: DataFrame, length: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay) of every row.
 
     A null text counts as empty; texts of fewer than ``length`` bytes lose nothing.  Documents go by
-    doc_id, null ids last.  Rows that repeat a doc_id are one document to the order: a string at the same
-    offset in both is in neither earlier, and both lose what either has earlier.  An empty table gives
-    no rows; other columns are not read.
+    doc_id, null ids last.  Rows of one doc_id with different texts are documents each, in the order of
+    their texts' hashes, and so are all rows with a null id.  Rows that repeat doc_id and text are one
+    document: none is earlier than the other, and all lose the same.  An empty table gives no rows;
+    other columns are not read.
     """
-    rows = documents.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc"), F.coalesce("text", F.lit("")).cast("binary").alias("bytes")
-    )
-    starts = repeated_starts(rows, length).groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    done = rows.join(starts, "doc", "left").mapInArrow(
+    rows = _keyed(documents)
+    starts = repeated_starts(rows, length).groupBy("doc", "nth").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
+    done = rows.join(starts, ["doc", "nth"], "left").mapInArrow(
         _covered(length), "doc long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     )
     return done.select(F.expr(f"nullif(doc, {_LAST})").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

@@ -201,6 +201,29 @@ def test_repeated_ids_and_empty_tables(spark):
     assert without_repeats(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("crowded", [512, 3])
+def test_rows_without_an_own_id_are_texts_each(spark, monkeypatch, crowded):
+    monkeypatch.setattr(substrings, "HOT", crowded)
+    rng = random.Random(15)
+    passage, other = ("".join(rng.choice("abcd") for _ in range(250)) for _ in range(2))
+    unlike = lambda n: "".join(rng.choice("uvwxyz") for _ in range(n))
+    ids = [None] * 8 + [7] * 6
+    # Some have the passage at equal offsets, some elsewhere, some nothing that repeats.
+    rows = [(d, unlike(40 * (n % 3)) + [passage, other, ""][n % 4 % 3] + unlike(300)) for n, d in enumerate(ids)]
+    rows += [(None, rows[0][1]), (None, rows[0][1]), (7, rows[9][1]), (1, unlike(200)), (9, passage + unlike(50)), (None, None), (7, "")]
+    frame = documents(spark, rows).repartition(5)
+    hashes = {r.text: r.h for r in frame.select("text", F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("h")).collect()}
+    ordered = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashes[r[1]]))
+    # One number for rows of the same id and text, one each without an id.
+    number = [n if d is None else next(k for k, r in enumerate(ordered) if r == (d, t)) for n, (d, t) in enumerate(ordered)]
+    brute = brute_repeats([(k, t) for k, (_, t) in zip(number, ordered)], 100)
+    expected = collections.Counter((d, *brute[k]) for k, (d, _) in zip(number, ordered))
+    found = without_repeats(frame, 100).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found) == expected
+    # What is cut out of a text with nothing that repeats.
+    assert all(r.n_removed == 0 for r in found if r.doc_id == 1)
+
+
 # --- 6: Katz backoff ---------------------------------------------------------------------------------
 def brute_katz(rows, learn):
     texts = [words(t) + ["</s>"] for _, t in rows]
