@@ -5,7 +5,7 @@ random strings explains better than a model of ordinary identifiers.  Both are f
 models over character classes (each letter of either case, digit and sign is a class), trained on
 samples that the base patterns label: random strings are the values that the patterns found, ordinary
 identifiers the words of sampled documents, but for those with a part as long as the runs that are scored.  A run is added if its log-likelihood ratio
-per transition is above a threshold and it meets no base span.
+per transition is above a threshold.  Base spans divide a run, and its parts are scored each.
 
 All of it is DataFrame expressions.  Spans are found by splitting a text at its matches: the lengths of
 the pieces between them and of the matches give the places, in code points.
@@ -60,6 +60,31 @@ def base_spans(text: Column) -> Column:
     )
 
 
+def _outside(runs: Column, base: Column, least_run: int) -> Column:
+    """The parts of runs between base spans that have so many characters; base spans are ordered by start."""
+    empty = F.array().cast(SPAN)
+
+    def part(start: Column, run: Column, end: Column) -> Column:
+        return F.struct(start.alias("start"), run["kind"].alias("kind"), end.alias("end"))
+
+    def parts(run: Column) -> Column:
+        # The state is where the next part starts and the parts so far.
+        def step(state: Column, span: Column) -> Column:
+            grown = F.concat(state["found"], F.array(part(state["at"], run, span["start"])))
+            return F.struct(
+                F.greatest(state["at"], span["end"]).alias("at"),
+                F.when(span["start"] - state["at"] >= least_run, grown).otherwise(state["found"]).alias("found"),
+            )
+
+        met = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+        rest = lambda s: F.when(
+            run["end"] - s["at"] >= least_run, F.concat(s["found"], F.array(part(s["at"], run, run["end"])))
+        ).otherwise(s["found"])
+        return F.aggregate(met, F.struct(run["start"].alias("at"), empty.alias("found")), step, rest)
+
+    return F.flatten(F.transform(runs, parts))
+
+
 def _transitions(strings: DataFrame) -> DataFrame:
     """(first, second, n) over the characters of a column of strings."""
     codes = F.split("string", "")
@@ -114,10 +139,7 @@ def scan(
     ratios = stage(_fitted(documents, least_run, sample_documents, sample_secrets))
     run = RUN % least_run
     text = F.col("text")
-    candidates = F.filter(
-        _spans(text, run, 3),
-        lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
+    candidates = _outside(_spans(text, run, 3), F.col("base"), least_run)
     # The model is one literal of the plan, with a number for every pair of signs.
     found = {row.pair: row.ratio for row in ratios.collect()}
     matrix = [round(found[a + b], 6) for a in ALPHABET for b in ALPHABET]
