@@ -3,8 +3,8 @@
 Three patterns give the base spans.  The method adds runs of identifier characters that a model of
 random strings explains better than a model of ordinary identifiers.  Both are first-order Markov
 models over character classes (each letter of either case, digit and sign is a class), trained on
-samples that the base patterns label: random strings are the values that the patterns found, ordinary
-identifiers the words of sampled documents, but for those with a part as long as the runs that are scored.  A run is added if its log-likelihood ratio
+all strings that the base patterns label: random strings are the values that the patterns found, ordinary
+identifiers the words of all documents, but for those with a part as long as the runs that are scored.  A run is added if its log-likelihood ratio
 per transition is above a threshold.  Base spans divide a run, and its parts are scored each.
 
 All of it is DataFrame expressions.  Spans are found by splitting a text at its matches: the lengths of
@@ -15,7 +15,6 @@ import json
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from grantline.llm.groups import hashed_sample
 from grantline.sinks.shared import stage
 
 # The base patterns, in the order in which kinds are listed.
@@ -123,20 +122,17 @@ def scan(
     documents: DataFrame,
     least_run: int = 20,
     threshold: float = 0.4,
-    sample_documents: int = 2000,
-    sample_secrets: int = 20_000,
 ) -> DataFrame:
     """doc_id, the text, and ``spans``: an array of (start, kind, end) by start and kind.
 
     ``kind`` is the place in ``KINDS``; a span is in code points, its end exclusive.  Null texts count as
     empty and have no spans; null doc_ids are scanned like others; repeated rows are scanned each.
-    The models are fitted on hashed samples of about ``sample_documents`` documents and
-    ``sample_secrets`` pattern matches at most.  Other columns are kept; one named
-    ``spans`` is replaced.
+    The models count the transitions of all documents and all pattern matches.  Other columns are kept;
+    one named ``spans`` is replaced.
     """
     kept = [c for c in documents.columns if c not in ("spans", "text")]
     based = documents.select(*kept, F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-    ratios = stage(_fitted(documents, least_run, sample_documents, sample_secrets))
+    ratios = stage(_fitted(documents, least_run))
     run = RUN % least_run
     text = F.col("text")
     candidates = _outside(_spans(text, run, 3), F.col("base"), least_run)
@@ -163,22 +159,20 @@ def _mean_ratio(text: Column, span: Column, table: Column) -> Column:
     return total / (length - 1)
 
 
-def _fitted(documents: DataFrame, least_run: int, sample_documents: int, sample_secrets: int) -> DataFrame:
-    texts = documents.where("text IS NOT NULL").select("doc_id", "text")
+def _fitted(documents: DataFrame, least_run: int) -> DataFrame:
+    texts = documents.where("text IS NOT NULL").select("text")
     # Values that the patterns find, as random strings.
     values = F.concat(
         F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
         F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
     )
-    found = (
+    random = (
         texts.where(F.col("text").rlike(f"{ASSIGN}|{ACCESS}|{HEX}"))
         .select(F.explode(values).alias("string")).where(F.char_length("string") >= 16)
     )
-    random = hashed_sample(stage(found), ["string"], sample_secrets)
     # Words, as identifiers; one with a part that could itself be an unlabelled secret is left out.
-    sampled = hashed_sample(texts, ["doc_id", "text"], sample_documents)
-    words = sampled.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("string"))
+    words = texts.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))).alias("string"))
     ordinary = words.where(~F.col("string").rlike(f"[A-Za-z0-9]{{{least_run},}}"))
     return markov_ratios(random, ordinary)
 

@@ -449,6 +449,20 @@ def test_markov_models_tell_random_strings_from_identifiers(spark):
     assert sum("found <secret> beside" in r.text for r in clean) >= 97
 
 
+def test_models_count_every_document(spark):
+    from grantline.llm.secrets import _fitted
+
+    # 5,000 documents with a word each: 4,999 of them common, one with the only transitions from z to q.
+    rows = [(d, "abcabc") for d in range(4999)] + [(5000, "zqzqzq"), (5001, "token=QZQZQZQZQZQZQZQZ")]
+    found = {r.pair: r.ratio for r in _fitted(documents(spark, rows), 20).collect()}
+    signs = 26 + 26 + 10 + 5
+    for pair, n, of in (("zq", 3, 3), ("ab", 9998, 9998), ("bc", 9998, 9998), ("ca", 4999, 4999)):
+        ordinary = (n + 0.1) / (of + 0.1 * signs)
+        assert found[pair] == pytest.approx(np.log(2 / (2 * signs)) - np.log(ordinary))
+    random_pair = (8 + 2) / (8 + 2 * signs)
+    assert found["QZ"] == pytest.approx(np.log(random_pair) - np.log((8 + 0.1) / (8 + 0.1 * signs)))
+
+
 def test_random_strings_joined_to_base_spans_are_found(spark):
     rng = random.Random(14)
     signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
