@@ -19,6 +19,7 @@ nothing else divides them, and every pair that meets in a node is compared or al
 import math
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -126,23 +127,26 @@ def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": frame["id"], "text": [zlib.compress(text, 1) for text in encoded(frame["text"])]})
 
 
-def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs: int) -> DataFrame:
+def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs: int, draw: int = 0) -> DataFrame:
     """The rows of nodes that still hold several components, dealt to cells.
 
     A small node is one cell.  In others, hubs and the remaining texts are dealt to blocks, and a cell is
     a block of hubs with itself, with another block of hubs (side 1), or with a block of the others.
+    Every ``draw`` takes other hubs, and at least one, so that a node that cannot be divided gets smaller.
     """
-    rows = frontier.withColumn("weight", 1 + F.col("n") / 1024)
+    rows = frontier.withColumn("weight", 1 + F.col("n") / 1024).withColumn("drawn", F.xxhash64("id", "node", F.lit(draw)))
     if joined is None:
         rows = rows.withColumn("label", F.col("id"))
     else:
         rows = rows.join(joined, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component")
-    by_label = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("w"))
+    by_label = rows.groupBy("node", "label").agg(F.count(F.lit(1)).alias("c"), F.sum("weight").alias("w"), F.min("drawn").alias("least"))
     outside = F.col("w_all") - F.col("w_major")
     nodes = (
         by_label.groupBy("node")
         .agg(F.sum("c").alias("n_all"), F.sum("w").alias("w_all"), F.max_by("label", "c").alias("major"),
-             F.max("c").alias("c_major"), F.max_by("w", "c").alias("w_major"))
+             F.max("c").alias("c_major"), F.max_by("w", "c").alias("w_major"),
+             # One of the first and the last label is outside the largest component.
+             F.min(F.struct("label", "least")).alias("first_label"), F.max(F.struct("label", "least")).alias("last_label"))
         .where("n_all > c_major")
         .withColumn("small", (F.col("w_all") <= cell_rows) | (F.col("n_all") <= 2))
         .withColumn("rate", F.when(F.col("small") | (outside <= hubs), 2.0).otherwise(
@@ -150,9 +154,11 @@ def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs:
         .withColumn("w_hubs", F.least(F.lit(1.0), F.col("rate")) * outside)
         .withColumn("n_hub_blocks", F.greatest(F.lit(1), F.ceil(F.col("w_hubs") / cell_rows)).cast("int"))
         .withColumn("n_blocks", (F.col("n_hub_blocks") + F.ceil((F.col("w_all") - F.col("w_hubs")) / cell_rows)).cast("int"))
-        .drop("c_major", "w_all", "w_major", "w_hubs")
+        .withColumn("sure", F.when(F.col("first_label.label") != F.col("major"), F.col("first_label")).otherwise(F.col("last_label")))
+        .drop("c_major", "w_all", "w_major", "w_hubs", "first_label", "last_label")
     )
-    chance = F.pmod(F.xxhash64("id", "node", "n_all"), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.col("drawn"), F.lit(1 << 30)) / float(1 << 30)
+    sure = (F.col("label") == F.col("sure.label")) & (F.col("drawn") == F.col("sure.least"))
     spread = F.xxhash64("id", F.lit(7))
     blocks = F.col("n_blocks") - F.col("n_hub_blocks")
     own = F.when(F.col("is_hub"), F.pmod(spread, F.col("n_hub_blocks"))).otherwise(
@@ -164,7 +170,7 @@ def _cells(frontier: DataFrame, joined: DataFrame | None, cell_rows: int, hubs:
     alone = F.array(F.struct(F.lit(0).alias("first"), F.lit(0).alias("second")))
     return (
         rows.join(nodes, "node")
-        .withColumn("is_hub", (F.col("label") != F.col("major")) & (chance < F.col("rate")))
+        .withColumn("is_hub", (F.col("label") != F.col("major")) & ((chance < F.col("rate")) | sure))
         .withColumn("block", F.when(F.col("small"), 0).otherwise(own).cast("int"))
         .withColumn("pair", F.explode(F.when(F.col("small"), alone).otherwise(pairs)))
         .select(
@@ -211,8 +217,8 @@ def near_duplicates(
     frontier = roots.where("tree = 0").select("node", "id", "n", F.lit(0).alias("depth"))
     later = roots.where("tree > 0").select("node", "id", "n", F.lit(0).alias("depth"))
     joined, links = None, None
-    while True:
-        cells = stage(_cells(frontier, joined, cell_rows, hubs))
+    for draw in count():
+        cells = stage(_cells(frontier, joined, cell_rows, hubs, draw))
         if cells.isEmpty():
             if later is None:
                 break

@@ -4,7 +4,7 @@ import re
 import pytest
 
 from grantline.llm import groups
-from grantline.llm.neardup import near_duplicates, one_per_group, trees_for
+from grantline.llm.neardup import _cells, near_duplicates, one_per_group, trees_for
 
 SCHEMA = "doc_id long, text string, low string, cell long"
 
@@ -97,6 +97,18 @@ def test_edge_cases(spark):
     assert kept.where("doc_id IS NULL").count() == 1 and kept.columns == frame(spark, rows).columns
 
 
+def test_every_large_node_has_a_hub_in_every_draw(spark):
+    # 150 nodes of 20 texts that are not linked: two hubs are expected in each, so by chance some have none.
+    rows = [(node, 100 * node + i, 2000, 8) for node in range(150) for i in range(20)]
+    frontier = spark.createDataFrame(rows, "node long, id long, n long, depth int")
+    found = [
+        {(r.node, r.id) for r in _cells(frontier, None, 4, 1, *draw).where("is_hub").select("node", "id").distinct().collect()}
+        for draw in ((), (1,))
+    ]
+    assert all({node for node, _ in hubs} == set(range(150)) for hubs in found)
+    assert found[0] != found[1]
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
 
