@@ -264,7 +264,7 @@ def brute_katz(rows, learn):
             n, back = weights(h)
             c = after[h].get(w, 0)
             score += np.log10((d2[c] if c <= 5 else 1.0) * c / n if c else back * p1.get(w, left))
-        base = sum(np.log10((uni[w] + 1) / (total + 1) / (distinct + 1)) for w in tokens)
+        base = sum(np.log10((uni[w] + 1) / (total + 1 * (distinct + 1))) for w in tokens)
         out.append((len(tokens), sum(w in uni for w in tokens), total, base, score))
     return out
 
