@@ -16,15 +16,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 MARKER = "▁"
 _MARK = b"\xff"
-#: Bytes of text whose words are segmented together.
-CHUNK = 1 << 22
+#: Bytes of text whose words are segmented together; longer texts are cut where a segment begins.
+CHUNK = 1 << 19
 #: A piece has markers only at its start, so segments begin where runs of markers do.
-_SEGMENTS = re.compile(rb"\xff+[^\xff]*|[^\xff]+").findall
+_SEGMENTS = re.compile(rb"\xff+[^\xff]*|[^\xff]+").finditer
 
 
 class DoubleArray:
@@ -91,7 +92,7 @@ class Vocabulary:
             raise ValueError("the vocabulary has no byte pieces")
         self.trie = DoubleArray(entries)
         self.unknown = float(self.scores.min()) - 10.0
-        lead = np.ones(256, np.int64)
+        lead = np.ones(256, np.int32)
         lead[0xC0:0xE0], lead[0xE0:0xF0], lead[0xF0:0xF8] = 2, 3, 4
         self.char_length = lead
 
@@ -99,7 +100,7 @@ class Vocabulary:
         """(start, end, piece) of every piece in the words; -1 for characters that are none."""
         trie = self.trie
         is_start = (text & 0xC0) != 0x80
-        starts = np.flatnonzero(is_start)
+        starts = np.flatnonzero(is_start).astype(np.int32)
         char_end = np.minimum(starts + self.char_length[text[starts]], end_of[starts])
         known = np.zeros(len(text), bool)
         found = []
@@ -120,10 +121,10 @@ class Vocabulary:
 
     def segment(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of the words, one after the other, and how many each word has."""
-        lengths = np.fromiter(map(len, words), np.int64, count=len(words))
+        lengths = np.fromiter(map(len, words), np.int32, count=len(words))
         text = np.frombuffer(b"".join(words), np.uint8)
-        starts = np.cumsum(lengths) - lengths
-        word_of = np.repeat(np.arange(len(words)), lengths)
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
+        word_of = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
         begin, end, piece = self._edges(text, (starts + lengths)[word_of])
         # Positions between bytes: each word has one more of them than bytes.
         word = word_of[begin]
@@ -133,7 +134,7 @@ class Vocabulary:
         steps = np.searchsorted(begin - starts[word], np.arange(int(lengths.max(initial=0)) + 1))
         best = np.full(len(text) + len(words), -np.inf)
         best[starts + np.arange(len(words))] = 0.0
-        via = np.full(len(best), -1, np.int64)
+        via = np.full(len(best), -1, np.int32)
         source, sink = begin + word, end + word
         for low, high in zip(steps, [*steps[1:], len(begin)]):
             if low == high:
@@ -169,24 +170,45 @@ class Vocabulary:
         return ids, np.bincount(owner, weights=size, minlength=len(words)).astype(np.int64)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of the texts, one after the other, and how many each text has."""
-        parts: list[bytes] = []
+        """Piece ids of the texts, one after the other, and how many each text has.
+
+        Segments are independent of each other, so they are taken ``CHUNK`` bytes at a time, across and
+        within texts.  In a chunk, a segment that repeats is worked out once.
+        """
         counts = np.zeros(len(texts), np.int64)
+        found: list[np.ndarray] = []
+        places: dict[bytes, int] = {}
+        used: list[int] = []
+        owners: list[tuple[int, int]] = []
+
+        def flush() -> None:
+            ids, lengths = self.segment(list(places))
+            first, order = np.cumsum(lengths) - lengths, np.array(used, np.int64)
+            size = lengths[order]
+            total = np.concatenate([[0], np.cumsum(size)])
+            found.append(ids[np.repeat(first[order] - total[:-1], size) + np.arange(total[-1])])
+            bounds = np.cumsum([0] + [k for _, k in owners])
+            np.add.at(counts, [n for n, _ in owners], np.diff(total[bounds]))
+            places.clear()
+            used.clear()
+            owners.clear()
+
+        held = 0
         for n, text in enumerate(texts):
-            if text:
-                marked = (" " + text).encode("utf-8", "surrogatepass").replace(b" ", _MARK)
-                found = _SEGMENTS(marked)
-                parts += found
-                counts[n] = len(found)
-        places = {part: n for n, part in enumerate(dict.fromkeys(parts))}
-        used = np.fromiter(map(places.__getitem__, parts), np.int64, count=len(parts))
-        ids, lengths = self.segment(list(places))
-        first = np.cumsum(lengths) - lengths
-        size = lengths[used]
-        total = np.concatenate([[0], np.cumsum(size)])
-        index = np.repeat(first[used] - total[:-1], size) + np.arange(total[-1])
-        bounds = np.concatenate([[0], np.cumsum(counts)])
-        return ids[index], np.diff(total[bounds])
+            if not text:
+                continue
+            before = len(used)
+            for match in _SEGMENTS((" " + text).encode("utf-8", "surrogatepass").replace(b" ", _MARK)):
+                part = match.group()
+                used.append(places.setdefault(part, len(places)))
+                held += len(part)
+                if held >= CHUNK:
+                    owners.append((n, len(used) - before))
+                    flush()
+                    before = held = 0
+            owners.append((n, len(used) - before))
+        flush()
+        return np.concatenate(found), counts
 
     def decode(self, ids: np.ndarray) -> str:
         joined = b"".join(map(self.spelled.__getitem__, ids.tolist()))
@@ -210,10 +232,10 @@ def load_vocabulary(path: str, ranks: bool) -> Vocabulary:
     )
 
 
-def _batches(texts: list) -> Iterator[tuple[int, int]]:
+def _batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
     start, held = 0, 0
-    for n, text in enumerate(texts):
-        held += len(text or "")
+    for n, length in enumerate(pc.binary_length(texts).to_pylist()):
+        held += length or 0
         if held >= CHUNK:
             yield start, n + 1
             start, held = n + 1, 0
@@ -225,18 +247,19 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, text_column: str = "tex
     """The documents with a column of piece ids in place of their text.
 
     A null or empty text has no pieces.  All other columns are kept as they are; one named like the new
-    column is replaced.  Words that repeat within a few megabytes of text are segmented once.
+    column is replaced.  Repeated rows are encoded each; of segmentations with equal scores the one with the
+    longer last piece is taken; an empty table gives an empty one.  Very long texts are cut between segments,
+    which changes no result, so that the work arrays stay small; only the ids of a text are held whole.
     """
     kept = [c for c in documents.columns if c not in (text_column, out)]
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(text_column).to_pylist()
-            for start, end in _batches(texts):
-                ids, counts = vocabulary.encode(texts[start:end])
+            for start, end in _batches(batch.column(text_column)):
+                rows = batch.slice(start, end - start)
+                ids, counts = vocabulary.encode(rows.column(text_column).to_pylist())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
                 column = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
-                rows = batch.slice(start, end - start)
                 yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in kept), column], [*kept, out])
 
     schema = StructType([documents.schema[c] for c in kept] + [StructField(out, ArrayType(IntegerType()))])
