@@ -10,6 +10,7 @@ from grantline.llm.decontaminate import contained_items
 from grantline.llm.importance import classifier
 from grantline.llm.katz import katz_scores
 from grantline.llm.neardup import near_duplicates
+from grantline.llm.personal import find_personal_data, personal_digest
 from grantline.llm.pieces import decode, encode, load_vocabulary
 from grantline.llm.secrets import digest, scan
 from grantline.llm.sharding import kd_shards
@@ -82,6 +83,10 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_digest(find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_importance_resampling": op1_importance_resampling,
     "op2_sharding": op2_sharding,
@@ -93,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLES: dict[str, str] = {
