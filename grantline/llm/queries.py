@@ -12,6 +12,7 @@ from grantline.llm.katz import katz_scores
 from grantline.llm.neardup import near_duplicates
 from grantline.llm.personal import find_personal_data, personal_digest
 from grantline.llm.pieces import decode, encode, load_vocabulary
+from grantline.llm.runs import periodic_runs, run_digest, with_planted_runs
 from grantline.llm.secrets import digest, scan
 from grantline.llm.sharding import kd_shards
 from grantline.llm.substrings import without_repeats
@@ -83,6 +84,11 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    planted = with_planted_runs(_table(spark, sf_dir, "documents"))
+    return run_digest(periodic_runs(planted, with_collapsed=False))
+
+
 def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_digest(find_personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text")))
 
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
     "op13_personal_data": op13_personal_data,
 }
 
