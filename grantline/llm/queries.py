@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.llm import oracles
+from grantline.llm.alignment import ByteLevelTokenizer, PieceTokenizer, alignment_digests
 from grantline.llm.chat import conversation_digests, prefix_examples
 from grantline.llm.decontaminate import contained_items
 from grantline.llm.importance import classifier
@@ -21,6 +22,8 @@ from grantline.llm.vectors import near_duplicate_vectors
 
 #: A public vocabulary with byte pieces; its scores are ranks.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+#: A public byte-level vocabulary.
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +87,14 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), cosine=0.98)
 
 
+def op11_tokenizer_alignment(
+    spark: SparkSession, sf_dir: str, first: str = BYTE_MODEL, second: str = PIECE_MODEL
+) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents")
+    digests = alignment_digests(documents, ByteLevelTokenizer.read(first), PieceTokenizer.read(second))
+    return digests.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = with_planted_runs(_table(spark, sf_dir, "documents"))
     return run_digest(periodic_runs(planted, with_collapsed=False))
@@ -104,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_secret_scans": op9_secret_scans,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_personal_data": op13_personal_data,
 }
