@@ -5,9 +5,10 @@ token.  Ends that both dictionaries hold, in order, cut the text into groups; a
 lists, and inside it every two tokens that share bytes are linked.
 
 The first tokenizer is a byte-level BPE, the second a SentencePiece model; both read the text behind one
-space.  Neither joins a letter, a space and a letter across that space, so a text is cut there into parts,
-which are aligned by themselves (both lists end there) and, where they repeat within a few megabytes of
-text, once.  Tokenizers run inside the tasks; their files are read on the driver and sent along.
+space.  Neither joins two words across a single space between them, so a text is cut there into parts, which
+are aligned by themselves (both lists end there) and, where they repeat within a few megabytes of text,
+once.  Some thousand parts share their dictionaries, with ends counted on from part to part.  Tokenizers run
+inside the tasks; their files are read on the driver and sent along.
 
 How often an id pair is linked in the whole corpus is needed for every link again.  A block of documents
 stores its distinct pairs once, with counts; these are summed over the blocks, and each block is sent the
@@ -19,7 +20,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import cached_property
-from itertools import accumulate
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -32,11 +33,17 @@ from grantline.sinks.shared import stage
 #: Bytes of text of a block of documents, and parts that are given to a tokenizer at once.
 BLOCK = 1 << 22
 PARTS = 4096
-_CUT = re.compile(r"(?<=[^\W\d_]) (?=[^\W\d_])").split
+#: Single spaces between two characters that no tokenizer takes for white space.
+_CUT = re.compile(r"(?<=[!-~\w]) (?=[!-~\w])").split
+
+# Fixed value: how the byte-level tokenizer divides a text before it merges.
+_WORDS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: ASCII and the letters of Latin-1 and Latin Extended-A.
+_PLAIN = re.compile("[\t\n\r -~À-ÖØ-öø-ſ]*").fullmatch
 
 
 class _Sent:
-    """Travels to the executors as its source only; what is built from it is built where it is used."""
+    """Goes to the executors as its source only; what is built from it is built where it is used."""
 
     def __init__(self, source):
         self.source = source
@@ -44,6 +51,17 @@ class _Sent:
     def __getstate__(self):
         return {"source": self.source}
 
+    @cached_property
+    def lengths(self) -> np.ndarray:
+        """How many bytes each id spells."""
+        return np.array([len(spelled) for spelled in self.spelled], np.int64)
+
+    @cached_property
+    def digits(self) -> np.ndarray:
+        """The decimal digits of each id as bytes, with zeros behind them."""
+        written = np.array([str(n).encode() for n in range(len(self.spelled))])
+        return written.view(np.uint8).reshape(len(written), -1)
+
 
 class ByteLevelTokenizer(_Sent):
     """A byte-level BPE in the format of the ``tokenizers`` library; strings of special tokens are plain text."""
@@ -70,15 +88,38 @@ class ByteLevelTokenizer(_Sent):
         vocabulary = json.loads(self.source)["model"]["vocab"]
         entries = [b""] * (max(vocabulary.values()) + 1)
         for entry, number in vocabulary.items():
-            entries[number] = bytes(byte_of.get(c, 63) for c in entry)
+            entries[number] = bytes([byte_of.get(c, 63) for c in entry])
         return entries
 
+    @cached_property
+    def _ranked(self):
+        """The same vocabulary for a quicker library, where ids are in the order of the merges; else nothing."""
+        import tiktoken
+
+        model = json.loads(self.source)["model"]
+        merged = ["".join(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
+        if any(model["vocab"].get(entry) != number for number, entry in enumerate(merged, 256)):
+            return None
+        ranks = {self.spelled[number]: number for number in range(256 + len(merged))}
+        if len(ranks) < 256 + len(merged) or any(len(self.spelled[number]) != 1 for number in range(256)):
+            return None
+        return tiktoken.Encoding("bytes", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
     def encode(self, parts: list[str]) -> list[list[int]]:
+        """The ids of each part behind a space.
+
+        Parts of plain letters are left to the quicker library; on others the two could differ in what
+        they hold for a letter, so these go to the one that the file is made for.
+        """
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        found = self._model.encode_batch_fast([" " + part for part in parts], add_special_tokens=False)
-        return [encoding.ids for encoding in found]
+        ranked = self._ranked
+        found = [ranked(" " + part) if ranked and _PLAIN(part) else None for part in parts]
+        rest = [n for n, ids in enumerate(found) if ids is None]
+        for n, encoding in zip(rest, self._model.encode_batch_fast([" " + parts[n] for n in rest], add_special_tokens=False)):
+            found[n] = encoding.ids
+        return found
 
 
 class PieceTokenizer(_Sent):
@@ -111,74 +152,114 @@ class PieceTokenizer(_Sent):
         return self._model.encode(parts)
 
 
-def group_ends(a_ends: list[int], b_ends: list[int]) -> tuple[list[int], list[int]]:
+def group_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of each list lie before the ends that both have in common, in order."""
-    a_place = {end: k for k, end in enumerate(a_ends, 1)}
-    b_place = {end: k for k, end in enumerate(b_ends, 1)}
+    a_place = dict(zip(a_ends.tolist(), range(1, len(a_ends) + 1)))
+    b_place = dict(zip(b_ends.tolist(), range(1, len(b_ends) + 1)))
     common = sorted(a_place.keys() & b_place.keys())
-    return [a_place[end] for end in common], [b_place[end] for end in common]
+    return tuple(np.fromiter(map(place.__getitem__, common), np.int64, len(common)) for place in (a_place, b_place))
 
 
-def group_links(a_ends: list[int], b_ends: list[int], a: int, b: int) -> Iterator[tuple[int, int]]:
-    """The places of all pairs of tokens that share bytes, in the group that starts at places a and b."""
-    yield a, b
-    while a_ends[a] != b_ends[b]:
-        if a_ends[a] < b_ends[b]:
-            a += 1
-        else:
-            b += 1
-        yield a, b
+def group_links(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places of all pairs of tokens that share bytes.
+
+    Inside a group no two ends are equal, so from one end to the next, whichever list it is of, lie the
+    bytes that exactly one pair has in common.
+    """
+    both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")
+    ends = both[np.diff(both, prepend=0) > 0]
+    return np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
+
+
+def _written(a: np.ndarray, b: np.ndarray, a_cuts: np.ndarray, b_cuts: np.ndarray, digits: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """``a1,a2|b1;a3|b2,b3;`` for all groups, and where in it each id starts, groups one after the other."""
+    ids = np.zeros(len(a) + len(b), np.int64)
+    sign = np.full(len(ids), ord(","), np.uint8)
+    b_before = b_cuts - np.diff(b_cuts, prepend=0)
+    ids[np.arange(len(a)) + np.repeat(b_before, np.diff(a_cuts, prepend=0))] = a
+    ids[np.arange(len(b)) + np.repeat(a_cuts, np.diff(b_cuts, prepend=0))] = b
+    sign[a_cuts + b_before - 1] = ord("|")
+    sign[a_cuts + b_cuts - 1] = ord(";")
+    length = (digits[ids] > 0).sum(axis=1)
+    letters = np.concatenate([digits[ids], np.zeros((len(ids), 1), np.uint8)], axis=1)
+    letters[np.arange(len(ids)), length] = sign
+    return letters[letters > 0].tobytes(), np.cumsum(np.concatenate([[0], length + 1]))
 
 
 class _Lists:
     """Lists of numbers, one after the other, that are put together again in any order."""
 
-    def __init__(self, lists: list[list[int]]):
-        self.sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    def __init__(self, flat: list[np.ndarray], sizes: list[np.ndarray]):
+        none = np.zeros(0, np.int64)
+        self.flat, self.sizes = np.concatenate([none, *flat]), np.concatenate([none, *sizes])
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.flat = np.fromiter((n for one in lists for n in one), np.int64, int(self.sizes.sum()))
 
     def joined(self, used: np.ndarray) -> np.ndarray:
         size = self.sizes[used]
         return self.flat[np.repeat(self.starts[used] - np.cumsum(size) + size, size) + np.arange(size.sum())]
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum())), sizes
+
+
 class _Block:
     """The parts of some texts, each aligned once."""
 
     def __init__(self, texts: list[str | None], first: ByteLevelTokenizer, second: PieceTokenizer):
-        places: dict[str, int] = {}
-        self.used = [
-            np.array([places.setdefault(part, len(places)) for part in _CUT(text)] if text else [], np.int64) for text in texts
-        ]
-        parts = list(places)
-        a_lists, b_lists, a_cuts, b_cuts, a_links, b_links, spelled = [], [], [], [], [], [], []
-        right = np.zeros(len(parts), bool)
+        split = [_CUT(text) if text else [] for text in texts]
+        # Where each part comes for the first time, and then its number among those that do.
+        first_places: dict[str, int] = {}
+        place = np.fromiter(map(first_places.setdefault, chain.from_iterable(split), count()), np.int64)
+        parts = list(first_places)
+        number = np.zeros(len(place), np.int64)
+        number[np.fromiter(first_places.values(), np.int64, len(parts))] = np.arange(len(parts))
+        used = np.split(number[place], np.cumsum([len(one) for one in split])[:-1])
+        self.spelled: list[bytes] = []
+        right, lists = [np.zeros(0, bool)], [([], []) for _ in range(6)]
         for at in range(0, len(parts), PARTS):
-            some = parts[at : at + PARTS]
-            for n, (part, a_ids, b_ids) in enumerate(zip(some, first.encode(some), second.encode(some)), at):
-                a_bytes, b_bytes = [first.spelled[k] for k in a_ids], [second.spelled[k] for k in b_ids]
-                whole = (" " + part).encode("utf-8", "surrogatepass")
-                right[n] = b"".join(a_bytes) == whole and b"".join(b_bytes) == whole
-                a_ends, b_ends = list(accumulate(map(len, a_bytes))), list(accumulate(map(len, b_bytes)))
-                a_cut, b_cut = group_ends(a_ends, b_ends) if right[n] else ([], [])
-                links = [link for a, b in zip([0, *a_cut], [0, *b_cut[:-1]]) for link in group_links(a_ends, b_ends, a, b)] if right[n] else []
-                a_lists.append(a_ids)
-                b_lists.append(b_ids)
-                a_cuts.append(a_cut)
-                b_cuts.append(b_cut)
-                a_links.append([a for a, _ in links])
-                b_links.append([b for _, b in links])
-                spelled.append(";".join(
-                    ",".join(map(str, a_ids[a0:a1])) + "|" + ",".join(map(str, b_ids[b0:b1]))
-                    for a0, a1, b0, b1 in zip([0, *a_cut], a_cut, [0, *b_cut], b_cut)
-                ))
-        self.spelled = spelled
-        self.a, self.b, self.a_cuts, self.b_cuts, self.a_links, self.b_links = map(
-            _Lists, (a_lists, b_lists, a_cuts, b_cuts, a_links, b_links)
-        )
+            correct, *aligned = self._aligned(parts[at : at + PARTS], first, second)
+            right.append(correct)
+            for (flat, sizes), (values, size) in zip(lists, aligned):
+                flat.append(values)
+                sizes.append(size)
+        self.a, self.b, self.a_cuts, self.b_cuts, self.a_links, self.b_links = (_Lists(*one) for one in lists)
         # A text with a part whose bytes are not its tokens' has no tokens at all.
-        self.used = [used if right[used].all() else used[:0] for used in self.used]
+        right = np.concatenate(right)
+        self.used = [own if right[own].all() else own[:0] for own in used]
+
+    def _aligned(self, parts: list[str], first: ByteLevelTokenizer, second: PieceTokenizer):
+        """Which parts are their tokens' bytes, and, for these, ids, cuts and links of both sides."""
+        wholes = [(" " + part).encode("utf-8", "surrogatepass") for part in parts]
+        sides = [(model, model.encode(parts)) for model in (first, second)]
+        right = np.ones(len(parts), bool)
+        for model, lists in sides:
+            flat, sizes = _flat(lists)
+            ends = np.concatenate([[0], np.cumsum(model.lengths[flat])])[np.cumsum(sizes)]
+            if not np.array_equal(ends, np.cumsum([len(whole) for whole in wholes])) or b"".join(
+                map(model.spelled.__getitem__, flat.tolist())
+            ) != b"".join(wholes):
+                right &= [b"".join(map(model.spelled.__getitem__, ids)) == whole for ids, whole in zip(lists, wholes)]
+        if not right.all():
+            sides = [(model, [ids if ok else [] for ids, ok in zip(lists, right)]) for model, lists in sides]
+        (a, a_sizes), (b, b_sizes) = (_flat(lists) for _, lists in sides)
+        a_ends, b_ends = np.cumsum(first.lengths[a]), np.cumsum(second.lengths[b])
+        a_cuts, b_cuts = group_ends(a_ends, b_ends)
+        a_links, b_links = group_links(a_ends, b_ends)
+        # Which part each token is of; a group and a link are of the part of their tokens.
+        a_part, b_part = (np.repeat(np.arange(len(parts)), sizes) for sizes in (a_sizes, b_sizes))
+        a_first, b_first = np.cumsum(a_sizes) - a_sizes, np.cumsum(b_sizes) - b_sizes
+        n_cuts = np.bincount(a_part[a_cuts - 1], minlength=len(parts))
+        n_links = np.bincount(a_part[a_links], minlength=len(parts))
+        text, places = _written(a, b, a_cuts, b_cuts, first.digits if len(first.digits) > len(second.digits) else second.digits)
+        limits = places[np.concatenate([[0], np.cumsum(a_sizes + b_sizes)])].tolist()
+        self.spelled += [text[low : high - 1] if high > low else b"" for low, high in zip(limits, limits[1:])]
+        return (
+            right, (a, a_sizes), (b, b_sizes),
+            (a_cuts - a_first[a_part[a_cuts - 1]], n_cuts), (b_cuts - b_first[b_part[b_cuts - 1]], n_cuts),
+            (a_links - a_first[a_part[a_links]], n_links), (b_links - b_first[b_part[b_links]], n_links),
+        )
 
     def whole(self, lists: _Lists, tokens: _Lists, used: np.ndarray) -> np.ndarray:
         """Places within parts as places within the text."""
@@ -269,7 +350,7 @@ def _counted(documents: DataFrame, first: ByteLevelTokenizer, second: PieceToken
                 [int(one.sizes[used].sum()) for used in block.used] for one in (block.a, block.b, block.a_cuts, block.a_links)
             ]
             hashes = [
-                hashlib.sha256(";".join(map(block.spelled.__getitem__, used.tolist())).encode()).hexdigest() if len(used) else ""
+                hashlib.sha256(b";".join(map(block.spelled.__getitem__, used.tolist()))).hexdigest() if len(used) else ""
                 for used in block.used
             ]
 
@@ -329,14 +410,15 @@ def alignment_digests(documents: DataFrame, first: ByteLevelTokenizer, second: P
         places = links.column("part_links")[0].values.to_numpy(zero_copy_only=False)
         sizes = links.column("part_sizes")[0].values.to_numpy(zero_copy_only=False)
         ends = np.cumsum([0, *sizes])
-        parts = rows.column("parts").to_pylist()
+        parts = rows.column("parts").chunk(0)
+        used, bounds = parts.values.to_numpy(zero_copy_only=False), parts.offsets.to_numpy()
         columns = []
         for name in ("best", "n"):
             values = np.zeros(int(places.max(initial=-1)) + 1, np.int64)
             values[answered.column("place").to_numpy()] = answered.column(name).to_numpy().astype(np.int64)
             # A place without an answer is linked in no document that has tokens.
             of_part = np.diff(np.concatenate([[0], np.cumsum(values[places])])[ends])
-            columns.append(pa.array([int(of_part[used].sum()) for used in parts], pa.int64()))
+            columns.append(pa.array(np.diff(np.concatenate([[0], np.cumsum(of_part[used])])[bounds]), pa.int64()))
         return pa.table([*(rows.column(c) for c in names), *columns], [*names, "n_best", "count_sum"])
 
     schema = f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, {_COUNTED}, n_best long, count_sum long"

@@ -90,8 +90,8 @@ ODD = [
 
 def texts():
     rng = random.Random(11)
-    letters = "abc  ée東 😀'1\n\t.½▁"
-    out = ODD + ["".join(rng.choices(letters, k=rng.randint(1, 60))) for _ in range(150)]
+    out = ODD + ["".join(rng.choices("abc  ée東 😀'1\n\t.½▁", k=rng.randint(1, 60))) for _ in range(150)]
+    out += ["".join(rng.choices("tshe eing  éüßſ'12\n\t\r.,-", k=rng.randint(1, 60))) for _ in range(150)]
     return out + [" ".join("".join(rng.choices("etaoinsr", k=rng.randint(1, 9))) for _ in range(60)) for _ in range(20)]
 
 
