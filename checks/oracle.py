@@ -31,6 +31,18 @@ def _label(name: str) -> str:
     return f"lower(regexp_replace({name}, '[^a-zA-Z0-9_]', '_', 'g'))"
 
 
+def _unique(relation: str, keys: list[str], stem: str, more: str = "false") -> str:
+    """The rows with an address of their own: the stem, with a mark where another one could have it."""
+    return f"""
+        SELECT * EXCLUDE (stem, digest, marked, long),
+               stem || CASE WHEN NOT marked THEN '' WHEN long THEN '_' || digest ELSE '_' || left(digest, 8) END AS address
+        FROM (SELECT b.*, ({more}) OR count(*) OVER (PARTITION BY stem) > 1
+                     OR stem IN (SELECT {stem} || '_' || left(md5(concat_ws(chr(10), {', '.join(keys)})), n.n)
+                                 FROM {relation} CROSS JOIN (VALUES (8), (32)) AS n(n)) AS marked,
+                     count(*) OVER (PARTITION BY left(digest, 8)) > 1 AS long
+              FROM (SELECT *, {stem} AS stem, md5(concat_ws(chr(10), {', '.join(keys)})) AS digest FROM {relation}) b)"""
+
+
 def _in(names) -> str:
     return "(" + ", ".join(map(_quote, names)) + ")"
 
@@ -45,6 +57,10 @@ _REMOVED_ROWS = ", ".join(
     for p in names
 )
 
+_VOLUME = ["ext_loc_label", "volume_label", "volume", "catalog_name", "schema_name", "s3_bucket_url"]
+_OBJECT_STEM = f"lower(object_type) || '_' || {_label('object_name')}"
+_CLASHING = "concat('Loc ', lower(p_type), ['.', '_', '-'][p_partkey % 3 + 1], CAST(p_size % 10 AS VARCHAR))"
+
 RELATIONS = {
     "principals": """
         SELECT 'USER' AS principal_type,
@@ -212,15 +228,17 @@ RELATIONS = {
         FROM ext_locations l
         JOIN folders f ON f.bucket_name = regexp_extract(l.url, '^s3a?://([^/]+)', 1)
         LEFT JOIN bucket_map m ON m.s3_bucket_url = regexp_extract(l.url, '^(s3a?://[^/]+)', 1)""",
+    "volume_keys": """
+        SELECT DISTINCT ext_loc_label, volume_label, volume, catalog_name, schema_name, s3_bucket_url FROM volumes""",
+    "volume_addresses": _unique("volume_keys", _VOLUME, "ext_loc_label || '_' || volume_label"),
     "volume_blocks": f"""
-        SELECT 1 AS section, ext_loc_label || '_' || volume_label AS label,
+        SELECT 1 AS section, address AS label,
                concat(s3_bucket_url, chr(10), volume, chr(10), catalog_name, chr(10), schema_name) AS block,
                0 AS part, '' AS item,
-               {_fill(fixed.VOLUME_RESOURCE, label='ext_loc_label', volume_label='volume_label',
+               {_fill(fixed.VOLUME_RESOURCE, address='address', volume_label='volume_label',
                       catalog='catalog_name', schema='schema_name', bucket_url='s3_bucket_url', folder='volume')}
                  AS output
-        FROM (SELECT DISTINCT ext_loc_label, volume_label, volume, catalog_name, schema_name, s3_bucket_url
-              FROM volumes)""",
+        FROM volume_addresses""",
     "object_keys": f"""
         SELECT b.bucket_name,
                CASE WHEN o.o_orderkey % 13 = 0 THEN concat('file-', CAST(o.o_orderkey AS VARCHAR))
@@ -265,14 +283,15 @@ RELATIONS = {
                    FROM flat_privileges GROUP BY principal, object_type, object_name) n
           ON n.principal = l.principal AND n.object_type = l.object_type AND n.object_name = l.object_name""",
     "grantable": "SELECT * FROM entries WHERE privileges <> '' AND object_type <> 'UNKNOWN'",
+    "object_keys_of_grants": "SELECT DISTINCT object_type, object_name FROM grantable",
+    "object_addresses": _unique("object_keys_of_grants", ["object_type", "object_name"], _OBJECT_STEM),
     "object_grant_blocks": f"""
         SELECT CASE object_type WHEN 'CATALOG' THEN 1 WHEN 'SCHEMA' THEN 2 ELSE 3 END AS section,
                {_label('object_name')} AS label, object_name AS block, part, item, output
         FROM (
-          SELECT DISTINCT object_type, object_name, 0 AS part, '' AS item,
-                 {_fill(fixed.OBJECT_GRANTS_OPENING, kind='lower(object_type)', label=_label('object_name'),
-                        name='object_name')} AS output
-          FROM grantable
+          SELECT object_type, object_name, 0 AS part, '' AS item,
+                 {_fill(fixed.OBJECT_GRANTS_OPENING, kind='lower(object_type)', address='address', name='object_name')} AS output
+          FROM object_addresses
           UNION ALL
           SELECT DISTINCT object_type, object_name, 2, '', {_fill(fixed.OBJECT_GRANTS_CLOSING)} FROM grantable
           UNION ALL
@@ -280,6 +299,50 @@ RELATIONS = {
                  {_fill(fixed.OBJECT_GRANT, principal='principal',
                         privileges="concat('[" + '"' + "', replace(privileges, ',', '" + '","' + "'), '" + '"' + "]')")}
           FROM grantable)""",
+    "clashing_grantees": """
+        SELECT DISTINCT
+               CASE c_custkey % 4 WHEN 0 THEN concat('Team ', CAST(c_custkey % 30 AS VARCHAR))
+                 WHEN 1 THEN concat('Team.', CAST(c_custkey % 30 AS VARCHAR))
+                 WHEN 2 THEN concat('Team ', CAST(c_custkey % 30 AS VARCHAR), ' Loc') ELSE c_name END AS principal_display_name,
+               concat('u', CAST(c_custkey % 40 AS VARCHAR), '@example.com') AS grantee
+        FROM customer""",
+    "clashing_grantee_labels": _unique("clashing_grantees", ["principal_display_name", "grantee"], _label("principal_display_name")),
+    "clashing_locations": f"""
+        SELECT DISTINCT
+               CASE p_partkey % 7 WHEN 0 THEN {_label(_CLASHING)} || '_' || left(md5(concat({_CLASHING}, chr(10), 'true')), 8)
+                 WHEN 1 THEN concat(p_type, ' ', CAST(p_size % 10 AS VARCHAR)) ELSE {_CLASHING} END AS ext_loc_name,
+               p_partkey % 5 <> 4 AS created
+        FROM part""",
+    "between_labels": """
+        SELECT DISTINCT substr(a.address, length(b.address) + 2) AS x
+        FROM clashing_grantee_labels a JOIN clashing_grantee_labels b
+          ON starts_with(a.address, b.address || '_') AND length(a.address) > length(b.address) + 1""",
+    "possible_labels": f"""
+        SELECT ext_loc_name, created, n.n = 0 AS plain,
+               {_label('ext_loc_name')} || CASE WHEN n.n = 0 THEN ''
+                 ELSE '_' || left(md5(concat_ws(chr(10), ext_loc_name, created)), n.n) END AS possible
+        FROM clashing_locations CROSS JOIN (VALUES (0), (8), (32)) AS n(n)""",
+    "confused_locations": """
+        SELECT CASE WHEN s.plain THEN s.ext_loc_name ELSE l.ext_loc_name END AS name,
+               CASE WHEN s.plain THEN s.created ELSE l.created END AS made
+        FROM possible_labels s JOIN between_labels b ON true JOIN possible_labels l ON l.possible = b.x || '_' || s.possible
+        WHERE (s.plain OR l.plain) AND (s.ext_loc_name <> l.ext_loc_name OR s.created <> l.created)""",
+    "clashing_location_labels": _unique(
+        "clashing_locations", ["ext_loc_name", "created"], _label("ext_loc_name"),
+        "EXISTS (SELECT 1 FROM confused_locations c WHERE c.name = b.ext_loc_name AND c.made = b.created)",
+    ),
+    "clashing_volumes": f"""
+        SELECT DISTINCT concat('loc_', lower(p_type)) AS ext_loc_label, concat('v_', CAST(p_size % 10 AS VARCHAR)) AS volume_label,
+               concat('v', ['.', '_'][p_partkey % 2 + 1], CAST(p_size % 10 AS VARCHAR), '/') AS volume, 'main' AS catalog_name,
+               concat('schema', CAST(p_size % 2 AS VARCHAR)) AS schema_name, concat('s3://', {BUCKET}) AS s3_bucket_url
+        FROM part""",
+    "clashing_volume_addresses": _unique("clashing_volumes", _VOLUME, "ext_loc_label || '_' || volume_label"),
+    "clashing_objects": """
+        SELECT DISTINCT ['TABLE', 'SCHEMA'][p_partkey % 2 + 1] AS object_type,
+               concat('cat', ['.', '_'][p_size % 2 + 1], lower(p_type), ['.', '_'][p_partkey % 3 % 2 + 1],
+                      CAST(p_size % 12 AS VARCHAR)) AS object_name
+        FROM part""",
+    "clashing_object_addresses": _unique("clashing_objects", ["object_type", "object_name"], _OBJECT_STEM),
     "libraries": f"""
         SELECT CASE WHEN p_partkey % 2 = 0 THEN 'interactive' ELSE 'job' END AS cluster_kind,
                CASE p_size % 4 WHEN 0 THEN concat('s3://libs/', replace(p_name, ' ', '-'), '.jar')
@@ -446,6 +509,13 @@ QUERIES = {
         WHERE rn = 1""",
     "hcl_object_grants": f"SELECT {_DOCUMENT} FROM object_grant_blocks",
     "hcl_acl_document": f"SELECT {_DOCUMENT} FROM header UNION ALL SELECT {_DOCUMENT} FROM object_grant_blocks",
+    # addresses
+    "address_map": f"""
+        SELECT 'principal' AS kind, concat_ws(chr(10), principal_display_name, grantee) AS name, address
+        FROM clashing_grantee_labels
+        UNION ALL SELECT 'location', concat_ws(chr(10), ext_loc_name, created), address FROM clashing_location_labels
+        UNION ALL SELECT 'volume', concat_ws(chr(10), {', '.join(_VOLUME)}), address FROM clashing_volume_addresses
+        UNION ALL SELECT 'object', concat_ws(chr(10), object_type, object_name), address FROM clashing_object_addresses""",
     # libraries
     "library_inventory": "SELECT cluster_kind, jar, maven_coordinates FROM libraries",
     "library_classify": "SELECT artifact_type, artifact FROM artifacts",

@@ -30,10 +30,16 @@ from grantline.plans.governance import (
     public_principals,
     save_governance,
 )
-from grantline.plans.locations import LocationPlan, location_document, plan_locations
-from grantline.plans.privileges import acl_document
+from grantline.plans.locations import (
+    LocationLabels,
+    LocationPlan,
+    grant_labels,
+    location_document,
+    plan_locations,
+)
+from grantline.plans.privileges import acl_document, object_addresses
 from grantline.plans.volumes import volume_document
-from grantline.sinks.shared import shared_folder
+from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import row_counts
 from grantline.sinks.text import write_document
 from grantline.sources.principals import all_principals, read_principals
@@ -310,9 +316,15 @@ def all_locations(fx: Fixtures) -> DataFrame:
     return _plan_with_new(fx, _governance(fx)).locations
 
 
-def _grants(fx: Fixtures) -> DataFrame:
+def _labelled_locations(fx: Fixtures) -> tuple[Governance, DataFrame, LocationLabels]:
     governance = _saved(fx)
-    return access.location_grants(governance.access, _plan_with_new(fx, governance).role_locations)
+    role_locations = stage(_plan_with_new(fx, governance).role_locations)
+    return governance, role_locations, grant_labels(governance, role_locations)
+
+
+def _grants(fx: Fixtures) -> DataFrame:
+    governance, role_locations, labels = _labelled_locations(fx)
+    return access.location_grants(governance.access, role_locations, labels.grantees, labels.locations)
 
 
 @_query
@@ -322,12 +334,14 @@ def location_grants(fx: Fixtures) -> DataFrame:
 
 @_query
 def hcl_location_resources(fx: Fixtures) -> DataFrame:
-    return documents.location_resources(_plan_with_new(fx, _governance(fx)).role_locations)
+    _, role_locations, labels = _labelled_locations(fx)
+    return documents.location_resources(role_locations, labels.locations)
 
 
 @_query
 def hcl_location_datasources(fx: Fixtures) -> DataFrame:
-    return documents.location_data_sources(_plan_with_new(fx, _governance(fx)).role_locations)
+    _, role_locations, labels = _labelled_locations(fx)
+    return documents.location_data_sources(role_locations, labels.locations)
 
 
 @_query
@@ -378,7 +392,7 @@ def volumes_(fx: Fixtures) -> DataFrame:
 
 @_query
 def hcl_volumes(fx: Fixtures) -> DataFrame:
-    return documents.volume_blocks(_volumes(fx))
+    return documents.volume_blocks(documents.volume_addresses(stage(_volumes(fx))))
 
 
 @_query
@@ -469,7 +483,8 @@ def dominant_object_type(fx: Fixtures) -> DataFrame:
 
 @_query
 def hcl_object_grants(fx: Fixtures) -> DataFrame:
-    return documents.object_grant_blocks(privileges.grantable(fx.grants()))
+    rows = stage(privileges.grantable(fx.grants()))
+    return documents.object_grant_blocks(rows, object_addresses(rows))
 
 
 @_query
@@ -490,6 +505,26 @@ def unmapped_privileges(fx: Fixtures) -> DataFrame:
     return privileges.unmapped_privileges(fx.grants())
 
 
+# --- addresses ------------------------------------------------------------------------------------
+def _addresses(rows: DataFrame, kind: str, keys: list[str], address: str) -> DataFrame:
+    key = F.concat_ws("\n", *keys)
+    return rows.select(F.lit(kind).alias("kind"), key.alias("name"), F.col(address).alias("address"))
+
+
+@_query
+def address_map(fx: Fixtures) -> DataFrame:
+    grantees = stage(access.grantee_labels(stage(fx.clashing_grantees())))
+    found = access.location_labels(stage(fx.clashing_locations()), grantees)
+    volume = documents.volume_addresses(stage(fx.clashing_volumes()))
+    objects = documents.object_addresses(stage(fx.clashing_objects()))
+    return (
+        _addresses(grantees, "principal", access.GRANTEE, "principal_label")
+        .unionByName(_addresses(found, "location", access.LOCATION_NAME, "ext_loc_label"))
+        .unionByName(_addresses(volume, "volume", documents.VOLUME, "address"))
+        .unionByName(_addresses(objects, "object", documents.OBJECT, "address"))
+    )
+
+
 # --- libraries -----------------------------------------------------------------------------------
 @_query
 def library_inventory(fx: Fixtures) -> DataFrame:

@@ -77,7 +77,7 @@ resource "databricks_grant" "principal_{principal_label}_{label}" {{
 """
 
 VOLUME_RESOURCE = """\
-resource "databricks_volume" "volume_{label}_{volume_label}" {{
+resource "databricks_volume" "volume_{address}" {{
 \tname = "{volume_label}"
 \tcatalog_name = "{catalog}"
 \tschema_name = "{schema}"
@@ -89,7 +89,7 @@ resource "databricks_volume" "volume_{label}_{volume_label}" {{
 
 # An object's grants block is written as an opening, one piece per principal, and a closing.
 OBJECT_GRANTS_OPENING = """\
-resource "databricks_grants" "{kind}_{label}" {{
+resource "databricks_grants" "{address}" {{
 \t{kind} = "{name}\""""
 
 OBJECT_GRANT = """

@@ -224,6 +224,44 @@ class Fixtures:
             "false AS created",
         )
 
+    # --- names whose labels clash ----------------------------------------------------------------
+    def clashing_grantees(self) -> DataFrame:
+        """Names that differ in signs only, namesakes, and names that go on where others end."""
+        return self.table("customer").selectExpr(
+            "CASE c_custkey % 4 WHEN 0 THEN concat('Team ', c_custkey % 30) WHEN 1 THEN concat('Team.', c_custkey % 30)"
+            " WHEN 2 THEN concat('Team ', c_custkey % 30, ' Loc') ELSE c_name END AS principal_display_name",
+            "concat('u', c_custkey % 40, '@example.com') AS grantee",
+        ).distinct()
+
+    def clashing_locations(self) -> DataFrame:
+        """Names that differ in signs only, names with the mark of another one, and ends of others."""
+        name = "concat('Loc ', lower(p_type), array('.', '_', '-')[p_partkey % 3], p_size % 10)"
+        mark = f"substring(md5(concat({name}, '\\ntrue')), 1, 8)"
+        plain = f"lower(regexp_replace({name}, '[^a-zA-Z0-9_]', '_'))"
+        return self.table("part").selectExpr(
+            f"CASE p_partkey % 7 WHEN 0 THEN concat({plain}, '_', {mark}) WHEN 1 THEN concat(p_type, ' ', p_size % 10)"
+            f" ELSE {name} END AS ext_loc_name",
+            "p_partkey % 5 <> 4 AS created",
+        ).distinct()
+
+    def clashing_volumes(self) -> DataFrame:
+        """Folders of one bucket that differ in signs only, and one folder in several schemas."""
+        return self.table("part").selectExpr(
+            "concat('loc_', lower(p_type)) AS ext_loc_label",
+            "concat('v_', p_size % 10) AS volume_label",
+            "concat('v', array('.', '_')[p_partkey % 2], p_size % 10, '/') AS volume",
+            "'main' AS catalog_name",
+            "concat('schema', p_size % 2) AS schema_name",
+            f"concat('s3://', {BUCKET}) AS s3_bucket_url",
+        )
+
+    def clashing_objects(self) -> DataFrame:
+        """Objects whose dotted names differ in dots and underscores only."""
+        return self.table("part").selectExpr(
+            "array('TABLE', 'SCHEMA')[p_partkey % 2] AS object_type",
+            "concat('cat', array('.', '_')[p_size % 2], lower(p_type), array('.', '_')[p_partkey % 3 % 2], p_size % 12) AS object_name",
+        ).distinct()
+
     # --- legacy grants ---------------------------------------------------------------------------
     def grants(self) -> DataFrame:
         actions = (

@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from grantline.fixed import URL_SCHEME
 from grantline.functions.paths import bucket_name, is_glob, is_searchable, profile_name
 from grantline.functions.text import escape, label
+from grantline.operators.addresses import confused_labels, unique_labels
 from grantline.operators.matching import match_names, match_urls, unmatched_urls
 from grantline.operators.policies import distinct_paths
 from grantline.operators.principals import grantee
@@ -18,6 +19,8 @@ PRINCIPAL = [
 ]
 HOLDERS_PER_PART = 20_000
 LOCATION = ["ext_loc_name", "credential_name", "credential_id", "url", "created"]
+GRANTEE = ["principal_display_name", "grantee"]
+LOCATION_NAME = ["ext_loc_name", "created"]
 
 
 def governance(profiles: DataFrame, profile_roles: DataFrame, role_counts: DataFrame) -> DataFrame:
@@ -129,11 +132,12 @@ def reach(
     governance: DataFrame,
     role_locations: DataFrame,
     keys: list[str | Column],
-    holder_columns: dict[str, Column] | None = None,
+    described: DataFrame | None = None,
 ) -> DataFrame:
     """Distinct locations per holder, where ``keys`` say who a holder is.
 
-    ``holder_columns`` are added per holder, before the holders meet their locations.
+    ``described`` has further columns per holder, under the names of the keys; they are joined before the
+    holders meet their locations.
 
     Locations depend on the set of roles only.  So the locations of each distinct role set are made
     unique once, and the holders are joined to their set: the large result (holders x locations) is
@@ -145,8 +149,9 @@ def reach(
         _holders(governance)
         .groupBy(*keys)
         .agg(F.sort_array(F.collect_set("role_name")).alias("role_set"))
-        .withColumns(holder_columns or {})
     )
+    if described is not None:
+        holders = holders.join(described, [c for c in holders.columns if c != "role_set"])
     holders = holders.withColumn("set_key", F.xxhash64("role_set"))
     sets = holders.groupBy("set_key", "role_set").agg(
         F.ceil(F.count("*") / F.lit(HOLDERS_PER_PART)).cast("int").alias("n_parts")
@@ -173,29 +178,32 @@ def location_access(governance: DataFrame, role_locations: DataFrame) -> DataFra
     return reach(governance, role_locations, PRINCIPAL)
 
 
-def location_grants(governance: DataFrame, role_locations: DataFrame) -> DataFrame:
+def grantee_names(governance: DataFrame) -> DataFrame:
+    """Display name and grantee of every principal with a role."""
+    return _holders(governance).select("principal_display_name", grantee().alias("grantee")).distinct()
+
+
+def grantee_labels(grantees: DataFrame) -> DataFrame:
+    """The grantees with a label each; namesakes are told apart."""
+    return unique_labels(grantees, GRANTEE, label(F.col("principal_display_name")), "principal_label")
+
+
+def location_labels(locations: DataFrame, principal_labels: DataFrame) -> DataFrame:
+    """Locations by name, and whether they exist, with a label each, so that no two grants have one address."""
+    names = locations.select(*LOCATION_NAME).na.drop()
+    plain = label(F.col("ext_loc_name"))
+    confused = confused_labels(principal_labels, "principal_label", names, LOCATION_NAME, plain)
+    return unique_labels(names, LOCATION_NAME, plain, "ext_loc_label", confused)
+
+
+def location_grants(
+    governance: DataFrame, role_locations: DataFrame, principal_labels: DataFrame, labels: DataFrame
+) -> DataFrame:
     """Locations to grant to each grantee; principals that share name and grantee are one.
 
-    Labels and quoted texts are made here, once per holder and once per role's location, and not
-    for each pair of them.  Holders whose names get the same label are told apart by the first eight
-    hexadecimal digits of the MD5 of name, line feed and grantee.
+    Labels and quoted texts are made beforehand, once per grantee and once per location, and not for
+    each pair of them: see ``grantee_labels`` and ``location_labels``.
     """
-    name_label = label(F.col("principal_display_name"))
-    clashing = (
-        _holders(governance)
-        .select("principal_display_name", grantee().alias("grantee")).distinct()
-        .groupBy(name_label.alias("clash")).agg(F.count("*").alias("n")).filter("n > 1").select("clash")
-    )
-    mark = F.substring(F.md5(F.concat_ws("\n", "principal_display_name", "grantee")), 1, 8)
-    locations = role_locations.select("role_name", "ext_loc_name", "created").distinct()
-    reached = reach(
-        governance,
-        locations.withColumn("ext_loc_label", label(F.col("ext_loc_name"))),
-        ["principal_display_name", grantee().alias("grantee")],
-        {"name_label": name_label, "grantee_text": escape(F.col("grantee"))},
-    )
-    marked = F.when(F.col("clash").isNull(), F.col("name_label")).otherwise(F.concat_ws("_", "name_label", mark))
-    return (
-        reached.join(clashing, F.col("name_label") == F.col("clash"), "left")
-        .withColumn("principal_label", marked).drop("name_label", "clash")
-    )
+    locations = role_locations.select("role_name", *LOCATION_NAME).distinct().join(labels, LOCATION_NAME)
+    described = principal_labels.withColumn("grantee_text", escape(F.col("grantee")))
+    return reach(governance, locations, ["principal_display_name", grantee().alias("grantee")], described)

@@ -10,8 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from grantline import fixed
 from grantline.functions.text import escape, label, render
+from grantline.operators.addresses import unique_labels
 
 HEADER_SECTION = 0
+OBJECT = ["object_type", "object_name"]
 
 
 def _piece(
@@ -51,28 +53,29 @@ def _complete(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.na.drop(subset=list(columns))
 
 
-def location_resources(locations: DataFrame, section: int = 1) -> DataFrame:
-    """Blocks that create the locations that do not exist yet."""
+def location_resources(locations: DataFrame, labels: DataFrame, section: int = 1) -> DataFrame:
+    """Blocks that create the locations that do not exist yet; ``labels`` are those of the grants."""
     rows = _complete(
         locations.filter(~F.col("created")), "ext_loc_name", "url", "credential_name"
-    ).select("ext_loc_name", "url", "credential_name").distinct()
+    ).select("ext_loc_name", "created", "url", "credential_name").distinct().join(labels, ["ext_loc_name", "created"])
     name = F.col("ext_loc_name")
     output = render(
         fixed.LOCATION_RESOURCE,
-        label=label(name),
+        label=F.col("ext_loc_label"),
         name=escape(name),
         url=escape(F.col("url")),
         credential=escape(F.col("credential_name")),
     )
-    return _piece(rows, section, label(name), F.concat_ws("\n", name, "url"), output)
+    return _piece(rows, section, F.col("ext_loc_label"), F.concat_ws("\n", name, "url"), output)
 
 
-def location_data_sources(locations: DataFrame, section: int = 2) -> DataFrame:
+def location_data_sources(locations: DataFrame, labels: DataFrame, section: int = 2) -> DataFrame:
     """Blocks that refer to the locations that exist."""
-    rows = _complete(locations.filter("created"), "ext_loc_name").select("ext_loc_name").distinct()
+    rows = _complete(locations.filter("created"), "ext_loc_name").select("ext_loc_name", "created").distinct()
+    rows = rows.join(labels, ["ext_loc_name", "created"])
     name = F.col("ext_loc_name")
-    output = render(fixed.LOCATION_DATA_SOURCE, label=label(name), name=escape(name))
-    return _piece(rows, section, label(name), name, output)
+    output = render(fixed.LOCATION_DATA_SOURCE, label=F.col("ext_loc_label"), name=escape(name))
+    return _piece(rows, section, F.col("ext_loc_label"), name, output)
 
 
 def location_grant_blocks(grants: DataFrame, section: int = 3) -> DataFrame:
@@ -90,20 +93,21 @@ def location_grant_blocks(grants: DataFrame, section: int = 3) -> DataFrame:
     return _piece(rows, section, F.concat_ws("_", grantee_label, location_label), block, output)
 
 
-def volume_blocks(volumes: DataFrame, section: int = 1) -> DataFrame:
-    needed = [
-        "ext_loc_label",
-        "volume_label",
-        "volume",
-        "catalog_name",
-        "schema_name",
-        "s3_bucket_url",
-    ]
+VOLUME = ["ext_loc_label", "volume_label", "volume", "catalog_name", "schema_name", "s3_bucket_url"]
+
+
+def volume_addresses(volumes: DataFrame) -> DataFrame:
+    """Distinct volumes with an ``address`` each."""
     # Spread over all columns first: the rows of one bucket may share a partition after its joins.
-    rows = _complete(volumes, *needed).select(*needed).repartition(*needed).distinct()
+    rows = _complete(volumes, *VOLUME).select(*VOLUME).repartition(*VOLUME).distinct()
+    return unique_labels(rows, VOLUME, F.concat_ws("_", "ext_loc_label", "volume_label"), "address")
+
+
+def volume_blocks(addressed: DataFrame, section: int = 1) -> DataFrame:
+    """Blocks of volumes with their addresses."""
     output = render(
         fixed.VOLUME_RESOURCE,
-        label=F.col("ext_loc_label"),
+        address=F.col("address"),
         volume_label=F.col("volume_label"),
         catalog=escape(F.col("catalog_name")),
         schema=escape(F.col("schema_name")),
@@ -111,29 +115,35 @@ def volume_blocks(volumes: DataFrame, section: int = 1) -> DataFrame:
         folder=escape(F.col("volume")),
     )
     block = F.concat_ws("\n", "s3_bucket_url", "volume", "catalog_name", "schema_name")
-    return _piece(rows, section, F.concat_ws("_", "ext_loc_label", "volume_label"), block, output)
+    return _piece(addressed, section, F.col("address"), block, output)
+
+
+def object_addresses(grants: DataFrame) -> DataFrame:
+    """The objects of grants with an ``address`` each."""
+    plain = F.concat_ws("_", F.lower("object_type"), label(F.col("object_name")))
+    return unique_labels(grants.select(*OBJECT).distinct(), OBJECT, plain, "address")
 
 
-def object_grant_blocks(grants: DataFrame, first_section: int = 1) -> DataFrame:
+def object_grant_blocks(grants: DataFrame, addressed: DataFrame, first_section: int = 1) -> DataFrame:
     """Grant blocks of catalogs, schemas and tables, in this order.
 
-    ``grants`` has one row per principal and object (see ``grantable``).  Each object gives one
-    opening and one closing piece, each grant a piece in between.
+    ``grants`` has one row per principal and object (see ``grantable``), ``addressed`` one per object.  Each
+    object gives one opening and one closing piece, each grant a piece in between.  Only the opening has the
+    address; pieces are in the order of the plain label and the name, so grants need no join.
     """
     name, kind = F.col("object_name"), F.col("object_type")
     section = F.array_position(F.array(*map(F.lit, ["CATALOG", "SCHEMA", "TABLE"])), kind)
     section = (section + (first_section - 1)).cast("int")
     object_label = label(name)
-    objects = grants.select("object_type", "object_name").distinct()
     opening = render(
-        fixed.OBJECT_GRANTS_OPENING, kind=F.lower(kind), label=object_label, name=escape(name)
+        fixed.OBJECT_GRANTS_OPENING, kind=F.lower(kind), address=F.col("address"), name=escape(name)
     )
     grant = render(
         fixed.OBJECT_GRANT,
         principal=escape(F.col("principal")),
         privileges=F.col("privilege_list"),
     )
-    edges = objects.withColumn(
+    edges = addressed.withColumn(
         "edge",
         F.explode(
             F.array(

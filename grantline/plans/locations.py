@@ -44,6 +44,21 @@ def plan_locations(
     return LocationPlan(locations, access.role_locations(patterns, matches))
 
 
+@dataclass(frozen=True)
+class LocationLabels:
+    """Labels per grantee and per location, the same in all blocks that refer to one another."""
+
+    grantees: DataFrame
+    locations: DataFrame
+
+
+def grant_labels(governance: Governance, role_locations: DataFrame) -> LocationLabels:
+    """Both are small next to the grants and read several times, so they are computed once and staged."""
+    grantees = stage(access.grantee_labels(stage(access.grantee_names(governance.access))))
+    names = stage(role_locations.select(*access.LOCATION_NAME).distinct())
+    return LocationLabels(grantees, stage(access.location_labels(names, grantees)))
+
+
 def location_document(
     governance: Governance,
     locations: DataFrame,
@@ -54,11 +69,12 @@ def location_document(
 ) -> DataFrame:
     plan = plan_locations(governance, locations, buckets, create_new, credential_name, anchored)
     role_locations = stage(plan.role_locations)  # read by every section
-    grants = access.location_grants(governance.access, role_locations)
+    labels = grant_labels(governance, role_locations)
+    grants = access.location_grants(governance.access, role_locations, labels.grantees, labels.locations)
     sections = [
-        documents.location_data_sources(role_locations),
+        documents.location_data_sources(role_locations, labels.locations),
         documents.location_grant_blocks(grants),
     ]
     if create_new:
-        sections.insert(0, documents.location_resources(role_locations))
+        sections.insert(0, documents.location_resources(role_locations, labels.locations))
     return documents.assemble(*sections)

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 
 from grantline.operators import documents, volumes
+from grantline.sinks.shared import stage
 
 
 def volume_document(
@@ -12,5 +13,5 @@ def volume_document(
     default_catalog: str,
     default_schema: str,
 ) -> DataFrame:
-    rows = volumes.volumes(locations, folders, bucket_map, default_catalog, default_schema)
-    return documents.assemble(documents.volume_blocks(rows))
+    rows = stage(volumes.volumes(locations, folders, bucket_map, default_catalog, default_schema))
+    return documents.assemble(documents.volume_blocks(documents.volume_addresses(rows)))

@@ -5,7 +5,7 @@ from grantline import fixed
 from grantline.functions.paths import bucket_pattern, path_pattern
 from grantline.operators import access, documents
 from grantline.plans.governance import Governance
-from grantline.plans.locations import location_document, plan_locations
+from grantline.plans.locations import grant_labels, location_document, plan_locations
 
 LOCATION_SCHEMA = "ext_loc_name string, credential_name string, credential_id string, url string, created boolean"
 
@@ -32,6 +32,15 @@ def locations(spark, *urls):
     return spark.createDataFrame(data, LOCATION_SCHEMA)
 
 
+def granted(g, plan):
+    labels = grant_labels(g, plan.role_locations)
+    return access.location_grants(g.access, plan.role_locations, labels.grantees, labels.locations)
+
+
+def own_labels(frame):
+    return frame.select("ext_loc_name", "created").distinct().withColumn("ext_loc_label", F.lower("ext_loc_name"))
+
+
 def buckets(spark, *names):
     return spark.createDataFrame([(n,) for n in names], "bucket_name string")
 
@@ -85,7 +94,7 @@ def test_grantees_that_share_name_and_address_are_granted_once(spark, rows):
         [("r", ["s3://a"]), ("s", ["s3://a", "s3://b"])],
     )
     plan = plan_locations(g, locations(spark, "s3://a", "s3://b"))
-    grants = access.location_grants(g.access, plan.role_locations)
+    grants = granted(g, plan)
     assert rows(grants, "grantee", "ext_loc_name") == [("ann", "Loc a"), ("ann", "Loc b")]
 
 
@@ -177,13 +186,13 @@ def test_document_without_new_locations_has_no_resources(spark):
 def test_one_name_with_both_flags_keeps_both_blocks(spark, rows):
     data = [("x", "c", "", "s3://x", True), ("x", "c", "", "s3://x", False)]
     frame = spark.createDataFrame(data, LOCATION_SCHEMA)
-    assert len(rows(documents.location_resources(frame))) == 1
-    assert len(rows(documents.location_data_sources(frame))) == 1
+    assert len(rows(documents.location_resources(frame, own_labels(frame)))) == 1
+    assert len(rows(documents.location_data_sources(frame, own_labels(frame)))) == 1
 
 
 def test_incomplete_rows_give_no_block(spark, rows):
     frame = spark.createDataFrame([("x", None, "", "s3://x", False)], LOCATION_SCHEMA)
-    assert rows(documents.location_resources(frame)) == []
+    assert rows(documents.location_resources(frame, own_labels(frame))) == []
 
 
 def test_bucket_pattern(spark):
@@ -251,7 +260,7 @@ def test_namesakes_have_addresses_of_their_own(spark):
         [("r", ["s3://a"])],
     )
     plan = plan_locations(g, locations(spark, "s3://a"))
-    labels = [r.principal_label for r in access.location_grants(g.access, plan.role_locations).collect()]
+    labels = [r.principal_label for r in granted(g, plan).collect()]
     assert len(set(labels)) == 3 and "bob" in labels
     assert all(label == "bob" or label.startswith("ann_lee_") for label in labels)
 

@@ -151,10 +151,13 @@ def test_object_block_reads_as_one_text(spark):
 
 def test_objects_with_equal_labels_stay_apart(spark):
     frame = grants(spark, on_table("p", "SELECT", "a-b"), on_table("p", "SELECT", "a_b"))
-    pieces = documents.object_grant_blocks(privileges.grantable(frame))
+    rows = privileges.grantable(frame)
+    pieces = documents.object_grant_blocks(rows, documents.object_addresses(rows))
     ordered = pieces.orderBy("section", "label", "block", "part", "item").collect()
     assert [row.part for row in ordered] == [0, 1, 2, 0, 1, 2]
     assert {row.label for row in ordered} == {"c_d_a_b"}
+    addresses = {row.output.split('"')[3] for row in ordered if row.part == 0}
+    assert len(addresses) == 2 and all(address.startswith("table_c_d_a_b_") for address in addresses)
 
 
 def test_own_mapping_with_more_privileges_than_one_mask_holds(spark, rows):
