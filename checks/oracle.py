@@ -82,6 +82,18 @@ RELATIONS = {
                  AS instance_profile_arn
         FROM principals p CROSS JOIN (SELECT n_nationkey AS n FROM nation WHERE n_nationkey < 3) j
         WHERE j.n < p.k % 4""",
+    "landed_lines": """
+        SELECT principal_type, principal_id AS id, k, unnest(range(CASE WHEN k % 499 = 0 THEN 2 ELSE 1 END)) AS copy FROM principals""",
+    "rejects": """
+        SELECT principal_type AS kind, r.reason, replace(r.line, '?', l.id) AS line
+        FROM landed_lines l
+        JOIN (VALUES (3, 'malformed', '{"displayName":"x","id":"?'), (4, 'not_an_object', '["?"]'),
+                     (5, 'wrong_type', '{"id":"?","emails":"none"}'), (6, 'missing_field', '{"displayName":"?"}'))
+          AS r(remainder, reason, line) ON l.k % 20 = r.remainder
+        UNION ALL
+        SELECT 'PROFILE', CASE n_nationkey % 10 WHEN 8 THEN 'malformed' ELSE 'missing_field' END,
+               CASE n_nationkey % 10 WHEN 8 THEN '{"InstanceProfile":{"Roles":[' ELSE '{"Message":"no"}' END
+        FROM nation WHERE n_nationkey % 10 >= 8""",
     "public_principals": """
         SELECT principal_type, display_name AS principal_display_name, principal_id, application_id,
                email AS email_value, string_agg(instance_profile_arn, ',' ORDER BY n) AS profiles,
@@ -382,6 +394,15 @@ QUERIES = {
         UNION ALL
         SELECT principal_type, principal_display_name, principal_id, application_id, email_value, profiles, n_profiles
         FROM public_principals WHERE k % 499 = 0""",
+    "rejected_records": "SELECT kind, reason, line FROM rejects",
+    "landed_counts": """
+        SELECT l.principal_type, count(*) AS n_lines, count(*) FILTER (l.k % 20 NOT IN (3, 4, 5, 6)) AS n_kept,
+               count(*) FILTER (l.k % 20 IN (3, 4, 5, 6)) AS n_rejected
+        FROM landed_lines l GROUP BY l.principal_type""",
+    "schema_drift": """
+        SELECT l.principal_type, d.field, d.type, count(*) AS n_values
+        FROM landed_lines l JOIN (VALUES ('nickName', 'STRING'), ('emails[].sent', 'BIGINT')) AS d(field, type) ON l.k % 20 = 7
+        GROUP BY ALL""",
     "principals_dedupe": """
         SELECT principal_type, principal_display_name, principal_id, n_profiles FROM public_principals""",
     "principals_all": """
@@ -469,11 +490,17 @@ QUERIES = {
     "volumes": "SELECT * FROM volumes",
     "hcl_volumes": f"SELECT {_DOCUMENT} FROM volume_blocks",
     "hcl_volume_document": f"SELECT {_DOCUMENT} FROM header UNION ALL SELECT {_DOCUMENT} FROM volume_blocks",
-    "hcl_text_roundtrip": f"""
-        SELECT line, count(*) AS n_lines
-        FROM (SELECT unnest(string_split(output, chr(10))) AS line
-              FROM (SELECT output FROM header UNION ALL SELECT output FROM object_grant_blocks))
-        GROUP BY line""",
+    "hcl_text_roundtrip": """
+        SELECT row_number() OVER (ORDER BY section, label, block, part, item, line_at) AS line_no, line
+        FROM (SELECT section, label, block, part, item, unnest(string_split(output, chr(10))) AS line,
+                     unnest(range(len(string_split(output, chr(10))))) AS line_at
+              FROM (SELECT * FROM header UNION ALL SELECT * FROM object_grant_blocks))""",
+    "document_counts": """
+        SELECT f.n_files, count(*) AS n_pieces, count(*) FILTER (part = 0) AS counted_blocks,
+               count(*) FILTER (part = 0) AS n_blocks, count(*) FILTER (part = 1) AS n_grants
+        FROM (SELECT * FROM header UNION ALL SELECT * FROM object_grant_blocks)
+        CROSS JOIN (VALUES (1), (4), (16)) AS f(n_files)
+        GROUP BY f.n_files""",
     # privileges
     "privilege_map": """
         SELECT g.action_type, coalesce(m.privileges, '') AS privileges, count(*) AS n_rows
@@ -559,7 +586,24 @@ QUERIES = {
            OR NOT EXISTS (SELECT 1 FROM type_privileges t
                           WHERE t.object_type = g.object_type AND t.legacy = upper(g.action_type))
         GROUP BY ALL""",
+    "statement_conditions": """
+        SELECT p.policy_arn, p.statement_no, p.sid, p.effect, c.operator, c.condition_key,
+               replace(c.condition_values, '?', CAST(p.ord % 5 AS VARCHAR)) AS condition_values
+        FROM (SELECT policy_arn, concat('s', CAST(ord AS VARCHAR)) AS sid, effect, ord,
+                     row_number() OVER (PARTITION BY role_name, policy_arn ORDER BY ord) - 1 AS statement_no
+              FROM policy_resources) p
+        JOIN (VALUES (3, 'StringEquals', 'aws:SourceVpc', 'vpc-?'), (3, 'Bool', 'aws:SecureTransport', 'true'),
+                     (5, 'IpAddress', 'aws:SourceIp', '10.0.0.0/8,192.168.0.0/16'), (5, 'IpAddress', 'x:Own', '1'),
+                     (9, NULL, NULL, 'odd')) AS c(remainder, operator, condition_key, condition_values)
+          ON c.remainder = p.ord % 13""",
     "dropped_resources": """
+        SELECT p.role_name, p.policy_arn, p.resource AS subject, l.reason
+        FROM policy_resources p
+        JOIN (VALUES (13, 3, 'conditional'), (13, 5, 'conditional'), (13, 9, 'conditional'), (7, 1, 'action_limited'),
+                     (7, 3, 'action_limited'), (7, 4, 'action_limited')) AS l(divisor, remainder, reason)
+          ON p.ord % l.divisor = l.remainder
+        WHERE effect = 'Allow' AND regexp_matches(resource, '^arn:aws:s3:::([^/]+)(/[*])?$')
+        UNION ALL
         SELECT role_name, policy_arn, resource AS subject,
                CASE WHEN effect <> 'Allow' THEN 'not_allowed' WHEN resource NOT LIKE 'arn:aws:s3:::%' THEN 'not_storage'
                     ELSE 'inside_bucket' END AS reason

@@ -41,10 +41,11 @@ from grantline.plans.privileges import acl_document, object_addresses
 from grantline.plans.volumes import volume_document
 from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import row_counts
-from grantline.sinks.text import write_document
-from grantline.sources.principals import all_principals, read_principals
+from grantline.sinks.text import numbered_lines, write_document
+from grantline.sources.policies import landed_profiles
+from grantline.sources.principals import all_principals, landed_principals, read_principals
 from grantline.sources.storage import first_level_folders
-from grantline.sources.tables import query_table
+from grantline.sources.tables import Landed, query_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +95,36 @@ def principals_ingest(fx: Fixtures) -> DataFrame:
     return _public(rows).withColumn("n_profiles", n_profiles)
 
 
+def _landed(fx: Fixtures) -> list[Landed]:
+    folder = shared_folder(fx.spark)
+    kinds = ("USER", "SERVICE_PRINCIPAL", "GROUP")
+    for kind in kinds:
+        fx.principal_lines(kind).write.text(f"{folder}/{kind}")
+    return [landed_principals(fx.spark, f"{folder}/{kind}", kind) for kind in kinds]
+
+
+@_query
+def rejected_records(fx: Fixtures) -> DataFrame:
+    people = all_principals(*[found.rejected for found in _landed(fx)])
+    profiles = landed_profiles(fx.profile_lines()).rejected.withColumn("principal_type", F.lit("PROFILE"))
+    return people.unionByName(profiles.drop("profile_name")).select(F.col("principal_type").alias("kind"), "reason", "line")
+
+
+@_query
+def landed_counts(fx: Fixtures) -> DataFrame:
+    found = _landed(fx)
+    kept = all_principals(*[kind.records.select("principal_type", F.lit(1).alias("kept")) for kind in found])
+    rejected = all_principals(*[kind.rejected.select("principal_type", F.lit(0).alias("kept")) for kind in found])
+    return kept.unionByName(rejected).groupBy("principal_type").agg(
+        F.count("*").alias("n_lines"), F.sum("kept").alias("n_kept"), F.sum(1 - F.col("kept")).alias("n_rejected")
+    )
+
+
+@_query
+def schema_drift(fx: Fixtures) -> DataFrame:
+    return all_principals(*[found.drift for found in _landed(fx)])
+
+
 @_query
 def principals_dedupe(fx: Fixtures) -> DataFrame:
     return principals.dedupe_principals(principals.with_roles(fx.principals())).select(
@@ -209,6 +240,14 @@ def dropped_resources(fx: Fixtures) -> DataFrame:
     return policies.dropped_resources(exports.attached, exports.statements())
 
 
+@_query
+def statement_conditions(fx: Fixtures) -> DataFrame:
+    return fx.policy_exports().conditions().select(
+        "policy_arn", F.col("statement_no").cast("bigint").alias("statement_no"), "sid", "effect", "operator", "condition_key",
+        _joined("condition_values", "condition_values"),
+    )
+
+
 # --- access --------------------------------------------------------------------------------------
 def _governance(fx: Fixtures, staged: bool = False) -> Governance:
     return governance_export(fx.principals(), fx.policy_exports(), staged=staged)
@@ -495,9 +534,26 @@ def hcl_acl_document(fx: Fixtures) -> DataFrame:
 @_query
 def hcl_text_roundtrip(fx: Fixtures) -> DataFrame:
     path = shared_folder(fx.spark)
-    write_document(acl_document(fx.grants()), path, n_files=4)
-    lines = fx.spark.read.text(path)
-    return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n_lines"))
+    write_document(acl_document(fx.grants()), path)
+    return numbered_lines(fx.spark, path)
+
+
+@_query
+def document_counts(fx: Fixtures) -> DataFrame:
+    """What the writer counts, next to the blocks that the lines of the written documents have."""
+    counted = []
+    for n_files in (1, 4, 16):
+        path = shared_folder(fx.spark)
+        written = write_document(acl_document(fx.grants()), path, n_files=n_files)
+        lines = fx.spark.read.text(path).agg(
+            F.count_if(F.col("value").rlike('^(resource|data|terraform) ')).alias("n_blocks"),
+            F.count_if(F.col("value").startswith("\tgrant {")).alias("n_grants"),
+        )
+        counted.append(lines.select(
+            F.lit(n_files).alias("n_files"), F.lit(written.n_pieces).alias("n_pieces"),
+            F.lit(sum(written.n_blocks.values())).alias("counted_blocks"), "n_blocks", "n_grants",
+        ))
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
 @_query

@@ -88,6 +88,28 @@ class Fixtures:
             *[principals.tag_principals(self.principal_records(kind), kind) for kind in kinds]
         )
 
+    def principal_lines(self, kind: str) -> DataFrame:
+        """Landed lines of one kind, some of them damaged, some with fields that no schema has."""
+        record = F.to_json(F.struct(*PRINCIPAL.names))
+        number = F.col("id").cast("bigint")
+        line = (
+            F.when(number % 20 == 3, F.concat(F.lit('{"displayName":"x","id":"'), "id"))
+            .when(number % 20 == 4, F.concat(F.lit('["'), "id", F.lit('"]')))
+            .when(number % 20 == 5, F.concat(F.lit('{"id":"'), "id", F.lit('","emails":"none"}')))
+            .when(number % 20 == 6, F.concat(F.lit('{"displayName":"'), "id", F.lit('"}')))
+            .when(number % 20 == 7, F.concat(F.lit('{"id":"'), "id", F.lit('","nickName":"x","emails":[{"value":"v","sent":1}]}')))
+            .otherwise(record)
+        )
+        return self.principal_records(kind).select(line.alias("value"))
+
+    def profile_lines(self) -> DataFrame:
+        """Profile documents; of every ten, one is cut off and one is another document."""
+        return self.profile_documents().selectExpr(
+            "profile_name",
+            """CASE cast(substring(profile_name, 4) AS int) % 10 WHEN 8 THEN '{"InstanceProfile":{"Roles":[' WHEN 9 THEN '{"Message":"no"}'
+                 ELSE document END AS document""",
+        )
+
     # --- profiles, roles, policies ---------------------------------------------------------------
     def profile_documents(self) -> DataFrame:
         role = "named_struct('RoleName', concat('role-', n_nationkey))"
@@ -125,11 +147,20 @@ class Fixtures:
         are written as a text, others as a list of one.
         """
         # Consecutive numbers of one policy are 50 apart, so 2000 numbers hold at most 40 of them.
-        statements = self.policy_resources().selectExpr(
+        # Some statements hold under conditions only, or for some actions.
+        limits = """concat(
+            CASE ord % 13 WHEN 3 THEN concat(',"Condition":{"StringEquals":{"aws:SourceVpc":"vpc-', ord % 5,
+                                             '"},"Bool":{"aws:SecureTransport":["true"]}}')
+              WHEN 5 THEN ',"Condition":{"IpAddress":{"aws:SourceIp":["10.0.0.0/8","192.168.0.0/16"],"x:Own":1}}'
+              WHEN 7 THEN ',"Condition":{}' WHEN 9 THEN ',"Condition":"odd"' ELSE '' END,
+            CASE ord % 7 WHEN 1 THEN ',"Action":"s3:GetObject"' WHEN 2 THEN ',"Action":["s3:Get*","s3:*"]'
+              WHEN 3 THEN ',"Action":["s3:Get*","s3:List*"]' WHEN 4 THEN ',"NotAction":"s3:DeleteObject"'
+              WHEN 5 THEN ',"Action":"*"' ELSE '' END) AS limits"""
+        statements = self.policy_resources().selectExpr("*", limits).selectExpr(
             "role_name",
             "concat(policy_arn, '/', ord div 2000) AS policy_arn",
             """struct(ord, concat('{"Sid":"s', ord, '","Effect":"', effect, '","Resource":',
-               if(ord % 2 = 0, concat('"', resource, '"'), to_json(array(resource))), '}') AS text) AS entry""",
+               if(ord % 2 = 0, concat('"', resource, '"'), to_json(array(resource))), limits, '}') AS text) AS entry""",
         )
         listed = statements.groupBy("role_name", "policy_arn").agg(
             F.sort_array(F.collect_list("entry")).alias("entries")

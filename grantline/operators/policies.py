@@ -12,7 +12,7 @@ def statement_resources(statements: DataFrame) -> DataFrame:
     return (
         statements.select(*others, F.explode("statements").alias("statement"))
         .select(
-            *others, "statement.sid", "statement.effect",
+            *others, "statement.sid", "statement.effect", "statement.conditional", "statement.limited",
             F.explode_outer("statement.resources").alias("resource"),
         )
     )
@@ -86,7 +86,9 @@ def dropped_resources(
 ) -> DataFrame:
     """Audit: resources, documents and roles that lead to no path, and why.
 
-    ``no_document``: an attached policy without a default version's document; ``no_resource``: a
+    Two reasons are of resources that do lead to a path, though the statement gives less than full access:
+    ``conditional`` (it has a condition) and ``action_limited`` (it names actions, but neither all of them nor
+    all of storage).  ``no_document``: an attached policy without a default version's document; ``no_resource``: a
     statement that names no resource, for instance by ``NotResource``; its subject is the statement.
     """
     resource = F.col("resource")
@@ -97,8 +99,12 @@ def dropped_resources(
         .when(~names_bucket(resource), "inside_bucket")
     )
     subject = F.coalesce(resource, "sid", F.lit(""))
+    less = F.filter(
+        F.array(F.when(F.col("conditional"), "conditional"), F.when(F.col("limited"), "action_limited")), F.isnotnull
+    )
+    reasons = F.when(reason.isNull(), less).otherwise(F.array(reason))
     resources = attached.join(statement_resources(statements), "policy_arn").select(
-        "role_name", "policy_arn", subject.alias("subject"), reason.alias("reason")
+        "role_name", "policy_arn", subject.alias("subject"), F.explode(reasons).alias("reason")
     )
     without = attached.join(statements, "policy_arn", "left_anti").select(
         "role_name", "policy_arn", F.lit("").alias("subject"), F.lit("no_document").alias("reason")
@@ -119,6 +125,5 @@ def dropped_resources(
         )
     )
     return (
-        resources.filter(F.col("reason").isNotNull())
-        .unionByName(without).unionByName(unreadable).unionByName(few)
+        resources.unionByName(without).unionByName(unreadable).unionByName(few)
     )

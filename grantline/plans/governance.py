@@ -8,7 +8,7 @@ from grantline.fixed import MIN_PATHS_PER_ROLE
 from grantline.operators import access, policies as policy, principals as principal
 from grantline.sinks.shared import stage
 from grantline.sinks.tables import save_table
-from grantline.sources.policies import default_documents, parse_documents
+from grantline.sources.policies import default_documents, parse_documents, statement_conditions
 from grantline.sources.tables import read_table
 
 
@@ -28,6 +28,9 @@ class PolicyExports:
     def statements(self) -> DataFrame:
         return parse_documents(default_documents(self.policies, self.versions))
 
+    def conditions(self) -> DataFrame:
+        return statement_conditions(default_documents(self.policies, self.versions))
+
     def path_lists(self, role_filter=None) -> DataFrame:
         attached = policy.filter_roles(self.attached, role_filter)
         return policy.role_path_lists(attached, self.statements())

@@ -14,7 +14,11 @@ def save_table(rows: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def with_row_count(rows: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    """Count the rows while another action runs, instead of in a second pass."""
+    """Count the rows while another action runs, instead of in a second pass.
+
+    The count is right where the rows go straight to the writer.  Behind it there must be no exchange: a
+    sample for ranges, or a map task that is run again, would be counted as well.
+    """
     observed = Observation(name)
     return rows.observe(observed, F.count(F.lit(1)).alias("n_rows")), observed
 

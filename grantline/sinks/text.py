@@ -1,32 +1,82 @@
 """Text documents."""
 
 import datetime
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from grantline.fixed import DOCUMENT_PREFIXES
 from grantline.schemas import DOCUMENT_ORDER
+from grantline.sinks.shared import stage
+
+#: Parts of a document, and the sections that it may have.
+N_FILES = 8
+MAX_SECTIONS = 8
+
 
 def document_path(folder: str, kind: str, at: datetime.datetime | None = None) -> str:
     at = at or datetime.datetime.now()
     return f"{folder.rstrip('/')}/{DOCUMENT_PREFIXES[kind]}{at:%Y%m%d_%H%M%S}.tf"
 
 
+@dataclass(frozen=True)
+class Written:
+    """A written document: how many pieces it has, and how many blocks in each section."""
+
+    path: str
+    n_pieces: int
+    n_blocks: dict[int, int]
+
+
 def write_document(
-    document: DataFrame, path: str, order: list[str] = DOCUMENT_ORDER, n_files: int = 1
-) -> None:
+    document: DataFrame, path: str, order: list[str] = DOCUMENT_ORDER, n_files: int = N_FILES
+) -> Written:
     """Write the pieces of a document in order, in ``n_files`` parts whatever its size.
 
     The parts in name order are the document.  All pieces of a block are in one part, so each part is
     made of whole blocks.  A part is sorted by one task, which may spill.
+
+    The pieces are staged first: the limits of the parts are sampled from their keys, and the document is
+    not computed a second time for that.  Pieces are counted by the tasks that write them, behind the
+    exchange, so neither the sample nor a task that is run again is counted.
     """
     keys = order[: order.index("part")]
-    pieces = document.select(*order, "output")
+    pieces = stage(document.select(*order, "output"))
     placed = pieces.repartitionByRange(n_files, *keys) if n_files > 1 else pieces.repartition(1)
-    placed.sortWithinPartitions(*order).select("output").write.mode("overwrite").text(path)
+    counted = Observation(f"pieces of {path}")
+    sections = {f"section_{n}": F.count_if((F.col("section") == n) & (F.col("part") == 0)) for n in range(MAX_SECTIONS)}
+    observed = placed.sortWithinPartitions(*order).observe(
+        counted, F.count(F.lit(1)).alias("n_pieces"), *[count.alias(name) for name, count in sections.items()]
+    )
+    observed.select("output").write.mode("overwrite").text(path)
+    found = counted.get
+    return Written(path, found["n_pieces"], {n: found[f"section_{n}"] for n in range(MAX_SECTIONS) if found[f"section_{n}"]})
 
 
-def write_allowlist(payload: DataFrame, path: str) -> None:
-    """Write one valid JSON document per artifact type, below ``path/artifact_type=...``."""
-    placed = payload.repartition("artifact_type").sortWithinPartitions("artifact_type", "part", "item")
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of a written document as ``line_no`` (from 1, through all parts) and ``line``.
+
+    Lines are counted per piece of a file that one task reads; the counts, one row per such piece, are
+    summed up in file order, and each line adds its place in the piece.  The lines themselves are never
+    in one task.
+    """
+    read = spark.read.text(path).select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+    )
+    pieces = read.groupBy("file", "start").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    before = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = pieces.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    return read.join(offsets, ["file", "start"]).select(
+        (F.col("offset") + F.col("at") - F.col("first") + 1).alias("line_no"), "line"
+    )
+
+
+def write_allowlist(payload: DataFrame, path: str, n_files: int = N_FILES) -> None:
+    """Write one valid JSON document per artifact type, below ``path/artifact_type=...``.
+
+    A document may be in several parts, as in ``write_document``.
+    """
+    order = ["artifact_type", "part", "item"]
+    placed = stage(payload.select(*order, "output")).repartitionByRange(n_files, *order).sortWithinPartitions(*order)
     placed.select("artifact_type", "output").write.mode("overwrite").partitionBy("artifact_type").text(path)

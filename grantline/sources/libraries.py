@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from grantline.schemas import ALLOWLIST
+from grantline.sources.tables import Landed, parse_landed
 
 
 def library_inventory(interactive: DataFrame, job: DataFrame) -> DataFrame:
@@ -22,9 +23,11 @@ def library_inventory(interactive: DataFrame, job: DataFrame) -> DataFrame:
     )
 
 
+def landed_allowlist(snapshots: DataFrame) -> Landed:
+    """``artifact_type, document`` rows: documents, rejected ones and unknown fields."""
+    return parse_landed(snapshots.select("artifact_type", "document"), "document", ALLOWLIST, ("artifact_matchers",))
+
+
 def current_allowlist(snapshots: DataFrame) -> DataFrame:
     """Matchers out of ``artifact_type, document`` rows."""
-    parsed = F.from_json("document", ALLOWLIST)
-    return snapshots.select(
-        "artifact_type", F.inline(parsed["artifact_matchers"])
-    )
+    return landed_allowlist(snapshots).records.select("artifact_type", F.inline("artifact_matchers"))

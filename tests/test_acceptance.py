@@ -58,6 +58,7 @@ def test_every_reason_of_a_dropped_resource_occurs(spark):
     reasons = {r.reason for r in run(spark, "dropped_resources").select("reason").distinct().collect()}
     assert reasons == {
         "not_allowed", "not_storage", "inside_bucket", "unreadable_document", "no_document", "no_resource", "too_few_paths",
+        "conditional", "action_limited",
     }
 
 

@@ -14,7 +14,7 @@ from grantline.sinks.tables import row_counts, save_table, with_row_count
 from grantline.operators.allowlist import allowlist_payload
 from grantline.plans import files
 from grantline.plans.privileges import acl_document
-from grantline.sinks.text import document_path, write_allowlist, write_document
+from grantline.sinks.text import document_path, numbered_lines, write_allowlist, write_document
 from grantline.sources.tables import query_table, read_table, table_name
 
 
@@ -40,7 +40,7 @@ def expected(size):
 
 
 def test_small_document_is_one_ordered_file(spark, tmp_path):
-    write_document(document(spark, 300), str(tmp_path / "a.tf"))
+    write_document(document(spark, 300), str(tmp_path / "a.tf"), n_files=1)
     parts, text = written(tmp_path / "a.tf")
     assert len(parts) == 1
     assert text == expected(300)
@@ -53,6 +53,21 @@ def test_large_document_is_several_files_in_order(spark, tmp_path):
     assert text == expected(300)
 
 
+@pytest.mark.parametrize("n_files", [1, 4, 16])
+def test_counts_and_line_numbers_do_not_depend_on_the_parts(spark, tmp_path, n_files):
+    done = write_document(document(spark, 3000), str(tmp_path / "a.tf"), n_files=n_files)
+    parts, text = written(tmp_path / "a.tf")
+    assert len(parts) == n_files and (done.n_pieces, done.n_blocks) == (3001, {0: 1, 1: 3000})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")  # several tasks read one part
+        lines = numbered_lines(spark, str(tmp_path / "a.tf"))
+        assert lines.rdd.getNumPartitions() > 1
+        assert [tuple(r) for r in lines.orderBy("line_no").collect()] == list(enumerate(text.split("\n")[:-1], 1))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_parts_hold_whole_blocks(spark, tmp_path):
     data = spark.range(4000).selectExpr(
         "concat('u', id) AS principal", "'SELECT' AS action_type", "concat('c', id % 7) AS catalog",
@@ -88,9 +103,9 @@ def test_a_document_from_table_names(spark, tmp_path, monkeypatch):
         "principal string, action_type string, catalog string, database string, table string, view string",
     )
     save_table(grants, name, str(tmp_path / "table"))
-    path, n_pieces = files.write_grants(spark, name, str(tmp_path / "out"))
-    assert n_pieces == 4
-    assert '"u"' in "".join(p.read_text() for p in Path(path).glob("part-*"))
+    done = files.write_grants(spark, name, str(tmp_path / "out"))
+    assert (done.n_pieces, done.n_blocks) == (4, {0: 1, 1: 1})
+    assert '"u"' in "".join(p.read_text() for p in Path(done.path).glob("part-*"))
 
 
 def test_rerun_writes_the_same_bytes(spark, tmp_path):

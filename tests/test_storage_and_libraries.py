@@ -68,7 +68,7 @@ def test_volume_block(spark):
     )
     (output,) = [row.output for row in document.filter("section = 1").collect()]
     assert output == fixed.VOLUME_RESOURCE.format(
-        label="l_0",
+        address="l_0_f_1",
         volume_label="f_1",
         catalog="main",
         schema="landing",
