@@ -237,7 +237,7 @@ def role_paths(fx: Fixtures) -> DataFrame:
 @_query
 def dropped_resources(fx: Fixtures) -> DataFrame:
     exports = fx.policy_exports()
-    return policies.dropped_resources(exports.attached, exports.statements())
+    return policies.dropped_resources(exports.attached, stage(exports.statements(audited=True)))
 
 
 @_query
@@ -259,7 +259,7 @@ def _saved(fx: Fixtures) -> Governance:
 
 
 def _patterns(fx: Fixtures) -> DataFrame:
-    governance = _governance(fx)
+    governance = governance_export(fx.principals(), fx.policy_exports(), lists_staged=True)
     return access.governance_patterns(governance.access, governance.path_lists)
 
 
@@ -337,7 +337,8 @@ def location_access_anchored(fx: Fixtures) -> DataFrame:
 
 
 def _uncovered(fx: Fixtures) -> DataFrame:
-    return access.unregistered_patterns(_patterns(fx), fx.locations())
+    # Patterns are read for their keys, for the keys in question and for the search.
+    return access.unregistered_patterns(stage(_patterns(fx)), fx.locations())
 
 
 @_query
@@ -347,7 +348,7 @@ def uncovered_patterns(fx: Fixtures) -> DataFrame:
 
 @_query
 def new_location_proposals(fx: Fixtures) -> DataFrame:
-    return access.new_locations(access.proposed_locations(_uncovered(fx), fx.buckets(), CREDENTIAL))
+    return access.new_locations(access.proposed_locations(stage(_uncovered(fx)), fx.buckets(), CREDENTIAL))
 
 
 @_query

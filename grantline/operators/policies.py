@@ -9,10 +9,11 @@ from grantline.functions.paths import names_bucket, path_of_resource, path_patte
 def statement_resources(statements: DataFrame) -> DataFrame:
     """One row per resource of each statement of parsed documents; a NULL for a statement without."""
     others = [c for c in statements.columns if c not in ("readable", "statements")]
+    fields = statements.schema["statements"].dataType.elementType.names
     return (
         statements.select(*others, F.explode("statements").alias("statement"))
         .select(
-            *others, "statement.sid", "statement.effect", "statement.conditional", "statement.limited",
+            *others, *[f"statement.{field}" for field in fields if field != "resources"],
             F.explode_outer("statement.resources").alias("resource"),
         )
     )
@@ -88,7 +89,7 @@ def dropped_resources(
 
     Two reasons are of resources that do lead to a path, though the statement gives less than full access:
     ``conditional`` (it has a condition) and ``action_limited`` (it names actions, but neither all of them nor
-    all of storage).  ``no_document``: an attached policy without a default version's document; ``no_resource``: a
+    all of storage); they need statements that were parsed as ``audited``.  ``no_document``: an attached policy without a default version's document; ``no_resource``: a
     statement that names no resource, for instance by ``NotResource``; its subject is the statement.
     """
     resource = F.col("resource")

@@ -17,10 +17,9 @@ def dedupe_principals(records: DataFrame) -> DataFrame:
     """
     key = ["principal_type", "displayName", "id"]
     rest = [c for c in records.columns if c not in key]
-    hashed = records.distinct().withColumn("record", F.xxhash64(*rest))
-    chosen = hashed.groupBy(*key).agg(F.min("record").alias("chosen"))
-    same = [hashed[c].eqNullSafe(chosen[c]) for c in key] + [hashed["record"] == chosen["chosen"]]
-    return hashed.join(chosen, same, "left_semi").drop("record").select(*key, *rest)
+    # One exchange: the smallest of (hash, record) is found as the pages are brought together.
+    chosen = records.groupBy(*key).agg(F.min(F.struct(F.xxhash64(*rest).alias("hash"), *rest)).alias("chosen"))
+    return chosen.select(*key, *[F.col(f"chosen.{c}").alias(c) for c in rest])
 
 
 def project_principals(records: DataFrame) -> DataFrame:

@@ -25,8 +25,8 @@ class PolicyExports:
     policies: DataFrame
     versions: DataFrame
 
-    def statements(self) -> DataFrame:
-        return parse_documents(default_documents(self.policies, self.versions))
+    def statements(self, audited: bool = False) -> DataFrame:
+        return parse_documents(default_documents(self.policies, self.versions), audited)
 
     def conditions(self) -> DataFrame:
         return statement_conditions(default_documents(self.policies, self.versions))
@@ -77,11 +77,15 @@ def governance_export(
     role_filter=None,
     min_paths: int = MIN_PATHS_PER_ROLE,
     staged: bool = False,
+    lists_staged: bool = False,
 ) -> Governance:
-    """``staged``: both relations, which later steps read repeatedly, are written once now."""
+    """``staged``: both relations, which later steps read repeatedly, are written once now.
+
+    ``lists_staged`` does so with the path lists alone, for steps that read the access relation once.
+    """
     profiles = principal.principal_profiles(public_principals(records, principal_type, name_filter))
     lists = exports.path_lists(role_filter)
-    if staged:
+    if staged or lists_staged:
         lists = stage(lists)
     counts = policy.role_path_counts(lists, min_paths)
     rows = access.governance(profiles, exports.profile_roles, counts)

@@ -34,7 +34,7 @@ def plan_locations(
         if buckets is None or not credential_name:
             raise ValueError("new locations need the bucket inventory and a credential name")
         matches = stage(matches)
-        uncovered = access.uncovered_patterns(patterns, matches)
+        uncovered = stage(access.uncovered_patterns(patterns, matches))
         proposals = stage(access.proposed_locations(uncovered, buckets, credential_name))
         new = access.new_locations(proposals)
         locations = locations.select(*access.LOCATION).unionByName(new)

@@ -75,7 +75,7 @@ def test_conditions_of_any_shape(spark, rows):
 def test_limited_statements_are_reported_and_still_give_paths(spark, rows):
     frame = spark.createDataFrame(DOCUMENTS, "policy_arn string, document string")
     attached = frame.select(F.lit("r").alias("role_name"), "policy_arn")
-    dropped = policies.dropped_resources(attached, parse_documents(frame), min_paths=1)
+    dropped = policies.dropped_resources(attached, parse_documents(frame, audited=True), min_paths=1)
     assert rows(dropped, "policy_arn", "subject", "reason") == sorted([
         ("p1", "arn:aws:s3:::x", "conditional"), ("p1", "arn:aws:s3:::z", "conditional"), ("p1", "arn:aws:s3:::z", "action_limited"),
         ("p2", "arn:aws:s3:::x", "not_allowed"), ("p3", "", "unreadable_document"), ("p4", "arn:aws:s3:::v", "conditional"),

@@ -8,6 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from grantline.functions.paths import glob_expression, is_searchable, path_pattern
+from grantline.functions.search_keys import keys_of_url, path_keys
+from grantline.operators import matching
 from grantline.operators.matching import match_names, match_urls
 
 FIXED_PATHS = [
@@ -121,3 +123,30 @@ def test_glob_expression_quotes_everything_but_wildcards(spark):
     frame = spark.createDataFrame([("a.b*c?d+",)], "glob string")
     assert frame.select(glob_expression(F.col("glob"))).first()[0] == r"^a\.b.*c.d\+$"
 
+
+
+def test_rarest_keys_leave_fewer_pairs_than_longest_runs(spark):
+    """All paths share a long run that all URLs have; what tells them apart is short."""
+    paths = spark.range(200).selectExpr(
+        "concat('s3://*-shared-production-data-*', char(97 + id div 26), char(97 + id % 26), '7*') AS s3_path",
+        "concat('s3://.*-shared-production-data-.*', char(97 + id div 26), char(97 + id % 26), '7.*') AS s3_path_regex",
+    )
+    urls = spark.range(500).selectExpr(
+        "concat('s3://team', id, '-shared-production-data-', char(97 + id % 20), char(97 + id % 26), id % 10) AS url"
+    )
+    under = matching._found_under(urls, "url", keys_of_url)
+    pairs = matching.pairs_by_key(paths, path_keys("s3_path"), under, "url").count()
+    # Under the longest run, every path meets every URL.
+    longest = paths.join(under.filter("search_key = '~-shared-'"), F.lit(True)).count()
+    assert longest == 200 * 500
+    matches = matching.match_urls(paths, urls, "url").count()
+    assert 0 < matches <= pairs < longest / 50
+
+
+def test_no_text_has_the_rarest_key_of_a_hopeless_pattern(spark):
+    paths = spark.createDataFrame([("s3://*data*qq*", "s3://.*data.*qq.*")], "s3_path string, s3_path_regex string")
+    urls = spark.createDataFrame([(f"s3://data-{n}",) for n in range(50)], "url string")
+    under = matching._found_under(urls, "url", keys_of_url)
+    assert matching.rarest_keys(paths, path_keys("s3_path"), under).first().search_key == "~qq"
+    assert matching.pairs_by_key(paths, path_keys("s3_path"), under, "url").count() == 0
+    assert matching.unmatched_urls(paths, urls, "url").count() == 1

@@ -60,7 +60,7 @@ def test_only_allowed_whole_buckets_count(spark, rows):
         ],
     )
     assert rows(e.path_lists(), "s3_paths") == [(["s3://x", "s3://y/*", "s3://v*/*"],)]
-    dropped = policies.dropped_resources(e.attached, e.statements(), min_paths=1)
+    dropped = policies.dropped_resources(e.attached, e.statements(audited=True), min_paths=1)
     assert rows(dropped, "subject", "reason") == [
         ("", "no_resource"),
         ("*", "not_storage"),
@@ -79,14 +79,14 @@ def test_roles_need_more_than_five_paths_and_repeats_count(spark, rows):
     lists = e.path_lists()
     assert rows(policies.role_path_counts(lists)) == [("enough", 6)]
     assert len(rows(policies.role_paths(lists))) == 5
-    dropped = policies.dropped_resources(e.attached, e.statements())
+    dropped = policies.dropped_resources(e.attached, e.statements(audited=True))
     assert rows(dropped, "role_name", "subject", "reason") == [("few", "5", "too_few_paths")]
 
 
 def test_unreadable_documents_are_reported(spark, rows):
     e = exports(spark, ['{"Statement":[', "", {"Statement": statement(S3 + "a")}])
     assert rows(e.path_lists(), "policy_arn") == [("p2",)]
-    dropped = policies.dropped_resources(e.attached, e.statements(), min_paths=1)
+    dropped = policies.dropped_resources(e.attached, e.statements(audited=True), min_paths=1)
     assert rows(dropped, "policy_arn", "reason") == [
         ("p0", "unreadable_document"),
         ("p1", "unreadable_document"),
