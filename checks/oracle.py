@@ -311,6 +311,33 @@ RELATIONS = {
                  {_fill(fixed.OBJECT_GRANT, principal='principal',
                         privileges="concat('[" + '"' + "', replace(privileges, ',', '" + '","' + "'), '" + '"' + "]')")}
           FROM grantable)""",
+    "unfinished": f"""
+        SELECT 'location' AS kind,
+               concat_ws('/', CASE WHEN k % 13 <> 0 THEN concat('New ', bucket_name) END,
+                         CASE WHEN k % 11 <> 0 THEN concat('s3://', bucket_name) END,
+                         CASE WHEN k % 7 <> 0 THEN concat('cred_', CAST(k % 3 AS VARCHAR)) END) AS subject,
+               concat_ws(',', CASE WHEN k % 13 = 0 THEN 'ext_loc_name' END, CASE WHEN k % 11 = 0 THEN 'url' END,
+                         CASE WHEN k % 7 = 0 THEN 'credential_name' END) AS missing
+        FROM bucket_keys
+        UNION ALL
+        SELECT 'registered_location', CASE WHEN k % 13 <> 0 THEN concat('New ', bucket_name) ELSE '' END,
+               CASE WHEN k % 13 = 0 THEN 'ext_loc_name' ELSE '' END
+        FROM bucket_keys
+        UNION ALL
+        SELECT 'location_grant',
+               concat_ws('/', CASE WHEN c_custkey % 17 <> 0 THEN c_name END,
+                         CASE WHEN c_custkey % 19 <> 0 THEN concat('u', CAST(c_custkey AS VARCHAR)) END,
+                         CASE WHEN c_custkey % 5 <> 0 THEN concat('Loc ', CAST(c_custkey % 7 AS VARCHAR)) END),
+               concat_ws(',', CASE WHEN c_custkey % 17 = 0 THEN 'principal_display_name' END,
+                         CASE WHEN c_custkey % 19 = 0 THEN 'grantee' END, CASE WHEN c_custkey % 5 = 0 THEN 'ext_loc_name' END)
+        FROM customer
+        UNION ALL
+        SELECT 'volume',
+               concat_ws('/', concat('loc_', lower(p_type)), concat('v_', CAST(p_size AS VARCHAR)),
+                         concat('v.', CAST(p_size AS VARCHAR), '/'), CASE WHEN p_partkey % 9 <> 0 THEN 'main' END,
+                         CASE WHEN p_partkey % 6 <> 0 THEN 'landing' END, concat('s3://', {BUCKET})),
+               concat_ws(',', CASE WHEN p_partkey % 9 = 0 THEN 'catalog_name' END, CASE WHEN p_partkey % 6 = 0 THEN 'schema_name' END)
+        FROM part""",
     "clashing_grantees": """
         SELECT DISTINCT
                CASE c_custkey % 4 WHEN 0 THEN concat('Team ', CAST(c_custkey % 30 AS VARCHAR))
@@ -446,6 +473,10 @@ QUERIES = {
     # access
     "governance_export": "SELECT * FROM governance",
     "governance_roundtrip": "SELECT * FROM governance",
+    "governance_schema_merge": """
+        SELECT g.*, CASE WHEN principal_type <> 'USER' THEN 'yes' END AS reviewed,
+               CASE WHEN principal_type = 'USER' THEN 2 END AS batch
+        FROM governance g""",
     "governance_patterns": "SELECT role_name, s3_path, s3_path_regex FROM held_paths",
     "bucket_regex": """
         SELECT DISTINCT s3_path_regex,
@@ -617,12 +648,11 @@ QUERIES = {
               UNION SELECT role_name FROM missing_policies UNION SELECT role_name FROM except_policies) a
         LEFT JOIN paths p ON p.role_name = a.role_name
         GROUP BY a.role_name HAVING count(p.s3_path) <= 5""",
-    "incomplete_blocks": """
-        SELECT 'location' AS kind, ext_loc_name AS subject, missing
-        FROM (SELECT concat('New ', bucket_name) AS ext_loc_name,
-                     concat_ws(',', CASE WHEN k % 11 = 0 THEN 'url' END, CASE WHEN k % 7 = 0 THEN 'credential_name' END) AS missing
-              FROM bucket_keys)
-        WHERE missing <> ''""",
+    "incomplete_blocks": "SELECT kind, subject, missing FROM unfinished WHERE missing <> ''",
+    "block_counts": """
+        SELECT kind, count(*) AS n_rows, count(*) FILTER (missing = '') AS n_blocks,
+               count(*) FILTER (missing <> '') AS n_rejected
+        FROM unfinished GROUP BY kind""",
     "label_collisions": f"""
         SELECT kind, {_label('name')} AS label, count(*) AS n_names, min(name) AS first_name, max(name) AS last_name
         FROM (SELECT DISTINCT 'principal' AS kind, principal_display_name AS name, grantee AS owner

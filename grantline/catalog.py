@@ -40,7 +40,7 @@ from grantline.plans.locations import (
 from grantline.plans.privileges import acl_document, object_addresses
 from grantline.plans.volumes import volume_document
 from grantline.sinks.shared import shared_folder, stage
-from grantline.sinks.tables import row_counts
+from grantline.sinks.tables import merge_table, row_counts
 from grantline.sinks.text import numbered_lines, write_document
 from grantline.sources.policies import landed_profiles
 from grantline.sources.principals import all_principals, landed_principals, read_principals
@@ -289,6 +289,18 @@ def _saved_tables(fx: Fixtures) -> tuple[str, str]:
     return names
 
 
+@_query
+def governance_schema_merge(fx: Fixtures) -> DataFrame:
+    """A table of an earlier run, with a column of its own, and a later run for one kind of principal."""
+    folder = shared_folder(fx.spark)
+    name = f"spark_catalog.default.merged_{folder.rsplit('/', 1)[-1]}"
+    rows = _governance(fx).access
+    merge_table(rows.withColumn("reviewed", F.lit("yes")), name, "principal_type", folder)
+    later = rows.filter("principal_type = 'USER'").withColumn("batch", F.lit(2))
+    merge_table(later, name, "principal_type")
+    return query_table(fx.spark, name)
+
+
 @_query
 def governance_lists_roundtrip(fx: Fixtures) -> DataFrame:
     return _lists(load_governance(fx.spark, *_saved_tables(fx)).path_lists)
@@ -679,6 +691,9 @@ def label_collisions(fx: Fixtures) -> DataFrame:
 
 @_query
 def incomplete_blocks(fx: Fixtures) -> DataFrame:
-    return audit.incomplete_blocks(
-        fx.unfinished_locations(), "location", "ext_loc_name", ["url", "credential_name"]
-    )
+    return all_principals(*[documents.incomplete(rows, kind) for kind, rows in fx.unfinished().items()])
+
+
+@_query
+def block_counts(fx: Fixtures) -> DataFrame:
+    return all_principals(*[audit.block_counts(rows, kind) for kind, rows in fx.unfinished().items()])

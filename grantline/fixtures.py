@@ -246,14 +246,24 @@ class Fixtures:
         parts = self.table("part").selectExpr("p_partkey", f"{BUCKET} AS bucket_name")
         return objects.join(places, "o_orderkey").join(parts, "p_partkey").select("bucket_name", "object_key")
 
-    def unfinished_locations(self) -> DataFrame:
-        """Locations to be created, some of which lack a credential or a URL."""
-        return self._bucket_keys().selectExpr(
-            "concat('New ', bucket_name) AS ext_loc_name",
+    def unfinished(self) -> dict[str, DataFrame]:
+        """Rows for each kind of block, some of which lack a field."""
+        location = self._bucket_keys().selectExpr(
+            "if(k % 13 = 0, null, concat('New ', bucket_name)) AS ext_loc_name",
             "if(k % 7 = 0, null, concat('cred_', k % 3)) AS credential_name",
             "if(k % 11 = 0, null, concat('s3://', bucket_name)) AS url",
-            "false AS created",
         )
+        grant = self.table("customer").selectExpr(
+            "if(c_custkey % 17 = 0, null, c_name) AS principal_display_name",
+            "if(c_custkey % 19 = 0, null, concat('u', c_custkey)) AS grantee",
+            "if(c_custkey % 5 = 0, null, concat('Loc ', c_custkey % 7)) AS ext_loc_name",
+        )
+        volume = self.table("part").selectExpr(
+            "concat('loc_', lower(p_type)) AS ext_loc_label", "concat('v_', p_size) AS volume_label",
+            "concat('v.', p_size, '/') AS volume", "if(p_partkey % 9 = 0, null, 'main') AS catalog_name",
+            "if(p_partkey % 6 = 0, null, 'landing') AS schema_name", f"concat('s3://', {BUCKET}) AS s3_bucket_url",
+        )
+        return {"location": location, "registered_location": location, "location_grant": grant, "volume": volume}
 
     # --- names whose labels clash ----------------------------------------------------------------
     def clashing_grantees(self) -> DataFrame:

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from grantline.functions.paths import profile_name
 from grantline.functions.text import label
+from grantline.operators import documents
 
 
 def label_collisions(names: DataFrame) -> DataFrame:
@@ -26,12 +27,14 @@ def label_collisions(names: DataFrame) -> DataFrame:
     )
 
 
-def incomplete_blocks(rows: DataFrame, kind: str, subject: str, needed: list[str]) -> DataFrame:
-    """Rows that get no block as a field it needs is missing: ``kind``, ``subject`` and ``missing``."""
-    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in needed])
-    return rows.select(F.lit(kind).alias("kind"), F.col(subject).alias("subject"), missing.alias("missing")).filter(
-        F.col("missing") != ""
-    )
+def block_counts(rows: DataFrame, kind: str) -> DataFrame:
+    """Of the rows of one kind of block, how many give a block and how many do not."""
+    whole = F.lit(True)
+    for column in documents.NEEDED[kind]:
+        whole = whole & F.col(column).isNotNull()
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.count_if(whole).alias("n_blocks"), F.count_if(~whole).alias("n_rejected")
+    ).select(F.lit(kind).alias("kind"), "n_rows", "n_blocks", "n_rejected")
 
 
 def profile_arns(profiles: DataFrame) -> DataFrame:

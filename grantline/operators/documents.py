@@ -14,6 +14,7 @@ from grantline.operators.addresses import unique_labels
 
 HEADER_SECTION = 0
 OBJECT = ["object_type", "object_name"]
+VOLUME = ["ext_loc_label", "volume_label", "volume", "catalog_name", "schema_name", "s3_bucket_url"]
 
 
 def _piece(
@@ -48,16 +49,35 @@ def assemble(first: DataFrame, *others: DataFrame) -> DataFrame:
     return document
 
 
-def _complete(rows: DataFrame, *columns: str) -> DataFrame:
-    """Rows whose needed fields are all there; a missing one would blank the whole block."""
-    return rows.na.drop(subset=list(columns))
+#: The fields without which a row gives no block; a missing one would blank the whole text.
+NEEDED = {
+    "location": ["ext_loc_name", "url", "credential_name"],
+    "registered_location": ["ext_loc_name"],
+    "location_grant": ["principal_display_name", "grantee", "ext_loc_name"],
+    "volume": VOLUME,
+}
+
+
+def _complete(rows: DataFrame, kind: str) -> DataFrame:
+    return rows.na.drop(subset=NEEDED[kind])
+
+
+def incomplete(rows: DataFrame, kind: str) -> DataFrame:
+    """The rows that give no block: ``kind``, ``subject`` (what is there of the needed fields) and ``missing``.
+
+    Rows and blocks are split by the same list of fields, so each row is on one side.
+    """
+    needed = NEEDED[kind]
+    missing = F.concat_ws(",", *[F.when(F.col(c).isNull(), c) for c in needed])
+    there = F.concat_ws("/", *needed)
+    return rows.select(F.lit(kind).alias("kind"), there.alias("subject"), missing.alias("missing")).filter(F.col("missing") != "")
 
 
 def location_resources(locations: DataFrame, labels: DataFrame, section: int = 1) -> DataFrame:
     """Blocks that create the locations that do not exist yet; ``labels`` are those of the grants."""
-    rows = _complete(
-        locations.filter(~F.col("created")), "ext_loc_name", "url", "credential_name"
-    ).select("ext_loc_name", "created", "url", "credential_name").distinct().join(labels, ["ext_loc_name", "created"])
+    rows = _complete(locations.filter(~F.col("created")), "location").select(
+        "ext_loc_name", "created", "url", "credential_name"
+    ).distinct().join(labels, ["ext_loc_name", "created"])
     name = F.col("ext_loc_name")
     output = render(
         fixed.LOCATION_RESOURCE,
@@ -71,7 +91,7 @@ def location_resources(locations: DataFrame, labels: DataFrame, section: int = 1
 
 def location_data_sources(locations: DataFrame, labels: DataFrame, section: int = 2) -> DataFrame:
     """Blocks that refer to the locations that exist."""
-    rows = _complete(locations.filter("created"), "ext_loc_name").select("ext_loc_name", "created").distinct()
+    rows = _complete(locations.filter("created"), "registered_location").select("ext_loc_name", "created").distinct()
     rows = rows.join(labels, ["ext_loc_name", "created"])
     name = F.col("ext_loc_name")
     output = render(fixed.LOCATION_DATA_SOURCE, label=F.col("ext_loc_label"), name=escape(name))
@@ -80,7 +100,7 @@ def location_data_sources(locations: DataFrame, labels: DataFrame, section: int
 
 def location_grant_blocks(grants: DataFrame, section: int = 3) -> DataFrame:
     """One grant block per grantee and location; ``grants`` has no duplicates."""
-    rows = _complete(grants, "principal_display_name", "grantee", "ext_loc_name")
+    rows = _complete(grants, "location_grant")
     grantee_label, location_label = F.col("principal_label"), F.col("ext_loc_label")
     output = render(
         fixed.LOCATION_GRANT,
@@ -93,13 +113,10 @@ def location_grant_blocks(grants: DataFrame, section: int = 3) -> DataFrame:
     return _piece(rows, section, F.concat_ws("_", grantee_label, location_label), block, output)
 
 
-VOLUME = ["ext_loc_label", "volume_label", "volume", "catalog_name", "schema_name", "s3_bucket_url"]
-
-
 def volume_addresses(volumes: DataFrame) -> DataFrame:
     """Distinct volumes with an ``address`` each."""
     # Spread over all columns first: the rows of one bucket may share a partition after its joins.
-    rows = _complete(volumes, *VOLUME).select(*VOLUME).repartition(*VOLUME).distinct()
+    rows = _complete(volumes, "volume").select(*VOLUME).repartition(*VOLUME).distinct()
     return unique_labels(rows, VOLUME, F.concat_ws("_", "ext_loc_label", "volume_label"), "address")
 
 

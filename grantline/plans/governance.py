@@ -1,5 +1,6 @@
 """Pipeline 1: which principal reaches which storage path."""
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -7,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from grantline.fixed import MIN_PATHS_PER_ROLE
 from grantline.operators import access, policies as policy, principals as principal
 from grantline.sinks.shared import stage
-from grantline.sinks.tables import save_table
+from grantline.sinks.tables import mark_run, run_of, save_table
 from grantline.sources.policies import default_documents, parse_documents, statement_conditions
 from grantline.sources.tables import read_table
 
@@ -60,12 +61,23 @@ def public_principals(
 
 
 def save_governance(governance: Governance, access_table: str, lists_table: str, folder: str | None = None) -> None:
-    """Save both relations as tables, in ``folder`` if one is given."""
-    save_table(governance.access, access_table, f"{folder}/access" if folder else None)
-    save_table(governance.path_lists, lists_table, f"{folder}/path_lists" if folder else None)
+    """Save both relations as tables, in ``folder`` if one is given.
+
+    Both are computed before a table is touched.  When both are written, they are marked with the run, the
+    access table last: a pair that was left half written lacks the mark and is not loaded.
+    """
+    spark = governance.access.sparkSession
+    staged = Governance(stage(governance.access), stage(governance.path_lists))
+    save_table(staged.access, access_table, f"{folder}/access" if folder else None)
+    save_table(staged.path_lists, lists_table, f"{folder}/path_lists" if folder else None)
+    mark_run(spark, [lists_table, access_table], uuid.uuid4().hex)
 
 
 def load_governance(spark: SparkSession, access_table: str, lists_table: str) -> Governance:
+    """The pair that one run of ``save_governance`` wrote to the end."""
+    runs = [run_of(spark, name) for name in (access_table, lists_table)]
+    if runs[0] is None or runs[0] != runs[1]:
+        raise ValueError(f"{access_table} and {lists_table} are not of one finished run")
     return Governance(read_table(spark, access_table), read_table(spark, lists_table))
 
 

@@ -10,9 +10,9 @@ from grantline.operators.documents import header
 from grantline.plans.arguments import volume_path
 from grantline.schemas import DOCUMENT_ORDER
 from grantline.sinks.shared import shared_folder, stage
-from grantline.sinks.tables import row_counts, save_table, with_row_count
+from grantline.sinks.tables import merge_table, row_counts, save_table, with_row_count
 from grantline.operators.allowlist import allowlist_payload
-from grantline.plans import files
+from grantline.plans import files, governance
 from grantline.plans.privileges import acl_document
 from grantline.sinks.text import document_path, numbered_lines, write_allowlist, write_document
 from grantline.sources.tables import query_table, read_table, table_name
@@ -138,6 +138,53 @@ def test_table_roundtrip_overwrites(spark, rows, tmp_path):
     assert rows(query_table(spark, name)) == [(0,), (1,)]
 
 
+def test_a_half_written_pair_is_refused(spark, tmp_path, monkeypatch):
+    run = tmp_path.name.replace("-", "_")
+    names = f"spark_catalog.default.a_{run}", f"spark_catalog.default.l_{run}"
+
+    def pair(n):
+        return governance.Governance(spark.range(n), spark.range(n + 1))
+
+    governance.save_governance(pair(1), *names, str(tmp_path / "t"))
+    loaded = governance.load_governance(spark, *names)
+    assert (loaded.access.count(), loaded.path_lists.count()) == (1, 2)
+
+    written = []
+
+    def stop_after_one(rows, name, path=None):
+        if written:
+            raise RuntimeError("lost")
+        written.append(name)
+        save_table(rows, name, path)
+
+    monkeypatch.setattr(governance, "save_table", stop_after_one)
+    with pytest.raises(RuntimeError):
+        governance.save_governance(pair(5), *names, str(tmp_path / "t"))
+    assert read_table(spark, names[0]).count() == 5 and read_table(spark, names[1]).count() == 2
+    with pytest.raises(ValueError, match="not of one finished run"):
+        governance.load_governance(spark, *names)
+
+    monkeypatch.setattr(governance, "save_table", save_table)
+    governance.save_governance(pair(7), *names, str(tmp_path / "t"))
+    other = f"spark_catalog.default.b_{run}", f"spark_catalog.default.m_{run}"
+    governance.save_governance(pair(7), *other, str(tmp_path / "u"))
+    assert governance.load_governance(spark, *names).access.count() == 7
+    with pytest.raises(ValueError):
+        governance.load_governance(spark, names[0], other[1])
+
+
+def test_merged_tables_keep_columns_and_partitions(spark, rows, tmp_path):
+    name = f"spark_catalog.default.merge_{tmp_path.name.replace('-', '_')}"
+    merge_table(spark.createDataFrame([(1, "old", "a"), (2, "old", "b")], "n long, note string, kind string"), name, "kind", str(tmp_path / "m"))
+    merge_table(spark.createDataFrame([("b", 3, [1])], "kind string, n long, extra array<int>"), name, "kind")
+    assert rows(read_table(spark, name), "n", "note", "extra", "kind") == [(1, "old", None, "a"), (3, None, [1], "b")]
+    merge_table(spark.createDataFrame([("c", 4)], "kind string, n long"), name, "kind")
+    assert rows(read_table(spark, name), "n", "kind") == [(1, "a"), (3, "b"), (4, "c")]
+    with pytest.raises(ValueError, match="another type"):
+        merge_table(spark.createDataFrame([("c", "x")], "kind string, n string"), name, "kind")
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
 @pytest.mark.parametrize("name", ["a.b.c", "a-1.b_2.C3", "`a-b`.c.`d`", " a.b.c "])
 def test_valid_table_names(name):
     assert table_name(name).count("`") == 6
