@@ -6,7 +6,12 @@
 4. secrets are replaced by a mark;
 5. texts are encoded into pieces.
 
-All stages but the last return the columns of documents.
+All stages but the last return the columns of documents.  Each works on doc_id and text alone, in a
+table without other columns, so further columns may have any names; they are joined to its decisions.
+
+Null and empty texts are scored, compared with nothing, hold no items and no secrets, and have no pieces; rows
+with a null doc_id stay where a decision is by doc_id.  Of rows with one doc_id and one text, one stays.
+Very long texts are worked on whole.  Empty tables give empty ones.
 """
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,25 +25,34 @@ from grantline.llm.secrets import redacted, scan
 from grantline.sinks.shared import stage
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select("doc_id", "text")
+
+
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classifier(docs, labels).sampled(docs).select(*docs.columns)
+    model = classifier(_texts(docs), labels)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return model.sampled(rows).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return one_per_group(docs, near_duplicates(docs, percent=80)).select(*docs.columns)
+    return one_per_group(docs, near_duplicates(_texts(docs), percent=80))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without_items(docs, contained_items(docs, benchmark)).select(*docs.columns)
+    return without_items(docs, contained_items(_texts(docs), benchmark)).select(*docs.columns)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = redacted(scan(docs))
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    found = redacted(scan(rows)).withColumn("text", F.when(F.col("row.text").isNotNull(), F.col("text")))
+    found = found.withColumn("row", F.col("row").withField("text", F.col("text")))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return found.select(*docs.columns)
+        n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("row", F.col("row").withField("n_chars", n_chars))
+    return found.select("row.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
