@@ -67,7 +67,7 @@ def _signatures(shingle_size: int, trees: int):
                     for t in range(trees):
                         paths[filled, t] = _least(values, starts, _SEEDS[t])
                 yield pd.DataFrame(
-                    {"id": rows["id"].to_numpy(), "n": sizes, "low": low.view(np.int64), "high": high.view(np.int64),
+                    {"id": rows["id"].to_numpy(), "text_hash": rows["text_hash"].to_numpy(), "n": sizes, "low": low.view(np.int64), "high": high.view(np.int64),
                      "paths": list(paths.view(np.int64))}
                 )
 
@@ -192,28 +192,40 @@ def near_duplicates(
     hubs: int = 512,
     max_depth: int = 8,
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row.
+    """doc_id, n_shingles, component_id, kept, text_hash and group_key of every row.
 
     Texts are linked if their sets' Jaccard similarity is at least ``percent`` hundredths.  The component
     is named by its smallest doc_id, and that document is kept.  Null texts and texts without words have
     no shingles and are linked with nothing.  Equal sets are compared once.  Rows that repeat a doc_id
-    are one vertex and are each returned; a row with a null doc_id is linked with nothing and has a null
-    component and is not kept.  An empty table gives no rows; other columns are not read.
+    with another text are vertices of their own; ``text_hash`` tells them apart, and ``group_key`` components
+    of one name.  A row with a null doc_id is linked with nothing and has a null component and is not
+    kept.  An empty table gives no rows; other columns are not read.  A text is hashed and, in a cell,
+    compared whole: a task holds the texts of one cell.
     """
     trees = trees_for(percent / 100, miss)
-    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text")
+    texts = documents.select(F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("text_hash"))
     signed = stage(
-        texts.mapInPandas(_signatures(shingle_size, trees), "id long, n long, low long, high long, paths array<long>")
+        texts.mapInPandas(
+            _signatures(shingle_size, trees), "id long, text_hash long, n long, low long, high long, paths array<long>"
+        )
     )
+    # A class is all rows with one set; its first row stands for it, under a number of the class.
     keys = ["low", "high", "n"]
-    classes = signed.where("n > 0 AND id IS NOT NULL").groupBy(*keys).agg(
-        F.min_by("paths", "id").alias("paths"), F.min("id").alias("id")
+    rows_of_class = signed.where("n > 0 AND id IS NOT NULL").groupBy(*keys).agg(
+        F.min_by("paths", "id").alias("paths"), F.min(F.struct("id", "text_hash")).alias("first")
     )
-    rooted = stage(classes.select("id", "n", *keys[:2], F.posexplode("paths").alias("tree", "node")))
+    classes = stage(rows_of_class.select(F.xxhash64(*keys).alias("id"), *keys, "first.*", "paths").toDF(
+        "id", *keys, "doc", "hash", "paths"
+    ))
+    rooted = classes.select("id", "n", F.posexplode("paths").alias("tree", "node"))
     sizes = rooted.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    roots = stage(rooted.select("id", "n", "tree", "node").join(sizes.select("node"), "node"))
-    # The same join at every size: a broadcast of these ids would grow with the corpus.
-    near = stage(texts.join(roots.select("id").distinct().hint("merge"), "id").mapInPandas(_packed, "id long, text binary"))
+    roots = stage(rooted.join(sizes.select("node"), "node").select("id", "n", "tree", "node"))
+    # The same join at every size: a broadcast of these rows would grow with the corpus.
+    wanted = classes.join(roots.select("id").distinct(), "id", "left_semi").select(F.col("id").alias("class"), "doc", "hash")
+    met = texts.join(wanted.hint("merge"), (F.col("id") == F.col("doc")) & (F.col("text_hash") == F.col("hash")))
+    near = stage(
+        met.dropDuplicates(["doc", "hash"]).select(F.col("class").alias("id"), "text").mapInPandas(_packed, "id long, text binary")
+    )
     frontier = roots.where("tree = 0").select("node", "id", "n", F.lit(0).alias("depth"))
     later = roots.where("tree > 0").select("node", "id", "n", F.lit(0).alias("depth"))
     joined, links = None, None
@@ -234,25 +246,34 @@ def near_duplicates(
         frontier = found.where("kind = 1").select(F.col("b").alias("node"), F.col("a").alias("id"), "n", "depth").distinct()
         if later is not None:
             frontier, later = frontier.unionByName(later), None
-    named = rooted.where("tree = 0").select(*keys, F.col("id").alias("first"))
+    named = classes.select(*keys, F.col("id").alias("first"), "doc")
     if joined is None:
-        named = named.withColumn("component", F.col("first"))
+        named = named.withColumn("label", F.col("first"))
     else:
         named = named.join(joined.withColumnRenamed("id", "first"), "first", "left").withColumn(
-            "component", F.coalesce("component", "first")
+            "label", F.coalesce("component", "first")
         )
-    result = signed.join(named.select(*keys, "component"), keys, "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
+    smallest = named.groupBy("label").agg(F.min("doc").alias("smallest"))
+    result = signed.join(named.join(smallest, "label").select(*keys, "label", "smallest"), keys, "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("smallest", "id"))
     return result.select(
         F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"),
-        F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"),
+        F.coalesce(component == F.col("id"), F.lit(False)).alias("kept"), "text_hash",
+        F.coalesce("label", F.xxhash64("id", "text_hash")).alias("group_key"),
     )
 
 
 def one_per_group(documents: DataFrame, groups: DataFrame) -> DataFrame:
-    """The kept documents, one row each; rows with a null doc_id stay."""
-    kept = groups.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows_of_id"))
-    found = documents.join(kept, "doc_id")
-    once = found.where("rows_of_id = 1").drop("rows_of_id")
-    repeated = found.where("rows_of_id > 1").drop("rows_of_id").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(documents.where("doc_id IS NULL").select(once.columns))
+    """The kept documents, one row for each group; rows with a null doc_id stay.
+
+    Of rows that have one doc_id and one text, the first by its JSON form is taken.  Columns may have any names.
+    """
+    kept = groups.where("kept").groupBy("group_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    kept = kept.groupBy("first.doc_id", "first.text_hash").agg(F.lit(1).alias("found")).drop("found")
+    rows = documents.select(
+        F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    found = rows.join(kept, ["doc_id", "text_hash"])
+    once = found.groupBy("doc_id", "text_hash").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return once.select("row.*").unionByName(rows.where("doc_id IS NULL").select("row.*"))

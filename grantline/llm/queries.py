@@ -42,7 +42,8 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+    found = near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,7 +119,7 @@ def near_duplicate_vectors(
     Null ids, null or empty vectors, zero vectors and vectors with null or non-finite components link
     with nothing; such a row has no links and is its own component (a null id: a null component, and
     not kept).  Equal vectors of a group are compared once and counted as linked with each other; a
-    repeated row counts as one more vector.  Other columns are not read.  An empty table gives an
+    repeated row counts as one more vector, and so do different vectors of one id.  Other columns are not read.  An empty table gives an
     empty result.
 
     A group gets a pivot for every ``cell_rows`` distinct vectors, ``max_pivots`` at most; a pivot is
@@ -138,7 +138,8 @@ def near_duplicate_vectors(
     )
     keyed = rows.where(usable).withColumn("grp", F.xxhash64("label", F.size("vector")))
     distinct = stage(
-        keyed.groupBy("grp", "label", "vector").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"))
+        keyed.groupBy("grp", "label", "vector").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("copies"))
+        .withColumn("id", F.xxhash64("grp", "label", "vector"))  # a number of the vector: ids may repeat
     )
     sizes = stage(
         distinct.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).withColumn(
@@ -201,11 +202,10 @@ def near_duplicate_vectors(
     )
     joined = components(found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     degrees = found.groupBy("id").agg(F.sum("degree").alias("degree"))
-    classes = (
-        distinct.join(degrees, "id", "left").join(joined, "id", "left")
-        .select("grp", "label", "vector",
-                (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                F.coalesce("component", "id").alias("component_id"))
+    labelled = distinct.join(degrees, "id", "left").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    smallest = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
+    classes = labelled.join(smallest, "component").select(
+        "grp", "label", "vector", (F.coalesce("degree", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id"
     )
     compared = keyed.join(classes, ["grp", "label", "vector"]).select("id", "n_links", "component_id")
     alone = rows.where(~F.coalesce(usable, F.lit(False))).select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))

@@ -122,3 +122,15 @@ def test_connected_components_of_paths_and_stars(spark):
     found = dict(map(tuple, groups.components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert {found[n] for n in range(100, 161)} == {100}
     assert {found[n] for n in range(500, 560)} == {500} and found[900] == 500
+
+
+def test_rows_that_repeat_an_id_with_other_texts(spark):
+    words = [f"w{n}" for n in range(60)]
+    rows = [(0, " ".join(words)), (1, " ".join(words[:-1])), (1, "quite another text of several words here"),
+            (2, "quite another text of several words here"), (3, "alone in the world with seven words"), (3, "ALONE in the world with seven words")]
+    frame_of = frame(spark, rows)
+    found = near_duplicates(frame_of, percent=80)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in found.collect())
+    assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True)]
+    kept = sorted(map(tuple, one_per_group(frame_of, found).select("doc_id", "text").collect()))
+    assert kept[:2] == [(0, rows[0][1]), (1, rows[2][1])] and [d for d, _ in kept] == [0, 1, 3]

@@ -529,3 +529,10 @@ def test_pairs_are_grouped_alike_beyond_32_bits():
     h, w = (rng.integers(0, 30, 500).astype(np.uint64) for _ in range(2))
     small, large = _groups(h, w, 30), _groups(h, w, 2**40)
     assert (small[1] == large[1]).all() and (h[small[0]] == h[large[0]]).all() and (w[small[0]] == w[large[0]]).all()
+
+
+def test_vectors_that_repeat_an_id(spark):
+    rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.01], 0), (3, [1.0, 0.02], 0), (1, [0.0, 1.0], 1), (5, [3.0, 4.0], 2), (5, [3.0, 4.1], 2)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = sorted(map(tuple, near_duplicate_vectors(frame).select("vec_id", "n_links", "component_id").collect()))
+    assert found == [(1, 0, 1), (1, 2, 1), (2, 2, 1), (3, 2, 1), (5, 1, 5), (5, 1, 5)]
