@@ -7,8 +7,10 @@ all strings that the base patterns label: random strings are the values that the
 identifiers the words of all documents, but for those with a part as long as the runs that are scored.  A run is added if its log-likelihood ratio
 per transition is above a threshold.  Base spans divide a run, and its parts are scored each.
 
-All of it is DataFrame expressions.  Spans are found by splitting a text at its matches: the lengths of
-the pieces between them and of the matches give the places, in code points.
+All of it is DataFrame expressions.  A text is first cut into parts of some thousand characters at places that
+no match can cross, so that work grows with its length and not with the square of its matches.  Spans
+are found by splitting a part at its matches: the lengths of the pieces between them and of the matches give the
+places, in code points.
 """
 
 import json
@@ -28,6 +30,31 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 RUN = r"[A-Za-z0-9+/_=-]{%d,}"
 SPAN = "array<struct<start: int, kind: int, end: int>>"
 
+#: Characters of a part of a text, if it has a place to cut.
+PART = 4000
+#: Before a cut: a character that is in no match, or a space between two letters or digits, which only an equals sign or
+#: a colon beside it could make part of one.
+CUT = r"""(?:[^A-Za-z0-9+/_.=:"'\x20-]|(?<=[A-Za-z0-9])\x20(?=[A-Za-z0-9])|\z)"""
+
+
+def _parts(text: Column) -> Column:
+    """(part, at): the text, cut after the last place for it within ``PART`` characters, or else the next one."""
+    pattern = f"(?s).{{0,{PART - 1}}}{CUT}|.+?{CUT}"
+    state = "struct<at: int, found: array<struct<part: string, at: int>>>"
+
+    def step(state: Column, part: Column) -> Column:
+        grown = F.concat(state["found"], F.array(F.struct(part.alias("part"), state["at"].alias("at"))))
+        return F.struct((state["at"] + F.char_length(part)).alias("at"), grown.alias("found"))
+
+    parts = F.filter(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda part: part != "")
+    return F.aggregate(parts, F.struct(F.lit(0), F.array()).cast(state), step, lambda state: state["found"])
+
+
+def _moved(spans: Column, by: Column) -> Column:
+    return F.transform(
+        spans, lambda s: F.struct((s["start"] + by).alias("start"), s["kind"].alias("kind"), (s["end"] + by).alias("end"))
+    )
+
 
 def _spans(text: Column, pattern: str, kind: int, value_group: int = 0, least: int = 0) -> Column:
     """The places of all matches; with ``least``, only those whose value has so many characters."""
@@ -118,6 +145,31 @@ def markov_ratios(random: DataFrame, ordinary: DataFrame) -> DataFrame:
     return counts.join(totals, "first").select(F.concat("first", "second").alias("pair"), ratio.alias("ratio"))
 
 
+def _scanned(documents: DataFrame, least_run: int, threshold: float) -> DataFrame:
+    """row (all columns but the text), text and ``parts``: the text in parts that no span crosses, with the spans of
+    each, counted from its start."""
+    ratios = stage(_fitted(documents, least_run))
+    run = RUN % least_run
+    # The model is one literal of the plan, with a number for every pair of signs.
+    found = {row.pair: row.ratio for row in ratios.collect()}
+    matrix = [round(found[a + b], 6) for a in ALPHABET for b in ALPHABET]
+    table = F.from_json(F.lit(json.dumps(matrix)), "array<double>")
+
+    def based(part: Column) -> Column:
+        return F.struct(part["part"].alias("part"), part["at"].alias("at"), base_spans(part["part"]).alias("base"))
+
+    def scored(part: Column) -> Column:
+        text, base = part["part"], part["base"]
+        random = F.filter(_outside(_spans(text, run, 3), base, least_run), lambda s: _mean_ratio(text, s, table) > threshold)
+        # Most parts have no run at all.
+        spans = F.when(text.rlike(run), F.array_sort(F.concat(base, random))).otherwise(base)
+        return F.struct(text.alias("part"), part["at"].alias("at"), spans.alias("spans"))
+
+    others = [c for c in documents.columns if c != "text"]
+    scanned = documents.select(F.struct(*others).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    return scanned.withColumn("parts", F.transform(_parts(F.col("text")), based)).withColumn("parts", F.transform("parts", scored))
+
+
 def scan(
     documents: DataFrame,
     least_run: int = 20,
@@ -126,37 +178,34 @@ def scan(
     """doc_id, the text, and ``spans``: an array of (start, kind, end) by start and kind.
 
     ``kind`` is the place in ``KINDS``; a span is in code points, its end exclusive.  Null texts count as
-    empty and have no spans; null doc_ids are scanned like others; repeated rows are scanned each.
-    The models count the transitions of all documents and all pattern matches.  Other columns are kept;
-    one named ``spans`` is replaced.
+    empty and have no spans; null doc_ids are scanned like others; repeated rows are scanned each; empty tables give empty
+    ones.  Very long texts are worked on whole, part by part; only a stretch without a place to cut is one part at
+    any length.  The models count the transitions of all documents and all pattern matches.  Other columns are
+    kept; one named ``spans`` is replaced.
     """
-    kept = [c for c in documents.columns if c not in ("spans", "text")]
-    based = documents.select(*kept, F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-    ratios = stage(_fitted(documents, least_run))
-    run = RUN % least_run
-    text = F.col("text")
-    candidates = _outside(_spans(text, run, 3), F.col("base"), least_run)
-    # The model is one literal of the plan, with a number for every pair of signs.
-    found = {row.pair: row.ratio for row in ratios.collect()}
-    matrix = [round(found[a + b], 6) for a in ALPHABET for b in ALPHABET]
-    table = F.from_json(F.lit(json.dumps(matrix)), "array<double>")
-    chosen = F.filter("candidates", lambda s: _mean_ratio(text, s, table) > threshold)
-    return (
-        based.withColumn("candidates", candidates)
-        .withColumn("spans", F.array_sort(F.concat("base", F.when(F.size("candidates") > 0, chosen).otherwise(F.array().cast(SPAN)))))
-        .drop("base", "candidates")
-    )
+    spans = F.flatten(F.transform("parts", lambda part: _moved(part["spans"], part["at"])))
+    return _scanned(documents.drop("spans"), least_run, threshold).select("row.*", "text", spans.alias("spans"))
+
+
+def without_secrets(documents: DataFrame, mark: str = "<secret>", least_run: int = 20, threshold: float = 0.4) -> DataFrame:
+    """The documents with what ``scan`` finds replaced by a mark, part by part: work grows with the length of a text.
+    Null texts become empty; all columns are kept."""
+    text = F.array_join(F.transform("parts", lambda part: _marked(part["part"], part["spans"], mark)), "")
+    return _scanned(documents, least_run, threshold).select("row.*", text.alias("text"))
 
 
 def _mean_ratio(text: Column, span: Column, table: Column) -> Column:
     length = span["end"] - span["start"]
-    signs = F.transform(F.split(F.substr(text, span["start"] + 1, length), ""), lambda c: F.position(c, F.lit(ALPHABET)))
-    ratios = F.transform(
-        F.sequence(F.lit(1), length - 1),
-        lambda i: F.element_at(table, (F.element_at(signs, i) - 1) * len(ALPHABET) + F.element_at(signs, i + 1)),
-    )
-    total = F.aggregate(ratios, F.lit(0.0), lambda total, ratio: total + ratio)
-    return total / (length - 1)
+    # The state is the place of the character before in the alphabet, 0 at first, and the sum so far.
+    start = F.struct(F.lit(0).alias("sign"), F.lit(0.0).alias("total"))
+
+    def step(state: Column, character: Column) -> Column:
+        sign = F.position(character, F.lit(ALPHABET))
+        ratio = F.when(state["sign"] > 0, F.element_at(table, (state["sign"] - 1) * len(ALPHABET) + sign)).otherwise(F.lit(0.0))
+        return F.struct(sign.alias("sign"), (state["total"] + ratio).alias("total"))
+
+    signs = F.split(F.substr(text, span["start"] + 1, length), "")
+    return F.aggregate(signs, start, step, lambda state: state["total"] / (length - 1))
 
 
 def _fitted(documents: DataFrame, least_run: int) -> DataFrame:
@@ -199,19 +248,21 @@ def digest(scanned: DataFrame) -> DataFrame:
     )
 
 
-def redacted(scanned: DataFrame, mark: str = "<secret>") -> DataFrame:
-    """The documents with every span replaced by a mark; spans that overlap are replaced together."""
+def _marked(text: Column, spans: Column, mark: str) -> Column:
+    """The text with a mark in place of every span, or of several that overlap."""
     empty = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(state: Column, span: Column) -> Column:
         before = F.when(
             span["start"] >= state["at"],
-            F.concat(state["out"], F.substr("text", state["at"] + 1, span["start"] - state["at"]), F.lit(mark)),
+            F.concat(state["out"], F.substr(text, state["at"] + 1, span["start"] - state["at"]), F.lit(mark)),
         ).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], span["end"]).alias("at"), before.alias("out"))
 
-    whole = F.aggregate(
-        "spans", empty, step,
-        lambda s: F.concat(s["out"], F.substr("text", s["at"] + 1, F.char_length("text") - s["at"])),
-    )
-    return scanned.withColumn("text", F.when(F.size("spans") > 0, whole).otherwise(F.col("text"))).drop("spans")
+    rest = lambda s: F.concat(s["out"], F.substr(text, s["at"] + 1, F.char_length(text) - s["at"]))
+    return F.when(F.size(spans) > 0, F.aggregate(spans, empty, step, rest)).otherwise(text)
+
+
+def redacted(scanned: DataFrame, mark: str = "<secret>") -> DataFrame:
+    """Texts with ``spans`` of any operator, every span replaced by a mark; spans that overlap are replaced together."""
+    return scanned.withColumn("text", _marked(F.col("text"), F.col("spans"), mark)).drop("spans")

@@ -2,8 +2,10 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,7 +18,7 @@ from grantline.llm.decontaminate import contained_items, extra_bits, without_ite
 from grantline.llm.importance import classifier
 from grantline.llm.katz import discounts, katz_scores
 from grantline.llm.pieces import Vocabulary, decode, encode
-from grantline.llm.secrets import KINDS, digest, redacted, scan
+from grantline.llm.secrets import ALPHABET, KINDS, PART, digest, redacted, scan, without_secrets
 from grantline.llm.sharding import kd_shards
 from grantline.llm.substrings import merged_blocks, without_repeats
 from grantline.llm.vectors import near_duplicate_vectors
@@ -488,6 +490,74 @@ def test_random_strings_joined_to_base_spans_are_found(spark):
     assert clean[1011] == "é <secret>/abc end"
 
 
+def brute_scan(texts, least_run=20, threshold=0.4):
+    """All spans of every text, by counting and scoring each transition on its own."""
+    random_pairs, ordinary = collections.Counter(), collections.Counter()
+    for text in texts:
+        values = [m[2] for m in ASSIGN.finditer(text)] + re.findall("AKIA[A-Z0-9]{16,}", text) + re.findall("[0-9a-f]{24,}", text)
+        for value in values:
+            if len(value) >= 16:
+                random_pairs.update(zip(value, value[1:]))
+        for word in re.findall("[A-Za-z0-9+/_=-]{4,}", text):
+            if not re.search(f"[A-Za-z0-9]{{{least_run},}}", word):
+                ordinary.update(zip(word, word[1:]))
+
+    def log_share(counts, start, a, b):
+        return np.log((counts[a, b] + start) / sum(counts[a, c] + start for c in ALPHABET))
+
+    ratio = {(a, b): round(log_share(random_pairs, 2.0, a, b) - log_share(ordinary, 0.1, a, b), 6) for a in ALPHABET for b in ALPHABET}
+    out = []
+    for text in texts:
+        base = brute_secrets(text)
+        spans = list(base)
+        for m in re.finditer(f"[A-Za-z0-9+/_=-]{{{least_run},}}", text):
+            free = [i for i in range(m.start(), m.end()) if not any(a <= i < b for a, _, b in base)]
+            for _, group in itertools.groupby(enumerate(free), lambda x: x[1] - x[0]):
+                places = [i for _, i in group]
+                string = text[places[0] : places[-1] + 1]
+                if len(string) >= least_run and np.mean([ratio[p] for p in zip(string, string[1:])]) > threshold:
+                    spans.append((places[0], 3, places[-1] + 1))
+        out.append(",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in sorted(spans)))
+    return out
+
+
+def secret_texts(rng, n, most):
+    """Secrets, identifiers and signs that patterns may or may not cross, in any order."""
+    signs = ALPHABET[:62]
+    draw = lambda: "".join(rng.choices(signs, k=rng.randint(18, 40)))
+    syllables = ["con", "ter", "ing", "the", "ment", "pre", "al", "or", "ver", "un", "est", "ati", "on"]
+    name = lambda: "_".join("".join(rng.choices(syllables, k=3)) for _ in range(3))
+    fixed = ["password", "Secret", "token", "api_key", " : ", "=", " = ", ": ", '"', "'", "AKIA", "ABCDEFGHIJKLMNOP", "0123456789abcdef" * 2, " ", "  ", "\n", ", ", "é😀", ".", " word "]
+    bits = lambda: rng.choice([draw, name, lambda: rng.choice(fixed), lambda: rng.choice(fixed), lambda: rng.choice(fixed)])()
+    return ["".join(bits() for _ in range(rng.randint(1, most))) for _ in range(n)]
+
+
+def test_all_spans_equal_brute_force_in_texts_of_many_parts(spark):
+    rng = random.Random(21)
+    texts = secret_texts(rng, 60, 20) + secret_texts(rng, 3, 2000) + ["", "x" * (3 * PART), "ab " * (2 * PART)]
+    # A place to cut just before, at and after the length of a part.
+    texts += ["a" * (PART - k) + " token = Zx9Kq2Wv7Jp4Rt6Yb1Nc8Ld3 b" for k in range(-2, 40, 3)]
+    rows = list(enumerate(texts))
+    found = {r.doc_id: r.spans for r in digest(scan(documents(spark, rows))).collect()}
+    expected = brute_scan(texts)
+    assert any("markov" in e for e in expected) and max(map(len, texts)) > 5 * PART
+    assert [found[d] for d, _ in rows] == expected
+    one_by_one = {r.doc_id: r.text for r in redacted(scan(documents(spark, rows))).collect()}
+    assert {r.doc_id: r.text for r in without_secrets(documents(spark, rows)).collect()} == one_by_one
+
+
+def test_a_text_of_megabytes_takes_seconds(spark):
+    rng = random.Random(22)
+    line = " ".join(secret_texts(rng, 40, 20))
+    text = "\n".join([line] * (5_000_000 // len(line)))
+    begin = time.perf_counter()
+    found = digest(scan(documents(spark, [(1, text)]))).collect()[0]
+    assert len(without_secrets(documents(spark, [(1, text)])).collect()[0].text) < len(text)
+    assert time.perf_counter() - begin < 90
+    expected = brute_secrets(text)
+    assert found.n_assign + found.n_access + found.n_hex == len(expected) > 10_000
+
+
 # --- 10: vectors -------------------------------------------------------------------------------------
 VECTOR = "vec_id long, embedding array<float>, label int, id string, home int"
 
