@@ -21,7 +21,7 @@ from grantline.llm.importance import classifier
 from grantline.llm.neardup import near_duplicates, one_per_group
 from grantline.llm.pieces import encode, load_vocabulary
 from grantline.llm.queries import PIECE_MODEL
-from grantline.llm.secrets import redacted, scan
+from grantline.llm.secrets import without_secrets
 from grantline.sinks.shared import stage
 
 
@@ -47,7 +47,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    found = redacted(scan(rows)).withColumn("text", F.when(F.col("row.text").isNotNull(), F.col("text")))
+    found = without_secrets(rows).withColumn("text", F.when(F.col("row.text").isNotNull(), F.col("text")))
     found = found.withColumn("row", F.col("row").withField("text", F.col("text")))
     if "n_chars" in docs.columns:
         n_chars = F.char_length("text").cast(docs.schema["n_chars"].dataType)
