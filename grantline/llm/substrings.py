@@ -231,9 +231,12 @@ def _dense(key: np.ndarray) -> np.ndarray:
 
 def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
     """For every byte of every shard, the number of the block of suffixes (rotations) that share its first
-    ``length`` bytes."""
+    ``length`` bytes, and a negative number of its own for a suffix that shares them with no other.
+
+    The interleave is a list of rows of the shards' transforms.  A suffix that differs from all others in the first h
+    symbols is settled, and so is the one that a symbol more before it makes: neither has to be followed.
+    """
     parts = [transform(shard, length) for shard in shards]
-    orders = [order for order, *_ in parts]
 
     def before(width: int) -> np.ndarray:
         symbols = []
@@ -251,26 +254,30 @@ def merged_blocks(shards: list[list[bytes]], length: int) -> list[np.ndarray]:
         width = 2 if length % 2 == 0 else 1
         symbols = before(width)
     symbols = symbols.astype(np.uint16)
-    shard_type = np.uint16 if len(shards) <= 65536 else np.uint32
-    interleave = np.repeat(np.arange(len(shards)), [len(o) for o in orders]).astype(shard_type)
-    block = np.zeros(len(interleave), np.int32)
-    symbol = np.empty_like(symbols)
+    sizes = np.array([len(order) for order, *_ in parts])
+    firsts = np.cumsum(sizes) - sizes
+    # The row of each suffix with the symbol before it: a shard's rows in the order of those symbols.
+    back = np.empty(len(symbols), np.int32)
+    for first, size in zip(firsts, sizes):
+        back[first + np.argsort(symbols[first : first + size], kind="stable")] = np.arange(first, first + size)
+    rows = np.arange(len(symbols), dtype=np.int32)
+    block = np.zeros(len(rows), np.int32)
     for _ in range(length // width):
-        symbol[np.argsort(interleave, kind="stable")] = symbols
-        order = np.argsort(symbol, kind="stable")
-        interleave, block, ordered = interleave[order], block[order], symbol[order]
-        new = np.zeros(len(block), np.int32)
-        new[1:] = (ordered[1:] != ordered[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(new, dtype=np.int32)
-    of_shard = np.empty_like(block)
-    of_shard[:] = block[np.argsort(interleave, kind="stable")]
+        ahead = symbols[rows]
+        order = np.argsort(ahead, kind="stable")
+        rows, block, ahead = back[rows[order]], block[order], ahead[order]
+        new = np.ones(len(block) + 1, bool)
+        new[1:-1] = (ahead[1:] != ahead[:-1]) | (block[1:] != block[:-1])
+        block = np.cumsum(new[:-1], dtype=np.int32)
+        shared = ~(new[:-1] & new[1:])
+        rows, block = rows[shared], block[shared]
+    of_row = -1 - np.arange(len(symbols), dtype=np.int32)
+    of_row[rows] = block
     out = []
-    at = 0
-    for order in orders:
-        own = np.empty(len(order), np.int32)
-        own[order] = of_shard[at : at + len(order)]
+    for (order, *_), first, size in zip(parts, firsts, sizes):
+        own = np.empty(size, np.int32)
+        own[order] = of_row[first : first + size]
         out.append(own)
-        at += len(order)
     return out
 
 
@@ -290,7 +297,7 @@ def _merged_repeats(
     sizes = np.array([len(s) for s in strings])
     string = np.repeat(np.arange(len(strings)), sizes)
     inner = np.arange(len(string)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    whole = inner <= sizes[string] - length
+    whole = (inner <= sizes[string] - length) & (block >= 0)
     block, string, start = block[whole], string[whole], starts[string[whole]] + inner[whole]
     doc, nth = docs[string], nths[string]
     order = np.lexsort((start, nth, doc, block))
