@@ -47,6 +47,13 @@ def _in(names) -> str:
     return "(" + ", ".join(map(_quote, names)) + ")"
 
 
+_RESOURCE = f"""CASE p_size % 5
+                 WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
+                 WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
+                 WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type),
+                                    CASE WHEN p_partkey % 3 = 0 THEN '-brand-???' ELSE '-*/*' END)
+                 WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
+                 ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END"""
 _ROLE = "(CASE WHEN p_partkey % 25 < 20 OR p_partkey < 100 THEN p_partkey % 25 ELSE p_partkey % 20 END)"
 _ACTION_ROWS = ", ".join(
     f"({_quote(old)}, {_quote(new)})" for old, news in fixed.PRIVILEGE_MAP.items() for new in news
@@ -110,13 +117,7 @@ RELATIONS = {
                       CAST(p_partkey // 2000 AS VARCHAR)) AS policy_arn,
                p_partkey AS ord,
                CASE WHEN p_partkey % 11 = 0 THEN 'Deny' ELSE 'Allow' END AS effect,
-               CASE p_size % 5
-                 WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
-                 WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
-                 WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type),
-                                    CASE WHEN p_partkey % 3 = 0 THEN '-brand-???' ELSE '-*/*' END)
-                 WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
-                 ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END AS resource
+               {_RESOURCE} AS resource
         FROM part""",
     "broken_policies": """
         SELECT concat('role-', CAST(p_partkey % 25 AS VARCHAR)) AS role_name,
@@ -158,6 +159,28 @@ RELATIONS = {
                concat('s3://', bucket_name, CASE k % 3 WHEN 0 THEN '' WHEN 1 THEN '/' ELSE '/data/' END) AS url,
                true AS created
         FROM bucket_keys WHERE k % 2 = 0""",
+    "supplier_paths": f"""
+        SELECT role_name, replace(resource, 'arn:aws:s3:::', 's3://') AS s3_path,
+               replace(replace(resource, 'arn:aws:s3:::', 's3://'), '*', '.*') AS s3_path_regex
+        FROM (SELECT concat('sup-', CAST(l_suppkey AS VARCHAR)) AS role_name, p_partkey, {_RESOURCE} AS resource
+              FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) JOIN part ON l_partkey = p_partkey)
+        WHERE p_partkey % 11 <> 0 AND regexp_matches(resource, '^arn:aws:s3:::([^/]+)(/[*])?$')""",
+    "supplier_access": """
+        SELECT DISTINCT 'USER' AS principal_type, CAST(c_custkey AS VARCHAR) AS principal_id,
+               c_name AS principal_display_name,
+               CASE WHEN c_custkey % 10 <> 0 THEN concat('u', CAST(c_custkey AS VARCHAR), '@example.com') ELSE c_name END
+                 AS grantee, r.role_name
+        FROM customer JOIN orders ON c_custkey = o_custkey JOIN lineitem ON o_orderkey = l_orderkey AND l_linenumber = 1
+        JOIN (SELECT role_name FROM supplier_paths GROUP BY role_name HAVING count(*) > 5) r
+          ON r.role_name = concat('sup-', CAST(l_suppkey AS VARCHAR))
+        WHERE l_suppkey IN (SELECT s_suppkey FROM supplier)""",
+    "supplier_reach": """
+        SELECT DISTINCT a.*, l.ext_loc_name, l.url, l.created
+        FROM supplier_access a
+        JOIN (SELECT DISTINCT role_name, s3_path FROM supplier_paths) p ON a.role_name = p.role_name
+        JOIN (SELECT q.s3_path, e.ext_loc_name, e.url, e.created
+              FROM (SELECT DISTINCT s3_path, s3_path_regex FROM supplier_paths WHERE NOT contains(s3_path, '???')) q, ext_locations e
+              WHERE regexp_matches(e.url, q.s3_path_regex)) l ON l.s3_path = p.s3_path""",
     "matches": """
         SELECT p.s3_path, l.*
         FROM (SELECT DISTINCT s3_path, s3_path_regex FROM held_paths WHERE NOT contains(s3_path, '???')) p, ext_locations l
@@ -489,6 +512,10 @@ QUERIES = {
         SELECT DISTINCT g.principal_type, g.principal_id, g.principal_display_name, m.ext_loc_name, m.url
         FROM governance g JOIN held_paths h ON g.role_name = h.role_name
         JOIN anchored_matches m ON m.s3_path = h.s3_path""",
+    "location_access_diverse": """
+        SELECT DISTINCT principal_type, principal_id, principal_display_name, ext_loc_name, url FROM supplier_reach""",
+    "location_grants_diverse": """
+        SELECT DISTINCT principal_display_name, grantee, ext_loc_name, created FROM supplier_reach""",
     "uncovered_patterns": "SELECT s3_path, s3_path_regex FROM uncovered",
     "new_location_proposals": f"SELECT {_LOCATION} FROM new_locations",
     "all_locations": f"SELECT {_LOCATION} FROM all_locations",

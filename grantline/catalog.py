@@ -330,10 +330,10 @@ def bucket_regex(fx: Fixtures) -> DataFrame:
     return _patterns(fx).select(pattern, bucket_pattern(pattern).alias("bucket_regex")).distinct()
 
 
-def _access(fx: Fixtures, anchored: bool) -> DataFrame:
-    governance = _saved(fx)
-    plan = _plan(fx, governance, anchored=anchored)
-    return access.location_access(governance.access, plan.role_locations).select(
+def _access(fx: Fixtures, anchored: bool, governance: Governance | None = None) -> DataFrame:
+    governance = governance or _saved(fx)
+    role_locations = stage(_plan(fx, governance, anchored=anchored).role_locations)
+    return access.location_access(governance.access, role_locations).select(
         "principal_type", "principal_id", "principal_display_name", "ext_loc_name", "url"
     )
 
@@ -348,6 +348,25 @@ def location_access_anchored(fx: Fixtures) -> DataFrame:
     return _access(fx, anchored=True)
 
 
+def _by_supplier(fx: Fixtures) -> Governance:
+    return governance_export(fx.supplier_principals(), fx.supplier_exports(), staged=True)
+
+
+@_query
+def location_access_diverse(fx: Fixtures) -> DataFrame:
+    """Roles grow with the suppliers, and nearly every principal has a role set of its own."""
+    return _access(fx, anchored=False, governance=_by_supplier(fx))
+
+
+@_query
+def location_grants_diverse(fx: Fixtures) -> DataFrame:
+    governance = _by_supplier(fx)
+    role_locations = stage(_plan(fx, governance).role_locations)
+    labels = grant_labels(governance, role_locations)
+    grants = access.location_grants(governance.access, role_locations, labels.grantees, labels.locations)
+    return grants.select("principal_display_name", "grantee", "ext_loc_name", "created")
+
+
 def _uncovered(fx: Fixtures) -> DataFrame:
     # Patterns are read for their keys, for the keys in question and for the search.
     return access.unregistered_patterns(stage(_patterns(fx)), fx.locations())

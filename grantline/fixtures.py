@@ -27,6 +27,12 @@ TABLES = {
 BUCKET = "concat(lower(p_type), '-', lower(replace(p_brand, '#', '-')))"
 ARTIFACT = "replace(p_name, ' ', '-')"
 JAR = f"concat('s3://libs/', {ARTIFACT}, '.jar')"
+RESOURCE = f"""CASE p_size % 5
+      WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
+      WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
+      WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), if(p_partkey % 3 = 0, '-brand-???', '-*/*'))
+      WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
+      ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END"""
 MAVEN = f"concat('org.', lower(p_type), ':', {ARTIFACT}, ':1.', p_size)"
 
 
@@ -123,13 +129,6 @@ class Fixtures:
 
     def policy_resources(self) -> DataFrame:
         """Flat form: role_name, policy_arn, ord, effect, resource."""
-        resource = f"""
-            CASE p_size % 5
-              WHEN 0 THEN concat('arn:aws:s3:::', {BUCKET})
-              WHEN 1 THEN concat('arn:aws:s3:::', {BUCKET}, '/*')
-              WHEN 2 THEN concat('arn:aws:s3:::', lower(p_type), if(p_partkey % 3 = 0, '-brand-???', '-*/*'))
-              WHEN 3 THEN concat('arn:aws:s3:::', {BUCKET}, '/prefix/*')
-              ELSE concat('arn:aws:sqs:us-east-1:1:', {BUCKET}) END"""
         # Roles 20 to 24 have a few parts only; the others share theirs.
         role = "if(p_partkey % 25 < 20 OR p_partkey < 100, p_partkey % 25, p_partkey % 20)"
         return self.table("part").selectExpr(
@@ -137,10 +136,10 @@ class Fixtures:
             f"concat('pol-', p_partkey % 50, '-', {role}) AS policy_arn",
             "p_partkey AS ord",
             "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
-            f"{resource} AS resource",
+            f"{RESOURCE} AS resource",
         )
 
-    def _policy_documents(self) -> DataFrame:
+    def _policy_documents(self, resources: DataFrame) -> DataFrame:
         """Documents per role and policy, at most 40 statements each, as policies are limited.
 
         A single statement is written as one object, several as a list; resources of even number
@@ -156,7 +155,7 @@ class Fixtures:
             CASE ord % 7 WHEN 1 THEN ',"Action":"s3:GetObject"' WHEN 2 THEN ',"Action":["s3:Get*","s3:*"]'
               WHEN 3 THEN ',"Action":["s3:Get*","s3:List*"]' WHEN 4 THEN ',"NotAction":"s3:DeleteObject"'
               WHEN 5 THEN ',"Action":"*"' ELSE '' END) AS limits"""
-        statements = self.policy_resources().selectExpr("*", limits).selectExpr(
+        statements = resources.selectExpr("*", limits).selectExpr(
             "role_name",
             "concat(policy_arn, '/', ord div 2000) AS policy_arn",
             """struct(ord, concat('{"Sid":"s', ord, '","Effect":"', effect, '","Resource":',
@@ -185,17 +184,57 @@ class Fixtures:
         )
 
     def policy_exports(self) -> PolicyExports:
-        documents = self._policy_documents().unionByName(self._odd_documents())
+        documents = self._policy_documents(self.policy_resources()).unionByName(self._odd_documents())
+        return self._exports(self.profile_roles(), documents)
+
+    def _exports(self, profile_roles: DataFrame, documents: DataFrame) -> PolicyExports:
         versions = documents.filter("document IS NOT NULL").selectExpr(
             "policy_arn", "stack(2, 'v1', '{}', 'v2', document) AS (version_id, document)"
         )
         return PolicyExports(
-            profile_roles=self.profile_roles(),
+            profile_roles=profile_roles,
             attached=documents.select("role_name", "policy_arn"),
             policies=documents.selectExpr("policy_arn", "'v2' AS default_version_id"),
             versions=versions,
         )
 
+    # --- as many roles as suppliers, as many role sets as customers ------------------------------
+    def supplier_principals(self) -> DataFrame:
+        """Customers with a profile for every supplier of the first line of one of their orders."""
+        first = self.table("lineitem").filter("l_linenumber = 1").select("l_orderkey", "l_suppkey")
+        held = (
+            self.table("orders")
+            .join(first, F.col("o_orderkey") == F.col("l_orderkey"))
+            .groupBy("o_custkey")
+            .agg(F.sort_array(F.collect_set("l_suppkey")).alias("suppliers"))
+        )
+        arn = "concat('arn:aws:iam::123456789012:instance-profile/sup-', s)"
+        email = _member("concat('u', c_custkey, '@example.com')")
+        records = self.table("customer").join(held, F.col("c_custkey") == F.col("o_custkey")).selectExpr(
+            "c_name AS displayName",
+            f"filter(array({email}), e -> c_custkey % 10 <> 0) AS emails",
+            "cast(c_custkey AS string) AS id",
+            f"transform(suppliers, s -> {_member(arn)}) AS roles",
+            "cast(null AS string) AS applicationId",
+        )
+        return principals.tag_principals(records.to(PRINCIPAL), "USER")
+
+    def supplier_exports(self) -> PolicyExports:
+        """A role per supplier, whose policies name the buckets of all parts that the supplier delivers."""
+        profile = "named_struct('InstanceProfile', named_struct('Roles', array(named_struct('RoleName', concat('sup-', s_suppkey)))))"
+        profiles = self.table("supplier").selectExpr(
+            "concat('sup-', s_suppkey) AS profile_name", f"to_json({profile}) AS document"
+        )
+        delivered = self.table("lineitem").select("l_suppkey", "l_partkey").distinct()
+        resources = delivered.join(self.table("part"), F.col("l_partkey") == F.col("p_partkey")).selectExpr(
+            "concat('sup-', l_suppkey) AS role_name",
+            "concat('sup-', l_suppkey, '-', p_partkey % 50) AS policy_arn",
+            "p_partkey AS ord",
+            "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
+            f"{RESOURCE} AS resource",
+        )
+        return self._exports(policies.profile_roles(profiles), self._policy_documents(resources))
+
     # --- storage ---------------------------------------------------------------------------------
     def _bucket_keys(self) -> DataFrame:
         return (

@@ -1,6 +1,6 @@
 """Who reaches which storage location."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from grantline.fixed import URL_SCHEME
 from grantline.functions.paths import bucket_name, is_glob, is_searchable, profile_name
@@ -18,6 +18,7 @@ PRINCIPAL = [
     "application_id",
 ]
 HOLDERS_PER_PART = 20_000
+LOCATION_GROUPS = 256
 LOCATION = ["ext_loc_name", "credential_name", "credential_id", "url", "created"]
 GRANTEE = ["principal_display_name", "grantee"]
 LOCATION_NAME = ["ext_loc_name", "created"]
@@ -139,11 +140,12 @@ def reach(
     ``described`` has further columns per holder, under the names of the keys; they are joined before the
     holders meet their locations.
 
-    Locations depend on the set of roles only.  So the locations of each distinct role set are made
-    unique once, and the holders are joined to their set: the large result (holders x locations) is
-    neither shuffled nor compared for duplicates.  A holder's set has at most as many entries as there
-    are roles.  A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its
-    locations are repeated for each, so one set is not one join key.
+    Locations depend on the set of roles only, and sets may be nearly as many as holders.  So locations are
+    numbered, a role's locations are bits of 64-bit words, and the words of a set are united by ``bit_or``, a
+    hash aggregate with map-side combine.  The holders are joined to the words of their set, and a word
+    becomes rows last of all: nothing of the size of the result is shuffled or compared for duplicates.
+    A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its words are
+    repeated for each, so one set is not one join key.  Columns of a location may be null.
     """
     holders = (
         _holders(governance)
@@ -156,11 +158,9 @@ def reach(
     sets = holders.groupBy("set_key", "role_set").agg(
         F.ceil(F.count("*") / F.lit(HOLDERS_PER_PART)).cast("int").alias("n_parts")
     )
+    numbered = numbered_locations(role_locations)
     by_set = (
-        sets.withColumn("role_name", F.explode("role_set"))
-        .join(role_locations, "role_name")
-        .drop("role_name")
-        .distinct()
+        set_words(sets, role_words(numbered))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
         .drop("n_parts")
     )
@@ -170,7 +170,51 @@ def reach(
     dealt = holders.join(large, ["set_key", "role_set"], "left").withColumn(
         "part", F.coalesce(spread, F.lit(0)).cast("int")
     )
-    return dealt.drop("n_parts").join(by_set, ["set_key", "role_set", "part"]).drop("set_key", "role_set", "part")
+    words = dealt.drop("n_parts").join(by_set, ["set_key", "role_set", "part"]).drop("set_key", "role_set", "part")
+    return _expanded(words, numbered)
+
+
+def numbered_locations(role_locations: DataFrame) -> DataFrame:
+    """Role, ``location`` (a struct), and the word and bit that stand for the location.
+
+    Locations are ranked within ``LOCATION_GROUPS`` groups by hash, so no task numbers all of them; a word
+    is 64 consecutive ranks of a group.
+    """
+    located = role_locations.select(
+        "role_name", F.struct(*[c for c in role_locations.columns if c != "role_name"]).alias("location")
+    ).withColumn("location_group", F.pmod(F.xxhash64("location"), F.lit(LOCATION_GROUPS)))
+    rank = F.dense_rank().over(Window.partitionBy("location_group").orderBy("location")) - 1
+    return located.withColumn("rank", rank).select(
+        "role_name",
+        "location",
+        F.expr(f"(rank div 64) * {LOCATION_GROUPS} + location_group").alias("word"),
+        F.expr("rank % 64").alias("bit"),
+    )
+
+
+def role_words(numbered: DataFrame) -> DataFrame:
+    """A role's locations as bits, one row per word that has any."""
+    return numbered.groupBy("role_name", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+
+
+def set_words(sets: DataFrame, words: DataFrame) -> DataFrame:
+    """The rows of ``sets`` with the united words of all roles in ``role_set``."""
+    keys = sets.columns
+    return (
+        sets.withColumn("role_name", F.explode("role_set"))
+        .join(words, "role_name")
+        .groupBy(*keys, "word")
+        .agg(F.bit_or("bits").alias("bits"))
+    )
+
+
+def _expanded(words: DataFrame, numbered: DataFrame) -> DataFrame:
+    """A row per set bit, with the columns of its location."""
+    entries = numbered.groupBy("word").agg(F.collect_set(F.struct("bit", "location")).alias("entries"))
+    kept = [c for c in words.columns if c not in ("word", "bits")]
+    chosen = F.expr("filter(entries, e -> (bits & shiftleft(1L, e.bit)) <> 0)")
+    rows = words.join(entries, "word").select(*kept, F.explode(chosen).alias("entry"))
+    return rows.select(*kept, "entry.location.*")
 
 
 def location_access(governance: DataFrame, role_locations: DataFrame) -> DataFrame:

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -274,3 +276,40 @@ def test_a_role_set_of_many_holders_is_divided_with_default_limits(spark, monkey
     reached = access.reach(holders, spark.createDataFrame([("r", "loc")], "role_name string, ext_loc_name string"), ["principal_id"])
     assert reached.count() == 1000 and reached.distinct().count() == 1000
     assert "part" in reached._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.mark.parametrize("groups", [1, 3, 256])
+def test_reach_equals_brute_force_with_diverse_role_sets(spark, monkeypatch, groups):
+    """Words with all 64 bits, several words in a group, roles that overlap, repeated rows and null columns."""
+    monkeypatch.setattr(access, "LOCATION_GROUPS", groups)
+    monkeypatch.setattr(access, "HOLDERS_PER_PART", 4)
+    rng = random.Random(5)
+    locations = [(f"loc{n}", None if n % 7 == 0 else f"s3://b{n}") for n in range(300)] + [(None, None)]
+    role_locations = [(f"r{r}", *loc) for r in range(20) for loc in rng.sample(locations, rng.choice([1, 5, 64, 250]))]
+    role_locations += [("all", *loc) for loc in locations] + role_locations[:50]
+    held = [(str(p), f"r{r}") for p in range(60) for r in rng.sample(range(23), rng.randint(1, 6))]
+    held += [(str(p), "all") for p in range(50, 80)] + [("99", None), ("98", "unknown")]
+    governance = spark.createDataFrame(held, "principal_id string, role_name string").withColumn(
+        "principal_display_name", F.concat(F.lit("p"), "principal_id")
+    )
+    found = access.reach(
+        governance, spark.createDataFrame(role_locations, "role_name string, ext_loc_name string, url string"), ["principal_id"]
+    )
+    assert found.columns == ["principal_id", "ext_loc_name", "url"]
+    expected = {(p, name, url) for p, held_role in held for role, name, url in role_locations if role == held_role}
+    result = [tuple(r) for r in found.collect()]
+    assert len(result) == len(expected) and set(result) == expected
+
+
+def test_words_stand_for_up_to_64_locations(spark, monkeypatch):
+    monkeypatch.setattr(access, "LOCATION_GROUPS", 1)
+    pairs = spark.range(1280).selectExpr("concat('r', id % 2) AS role_name", "concat('loc', id div 2) AS ext_loc_name")
+    numbered = access.numbered_locations(pairs)
+    assert numbered.select("word", "bit").distinct().count() == 640
+    assert access.role_words(numbered).count() == 2 * 10
+
+
+def test_empty_relations_reach_nothing(spark):
+    governance = spark.createDataFrame([], "principal_id string, role_name string, principal_display_name string")
+    locations = spark.createDataFrame([], "role_name string, ext_loc_name string")
+    assert access.reach(governance, locations, ["principal_id"]).collect() == []

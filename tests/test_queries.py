@@ -24,6 +24,7 @@ def test_query_agrees_with_sql(spark, name):
     [
         "location_access",
         "location_access_anchored",
+        "location_access_diverse",
         "new_location_proposals",
         "governance_export",
         "hcl_object_grants",
