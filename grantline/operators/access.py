@@ -248,6 +248,6 @@ def location_grants(
     Labels and quoted texts are made beforehand, once per grantee and once per location, and not for
     each pair of them: see ``grantee_labels`` and ``location_labels``.
     """
-    locations = role_locations.select("role_name", *LOCATION_NAME).distinct().join(labels, LOCATION_NAME)
+    locations = role_locations.select("role_name", *LOCATION_NAME).join(labels, LOCATION_NAME)
     described = principal_labels.withColumn("grantee_text", escape(F.col("grantee")))
     return reach(governance, locations, ["principal_display_name", grantee().alias("grantee")], described)
