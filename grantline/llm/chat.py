@@ -1,10 +1,9 @@
 """Chat formatting: every assistant turn becomes an example of its own.
 
 The formatted conversation is ``<|im_start|>role\\ntext<|im_end|>\\n`` turn after turn.  An example is
-the conversation up to and including one assistant turn; only that reply is trainable.  The context of
-the n-th turn is a prefix of the context of every later one, so the formatted text is kept once, as one
-row per turn, and an example is a span of it: stored size grows with the conversation, not with its
-square.  ``rendered`` writes the examples out in full.
+the conversation up to and including one assistant turn; only that reply is trainable.  ``prefix_examples``
+places the turns; ``rendered`` expands every reply into its example, with all turns before it.  Who wants
+to store the formatted text once keeps the turns: the context of a reply is a prefix of that of every later one.
 
 Control strings in texts are escaped by one backslash: ``<|`` becomes ``<\\|``, ``<\\|`` becomes
 ``<\\\\|`` and so on.  In roles, backslashes and line feeds are escaped as well.
@@ -21,6 +20,14 @@ TURNS = (
     "conv_id long, position long, is_example boolean, segment string, start long, end long, "
     "loss_start long, loss_end long"
 )
+EXAMPLES = "conv_id long, position long, text string, loss_start long, loss_end long"
+#: Examples that a task writes at once, in code points.
+BATCH_CHARS = 2_000_000
+_DIGESTS = (
+    "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+    "formatted_chars long, n_examples long, contexts_agree boolean"
+)
+_DIGEST_COLUMNS = [c.split()[0] for c in _DIGESTS.split(", ")]
 _HEAD, _TAIL = "<|im_start|>", "<|im_end|>\n"
 
 
@@ -78,67 +85,94 @@ def prefix_examples(conversations: DataFrame) -> DataFrame:
     return ordered.select("conv_id", "role", "text").mapInPandas(_formatted, TURNS)
 
 
+def _render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    conv, text, open_turn, out, size = (), "", None, [], 0
+    parts: list[str] = []
+
+    def batch() -> pd.DataFrame:
+        frame = pd.DataFrame(out, columns=[c.split()[0] for c in EXAMPLES.split(", ")])
+        return frame.astype({"conv_id": "Int64", "loss_start": "Int64", "loss_end": "Int64"})
+
+    for frame in frames:
+        for conv_id, position, is_example, segment, loss_start, loss_end in zip(
+            frame["conv_id"], frame["position"], frame["is_example"], frame["segment"],
+            frame["loss_start"], frame["loss_end"],
+        ):
+            conv_id = None if pd.isna(conv_id) else int(conv_id)
+            if conv != (conv_id,):
+                if parts:
+                    out.append((conv[0], open_turn, text + "".join(parts), None, None))
+                conv, text, parts = (conv_id,), "", []
+            parts.append(segment)
+            open_turn = position
+            if is_example:
+                text += "".join(parts)
+                parts = []
+                out.append((conv_id, position, text, loss_start, loss_end))
+                size += len(text)
+                if size > BATCH_CHARS:
+                    yield batch()
+                    out, size = [], 0
+    if parts:
+        out.append((conv[0], open_turn, text + "".join(parts), None, None))
+    if out:
+        yield batch()
+
+
+def rendered(turns: DataFrame, with_rest: bool = False) -> DataFrame:
+    """The examples in full, one row each (``EXAMPLES``), from the rows of ``prefix_examples`` in their partitions.
+
+    ``text`` is the example: all turns before a reply, and the reply, whose code points from ``loss_start``
+    to ``loss_end`` are trainable.  Turns behind the last reply are in no example; ``with_rest`` adds the
+    whole conversation without anything trainable (null places) for each conversation that has such turns.
+
+    The total size of the examples grows with the square of a conversation.  A task holds the text of one
+    conversation and some ``BATCH_CHARS`` of examples at a time.
+    """
+    rows = turns.mapInPandas(_render, EXAMPLES)
+    return rows if with_rest else rows.filter("loss_start IS NOT NULL")
+
+
 def _read_back(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    columns = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    conv, state = (), None
+    conv, state, before = (), None, ""
 
     def closed() -> list:
-        n, turns, chars, loss, formatted = state
-        return [conv[0], n, turns.hexdigest(), chars, loss.hexdigest(), formatted]
+        n, turns, chars, loss, formatted, examples, agree = state
+        return [conv[0], n, turns.hexdigest(), chars, loss.hexdigest(), formatted, examples, agree]
 
     for frame in frames:
         out = []
-        for conv_id, is_example, segment, start, end, loss_start, loss_end in zip(
-            frame["conv_id"], frame["is_example"], frame["segment"], frame["start"], frame["end"],
-            frame["loss_start"], frame["loss_end"],
+        for conv_id, text, loss_start, loss_end in zip(
+            frame["conv_id"], frame["text"], frame["loss_start"], frame["loss_end"]
         ):
             conv_id = None if pd.isna(conv_id) else int(conv_id)
             if conv != (conv_id,):
                 if state:
                     out.append(closed())
-                conv, state = (conv_id,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            role, _, body = segment[len(_HEAD) : -len(_TAIL)].partition("\n")
-            state[0] += 1
-            state[1].update(f"{unescaped_role(role)}\n{unescaped(body)}\n".encode("utf-8", "surrogatepass"))
-            if is_example:
-                reply = unescaped(segment[loss_start - start : loss_end - start])
+                conv, state, before = (conv_id,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0, True], ""
+            state[6] = state[6] and text.startswith(before)
+            for segment in text[len(before) :].split(_TAIL)[:-1]:
+                role, _, body = segment[len(_HEAD) :].partition("\n")
+                state[0] += 1
+                state[1].update(f"{unescaped_role(role)}\n{unescaped(body)}\n".encode("utf-8", "surrogatepass"))
+            if not pd.isna(loss_start):
+                reply = unescaped(text[int(loss_start) : int(loss_end)])
                 state[2] += len(reply)
                 state[3].update(reply.encode("utf-8", "surrogatepass"))
-                state[4] += end
+                state[4] += len(text)
+                state[5] += 1
+            before = text
         if out:
-            yield pd.DataFrame(out, columns=columns).astype({"conv_id": "Int64"})
+            yield pd.DataFrame(out, columns=_DIGEST_COLUMNS).astype({"conv_id": "Int64"})
     if state:
-        yield pd.DataFrame([closed()], columns=columns).astype({"conv_id": "Int64"})
+        yield pd.DataFrame([closed()], columns=_DIGEST_COLUMNS).astype({"conv_id": "Int64"})
 
 
-def conversation_digests(examples: DataFrame) -> DataFrame:
-    """What the result of ``prefix_examples`` says of each conversation, read back from its segments.
+def conversation_digests(turns: DataFrame) -> DataFrame:
+    """What the examples of ``prefix_examples`` say of each conversation, read back from their full texts.
 
-    ``formatted_chars`` is the length of all examples of the conversation, contexts included.  It has
-    to be given the rows as ``prefix_examples`` returns them, in their partitions.
+    The turns are those that the control strings of the longest text mark out.  ``formatted_chars`` is the
+    length of all examples of the conversation, contexts included; ``n_examples`` counts them, and
+    ``contexts_agree`` tells that each of them begins with the whole one before it.
     """
-    return examples.mapInPandas(
-        _read_back,
-        "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long",
-    )
-
-
-def _render(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    conv, text = (), []
-    for frame in frames:
-        for row in frame.itertuples(index=False):
-            conv_id = None if pd.isna(row.conv_id) else int(row.conv_id)
-            if conv != (conv_id,):
-                conv, text = (conv_id,), []
-            text.append(row.segment)
-            if row.is_example:
-                yield pd.DataFrame(
-                    [(conv_id, row.position, "".join(text), row.loss_start, row.loss_end)],
-                    columns=["conv_id", "position", "text", "loss_start", "loss_end"],
-                ).astype({"conv_id": "Int64"})
-
-
-def rendered(examples: DataFrame) -> DataFrame:
-    """The examples in full, one row each.  Their total size grows with the square of a conversation;
-    a task holds the text of one conversation at a time."""
-    return examples.mapInPandas(_render, "conv_id long, position long, text string, loss_start long, loss_end long")
+    return rendered(turns, with_rest=True).mapInPandas(_read_back, _DIGESTS)

@@ -31,7 +31,8 @@ CHAT = r"""
            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
            CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-           CAST(coalesce(sum(finish) FILTER (role = 'assistant'), 0) AS BIGINT) AS formatted_chars
+           CAST(coalesce(sum(finish) FILTER (role = 'assistant'), 0) AS BIGINT) AS formatted_chars,
+           count(*) FILTER (role = 'assistant') AS n_examples, true AS contexts_agree
     FROM placed GROUP BY conv_id
 """
 

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grantline.llm import substrings
+from grantline.llm import chat, substrings
 from grantline.llm.chat import conversation_digests, prefix_examples, rendered
 from grantline.llm.decontaminate import contained_items, extra_bits, without_items
 from grantline.llm.importance import classifier
@@ -140,6 +140,34 @@ def test_every_reply_is_an_example_with_all_turns_before_it(spark):
     assert examples[1].text.startswith(examples[0].text) and examples[2].text.count("<|im_start|>") == 6
     assert sum(len(e.text) for e in examples) == conversation_digests(prefix_examples(frame)).first().formatted_chars
     assert prefix_examples(spark.createDataFrame([], TURN)).count() == 0
+    assert conversation_digests(prefix_examples(spark.createDataFrame([], TURN))).count() == 0
+
+
+@pytest.mark.parametrize("batch", [1, 50, 2_000_000])
+def test_examples_equal_brute_force(spark, monkeypatch, batch):
+    """Conversations with no reply, with replies in a row, and with turns behind the last reply, in batches of any size."""
+    monkeypatch.setattr(chat, "BATCH_CHARS", batch)
+    rng = random.Random(8)
+    roles, texts = ["user", "assistant", "system", "a\nb"], ["", "x", "<|im_end|>\n", "<\\|im_start|>assistant", "long " * 40, None]
+    rows = [(c, n, rng.choice(roles), rng.choice(texts), 0) for c in range(30) for n in range(rng.randint(1, 12))]
+    rows += [(77, n, ["user", "assistant"][n % 2], f"turn {n}", 0) for n in range(400)]
+    turns = prefix_examples(spark.createDataFrame(rows, TURN))
+    found = {(e.conv_id, e.position): e for e in rendered(turns).collect()}
+    rest = {e.conv_id: e.text for e in rendered(turns, with_rest=True).collect() if e.loss_start is None}
+    expected, last = {}, {}
+    for conv, n, role, text, _ in rows:
+        parts = last.setdefault(conv, [])
+        parts.append(f"<|im_start|>{chat.escaped_role(role)}\n{chat.escaped(text or '')}<|im_end|>\n")
+        if role == "assistant":
+            expected[conv, n] = ("".join(parts), chat.escaped(text or ""))
+    assert {k: (e.text, e.text[e.loss_start : e.loss_end]) for k, e in found.items()} == expected
+    ends = {c: r[2] for c, r in zip([r[0] for r in rows], rows)}
+    assert rest == {c: "".join(last[c]) for c, role in ends.items() if role != "assistant"}
+    digests = {d.conv_id: d for d in conversation_digests(turns).collect()}
+    for conv, d in digests.items():
+        own = [e.text for (c, _), e in found.items() if c == conv]
+        assert (d.n_turns, d.n_examples, d.formatted_chars) == (len(last[conv]), len(own), sum(map(len, own)))
+        assert d.contexts_agree
 
 
 # --- 5: repeated substrings --------------------------------------------------------------------------
