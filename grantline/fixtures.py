@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantline.plans.governance import PolicyExports
 from grantline.schemas import PRINCIPAL
+from grantline.sinks.shared import stage
 from grantline.sources import libraries as library_source, policies, principals, storage
 
 TABLES = {
@@ -233,7 +234,8 @@ class Fixtures:
             "if(p_partkey % 11 = 0, 'Deny', 'Allow') AS effect",
             f"{RESOURCE} AS resource",
         )
-        return self._exports(policies.profile_roles(profiles), self._policy_documents(resources))
+        # The documents are read for what is attached, for the policies and for their versions.
+        return self._exports(policies.profile_roles(profiles), stage(self._policy_documents(resources)))
 
     # --- storage ---------------------------------------------------------------------------------
     def _bucket_keys(self) -> DataFrame:

@@ -9,6 +9,7 @@ from grantline.operators.addresses import confused_labels, unique_labels
 from grantline.operators.matching import match_names, match_urls, unmatched_urls
 from grantline.operators.policies import distinct_paths
 from grantline.operators.principals import grantee
+from grantline.sinks.shared import stage
 
 PRINCIPAL = [
     "principal_type",
@@ -19,6 +20,7 @@ PRINCIPAL = [
 ]
 HOLDERS_PER_PART = 20_000
 LOCATION_GROUPS = 256
+SET = ["set_key", "set_check"]
 LOCATION = ["ext_loc_name", "credential_name", "credential_id", "url", "created"]
 GRANTEE = ["principal_display_name", "grantee"]
 LOCATION_NAME = ["ext_loc_name", "created"]
@@ -141,76 +143,86 @@ def reach(
     holders meet their locations.
 
     Locations depend on the set of roles only, and sets may be nearly as many as holders.  So locations are
-    numbered, a role's locations are bits of 64-bit words, and the words of a set are united by ``bit_or``, a
-    hash aggregate with map-side combine.  The holders are joined to the words of their set, and a word
-    becomes rows last of all: nothing of the size of the result is shuffled or compared for duplicates.
-    A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its words are
-    repeated for each, so one set is not one join key.  Columns of a location may be null.
+    numbered without gaps, a role's locations are bits of 64-bit words, and the words of a set are united by
+    ``bit_or``, a hash aggregate with map-side combine.  A set goes by two hashes of its roles, since the roles
+    themselves, on each of its words, would be most of what is exchanged.  The holders are joined to the words
+    of their set, and a word becomes rows last of all: nothing of the size of the result is shuffled or compared
+    for duplicates.  A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its words
+    are repeated for each, so one set is not one join key.  Columns of a location may be null.
     """
-    holders = (
-        _holders(governance)
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_set("role_name")).alias("role_set"))
+    role_set = F.sort_array(F.collect_set("role_name")).alias("role_set")
+    holders = _holders(governance).groupBy(*keys).agg(role_set).withColumns(
+        {"set_key": F.xxhash64("role_set"), "set_check": F.xxhash64(F.lit("set"), "role_set")}
     )
-    if described is not None:
-        holders = holders.join(described, [c for c in holders.columns if c != "role_set"])
-    holders = holders.withColumn("set_key", F.xxhash64("role_set"))
-    sets = holders.groupBy("set_key", "role_set").agg(
+    sets = holders.groupBy(*SET, "role_set").agg(
         F.ceil(F.count("*") / F.lit(HOLDERS_PER_PART)).cast("int").alias("n_parts")
     )
-    numbered = numbered_locations(role_locations)
+    holders = holders.drop("role_set")
+    if described is not None:
+        holders = holders.join(described, [c for c in holders.columns if c not in SET])
+    numbers = stage(location_numbers(role_locations))  # small, and known to be so when the joins are planned
     by_set = (
-        set_words(sets, role_words(numbered))
+        set_words(sets, role_words(numbered_locations(role_locations, numbers)))
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("n_parts") - 1)))
         .drop("n_parts")
     )
     # Only the few large sets have parts; most holders are part 0 without meeting them.
-    large = sets.filter("n_parts > 1").select("set_key", "role_set", "n_parts")
-    spread = F.pmod(F.xxhash64(*[c for c in holders.columns if c not in ("set_key", "role_set")]), F.col("n_parts"))
-    dealt = holders.join(large, ["set_key", "role_set"], "left").withColumn(
-        "part", F.coalesce(spread, F.lit(0)).cast("int")
-    )
-    words = dealt.drop("n_parts").join(by_set, ["set_key", "role_set", "part"]).drop("set_key", "role_set", "part")
-    return _expanded(words, numbered)
+    large = sets.filter("n_parts > 1").select(*SET, "n_parts")
+    spread = F.pmod(F.xxhash64(*[c for c in holders.columns if c not in SET]), F.col("n_parts"))
+    dealt = holders.join(large, SET, "left").withColumn("part", F.coalesce(spread, F.lit(0)).cast("int"))
+    words = dealt.drop("n_parts").join(by_set, [*SET, "part"]).drop(*SET, "part")
+    return _expanded(words, numbers)
 
 
-def numbered_locations(role_locations: DataFrame) -> DataFrame:
-    """Role, ``location`` (a struct), and the word and bit that stand for the location.
+def location_numbers(role_locations: DataFrame) -> DataFrame:
+    """``location`` (a struct), and the word and bit that stand for it, once per location.
 
-    Locations are ranked within ``LOCATION_GROUPS`` groups by hash, so no task numbers all of them; a word
-    is 64 consecutive ranks of a group.
+    Locations are ranked within ``LOCATION_GROUPS`` groups by hash, so no task numbers all of them.  A group
+    goes on where the one before ends, so all words but the last have 64 locations.
     """
-    located = role_locations.select(
-        "role_name", F.struct(*[c for c in role_locations.columns if c != "role_name"]).alias("location")
-    ).withColumn("location_group", F.pmod(F.xxhash64("location"), F.lit(LOCATION_GROUPS)))
-    rank = F.dense_rank().over(Window.partitionBy("location_group").orderBy("location")) - 1
-    return located.withColumn("rank", rank).select(
-        "role_name",
-        "location",
-        F.expr(f"(rank div 64) * {LOCATION_GROUPS} + location_group").alias("word"),
-        F.expr("rank % 64").alias("bit"),
+    located = _located(role_locations).select("location").distinct()
+    located = located.withColumn("location_group", F.pmod(F.xxhash64("location"), F.lit(LOCATION_GROUPS)))
+    rank = F.row_number().over(Window.partitionBy("location_group").orderBy("location")) - 1
+    before = Window.orderBy("location_group").rowsBetween(Window.unboundedPreceding, -1)
+    first = located.groupBy("location_group").agg(F.count("*").alias("n")).select(
+        "location_group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first")
+    )
+    return located.withColumn("rank", rank).join(first, "location_group").select(
+        "location", F.expr("(first + rank) div 64").alias("word"), F.expr("cast((first + rank) % 64 AS int)").alias("bit")
     )
 
 
+def _located(role_locations: DataFrame) -> DataFrame:
+    location = F.struct(*[c for c in role_locations.columns if c != "role_name"])
+    return role_locations.select("role_name", location.alias("location"))
+
+
+def numbered_locations(role_locations: DataFrame, numbers: DataFrame | None = None) -> DataFrame:
+    """Role, ``location`` (a struct), and the word and bit that stand for the location."""
+    if numbers is None:
+        numbers = location_numbers(role_locations)
+    return _located(role_locations).join(numbers, "location").select("role_name", "location", "word", "bit")
+
+
 def role_words(numbered: DataFrame) -> DataFrame:
     """A role's locations as bits, one row per word that has any."""
     return numbered.groupBy("role_name", "word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
 
 
 def set_words(sets: DataFrame, words: DataFrame) -> DataFrame:
-    """The rows of ``sets`` with the united words of all roles in ``role_set``."""
-    keys = sets.columns
+    """The rows of ``sets`` with, for their ``role_set``, the united words of all roles in it."""
+    keys = [c for c in sets.columns if c != "role_set"]
     return (
-        sets.withColumn("role_name", F.explode("role_set"))
+        sets.select(*keys, F.explode("role_set").alias("role_name"))
         .join(words, "role_name")
         .groupBy(*keys, "word")
         .agg(F.bit_or("bits").alias("bits"))
     )
 
 
-def _expanded(words: DataFrame, numbered: DataFrame) -> DataFrame:
+def _expanded(words: DataFrame, numbers: DataFrame) -> DataFrame:
     """A row per set bit, with the columns of its location."""
-    entries = numbered.groupBy("word").agg(F.collect_set(F.struct("bit", "location")).alias("entries"))
+    entries = numbers.groupBy("word").agg(F.collect_list(F.struct("bit", "location")).alias("entries"))
     kept = [c for c in words.columns if c not in ("word", "bits")]
     chosen = F.expr("filter(entries, e -> (bits & shiftleft(1L, e.bit)) <> 0)")
     rows = words.join(entries, "word").select(*kept, F.explode(chosen).alias("entry"))

@@ -309,6 +309,18 @@ def test_words_stand_for_up_to_64_locations(spark, monkeypatch):
     assert access.role_words(numbered).count() == 2 * 10
 
 
+def test_words_are_full_and_sets_go_without_their_roles(spark):
+    """Few locations, one word: words that hold one location each, and carry the set's roles, are what is exchanged."""
+    pairs = spark.range(120).selectExpr("concat('r', id % 2) AS role_name", "concat('loc', id div 2) AS ext_loc_name")
+    numbered = access.numbered_locations(pairs)
+    assert numbered.select("word").distinct().count() == 1
+    assert numbered.select("word", "bit").distinct().count() == 60
+    sets = spark.createDataFrame([(1, 2, ["r0", "r1"], 1)], "set_key long, set_check long, role_set array<string>, n_parts int")
+    words = access.set_words(sets, access.role_words(numbered))
+    assert sorted(words.columns) == ["bits", "n_parts", "set_check", "set_key", "word"]
+    assert [row.bits for row in words.collect()] == [2**60 - 1]
+
+
 def test_empty_relations_reach_nothing(spark):
     governance = spark.createDataFrame([], "principal_id string, role_name string, principal_display_name string")
     locations = spark.createDataFrame([], "role_name string, ext_loc_name string")
