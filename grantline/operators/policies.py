@@ -31,7 +31,8 @@ def allowed(resources: DataFrame) -> DataFrame:
 def bucket_paths(statements: DataFrame) -> DataFrame:
     """Per document the allowed bucket paths, in document order, with their patterns.
 
-    Works inside the row of the document, so no path has to be shuffled to be listed.
+    Works inside the row of the document, so no path has to be shuffled to be listed.  The list is made by
+    a generator: a filter on it would otherwise move down to the texts and parse each of them once more.
     """
 
     def paths_of(statement: Column) -> Column:
@@ -39,7 +40,8 @@ def bucket_paths(statements: DataFrame) -> DataFrame:
 
     allow = F.filter(F.col("statements"), lambda s: s["effect"] == "Allow")
     others = [c for c in statements.columns if c not in ("readable", "statements")]
-    paths = statements.select(*others, F.flatten(F.transform(allow, paths_of)).alias("s3_paths"))
+    listed = F.flatten(F.transform(allow, paths_of)).alias("s3_paths")
+    paths = statements.select(*others, F.inline(F.array(F.struct(listed))))
     return paths.withColumn("s3_paths_regex", F.transform("s3_paths", path_pattern))
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from grantline.functions.paths import profile_name
 from grantline.operators import policies
 from grantline.plans.governance import PolicyExports
-from grantline.sources.policies import parse_documents, profile_roles
+from grantline.sources.policies import default_documents, parse_documents, profile_roles
 
 S3 = "arn:aws:s3:::"
 
@@ -132,3 +132,14 @@ def test_profile_names_and_roles(spark, rows):
 def test_parsed_documents_keep_their_other_columns(spark, rows):
     frame = spark.createDataFrame([("x", "{}"), ("y", "[")], "id string, document string")
     assert rows(parse_documents(frame), "id", "readable") == [("x", True), ("y", False)]
+
+
+def test_documents_are_parsed_once(spark):
+    """The filter on the paths stays above the parser, and above the join that picks the default versions."""
+    versions = spark.createDataFrame([("p", "v1", "{}")], "policy_arn string, version_id string, document string")
+    chosen = spark.createDataFrame([("p", "v1")], "policy_arn string, default_version_id string")
+    attached = spark.createDataFrame([("r", "p")], "role_name string, policy_arn string")
+    statements = parse_documents(default_documents(chosen, versions))
+    lists = policies.role_path_lists(attached, statements)
+    plan = lists._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
