@@ -1,8 +1,11 @@
 """Text documents."""
 
 import datetime
+import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F
 
 from grantline.fixed import DOCUMENT_PREFIXES
@@ -12,6 +15,9 @@ from grantline.sinks.shared import stage
 #: Parts of a document, and the sections that it may have.
 N_FILES = 8
 MAX_SECTIONS = 8
+#: Ranges that the pieces of a part are sorted in, and of a document at least.
+RANGES = 16
+MIN_RANGES = 64
 
 
 def document_path(folder: str, kind: str, at: datetime.datetime | None = None) -> str:
@@ -34,23 +40,56 @@ def write_document(
     """Write the pieces of a document in order, in ``n_files`` parts whatever its size.
 
     The parts in name order are the document.  All pieces of a block are in one part, so each part is
-    made of whole blocks.  A part is sorted by one task, which may spill.
-
-    The pieces are staged first: the limits of the parts are sampled from their keys, and the document is
-    not computed a second time for that.  Pieces are counted by the tasks that write them, behind the
-    exchange, so neither the sample nor a task that is run again is counted.
+    made of whole blocks.
+
+    The pieces are staged first: the limits of the ranges are sampled from their keys, and the document is
+    not computed a second time for that.  They are sorted in ``RANGES`` ranges for each part, by as many tasks,
+    and leave them as packs: some thousand texts in a row, compressed.  The task that writes a part orders its
+    packs and unpacks one at a time, so what it holds is small next to the part, also if that is the whole
+    document.  Pieces are counted by the tasks that write them, behind the exchange, so neither the sample nor a
+    task that is run again is counted.
     """
     keys = order[: order.index("part")]
     pieces = stage(document.select(*order, "output"))
-    placed = pieces.repartitionByRange(n_files, *keys) if n_files > 1 else pieces.repartition(1)
+    ranges = max(RANGES * n_files, MIN_RANGES)
+    sections = [f"section_{n}" for n in range(MAX_SECTIONS)]
+    packs = stage(
+        pieces.repartitionByRange(ranges, *keys).sortWithinPartitions(*order)
+        .select(F.spark_partition_id().alias("range"), "section", "part", "output")
+        .mapInPandas(_packed, ", ".join(["range int, pack int, texts binary", *[f"{c} long" for c in ["n_pieces", *sections]]]))
+    )
+    # Some keys have many pieces, so parts are made of ranges by what these hold.
+    held = packs.groupBy("range").agg(F.sum("n_pieces").alias("n"))
+    before = F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    share = F.coalesce(before, F.lit(0)) / F.sum("n").over(Window.partitionBy())
+    placed = packs.join(held.select("range", F.floor(share * n_files).cast("int").alias("file")), "range")
+    placed = placed.repartitionById(n_files, "file") if n_files > 1 else placed.repartition(1)
     counted = Observation(f"pieces of {path}")
-    sections = {f"section_{n}": F.count_if((F.col("section") == n) & (F.col("part") == 0)) for n in range(MAX_SECTIONS)}
-    observed = placed.sortWithinPartitions(*order).observe(
-        counted, F.count(F.lit(1)).alias("n_pieces"), *[count.alias(name) for name, count in sections.items()]
+    observed = placed.sortWithinPartitions("range", "pack").observe(
+        counted, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ["n_pieces", *sections]]
     )
-    observed.select("output").write.mode("overwrite").text(path)
+    observed.select("texts").mapInPandas(_unpacked, "output string").write.mode("overwrite").text(path)
     found = counted.get
-    return Written(path, found["n_pieces"], {n: found[f"section_{n}"] for n in range(MAX_SECTIONS) if found[f"section_{n}"]})
+    return Written(path, found["n_pieces"], {n: found[c] for n, c in enumerate(sections) if found[c]})
+
+
+def _packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The texts of each batch of sorted pieces as one compressed text, and how many pieces and blocks they are."""
+    for number, frame in enumerate(frames):
+        starts = frame["section"][frame["part"] == 0]
+        blocks = {f"section_{n}": [int((starts == n).sum())] for n in range(MAX_SECTIONS)}
+        # A null text is a line without content, as the text writer has it.
+        texts = zlib.compress("\n".join(frame["output"].fillna("")).encode(), 1)
+        yield pd.DataFrame(
+            {"range": frame["range"].iloc[:1].to_numpy(), "pack": [number], "texts": [texts], "n_pieces": [len(frame)], **blocks}
+        )
+
+
+def _unpacked(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per pack, which is written with a line feed behind it as each piece is."""
+    for frame in frames:
+        for texts in frame["texts"]:
+            yield pd.DataFrame({"output": [zlib.decompress(texts).decode()]})
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:

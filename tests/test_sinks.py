@@ -1,5 +1,6 @@
 import datetime
 import json
+import uuid
 from pathlib import Path
 
 import pytest
@@ -9,6 +10,7 @@ from grantline.fixed import DOCUMENT_HEADER
 from grantline.operators.documents import header
 from grantline.plans.arguments import volume_path
 from grantline.schemas import DOCUMENT_ORDER
+from grantline.sinks import text
 from grantline.sinks.shared import shared_folder, stage
 from grantline.sinks.tables import merge_table, row_counts, save_table, with_row_count
 from grantline.operators.allowlist import allowlist_payload
@@ -68,6 +70,27 @@ def test_counts_and_line_numbers_do_not_depend_on_the_parts(spark, tmp_path, n_f
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_the_task_of_a_part_does_not_sort_its_pieces(spark, tmp_path, monkeypatch):
+    """The one file of a document is written from few compressed packs, not from all pieces in one sort."""
+    unpacked, seen = text._unpacked, tmp_path / "seen"
+    seen.mkdir()
+
+    def watched(frames):
+        def noted():
+            for frame in frames:
+                for texts in frame["texts"]:
+                    (seen / f"{len(texts)}-{uuid.uuid4().hex}").touch()
+                yield frame
+
+        yield from unpacked(noted())
+
+    monkeypatch.setattr(text, "_unpacked", watched)
+    done = write_document(document(spark, 30000), str(tmp_path / "a.tf"), n_files=1)
+    sizes = [int(p.name.split("-")[0]) for p in seen.iterdir()]
+    assert done.n_pieces == 30001 and written(tmp_path / "a.tf")[1] == expected(30000)
+    assert len(sizes) <= 64 and sum(sizes) < len(expected(30000)) / 2
+
+
 def test_parts_hold_whole_blocks(spark, tmp_path):
     data = spark.range(4000).selectExpr(
         "concat('u', id) AS principal", "'SELECT' AS action_type", "concat('c', id % 7) AS catalog",
