@@ -71,3 +71,19 @@ def components(links: DataFrame) -> DataFrame:
         return left.select(F.col("a").alias("id"), F.col("b").alias("component"))
     smallest = roots.groupBy("root").agg(F.min("id").alias("component"))
     return stage(roots.join(smallest, "root").select("id", "component"))
+
+
+def further_components(joined: DataFrame | None, links: DataFrame) -> DataFrame:
+    """What ``components`` gives for further links, and those behind ``joined``, together.
+
+    Only the components that the new links join are contracted, so a round costs what is new and is not
+    followed by all rounds of the links before it.
+    """
+    if joined is None:
+        return components(links)
+    ends = [joined.select(F.col("id").alias(end), F.col("component").alias(f"{end}_root")) for end in ("a", "b")]
+    roots = [F.coalesce(f"{end}_root", end).alias(end) for end in ("a", "b")]
+    merged = components(links.join(ends[0], "a", "left").join(ends[1], "b", "left").select(*roots))
+    later = merged.select(F.col("id").alias("component"), F.col("component").alias("next"))
+    moved = joined.join(later, "component", "left").select("id", F.coalesce("next", "component").alias("component"))
+    return stage(moved.unionByName(merged.join(joined, "id", "left_anti")))

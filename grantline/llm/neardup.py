@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from grantline.llm.groups import components, runs
+from grantline.llm.groups import further_components, runs
 from grantline.llm.vectors import spanning
 from grantline.llm.words import encoded, mixed, shingle_sets
 from grantline.sinks.shared import stage
@@ -228,7 +228,7 @@ def near_duplicates(
     )
     frontier = roots.where("tree = 0").select("node", "id", "n", F.lit(0).alias("depth"))
     later = roots.where("tree > 0").select("node", "id", "n", F.lit(0).alias("depth"))
-    joined, links = None, None
+    joined = None
     for draw in count():
         cells = stage(_cells(frontier, joined, cell_rows, hubs, draw))
         if cells.isEmpty():
@@ -240,9 +240,7 @@ def near_duplicates(
             cells.join(near, "id").repartition("cell").sortWithinPartitions("cell")
             .mapInPandas(_compare(shingle_size, percent, max_depth), "kind int, a long, b long, n long, depth int")
         )
-        fresh = found.where("kind = 0").select("a", "b")
-        links = fresh if links is None else links.unionByName(fresh)
-        joined = components(links)
+        joined = further_components(joined, found.where("kind = 0").select("a", "b"))
         frontier = found.where("kind = 1").select(F.col("b").alias("node"), F.col("a").alias("id"), "n", "depth").distinct()
         if later is not None:
             frontier, later = frontier.unionByName(later), None

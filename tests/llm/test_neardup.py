@@ -134,3 +134,23 @@ def test_rows_that_repeat_an_id_with_other_texts(spark):
     assert got == [(0, 0, True), (1, 0, False), (1, 1, True), (2, 1, False), (3, 3, True), (3, 3, True)]
     kept = sorted(map(tuple, one_per_group(frame_of, found).select("doc_id", "text").collect()))
     assert kept[:2] == [(0, rows[0][1]), (1, rows[2][1])] and [d for d, _ in kept] == [0, 1, 3]
+
+
+def test_further_links_cost_rounds_of_their_own_only(spark, monkeypatch):
+    """Links in three portions give the components of all of them; a portion that joins two components is not a rerun."""
+    rng = random.Random(3)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(240)]
+    contracted, whole = [], groups.components
+
+    def noted(given):
+        contracted.append(given.count())
+        return whole(given)
+
+    monkeypatch.setattr(groups, "components", noted)
+    joined = None
+    for portion in (links[:150], links[150:230], links[230:]):
+        joined = groups.further_components(joined, spark.createDataFrame(portion, "a long, b long"))
+    expected = whole(spark.createDataFrame(links, "a long, b long"))
+    assert sorted(map(tuple, joined.where("id <> component").collect())) == sorted(map(tuple, expected.where("id <> component").collect()))
+    assert joined.select("id").distinct().count() == joined.count()
+    assert contracted == [150, 80, 10]
