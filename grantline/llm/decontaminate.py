@@ -23,9 +23,11 @@ BROADCAST_SHINGLES = 2_000_000
 
 def shingles(text: Column, size: int) -> Column:
     """The distinct runs of ``size`` words as sorted 64-bit hashes, words being in lower case and divided
-    by white space.  Fewer words make one shingle, no words none."""
+    by white space.  Fewer words make one shingle, no words none.
+
+    ``sort_array`` compares numbers; ``array_sort`` would evaluate a comparing expression for each two."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.array_sort(F.array_distinct(_shingled(words, size)))
+    return F.sort_array(F.array_distinct(_shingled(words, size)))
 
 
 def _shingled(words: Column, size: int) -> Column:
@@ -55,6 +57,18 @@ def sketch(sorted_shingles: Column, bits: Column) -> Column:
     )
 
 
+def sketches(documents: DataFrame, extra: int, shingle_size: int) -> DataFrame:
+    """doc_id and each ``shingle`` of the document's sketch.
+
+    An empty set has an empty sketch and needs no filter, which would be moved below the sets and compute
+    every one of them a second time.
+    """
+    sets = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", shingles(F.col("text"), shingle_size).alias("set")
+    )
+    return sets.select("doc_id", F.explode(sketch(F.col("set"), _bins(F.size("set"), extra))).alias("shingle"))
+
+
 def extra_bits(least_shingles: int, containment: float, miss: float) -> int:
     chances = max(1, math.ceil(containment * least_shingles - 1e-9))
     return max(0, min(40, math.ceil(-math.log2(miss) / chances) - 1))
@@ -77,17 +91,11 @@ def contained_items(
     items = stage(
         benchmark.where("item_id IS NOT NULL")
         .select("item_id", shingles(F.col("text"), shingle_size).alias("item"))
-        .where(F.size("item") > 0)
-    )
+    ).where(F.size("item") > 0)
     shape = items.agg(F.min(F.size("item")).alias("least"), F.sum(F.size("item")).alias("total")).first()
     extra = extra_bits(shape.least or 1, containment, miss)
     hint = F.broadcast if (shape.total or 0) <= BROADCAST_SHINGLES else (lambda frame: frame)
-    sets = documents.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", shingles(F.col("text"), shingle_size).alias("set")
-    )
-    seen = sets.where(F.size("set") > 0).select(
-        "doc_id", F.explode(sketch(F.col("set"), _bins(F.size("set"), extra))).alias("shingle")
-    )
+    seen = sketches(documents, extra, shingle_size)
     wanted = items.select("item_id", F.explode("item").alias("shingle"))
     candidates = stage(
         seen.join(hint(wanted), "shingle").groupBy("doc_id").agg(F.collect_set("item_id").alias("items"))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from grantline.llm import chat, substrings
+from grantline.llm import chat, decontaminate, substrings
 from grantline.llm.chat import conversation_digests, prefix_examples, rendered
 from grantline.llm.decontaminate import contained_items, extra_bits, without_items
 from grantline.llm.importance import classifier
@@ -23,6 +23,7 @@ from grantline.llm.sharding import kd_shards
 from grantline.llm.substrings import merged_blocks, without_repeats
 from grantline.llm.vectors import near_duplicate_vectors
 from grantline.llm.words import encoded, shingle_sets, word_hashes
+from grantline.sinks.shared import stage
 
 # Extra columns with names that the operators use themselves.
 DOCUMENT = "doc_id long, text string, id long, cell string, n long, label int"
@@ -433,6 +434,22 @@ def test_contained_items_equal_brute_force(spark):
     assert contained_items(frame, benchmark.limit(0)).count() == 0
 
 
+def test_shingle_sets_are_computed_once_and_sorted_as_numbers(spark, monkeypatch):
+    plans = []
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        return stage(rows)
+
+    monkeypatch.setattr(decontaminate, "stage", noted)
+    frame = documents(spark, [(1, "one two three four five six"), (2, ""), (3, None)])
+    pairs = contained_items(frame, spark.createDataFrame([(7, "two three four five six")], "item_id long, text string"))
+    assert [tuple(r) for r in pairs.collect()] == [(1, 7, 1, 1, 1.0)]
+    noted(pairs)
+    assert [plan.count("split(") for plan in plans] == [1, 1, 1]
+    assert not any("array_sort(" in plan for plan in plans)
+
+
 def test_short_items_need_finer_sketches():
     assert extra_bits(1, 0.8, 1e-7) > extra_bits(8, 0.8, 1e-7) > extra_bits(40, 0.8, 1e-7)
 
