@@ -20,6 +20,8 @@ PRINCIPAL = [
 ]
 HOLDERS_PER_PART = 20_000
 LOCATION_GROUPS = 256
+#: Tasks that words become rows in.
+EXPANDING_TASKS = 128
 SET = ["set_key", "set_check"]
 LOCATION = ["ext_loc_name", "credential_name", "credential_id", "url", "created"]
 GRANTEE = ["principal_display_name", "grantee"]
@@ -146,8 +148,8 @@ def reach(
     numbered without gaps, a role's locations are bits of 64-bit words, and the words of a set are united by
     ``bit_or``, a hash aggregate with map-side combine.  A set goes by two hashes of its roles, since the roles
     themselves, on each of its words, would be most of what is exchanged.  The holders are joined to the words
-    of their set, and a word becomes rows last of all: nothing of the size of the result is shuffled or compared
-    for duplicates.  A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its words
+    of their set, and a word becomes rows last of all, in many tasks: it is words that are shuffled, and no rows
+    are compared for duplicates.  A set that many principals hold is divided into parts of ``HOLDERS_PER_PART``, and its words
     are repeated for each, so one set is not one join key.  Columns of a location may be null.
     """
     role_set = F.sort_array(F.collect_set("role_name")).alias("role_set")
@@ -221,9 +223,14 @@ def set_words(sets: DataFrame, words: DataFrame) -> DataFrame:
 
 
 def _expanded(words: DataFrame, numbers: DataFrame) -> DataFrame:
-    """A row per set bit, with the columns of its location."""
+    """A row per set bit, with the columns of its location.
+
+    Words are small next to the rows they become, so adaptive execution, which goes by bytes, would leave a
+    few tasks to write all of these.  They are dealt to a fixed number of tasks, which it does not merge.
+    """
     entries = numbers.groupBy("word").agg(F.collect_list(F.struct("bit", "location")).alias("entries"))
     kept = [c for c in words.columns if c not in ("word", "bits")]
+    words = words.repartition(EXPANDING_TASKS, *kept, "word")
     chosen = F.expr("filter(entries, e -> (bits & shiftleft(1L, e.bit)) <> 0)")
     rows = words.join(entries, "word").select(*kept, F.explode(chosen).alias("entry"))
     return rows.select(*kept, "entry.location.*")

@@ -278,6 +278,29 @@ def test_a_role_set_of_many_holders_is_divided_with_default_limits(spark, monkey
     assert "part" in reached._jdf.queryExecution().analyzed().toString()
 
 
+def test_locations_are_written_out_by_many_tasks(spark):
+    """Words of few bytes become many rows; adaptive execution would merge them into one task."""
+    settings = {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    holders = spark.range(3000).selectExpr(
+        "concat('u', id) AS principal_id", "concat('u', id) AS principal_display_name", "'r' AS role_name"
+    )
+    role_locations = spark.range(100).selectExpr("'r' AS role_name", "concat('loc', id) AS ext_loc_name")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        reached = access.reach(holders, role_locations, ["principal_id"])
+        per_task = [r.n for r in reached.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(per_task) == 300_000
+        assert len(per_task) > access.EXPANDING_TASKS // 2 and max(per_task) < 30_000
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @pytest.mark.parametrize("groups", [1, 3, 256])
 def test_reach_equals_brute_force_with_diverse_role_sets(spark, monkeypatch, groups):
     """Words with all 64 bits, several words in a group, roles that overlap, repeated rows and null columns."""
